@@ -21,7 +21,7 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    match = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`__r_{k}`")) for k in keys])
+    match = F.expr(" AND ".join(f"`{k}` <=> `__r_{k}`" for k in keys))
     return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
 
 
@@ -61,11 +61,12 @@ def salted_join(
     a salt; adaptive skew-join splitting is left to deal with those.
     """
     marked = F.broadcast(hot)
-    spread = F.when(F.col("__hot"), F.pmod(F.xxhash64(*salt_from), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    repeated = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = left_join(big, marked, keys).withColumn("__salt", spread).drop("__hot")
-    right = left_join(small, marked, keys).withColumn("__salt", F.explode(repeated)).drop("__hot")
-    return _null_safe_join(left, right, [*keys, "__salt"], how).drop("__salt")
+    seed = ", ".join(f"`{c}`" for c in salt_from)
+    left = left_join(big, marked, keys).withColumn("__salt", F.expr(f"if(__hot, CAST(pmod(xxhash64({seed}), {salts}) AS INT), 0)"))
+    right = left_join(small, marked, keys).withColumn(
+        "__salt", F.expr(f"explode(if(__hot, sequence(0, {salts - 1}), array(0)))")
+    )
+    return _null_safe_join(left.drop("__hot"), right.drop("__hot"), [*keys, "__salt"], how).drop("__salt")
 
 
 def attach_group_values(

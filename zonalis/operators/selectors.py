@@ -70,4 +70,4 @@ def dictionary_projection(df: DataFrame, dictionary: Sequence[tuple[str, int, st
     """Keep and rename the columns whose dictionary row ``(name, flag, new_name)`` has flag 1."""
     kept = [(old, new) for old, flag, new in dictionary if flag == 1]
     one_of(df, [old for old, _ in kept])
-    return df.select(*[F.col(f"`{old}`").alias(new) for old, new in kept])
+    return df.selectExpr(*[f"`{old}` AS `{new}`" for old, new in kept])

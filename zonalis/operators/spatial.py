@@ -27,75 +27,68 @@ EDGE_PAIRS_PER_STEP = 1_000_000
 NOISE = 1e-10
 
 
-def size_level(box: Column) -> Column:
-    side = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"], F.lit(2.0 ** LEVEL_RANGE[0]))
-    return F.least(F.ceil(F.log2(side)).cast("int"), F.lit(LEVEL_RANGE[1]))
+def size_level(box: str = "box") -> Column:
+    lowest, highest = LEVEL_RANGE
+    side = f"greatest({box}.xmax - {box}.xmin, {box}.ymax - {box}.ymin, {2.0**lowest}D)"
+    return F.expr(f"least(CAST(ceil(log2({side})) AS INT), {highest})")
 
 
-def levels_of(boxes: DataFrame) -> list[int]:
-    """Distinct levels of a table of boxes; at most one per step of LEVEL_RANGE."""
-    return sorted(r.level for r in boxes.select(size_level(F.col("box")).alias("level")).distinct().collect())
+def levels_of(boxes: DataFrame) -> tuple[list[int], int]:
+    """Distinct levels of a table of boxes, at most one per step of LEVEL_RANGE, and its number of rows."""
+    rows = boxes.groupBy(size_level().alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    return sorted(r.level for r in rows), sum(r.rows for r in rows)
 
 
-def cell_of(value: Column, level: Column) -> Column:
-    return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
+def _cell(value: str, level: str = "level") -> str:
+    """Number of the cell that holds a coordinate on the grid of a level, as SQL text."""
+    return f"CAST(floor({value} / pow(2D, {level})) AS BIGINT)"
 
 
-def _in_cells(boxes: DataFrame, levels: Column) -> DataFrame:
-    """One row per level in ``levels`` and cell the box touches there."""
-    box = F.col("box")
-    return (
-        boxes.withColumn("level", F.explode(levels))
-        .withColumn("cx", F.explode(F.sequence(cell_of(box["xmin"], F.col("level")), cell_of(box["xmax"], F.col("level")))))
-        .withColumn("cy", F.explode(F.sequence(cell_of(box["ymin"], F.col("level")), cell_of(box["ymax"], F.col("level")))))
-    )
+def _in_cells(boxes: DataFrame) -> DataFrame:
+    """One row per cell the box touches on the grid of the row's ``level``."""
+    columns = boxes.columns
+    return boxes.selectExpr(
+        *columns, f"explode(sequence({_cell('box.xmin')}, {_cell('box.xmax')})) AS cx"
+    ).selectExpr(*columns, "cx", f"explode(sequence({_cell('box.ymin')}, {_cell('box.ymax')})) AS cy")
 
 
-def _coarser(levels: Sequence[int], own: Column, include_own: bool) -> Column:
-    present = F.array(*[F.lit(v) for v in levels]).cast("array<int>")
-    return F.filter(present, lambda v: (v >= own) if include_own else (v > own))
+def _int_array(values: Sequence[int]) -> str:
+    return f"CAST(array({', '.join(map(str, values))}) AS ARRAY<INT>)"
 
 
 def box_pairs(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Pairs ``(a, b, abox, bbox)`` of ids whose boxes share an area.
 
-    Inputs have columns ``id`` and ``box``; ids must be unique per table. A pair is emitted only in
-    the cell that holds the lower left corner of the shared box, so none appears twice.
+    Inputs have columns ``id`` and ``box``; ids must be unique per table. Each side lists its boxes
+    on their own level, and as the finer box of a pair on the coarser levels of the other side; the
+    column ``fine`` names the finer side. Boxes of equal level meet with ``b`` as the finer one. A pair
+    is emitted only in the cell that holds the lower left corner of the shared box, so none appears
+    twice.
     """
-    a = left.select(F.col("id").alias("a"), "box")
-    b = right.select(F.col("id").alias("b"), "box")
-    own = size_level(F.col("box"))
-    a_levels, b_levels = levels_of(a), levels_of(b)
-
-    def native(boxes: DataFrame) -> DataFrame:
-        return _in_cells(boxes, F.array(own))
-
-    def lifted(boxes: DataFrame, levels: Sequence[int], include_own: bool) -> DataFrame:
-        return _in_cells(boxes, _coarser(levels, own, include_own))
-
-    def pairs(fine: DataFrame, coarse: DataFrame, fine_id: str) -> DataFrame:
-        counts = fine.groupBy(*CELL).agg(F.count(F.lit(1)).alias("rows"))
-        return salted_join(fine, coarse, CELL, hot_keys(counts, CELL, "rows", hot_rows), [fine_id])
-
-    b_in_a = pairs(
-        lifted(b, a_levels, True).withColumnRenamed("box", "bbox"),
-        native(a).withColumnRenamed("box", "abox"),
-        "b",
-    )
-    a_in_b = pairs(
-        lifted(a, b_levels, False).withColumnRenamed("box", "abox"),
-        native(b).withColumnRenamed("box", "bbox"),
-        "a",
-    )
-    abox, bbox = F.col("abox"), F.col("bbox")
-    xlo, ylo = F.greatest(abox["xmin"], bbox["xmin"]), F.greatest(abox["ymin"], bbox["ymin"])
-    xhi, yhi = F.least(abox["xmax"], bbox["xmax"]), F.least(abox["ymax"], bbox["ymax"])
-    return (
-        b_in_a.unionByName(a_in_b)
-        .filter((xlo < xhi) & (ylo < yhi))
-        .filter((cell_of(xlo, F.col("level")) == F.col("cx")) & (cell_of(ylo, F.col("level")) == F.col("cy")))
-        .select("a", "b", "abox", "bbox")
-    )
+    (a_levels, a_rows), (b_levels, b_rows) = levels_of(left), levels_of(right)
+
+    def listed(boxes: DataFrame, side: str, other: str, levels: Sequence[int], above: str) -> DataFrame:
+        own = boxes.select("id", "box", size_level().alias("own"))
+        lifted = f"transform(filter({_int_array(levels)}, v -> v {above} own), v -> struct('{side}' AS fine, v AS level))"
+        placed = own.selectExpr("id", "box", f"inline(concat(array(struct('{other}' AS fine, own AS level)), {lifted}))")
+        return _in_cells(placed).selectExpr(f"id AS {side}", f"box AS {side}box", "fine", *CELL)
+
+    a_cells = listed(left, "a", "b", b_levels, ">")
+    b_cells = listed(right, "b", "a", a_levels, ">=")
+    keys = ["fine", *CELL]
+    if (a_rows + b_rows) * len({*a_levels, *b_levels}) * 4 < hot_rows:
+        joined = a_cells.join(b_cells, keys)
+    else:
+        fine = a_cells.filter("fine = 'a'").select(*keys).unionByName(b_cells.filter("fine = 'b'").select(*keys))
+        hot = hot_keys(fine.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")), keys, "rows", hot_rows)
+        by_a = salted_join(a_cells.filter("fine = 'a'"), b_cells.filter("fine = 'a'"), keys, hot, ["a"])
+        by_b = salted_join(b_cells.filter("fine = 'b'"), a_cells.filter("fine = 'b'"), keys, hot, ["b"])
+        joined = by_a.unionByName(by_b)
+    xlo, ylo = "greatest(abox.xmin, bbox.xmin)", "greatest(abox.ymin, bbox.ymin)"
+    return joined.filter(
+        f"{xlo} < least(abox.xmax, bbox.xmax) AND {ylo} < least(abox.ymax, bbox.ymax) "
+        f"AND {_cell(xlo)} = cx AND {_cell(ylo)} = cy"
+    ).select("a", "b", "abox", "bbox")
 
 
 def polygon_boxes(polygons: DataFrame) -> DataFrame:
@@ -238,12 +231,12 @@ def points_in_polygons(
     the caller passes distinct ``(keep, x, y)`` rows or counts them first.
     """
     boxes = polygons.select("id", "rings", bounds(F.col("rings")).alias("box"))
-    levels = levels_of(boxes)
-    at = points.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
-    at = at.withColumn("cx", cell_of(F.col("x"), F.col("level"))).withColumn("cy", cell_of(F.col("y"), F.col("level")))
-    cells = _in_cells(boxes, F.array(size_level(F.col("box"))))
-    counts = at.groupBy(*CELL).agg(F.count(F.lit(1)).alias("rows"))
-    hot = hot_keys(counts, CELL, "rows", hot_rows)
+    levels, _ = levels_of(boxes)
+    at = points.selectExpr(*keep, "x", "y", f"explode({_int_array(levels)}) AS level").selectExpr(
+        *keep, "x", "y", "level", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy"
+    )
+    cells = _in_cells(boxes.withColumn("level", size_level()))
+    hot = hot_keys(at.groupBy(*CELL).agg(F.count(F.lit(1)).alias("rows")), CELL, "rows", hot_rows)
     joined = salted_join(at, cells, CELL, hot, [*keep, "x", "y"])
     box, x, y = F.col("box"), F.col("x"), F.col("y")
     return (

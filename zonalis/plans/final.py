@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from zonalis.functions import percent_of, round_even
 from zonalis.operators.joins import join_fold
 from zonalis.operators.reshape import sum_to_wide
 from zonalis.operators.selectors import dictionary_projection, everything
@@ -22,14 +21,9 @@ def interpolate(lookup: DataFrame, census: DataFrame, names: Sequence[str]) -> D
     ``census`` is long ``(radio, var, value)``. Every circuit of the lookup gets a row; what no tract
     reports is 0. Sums are rounded to whole numbers, half to even.
     """
-    weighted = lookup.select(F.col("id_radio").alias("radio"), "id_circuito_elec", "por_radio").join(
-        census, "radio", "left"
-    )
-    table = sum_to_wide(weighted, ["id_circuito_elec"], "var", F.col("value") * F.col("por_radio"), names)
-    return table.select(
-        "id_circuito_elec",
-        *[round_even(F.coalesce(F.col(f"`{c}`"), F.lit(0.0))).alias(c) for c in names],
-    )
+    weighted = lookup.selectExpr("id_radio AS radio", "id_circuito_elec", "por_radio").join(census, "radio", "left")
+    table = sum_to_wide(weighted, ["id_circuito_elec"], "var", F.expr("value * por_radio"), names)
+    return table.selectExpr("id_circuito_elec", *[f"bround(coalesce(`{c}`, 0D), 0) AS `{c}`" for c in names])
 
 
 def family_of(name: str, families: Sequence[str] = FAMILIES) -> str:
@@ -39,22 +33,20 @@ def family_of(name: str, families: Sequence[str] = FAMILIES) -> str:
 def census_percentages(counts: DataFrame, families: Sequence[str] = FAMILIES) -> DataFrame:
     """Each count over its family's total; the totals are dropped."""
 
-    def percent(name: str) -> Column:
-        return percent_of(F.col(f"`{name}`"), F.col(f"`{family_of(name, families)}TOTAL`")).alias(name)
-
     shown = [c for c in counts.columns[1:] if not c.endswith("TOTAL")]
-    return counts.select(counts.columns[0], *[percent(c) for c in shown])
+    return counts.selectExpr(
+        f"`{counts.columns[0]}`", *[_percent(c, f"{family_of(c, families)}TOTAL") for c in shown]
+    )
+
+
+def _percent(part: str, whole: str) -> str:
+    return f"try_divide(`{part}`, `{whole}`) * 100 AS `{part}`"
 
 
 def vote_percentages(df: DataFrame, elections: Sequence[str]) -> DataFrame:
     """Party columns of each election as percentages of its valid votes."""
     whole = {c: f"{e}_validos" for e in elections for c in df.columns if c.startswith(f"{e}_cand")}
-    return df.select(
-        *[
-            percent_of(F.col(f"`{c}`"), F.col(whole[c])).alias(c) if c in whole else F.col(f"`{c}`")
-            for c in df.columns
-        ]
-    )
+    return df.selectExpr(*[_percent(c, whole[c]) if c in whole else f"`{c}`" for c in df.columns])
 
 
 def province(circuit: Column, names: Mapping[str, str] = PROVINCES) -> Column:
@@ -76,4 +68,4 @@ def final_table(
     joined = vote_percentages(join_fold([zones, *elections.values()], ["id_circuito_elec"]), list(elections))
     chosen = dictionary_projection(joined, dictionary)
     chosen = chosen.withColumn("province", province(F.col("id_circuito_elec")))
-    return chosen.select(*[F.col(f"`{c}`") for c in everything(chosen, "id_circuito_elec", "province")])
+    return chosen.selectExpr(*[f"`{c}`" for c in everything(chosen, "id_circuito_elec", "province")])

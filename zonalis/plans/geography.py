@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from zonalis.functions import circuit_zeroes, paste, round_even, section_code, slice_text
 from zonalis.operators.geometry import shoelace
-from zonalis.operators.joins import attach_group_values, left_join
+from zonalis.operators.joins import attach_group_values
 from zonalis.operators.spatial import overlay, points_in_polygons
 
 # The threshold and codes of the lookup step.
@@ -94,7 +94,7 @@ def full_lookup(shares: DataFrame, sections: DataFrame, election: DataFrame, bla
     known = election.filter(F.col(blank).isNotNull()).select("id_circuito_elec")
     keyed = shares.withColumn("id_seccion_indec", slice_text(F.col("id_circuito"), 1, 5))
     return (
-        left_join(keyed, sections, ["id_seccion_indec"])
+        keyed.join(sections, "id_seccion_indec", "left")
         .withColumn(
             "id_circuito_elec", paste(F.col("id_seccion_elec"), slice_text(F.col("id_circuito"), 6, 11))
         )

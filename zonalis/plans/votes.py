@@ -79,14 +79,38 @@ def box_table(
     )
 
 
-def _sum_again(total: str) -> Column:
-    """Strict sum of partial strict sums."""
-    return strict_sum(F.col(total))
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
+
+
+def _label_sums(labels: Sequence[str | None], votes: str, times: Sequence[str]) -> list[Column]:
+    """Sum of ``votes`` per label, and which labels occur (``present``) or lack a number (``missing``).
+
+    ``times[i]`` is the SQL text of how often a row counts for label ``i``. The two flags are bit
+    masks, one bit per label.
+    """
+    present = " + ".join(f"if({t} > 0, {1 << i}, 0)" for i, t in enumerate(times))
+    return [
+        F.expr(f"bit_or({present})").alias("present"),
+        F.expr(f"bit_or(if({votes} IS NULL, {present}, 0))").alias("missing"),
+        *[F.expr(f"sum(coalesce({votes}, 0) * {t})").alias(f"votes_{i}") for i, t in enumerate(times)],
+    ]
+
+
+def _labels_to_rows(zones: DataFrame, labels: Sequence[str | None]) -> DataFrame:
+    """One row per zone and label that occurs there; a missing number makes the label's sum missing."""
+    entries = ", ".join(
+        f"struct({'CAST(NULL AS STRING)' if label is None else _sql_text(label)} AS partido, "
+        f"present & {1 << i} AS here, if(missing & {1 << i} = 0, votes_{i}, NULL) AS votos_candidatura)"
+        for i, label in enumerate(labels)
+    )
+    kept = [f"`{c}`" for c in zones.columns if c not in ("present", "missing") and not c.startswith("votes_")]
+    return zones.selectExpr(*kept, f"inline(array({entries}))").filter("here <> 0").drop("here")
 
 
 def _times(dimension: DataFrame, key: str, alias: str) -> DataFrame:
     """How often each code occurs: a repeated code repeats the rows that join it."""
-    return dimension.groupBy(F.col(key).alias(alias)).agg(F.count(F.lit(1)).alias(f"n_{alias}"))
+    return dimension.groupBy(F.expr(f"coalesce({key}, '') AS {alias}")).agg(F.expr(f"count(1) AS n_{alias}"))
 
 
 def circuits_2019(
@@ -101,45 +125,55 @@ def circuits_2019(
 ) -> DataFrame:
     """Votes per circuit and party label with the circuit's blank and valid votes.
 
-    Votes are summed per box and label before anything else is joined. A repeated blank or region row
-    would repeat the ballots it joins; it enters as a factor, so no join multiplies rows. ``totals``
-    and ``parties`` need the column ``ordinal`` (file order).
+    Ballots shrink to one row per box and circuit, with the sums of each label in columns, before the
+    joins on the box. A repeated blank or region row would repeat the ballots it joins; it enters as a
+    factor, so no join multiplies rows. ``totals`` and ``parties`` need the column ``ordinal`` (file
+    order). Missing codes are held as empty text, so that they match each other.
     """
-    named = left_join(
-        votes.filter(F.col("codigo_categoria") == category), party_names(parties, category), ["codigo_agrupacion"]
-    )
     place = ["codigo_mesa", "codigo_circuito", "codigo_distrito", "codigo_seccion"]
-    per_box = (
-        named.withColumn("partido", recode(F.col("nombre_agrupacion"), labels, OTHERS))
-        .groupBy(*place, "partido")
-        .agg(strict_sum(F.col("votos_agrupacion")).alias("votos"))
+    shown = [*labels.values(), OTHERS, None]
+    names = party_names(parties, category).select(
+        F.expr("coalesce(codigo_agrupacion, '') AS codigo_agrupacion"),
+        recode(F.col("nombre_agrupacion"), labels, OTHERS).alias("partido"),
     )
-    blanks = blank_votes(totals, blank, category)
-    per_blank = blanks.groupBy("codigo_mesa").agg(
-        first_by(F.col("valor"), F.col("ordinal")).alias("blanco"), F.count(F.lit(1)).alias("n_blanco")
+    named = (
+        votes.filter(F.col("codigo_categoria") == category)
+        .selectExpr(*[f"coalesce({c}, '') AS {c}" for c in [*place, "codigo_agrupacion"]], "votos_agrupacion")
+        .join(names, "codigo_agrupacion", "left")
     )
-
-    box_sum = per_box.groupBy("codigo_mesa").agg(_sum_again("votos").alias("en_mesa"))
-    box = left_join(left_join(per_box.select("codigo_circuito", "codigo_mesa").distinct(), box_sum, ["codigo_mesa"]),
-                    per_blank, ["codigo_mesa"])
-    circuit_totals = box.groupBy("codigo_circuito").agg(
-        strict_sum(F.col("blanco")).alias("votos_blanco"),
-        strict_sum(F.col("en_mesa") + F.col("blanco")).alias("votos_validos"),
+    has_label = [
+        f"if(partido IS NULL, {1 if label is None else 0}, {'0' if label is None else f'if(partido = {_sql_text(label)}, 1, 0)'})"
+        for label in shown
+    ]
+    in_circuit = named.groupBy(*place).agg(*_label_sums(shown, "votos_agrupacion", has_label))
+    sums = [f"votes_{i}" for i in range(len(shown))]
+    cast_here = f"if(missing = 0, {' + '.join(sums)}, NULL)"
+    in_box = in_circuit.groupBy("codigo_mesa").agg(strict_sum(F.expr(cast_here)).alias("en_mesa"))
+    blanks = (
+        blank_votes(totals, blank, category)
+        .groupBy(F.expr("coalesce(codigo_mesa, '') AS codigo_mesa"))
+        .agg(F.expr("min_by(valor, ordinal) AS blanco"), F.expr("count(1) AS n_mesa"))
     )
-
-    factors = left_join(per_box.filter(F.col("codigo_distrito").isin(*districts)), per_blank, ["codigo_mesa"])
-    repeat = F.coalesce(F.col("n_blanco"), F.lit(1))
+    rows = in_circuit.join(in_box, "codigo_mesa").join(blanks, "codigo_mesa", "left")
     for role in ("codigo_distrito", "codigo_seccion"):
-        factors = left_join(factors, _times(regions, "codigo_region", role), [role])
-        repeat = repeat * F.coalesce(F.col(f"n_{role}"), F.lit(1))
-    by_label = factors.groupBy("codigo_circuito", "partido").agg(
-        strict_sum(F.col("votos") * repeat).alias("votos_candidatura")
+        rows = rows.join(_times(regions, "codigo_region", role), role, "left")
+    in_scope = f"codigo_distrito IN ({', '.join(map(_sql_text, districts))})"
+    repeats = "coalesce(n_mesa, 1) * coalesce(n_codigo_distrito, 1) * coalesce(n_codigo_seccion, 1)"
+    # A box has one row per circuit unless it is listed under several districts or sections.
+    per_box = rows.groupBy("codigo_circuito", "codigo_mesa").agg(
+        F.expr("first(blanco) AS blanco"),
+        F.expr("first(en_mesa) AS en_mesa"),
+        *[F.expr(f"bit_or(if({in_scope}, {mask}, 0)) AS {mask}") for mask in ("present", "missing")],
+        *[F.expr(f"sum(if({in_scope}, {c} * {repeats}, 0)) AS {c}") for c in sums],
     )
-    return (
-        left_join(by_label, circuit_totals, ["codigo_circuito"])
-        .withColumnRenamed("codigo_circuito", "id_circuito_elec")
-        .withColumn("year", F.lit(2019))
-        .select(*LONG_COLUMNS)
+    zones = per_box.groupBy("codigo_circuito").agg(
+        strict_sum(F.col("blanco")).alias("votos_blanco"),
+        strict_sum(F.expr("en_mesa + blanco")).alias("votos_validos"),
+        *[F.expr(f"bit_or({mask}) AS {mask}") for mask in ("present", "missing")],
+        *[F.expr(f"sum({c}) AS {c}") for c in sums],
+    )
+    return _labels_to_rows(zones, shown).selectExpr(
+        "2019 AS year", "nullif(codigo_circuito, '') AS id_circuito_elec", *LONG_COLUMNS[2:]
     )
 
 
@@ -149,36 +183,35 @@ def circuits_2015(
     """As :func:`circuits_2019`, from files that give circuit and vote code per row.
 
     Codes below 9000 are parties, 9004 is blank, others are ignored. The party table may list a code
-    several times; each time counts, and is applied as a factor.
+    several times; each time counts, as a factor per label, so the join adds no rows.
     """
+    shown = [*labels.values(), OTHERS, None]
     rows = stack(votes).select(
-        *[F.col(f"`{c}`") for c in ZONE_2015],
+        *[f"`{c}`" for c in ZONE_2015],
         as_integer(F.col("`codigo votos`").cast("string")).alias("code"),
-        as_integer(F.col("votos").cast("string")).alias("votes"),
-    )
-    is_party, is_blank = F.col("code") < FIRST_SPECIAL_CODE, F.col("code") == BLANK_CODE
-    zone_totals = rows.groupBy(*ZONE_2015).agg(
-        strict_sum_where(is_blank, F.col("votes")).alias("votos_blanco"),
-        strict_sum_where(is_party, F.col("votes")).alias("candidaturas"),
+        as_integer(F.col("votos").cast("string")).alias("cast"),
     )
-    listed = (
-        parties.withColumn("code", as_integer(F.col("codigo_partido")))
-        .withColumn("partido", recode(F.col("denominacion"), labels, OTHERS))
-        .groupBy("code", "partido")
-        .agg(F.count(F.lit(1)).alias("times"))
+    is_party, is_blank = F.expr(f"code < {FIRST_SPECIAL_CODE}"), F.expr(f"code = {BLANK_CODE}")
+    per_code = rows.filter(is_party | is_blank).groupBy(*ZONE_2015, "code").agg(strict_sum(F.col("cast")).alias("cast"))
+    label = recode(F.col("denominacion"), labels, OTHERS)
+    listed = parties.groupBy(as_integer(F.col("codigo_partido")).alias("code")).agg(
+        *[F.count_if(label.eqNullSafe(F.lit(name))).alias(f"times_{i}") for i, name in enumerate(shown)]
     )
-    per_code = rows.filter(is_party).groupBy(*ZONE_2015, "code").agg(strict_sum(F.col("votes")).alias("votes"))
-    by_label = (
-        left_join(per_code, listed, ["code"])
-        .groupBy(*ZONE_2015, "partido")
-        .agg(strict_sum(F.col("votes") * F.coalesce(F.col("times"), F.lit(1))).alias("votos_candidatura"))
+    times = [
+        f"if(code < {FIRST_SPECIAL_CODE}, coalesce(times_{i}, {1 if name is None else 0}), 0)"
+        for i, name in enumerate(shown)
+    ]
+    zones = per_code.join(listed, "code", "left").groupBy(*ZONE_2015).agg(
+        strict_sum_where(is_blank, F.col("cast")).alias("votos_blanco"),
+        strict_sum_where(is_party, F.col("cast")).alias("candidaturas"),
+        *_label_sums(shown, "`cast`", times),
     )
     province, department, circuit = (F.col(f"`{c}`") for c in ZONE_2015)
-    return left_join(by_label, zone_totals, ZONE_2015).select(
+    return _labels_to_rows(zones, shown).select(
         F.lit(2015).alias("year"),
         paste(province, department, circuit_zeroes(circuit), circuit).alias("id_circuito_elec"),
         "votos_blanco",
-        (F.col("votos_blanco") + F.col("candidaturas")).alias("votos_validos"),
+        F.expr("votos_blanco + candidaturas AS votos_validos"),
         "partido",
         "votos_candidatura",
     )

@@ -6,7 +6,7 @@ Each function has a SQL twin that the oracles build on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from zonalis.operators.geometry import box_ring
 from zonalis.plans.votes import PRESIDENT
@@ -15,31 +15,28 @@ TRACTS_PER_ROW = 50
 CIRCUITS_PER_ROW = 12
 
 
-def _pad(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+def district(supplier: str) -> str:
+    """District of a supplier, as SQL text both engines read."""
+    return f"lpad(CAST({supplier} % 3 + 1 AS STRING), 2, '0')"
 
 
-def district(supplier: Column) -> Column:
-    return _pad(supplier % 3 + 1, 2)
-
-
-def section(supplier: Column) -> Column:
-    return _pad(supplier % 5, 3)
+def section(supplier: str) -> str:
+    return f"lpad(CAST({supplier} % 5 AS STRING), 3, '0')"
 
 
 # -- 2019 layout ---------------------------------------------------------------------------------
 
 
 def ballots(lineitem: DataFrame, status: str) -> DataFrame:
-    s = F.col("l_suppkey")
-    return lineitem.select(
-        F.when(F.col("l_linestatus") == status, PRESIDENT).otherwise("000200000000000").alias("codigo_categoria"),
-        district(s).alias("codigo_distrito"),
-        F.concat(district(s), section(s)).alias("codigo_seccion"),
-        F.concat(district(s), section(s), _pad(s, 6)).alias("codigo_circuito"),
-        F.col("l_orderkey").cast("string").alias("codigo_mesa"),
-        F.col("l_returnflag").alias("codigo_agrupacion"),
-        F.col("l_quantity").cast("bigint").alias("votos_agrupacion"),
+    place, part = district("l_suppkey"), section("l_suppkey")
+    return lineitem.selectExpr(
+        f"if(l_linestatus = '{status}', '{PRESIDENT}', '000200000000000') AS codigo_categoria",
+        f"{place} AS codigo_distrito",
+        f"concat({place}, {part}) AS codigo_seccion",
+        f"concat({place}, {part}, lpad(CAST(l_suppkey AS STRING), 6, '0')) AS codigo_circuito",
+        "CAST(l_orderkey AS STRING) AS codigo_mesa",
+        "l_returnflag AS codigo_agrupacion",
+        "CAST(l_quantity AS BIGINT) AS votos_agrupacion",
     )
 
 
@@ -57,14 +54,13 @@ def ballots_sql(status: str) -> str:
 
 def box_totals(orders: DataFrame, blank: str) -> DataFrame:
     """Blank votes per box, without a row for a few boxes, and void votes for all."""
-    base = orders.select(
-        F.lit(PRESIDENT).alias("codigo_categoria"),
-        F.col("o_orderkey").cast("string").alias("codigo_mesa"),
-        F.col("o_orderkey").alias("ordinal"),
-        F.floor(F.col("o_totalprice") / 10000).alias("valor"),
-    )
-    return base.filter(F.col("ordinal") % 5000 != 17).withColumn("contador", F.lit(blank)).unionByName(
-        base.withColumn("contador", F.lit("Voto nulo"))
+    counters = f"if(o_orderkey % 5000 <> 17, array('{blank}', 'Voto nulo'), array('Voto nulo'))"
+    return orders.selectExpr(
+        f"'{PRESIDENT}' AS codigo_categoria",
+        "CAST(o_orderkey AS STRING) AS codigo_mesa",
+        "o_orderkey AS ordinal",
+        "floor(o_totalprice / 10000) AS valor",
+        f"explode({counters}) AS contador",
     )
 
 
@@ -80,17 +76,12 @@ def box_totals_sql(blank: str) -> str:
 
 def parties_2019(lineitem: DataFrame) -> DataFrame:
     """Several rows per party code; the first by ``ordinal`` names it."""
-    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
-    name = (
-        F.when(flag == "A", "FRENTE DE TODOS")
-        .when(flag == "N", "JUNTOS POR EL CAMBIO")
-        .otherwise(F.concat(F.lit("PARTIDO "), line.cast("string")))
-    )
-    return lineitem.select("l_returnflag", "l_linenumber").distinct().select(
-        F.lit(PRESIDENT).alias("codigo_categoria"),
-        flag.alias("codigo_agrupacion"),
-        name.alias("nombre_agrupacion"),
-        line.alias("ordinal"),
+    return lineitem.select("l_returnflag", "l_linenumber").distinct().selectExpr(
+        f"'{PRESIDENT}' AS codigo_categoria",
+        "l_returnflag AS codigo_agrupacion",
+        "CASE l_returnflag WHEN 'A' THEN 'FRENTE DE TODOS' WHEN 'N' THEN 'JUNTOS POR EL CAMBIO'"
+        " ELSE concat('PARTIDO ', l_linenumber) END AS nombre_agrupacion",
+        "l_linenumber AS ordinal",
     )
 
 
@@ -103,12 +94,11 @@ PARTIES_2019_SQL = f"""
 
 def regions(supplier: DataFrame) -> DataFrame:
     """Districts and sections in one table."""
-    s = F.col("s_suppkey")
-    districts = supplier.select(district(s).alias("codigo_region"), F.concat(F.lit("Distrito "), district(s)).alias("nombre_region"))
-    sections = supplier.select(
-        F.concat(district(s), section(s)).alias("codigo_region"), F.concat(F.lit("Seccion "), section(s)).alias("nombre_region")
-    )
-    return districts.distinct().unionByName(sections.distinct())
+    place, part = district("s_suppkey"), section("s_suppkey")
+    return supplier.selectExpr(
+        f"inline(array(struct({place} AS codigo_region, concat('Distrito ', {place}) AS nombre_region),"
+        f" struct(concat({place}, {part}) AS codigo_region, concat('Seccion ', {part}) AS nombre_region)))"
+    ).distinct()
 
 
 REGIONS_SQL = """
@@ -124,15 +114,14 @@ REGIONS_SQL = """
 
 def votes_2015(lineitem: DataFrame, status: str, province: str) -> DataFrame:
     """One file: votes as text, a few of them not a number; code 9004 blank, 9001 another special code."""
-    line = F.col("l_linenumber")
-    code = F.when(line == 7, 9004).when(line == 6, 9001).otherwise(F.col("l_partkey") % 6 + 100)
-    bad = (F.col("l_quantity") == 50) & (F.col("l_partkey") % 100 == 7) & (line == 3)
-    return lineitem.filter((F.col("l_linestatus") == status) & (district(F.col("l_suppkey")) == province)).select(
-        district(F.col("l_suppkey")).alias("codigo provincia"),
-        section(F.col("l_suppkey")).alias("codigo departamento"),
-        F.col("l_suppkey").cast("string").alias("codigo circuito"),
-        code.cast("string").alias("codigo votos"),
-        F.when(bad, "x").otherwise(F.col("l_quantity").cast("string")).alias("votos"),
+    place = district("l_suppkey")
+    return lineitem.filter(f"l_linestatus = '{status}' AND {place} = '{province}'").selectExpr(
+        f"{place} AS `codigo provincia`",
+        f"{section('l_suppkey')} AS `codigo departamento`",
+        "CAST(l_suppkey AS STRING) AS `codigo circuito`",
+        "CAST(CASE l_linenumber WHEN 7 THEN 9004 WHEN 6 THEN 9001 ELSE l_partkey % 6 + 100 END AS STRING)"
+        " AS `codigo votos`",
+        "if(l_quantity = 50 AND l_partkey % 100 = 7 AND l_linenumber = 3, 'x', CAST(l_quantity AS STRING)) AS votos",
     )
 
 
@@ -148,20 +137,16 @@ def votes_2015_sql(status: str) -> str:
 
 def parties_2015(part: DataFrame) -> DataFrame:
     """Codes 103 and 104 are listed twice, 105 not at all."""
-    code = F.col("p_partkey") % 6
-    twin = F.when(code.isin(3, 4), F.col("p_size") % 2).otherwise(0)
-    name = (
-        F.when(F.col("code") == 0, "ALIANZA CAMBIEMOS")
-        .when(F.col("code") == 1, "ALIANZA FRENTE PARA LA VICTORIA")
-        .when(F.col("code") == 2, "ALIANZA UNIDOS POR UNA NUEVA ALTERNATIVA (UNA)")
-        .when(F.col("code") == 3, F.concat(F.lit("PARTIDO "), F.col("twin").cast("string")))
-        .otherwise("PARTIDO 2")
+    listed = part.filter("p_partkey % 6 <> 5").selectExpr(
+        "p_partkey % 6 AS code", "if(p_partkey % 6 IN (3, 4), p_size % 2, 0) AS twin"
     )
-    return part.filter(code != 5).select(code.alias("code"), twin.alias("twin")).distinct().select(
-        F.concat(F.lit("0"), (F.col("code") + 100).cast("string")).alias("codigo_partido"),
-        F.col("twin").cast("string").alias("lista_interna"),
-        F.lit("AGRUPACION").alias("agrupacion"),
-        name.alias("denominacion"),
+    return listed.distinct().selectExpr(
+        "concat('0', code + 100) AS codigo_partido",
+        "CAST(twin AS STRING) AS lista_interna",
+        "'AGRUPACION' AS agrupacion",
+        "CASE code WHEN 0 THEN 'ALIANZA CAMBIEMOS' WHEN 1 THEN 'ALIANZA FRENTE PARA LA VICTORIA'"
+        " WHEN 2 THEN 'ALIANZA UNIDOS POR UNA NUEVA ALTERNATIVA (UNA)' WHEN 3 THEN concat('PARTIDO ', twin)"
+        " ELSE 'PARTIDO 2' END AS denominacion",
     )
 
 
@@ -175,19 +160,13 @@ PARTIES_2015_SQL = """
 # -- census --------------------------------------------------------------------------------------
 
 
-def _category_file(orders: DataFrame, category: Column, headers: dict[str, str]) -> DataFrame:
+def _category_file(orders: DataFrame, category: str, headers: dict[str, str]) -> DataFrame:
     """Counts per tract and category under the original headers, with TOTAL."""
-    table = (
-        orders.select(F.col("o_custkey").cast("string").alias("radio"), category.alias("category"))
-        .groupBy("radio")
-        .pivot("category", list(headers))
-        .agg(F.count(F.lit(1)))
+    counts = [F.expr(f"count_if({category} = '{code}') AS `{header}`") for code, header in headers.items()]
+    codes = ", ".join(f"'{code}'" for code in headers)
+    return orders.groupBy(F.expr("CAST(o_custkey AS STRING) AS radio")).agg(
+        *counts, F.expr(f"count_if({category} IN ({codes})) AS TOTAL")
     )
-    counts = [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in headers]
-    total = counts[0]
-    for c in counts[1:]:
-        total = total + c
-    return table.select("radio", *[c.alias(h) for c, h in zip(counts, headers.values(), strict=True)], total.alias("TOTAL"))
 
 
 PRIORITY_HEADERS = {
@@ -205,12 +184,11 @@ PREFIXES = {"priority": "per_prio_", "status": "ho_stat_", "price": "vi_urban_",
 
 def census_files(orders: DataFrame) -> dict[str, DataFrame]:
     """Four files of one variable each, as they are before the header rule."""
-    price = F.when(F.col("o_totalprice") < 250000, "low").otherwise("high")
     return {
-        "priority": _category_file(orders, F.col("o_orderpriority"), PRIORITY_HEADERS),
-        "status": _category_file(orders, F.col("o_orderstatus"), STATUS_HEADERS),
-        "price": _category_file(orders, price, PRICE_HEADERS),
-        "year": _category_file(orders, F.year("o_orderdate").cast("string"), YEAR_HEADERS),
+        "priority": _category_file(orders, "o_orderpriority", PRIORITY_HEADERS),
+        "status": _category_file(orders, "o_orderstatus", STATUS_HEADERS),
+        "price": _category_file(orders, "if(o_totalprice < 250000, 'low', 'high')", PRICE_HEADERS),
+        "year": _category_file(orders, "CAST(year(o_orderdate) AS STRING)", YEAR_HEADERS),
     }
 
 
@@ -264,8 +242,8 @@ def circuits(supplier: DataFrame) -> DataFrame:
     x, y = k % CIRCUITS_PER_ROW * 4.5 - 1, F.floor(k / CIRCUITS_PER_ROW) * 3.5
     return supplier.select(
         k.alias("id"),
-        district(k).alias("indec_p"),
-        section(k).alias("indec_d"),
+        F.expr(district("s_suppkey")).alias("indec_p"),
+        F.expr(section("s_suppkey")).alias("indec_d"),
         k.cast("string").alias("circuito"),
         F.array(box_ring(x, y, x + 5, y + 4)).alias("rings"),
     )

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # call sites for error messages cost several round trips per column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
