@@ -51,7 +51,7 @@ def forward_path(moments: np.ndarray, features: Sequence[str], max_size: int = M
     left = co / np.outer(unit, unit)
     p = len(features)
     corr = left.copy()
-    total = co[p, p]
+    total = float(co[p, p])
     chosen: list[int] = []
     steps: list[Step] = []
     for size in range(1, min(max_size, p) + 1):
@@ -66,7 +66,7 @@ def forward_path(moments: np.ndarray, features: Sequence[str], max_size: int = M
         # partial out the new variable
         left = left - np.outer(left[:, best], left[best, :]) / left[best, best]
         beta = np.linalg.solve(corr[np.ix_(chosen, chosen)], corr[chosen, p]) * unit[p] / unit[chosen]
-        rss = max(float(left[p, p]), 0.0) * total
+        rss = float(max(left[p, p], 0.0) * total)
         coefficients = {"(Intercept)": float(mean[p] - beta @ mean[chosen])}
         coefficients.update({features[c]: float(b) for c, b in zip(chosen, beta, strict=True)})
         steps.append(Step(size, features[best], rss, 1 - rss / total if total else float("nan"), coefficients))

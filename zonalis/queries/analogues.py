@@ -178,15 +178,23 @@ PRIORITY_HEADERS = {
 }
 STATUS_HEADERS = {"F": "1 Filled", "O": "2 Open", "P": "3 Partly open"}
 PRICE_HEADERS = {"low": "1 Urbano", "high": "2 Rural"}
+SERVICE_HEADERS = {"con": "1 Con", "sin": "2 Sin"}
 YEAR_HEADERS = {str(y): f"{y - 1994 if y < 2001 else 10} {y}" for y in range(1995, 2002)}
-PREFIXES = {"priority": "per_prio_", "status": "ho_stat_", "price": "vi_urban_", "year": "vi_year_"}
+PREFIXES = {
+    "priority": "per_prio_",
+    "status": "ho_stat_",
+    "service": "ho_serv_",
+    "price": "vi_urban_",
+    "year": "vi_year_",
+}
 
 
 def census_files(orders: DataFrame) -> dict[str, DataFrame]:
-    """Four files of one variable each, as they are before the header rule."""
+    """Files of one variable each, as they are before the header rule."""
     return {
         "priority": _category_file(orders, "o_orderpriority", PRIORITY_HEADERS),
         "status": _category_file(orders, "o_orderstatus", STATUS_HEADERS),
+        "service": _category_file(orders, "if(o_orderkey % 10 <> 0, 'con', 'sin')", SERVICE_HEADERS),
         "price": _category_file(orders, "if(o_totalprice < 250000, 'low', 'high')", PRICE_HEADERS),
         "year": _category_file(orders, "CAST(year(o_orderdate) AS STRING)", YEAR_HEADERS),
     }
@@ -201,6 +209,8 @@ CENSUS_COLUMNS = {
     "ho_stat_Filled": "o_orderstatus = 'F'",
     "ho_stat_Open": "o_orderstatus = 'O'",
     "ho_stat_Partly_open": "o_orderstatus = 'P'",
+    "ho_serv_Con": "o_orderkey % 10 <> 0",
+    "ho_serv_Sin": "o_orderkey % 10 = 0",
     "vi_urban_Urbano": "o_totalprice < 250000",
     "vi_urban_Rural": "o_totalprice >= 250000",
     **{f"vi_year_{y}": f"year(o_orderdate) = {y}" for y in range(1995, 2001)},

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("sources", "projections", "filters", "joins", "aggregates", "scalars", "spatial")
+MODULES = ("sources", "projections", "filters", "joins", "aggregates", "scalars", "spatial", "statistics", "reports")
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}

@@ -277,20 +277,22 @@ def areal_interpolate(t: Tables) -> DataFrame:
     return interpolate(lookup, census, names)
 
 
-# Names of this dictionary are those of the analogue census files.
+# The names on the right are those the reports use; the columns on the left only stand in for them.
 DICTIONARY = [
     ("id_circuito_elec", 1, "id_circuito_elec"),
-    ("per_prio_URGENT", 1, "per_urgent"),
-    ("per_prio_HIGH", 1, "per_high"),
-    ("per_prio_MEDIUM", 0, ""),
-    ("per_prio_NOT_SPECIFIED", 1, "per_unspecified"),
-    ("per_prio_LOW", 1, "per_low"),
-    ("ho_stat_Filled", 1, "ho_filled"),
-    ("ho_stat_Open", 1, "ho_open"),
+    ("per_prio_URGENT", 1, "per_nietos_hogar"),
+    ("per_prio_HIGH", 1, "per_edad_20_24"),
+    ("per_prio_MEDIUM", 1, "per_edad_65mas"),
+    ("per_prio_NOT_SPECIFIED", 1, "per_estud_universitario"),
+    ("per_prio_LOW", 1, "per_servicio_domestico_interno"),
+    ("ho_stat_Filled", 1, "ho_3omas_por_cuarto"),
+    ("ho_stat_Open", 1, "ho_necesidad_basica_insatisfecha"),
     ("ho_stat_Partly_open", 0, ""),
-    ("vi_urban_Urbano", 1, "vi_urban"),
+    ("ho_serv_Con", 1, "ho_compu"),
+    ("ho_serv_Sin", 1, "ho_fijo"),
+    ("vi_urban_Urbano", 1, "per_desocupado"),
     ("vi_urban_Rural", 0, ""),
-    *[(f"vi_year_{y}", 1, f"vi_built_{y}") for y in range(1995, 2001)],
+    *[(f"vi_year_{y}", 1, f"vi_year_{y}") for y in range(1995, 2001)],
     ("vi_year__2001", 0, ""),
     *[
         (f"{e}_{c}", 1, f"{e}_{c}")
