@@ -65,25 +65,21 @@ def shoelace(rings: Column) -> Column:
     )
 
 
-def contains_point(rings: Column, x: Column, y: Column) -> Column:
-    """Whether the point lies inside the polygon or on its boundary."""
-    sides = edges(rings)
-
-    def crosses(e: Column) -> Column:
-        straddles = (e["y1"] > y) != (e["y2"] > y)
-        at = e["x1"] + F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"])
-        return straddles & (x < at)
-
-    def touches(e: Column) -> Column:
-        turn = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-        return (
-            (turn == 0)
-            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
-
-    inside = F.aggregate(sides, F.lit(False), lambda acc, e: acc != F.coalesce(crosses(e), F.lit(False)))
-    return inside | F.exists(sides, touches)
+def on_or_inside(sides: str, x: str, y: str) -> Column:
+    """Whether a point lies inside the polygon with these edges, or on its boundary.
+
+    Arguments are column names; ``sides`` as made by :func:`edges`.
+    """
+    crosses = (
+        f"(e.y1 > {y}) <> (e.y2 > {y}) AND "
+        f"{x} < e.x1 + coalesce(try_divide((e.x2 - e.x1) * ({y} - e.y1), e.y2 - e.y1), 0D)"
+    )
+    touches = (
+        f"(e.x2 - e.x1) * ({y} - e.y1) = (e.y2 - e.y1) * ({x} - e.x1) "
+        f"AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
+        f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"
+    )
+    return F.expr(f"aggregate({sides}, false, (odd, e) -> odd <> ({crosses})) OR exists({sides}, e -> {touches})")
 
 
 def box_overlap_area(a: Column, b: Column) -> Column:

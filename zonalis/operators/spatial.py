@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from zonalis.operators.geometry import bounds, box_overlap_area, contains_point, edges
+from zonalis.operators.geometry import bounds, box_overlap_area, edges, on_or_inside
 from zonalis.operators.joins import HOT_ROWS, hot_keys, salted_join
 
 CELL = ["level", "cx", "cy"]
@@ -23,17 +23,22 @@ CELL = ["level", "cx", "cy"]
 LEVEL_RANGE = (-40, 40)
 EDGES_PER_PIECE = 512
 EDGE_PAIRS_PER_STEP = 1_000_000
+# A polygon in this many pairs or more is spread over several tasks: each pair carries its edges.
+HOT_PAIRS = 50_000
 # An area below this share of the common box is rounding noise of polygons that only touch.
 NOISE = 1e-10
 
 
+Stats = tuple[list[int], int]
+
+
 def size_level(box: str = "box") -> Column:
     lowest, highest = LEVEL_RANGE
     side = f"greatest({box}.xmax - {box}.xmin, {box}.ymax - {box}.ymin, {2.0**lowest}D)"
     return F.expr(f"least(CAST(ceil(log2({side})) AS INT), {highest})")
 
 
-def levels_of(boxes: DataFrame) -> tuple[list[int], int]:
+def levels_of(boxes: DataFrame) -> Stats:
     """Distinct levels of a table of boxes, at most one per step of LEVEL_RANGE, and its number of rows."""
     rows = boxes.groupBy(size_level().alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
     return sorted(r.level for r in rows), sum(r.rows for r in rows)
@@ -56,7 +61,9 @@ def _int_array(values: Sequence[int]) -> str:
     return f"CAST(array({', '.join(map(str, values))}) AS ARRAY<INT>)"
 
 
-def box_pairs(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def box_pairs(
+    left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS, stats: tuple[Stats, Stats] | None = None
+) -> DataFrame:
     """Pairs ``(a, b, abox, bbox)`` of ids whose boxes share an area.
 
     Inputs have columns ``id`` and ``box``; ids must be unique per table. Each side lists its boxes
@@ -65,7 +72,7 @@ def box_pairs(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> Da
     is emitted only in the cell that holds the lower left corner of the shared box, so none appears
     twice.
     """
-    (a_levels, a_rows), (b_levels, b_rows) = levels_of(left), levels_of(right)
+    (a_levels, a_rows), (b_levels, b_rows) = stats or (levels_of(left), levels_of(right))
 
     def listed(boxes: DataFrame, side: str, other: str, levels: Sequence[int], above: str) -> DataFrame:
         own = boxes.select("id", "box", size_level().alias("own"))
@@ -190,7 +197,18 @@ def _piece_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def overlay(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _with_edges(pairs: DataFrame, pieces: DataFrame, side: str, partner: str, hot_pairs: int, partners: int) -> DataFrame:
+    """Edges of one side on each pair. A polygon has no more pairs than the other side has polygons, so
+    it can only be hot if that table is large."""
+    if partners < hot_pairs:
+        return pairs.join(pieces, side)
+    counts = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("rows"))
+    return salted_join(pairs, pieces, [side], hot_keys(counts, [side], "rows", hot_pairs), [partner])
+
+
+def overlay(
+    left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS
+) -> DataFrame:
     """Area shared by every pair of polygons that overlap: ``(a, b, area)``.
 
     Inputs have columns ``id`` (unique) and ``rings``. Only ids and boxes go through the grid join;
@@ -198,13 +216,12 @@ def overlay(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> Data
     many vertices becomes several rows and not one long task.
     """
     room = box_overlap_area(F.col("abox"), F.col("bbox")).alias("room")
-    pairs = box_pairs(polygon_boxes(left), polygon_boxes(right), hot_rows).select("a", "b", room)
-    pieces = (
-        pairs.join(_edge_pieces(left, "a"), "a")
-        .join(_edge_pieces(right, "b"), "b")
-        .filter((F.col("alo") < F.col("bhi")) & (F.col("blo") < F.col("ahi")))
-        .select("a", "b", "room", "a_edges", "b_edges")
-    )
+    left_boxes, right_boxes = polygon_boxes(left), polygon_boxes(right)
+    stats = levels_of(left_boxes), levels_of(right_boxes)
+    pairs = box_pairs(left_boxes, right_boxes, hot_rows, stats).select("a", "b", room)
+    with_a = _with_edges(pairs, _edge_pieces(left, "a"), "a", "b", hot_pairs, stats[1][1])
+    with_both = _with_edges(with_a, _edge_pieces(right, "b"), "b", "a", hot_pairs, stats[0][1])
+    pieces = with_both.filter("alo < bhi AND blo < ahi").select("a", "b", "room", "a_edges", "b_edges")
     id_types = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
     areas = pieces.mapInArrow(_piece_areas, f"a {id_types['a']}, b {id_types['b']}, room double, area double")
     return (
@@ -230,7 +247,8 @@ def points_in_polygons(
     Points on a boundary belong to every polygon that touches them. Equal points are tested once:
     the caller passes distinct ``(keep, x, y)`` rows or counts them first.
     """
-    boxes = polygons.select("id", "rings", bounds(F.col("rings")).alias("box"))
+    # edges are listed once per polygon here, not once per point after the join
+    boxes = polygons.select("id", edges(F.col("rings")).alias("sides"), bounds(F.col("rings")).alias("box"))
     levels, _ = levels_of(boxes)
     at = points.selectExpr(*keep, "x", "y", f"explode({_int_array(levels)}) AS level").selectExpr(
         *keep, "x", "y", "level", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy"
@@ -238,9 +256,5 @@ def points_in_polygons(
     cells = _in_cells(boxes.withColumn("level", size_level()))
     hot = hot_keys(at.groupBy(*CELL).agg(F.count(F.lit(1)).alias("rows")), CELL, "rows", hot_rows)
     joined = salted_join(at, cells, CELL, hot, [*keep, "x", "y"])
-    box, x, y = F.col("box"), F.col("x"), F.col("y")
-    return (
-        joined.filter(x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"]))
-        .filter(contains_point(F.col("rings"), x, y))
-        .select(*keep, "x", "y", "id")
-    )
+    near = "x BETWEEN box.xmin AND box.xmax AND y BETWEEN box.ymin AND box.ymax"
+    return joined.filter(near).filter(on_or_inside("sides", "x", "y")).select(*keep, "x", "y", "id")

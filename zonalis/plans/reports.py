@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from zonalis.operators.selectors import starts_with
 from zonalis.operators.statistics import (
@@ -79,11 +79,17 @@ def macri_shift(ranked: DataFrame) -> DataFrame:
     return correlation_shift(ranked, "paso19_cand_JxC", "paso15_cand_Cam")
 
 
-def models(df: DataFrame, outcomes: Sequence[str] = MODEL_OUTCOMES) -> dict[str, ForwardSelection]:
+def model_features(df: DataFrame) -> list[str]:
+    """Census columns, family by family."""
+    return [c for family in MODEL_FAMILIES for c in starts_with(df, family)]
+
+
+def models(
+    df: DataFrame, outcomes: Sequence[str] = MODEL_OUTCOMES, fold: Column | None = None
+) -> dict[str, ForwardSelection]:
     """Forward selection over the census columns for each outcome."""
-    features = starts_with(df, *MODEL_FAMILIES)
-    ordered = [c for p in MODEL_FAMILIES for c in features if c.lower().startswith(p)]
-    return {y: forward_selection(df, y, ordered, hash_fold(["id_circuito_elec"])) for y in outcomes}
+    folds = hash_fold(["id_circuito_elec"]) if fold is None else fold
+    return {y: forward_selection(df, y, model_features(df), folds) for y in outcomes}
 
 
 def peron_series(df: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from zonalis.operators.statistics import regression_lines, within
 from zonalis.plans import reports
 from zonalis.queries.registry import Tables, query
 from zonalis.queries.spatial import DICTIONARY, FINAL_SQL, build_final
-from zonalis.queries.statistics import lines_sql, rounded_lines
+from zonalis.operators.stepwise import MAX_SIZE
+from zonalis.queries.statistics import cv_sql, lines_sql, model_sql, rounded_lines
 from zonalis.session import stage_path
 from zonalis.sources.stage import read_stage, write_stage
 
@@ -61,15 +62,50 @@ def correlation_shift_report(t: Tables) -> DataFrame:
     return shift.select("var_cor", *[F.round(c, 6).alias(c) for c in shift.columns[1:]])
 
 
-@query()
+_FEATURES = [c for family in reports.MODEL_FAMILIES for c in _NUMBERS if c.startswith(family)]
+_FOLD = "CAST(substr(id_circuito_elec, 6, 6) AS INT) % 10"
+
+
+def _model_rows_sql(outcome: str) -> str:
+    columns = ", ".join(f'"{c}"' for c in _FEATURES)
+    complete = " and ".join(f'"{c}" is not null' for c in [*_FEATURES, outcome])
+    return f"{_CHANGED_SQL} select {columns}, {outcome} as y, {_FOLD} as fold from f where {complete}"
+
+
+def _all_models_sql(result: str, folds: list[int], max_size: int) -> str:
+    parts = [
+        f"select '{y}' as outcome, * from ({model_sql(result, folds, _model_rows_sql(y), _FEATURES, max_size)})"
+        for y in reports.MODEL_OUTCOMES
+    ]
+    return " union all ".join(parts)
+
+
+@query(
+    _all_models_sql(
+        "select size, term, round(estimate, 4) as estimate from coef where size = 4 union all select size, added, round(r2, 6) from path",
+        [-1],
+        MAX_SIZE,
+    )
+)
 def stepwise_models(t: Tables) -> DataFrame:
-    """Four outcomes: the ten-step path with its cross-validated errors and the four-variable model."""
+    """Four outcomes: squared correlation along the ten-step path, and the four-variable model."""
+    parts = []
+    for outcome, model in reports.models(_final(t), fold=F.expr(_FOLD)).items():
+        path = model.steps().select("size", F.col("added").alias("term"), F.round("r2", 6).alias("estimate"))
+        four = model.coefficients().withColumn("estimate", F.round("estimate", 4))
+        parts.append(four.unionByName(path).select(F.lit(outcome).alias("outcome"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(_all_models_sql(cv_sql(_FEATURES), list(range(10)), 4))
+def stepwise_cv(t: Tables) -> DataFrame:
+    """Four outcomes: cross-validated errors of the models up to four variables."""
     parts = []
-    for outcome, model in reports.models(_final(t)).items():
-        steps = model.steps().join(model.cv_results().withColumnRenamed("nvmax", "size"), "size", "left")
-        named = F.lit(outcome).alias("outcome")
-        four = model.coefficients().selectExpr("size", "term AS added", "estimate")
-        parts.append(steps.select(named, "*").unionByName(four.select(named, "*"), allowMissingColumns=True))
+    for outcome, model in reports.models(_final(t), fold=F.expr(_FOLD)).items():
+        results = model.cv_results().filter("nvmax <= 4")
+        parts.append(
+            results.select(F.lit(outcome).alias("outcome"), "nvmax", *[F.round(c, 6).alias(c) for c in results.columns[1:]])
+        )
     return reduce(DataFrame.unionByName, parts)
 
 

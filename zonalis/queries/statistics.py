@@ -198,14 +198,13 @@ _FOLD = "CAST((l_orderkey * 31 + l_partkey) % 10 AS INT)"
 _SIZE = 4
 
 
-def _model_sql(result: str, folds: Sequence[int]) -> str:
+def model_sql(result: str, folds: Sequence[int], source: str, features: Sequence[str], max_size: int) -> str:
     """Forward selection in SQL for each training set: all rows but those of the fold (-1: all rows).
 
     Correlations are swept one chosen variable at a time: afterwards its row holds the coefficient and
-    the outcome's diagonal the share of variance left.
+    the outcome's diagonal the share of variance left. ``source`` yields the features, ``y`` and ``fold``.
     """
-    names = [*_FEATURES, "y"]
-    columns = ", ".join(f"{sql} as {n}" for n, sql in {**_FEATURES, "y": _OUTCOME}.items())
+    names = [*features, "y"]
     pairs = [(i, j) for i in range(len(names)) for j in range(len(names)) if i <= j]
     corr = ", ".join(f"corr({names[i]}, {names[j]}) as c{i}_{j}" for i, j in pairs if i < j)
     stats = ", ".join(f"avg({n}) as mean_{k}, stddev_pop({n}) as sd_{k}" for k, n in enumerate(names))
@@ -219,7 +218,7 @@ def _model_sql(result: str, folds: Sequence[int]) -> str:
     mean = "case i " + " ".join(f"when {k} then mean_{k}" for k in range(len(names))) + " end"
     sd = "case i " + " ".join(f"when {k} then sd_{k}" for k in range(len(names))) + " end"
     steps = []
-    for s in range(1, _SIZE + 1):
+    for s in range(1, max_size + 1):
         chosen = " and ".join([f"(d.f, d.i) not in (select f, k from k{q})" for q in range(1, s)] or ["true"])
         steps.append(
             f"""k{s} as materialized (
@@ -238,15 +237,15 @@ def _model_sql(result: str, folds: Sequence[int]) -> str:
     betas = " union all ".join(
         f"""select {s} as size, r.f, r.i, r.v * sd_{y} / ({sd}) as b, r.v * sd_{y} / ({sd}) * ({mean}) as shift
             from r{s} r join m on m.f = r.f where r.j = {y} and (r.f, r.i) in ({' union all '.join(f'select f, k from k{q}' for q in range(1, s + 1))})"""
-        for s in range(1, _SIZE + 1)
+        for s in range(1, max_size + 1)
     )
     path = " union all ".join(
         f"""select {s} as size, k as i, r.v * sd_{y} * sd_{y} as mse, 1 - r.v as r2 from r{s} r join k{s} on k{s}.f = r.f
             join m on m.f = r.f where r.f = -1 and r.i = {y} and r.j = {y}"""
-        for s in range(1, _SIZE + 1)
+        for s in range(1, max_size + 1)
     )
     return f"""
-    with rows as materialized (select {columns}, {_FOLD} as fold from lineitem),
+    with rows as materialized ({source}),
          m as materialized (select f, {corr}, {stats} from rows join (select unnest([{', '.join(map(str, folds))}]) as f) on fold <> f group by f),
          r0 as materialized ({cells}),
          {', '.join(steps)},
@@ -257,14 +256,19 @@ def _model_sql(result: str, folds: Sequence[int]) -> str:
     {result}"""
 
 
+_ROWS_SQL = (
+    "select " + ", ".join(f"{sql} as {n}" for n, sql in {**_FEATURES, "y": _OUTCOME, "fold": _FOLD}.items()) + " from lineitem"
+)
+
+
 def _selection(t: Tables) -> ForwardSelection:
     df = t.lineitem.selectExpr(*[f"{sql} AS {n}" for n, sql in _FEATURES.items()], f"{_OUTCOME} AS y", f"{_FOLD} AS fold")
     return forward_selection(df, "y", list(_FEATURES), F.col("fold"), _SIZE)
 
 
 @query(
-    _model_sql(
-        "select size, added, round(mse, 5) as mse, round(r2, 6) as r2 from path", [-1]
+    model_sql(
+        "select size, added, round(mse, 5) as mse, round(r2, 6) as r2 from path", [-1], _ROWS_SQL, list(_FEATURES), _SIZE
     )
 )
 def ml_forward_select(t: Tables) -> DataFrame:
@@ -275,17 +279,21 @@ def ml_forward_select(t: Tables) -> DataFrame:
     )
 
 
-@query(_model_sql("select size, term, round(estimate, 5) as estimate from coef where size = 4", [-1]))
+@query(
+    model_sql(
+        "select size, term, round(estimate, 5) as estimate from coef where size = 4", [-1], _ROWS_SQL, list(_FEATURES), _SIZE
+    )
+)
 def ml_coefficients(t: Tables) -> DataFrame:
     fitted = _selection(t).coefficients(4)
     return fitted.withColumn("estimate", F.round("estimate", 5))
 
 
-_CV_RESULT = """
-    , wide as (select size, f, """ + ", ".join(
-    f"coalesce(max(estimate) filter (term = '{n}'), 0) as b_{n}" for n in _FEATURES
-) + """, max(estimate) filter (term = '(Intercept)') as b0 from coef group by 1, 2),
-      scored as (select size, f, y, b0 + """ + " + ".join(f"b_{n} * {n}" for n in _FEATURES) + """ as p from rows join wide on f = fold),
+def cv_sql(features: Sequence[str]) -> str:
+    weights = ", ".join(f"coalesce(max(estimate) filter (term = '{n}'), 0) as b_{n}" for n in features)
+    return f"""
+    , wide as (select size, f, {weights}, max(estimate) filter (term = '(Intercept)') as b0 from coef group by 1, 2),
+      scored as (select size, f, y, b0 + {' + '.join(f'b_{n} * {n}' for n in features)} as p from rows join wide on f = fold),
       per_fold as (select size, f, sqrt(avg((y - p) * (y - p))) as rmse, pow(corr(y, p), 2) as rsquared, avg(abs(y - p)) as mae
                    from scored group by 1, 2)
     select size as nvmax, round(avg(rmse), 6) as rmse, round(avg(rsquared), 6) as rsquared, round(avg(mae), 6) as mae,
@@ -294,7 +302,7 @@ _CV_RESULT = """
     from per_fold group by 1"""
 
 
-@query(_model_sql(_CV_RESULT, range(10)))
+@query(model_sql(cv_sql(list(_FEATURES)), range(10), _ROWS_SQL, list(_FEATURES), _SIZE))
 def ml_cv_results(t: Tables) -> DataFrame:
     """Error per size over ten folds."""
     results = _selection(t).cv_results()
