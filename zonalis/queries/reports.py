@@ -97,12 +97,12 @@ def stepwise_models(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@query(_all_models_sql(cv_sql(_FEATURES), list(range(10)), 4))
+@query(_all_models_sql(cv_sql(_FEATURES), list(range(10)), MAX_SIZE))
 def stepwise_cv(t: Tables) -> DataFrame:
-    """Four outcomes: cross-validated errors of the models up to four variables."""
+    """Four outcomes: cross-validated errors of the models of one to ten variables."""
     parts = []
     for outcome, model in reports.models(_final(t), fold=F.expr(_FOLD)).items():
-        results = model.cv_results().filter("nvmax <= 4")
+        results = model.cv_results()
         parts.append(
             results.select(F.lit(outcome).alias("outcome"), "nvmax", *[F.round(c, 6).alias(c) for c in results.columns[1:]])
         )
