@@ -151,7 +151,7 @@ def regression_lines(df: DataFrame, facet: str, x: str, y: str) -> DataFrame:
         F.min(x).alias("min_x"),
         F.max(x).alias("max_x"),
     )
-    return moments.withColumn("sigma", F.sqrt(F.try_divide(F.greatest("rss", F.lit(0.0)), F.col("n") - 2))).drop("rss")
+    return moments.withColumn("sigma", F.expr("if(n > 2, sqrt(greatest(rss, 0D) / (n - 2)), NULL)")).drop("rss")
 
 
 def t_quantile(df: Column, z: float = Z_975) -> Column:

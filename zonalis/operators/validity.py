@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from zonalis.operators.geometry import shoelace
 
@@ -60,7 +60,7 @@ def crosses_itself(xs: np.ndarray, ys: np.ndarray) -> bool:
     return False
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _any_crossing(xs: pd.Series, ys: pd.Series) -> pd.Series:
     return pd.Series([crosses_itself(x, y) for x, y in zip(xs, ys, strict=True)])
 

@@ -53,9 +53,8 @@ def with_file_order(df: DataFrame) -> DataFrame:
 
 
 def census_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one census file, read from its first line."""
-    line = spark.read.option("encoding", LATIN1).text(path).first()[0]
-    return [name.strip('"') for name in line.split(",")]
+    """Column names of one census file; only its first line is read."""
+    return spark.read.option("header", True).option("encoding", LATIN1).csv(path).columns
 
 
 def read_category_file(spark: SparkSession, path: str, prefix: str) -> DataFrame:
