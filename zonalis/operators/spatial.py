@@ -240,12 +240,13 @@ def box_overlay(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) ->
 
 
 def points_in_polygons(
-    points: DataFrame, polygons: DataFrame, keep: Sequence[str], hot_rows: int = HOT_ROWS
+    points: DataFrame, polygons: DataFrame, keep: Sequence[str], hot_rows: int | None = None
 ) -> DataFrame:
     """Pairs of a point (columns ``keep``, ``x``, ``y``) and the id of a polygon that holds it.
 
-    Points on a boundary belong to every polygon that touches them. Equal points are tested once:
-    the caller passes distinct ``(keep, x, y)`` rows or counts them first.
+    Points on a boundary belong to every polygon that touches them. Equal points are tested once each:
+    reduce them to distinct rows first. A cell with very many points is split by adaptive skew-join
+    handling; with ``hot_rows`` it is also salted, at the price of a second pass over the points.
     """
     # edges are listed once per polygon here, not once per point after the join
     boxes = polygons.select("id", edges(F.col("rings")).alias("sides"), bounds(F.col("rings")).alias("box"))
@@ -254,7 +255,10 @@ def points_in_polygons(
         *keep, "x", "y", "level", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy"
     )
     cells = _in_cells(boxes.withColumn("level", size_level()))
-    hot = hot_keys(at.groupBy(*CELL).agg(F.count(F.lit(1)).alias("rows")), CELL, "rows", hot_rows)
-    joined = salted_join(at, cells, CELL, hot, [*keep, "x", "y"])
+    if hot_rows is None:
+        joined = at.join(cells, CELL)
+    else:
+        hot = hot_keys(at.groupBy(*CELL).agg(F.count(F.lit(1)).alias("rows")), CELL, "rows", hot_rows)
+        joined = salted_join(at, cells, CELL, hot, [*keep, "x", "y"])
     near = "x BETWEEN box.xmin AND box.xmax AND y BETWEEN box.ymin AND box.ymax"
     return joined.filter(near).filter(on_or_inside("sides", "x", "y")).select(*keep, "x", "y", "id")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from zonalis.functions import circuit_zeroes, paste, round_even, section_code, slice_text
 from zonalis.operators.geometry import shoelace
 from zonalis.operators.joins import attach_group_values
+from zonalis.operators.reshape import stack
 from zonalis.operators.spatial import overlay, points_in_polygons
 
 # The threshold and codes of the lookup step.
@@ -77,14 +78,17 @@ def section_matches(places: DataFrame, circuits: DataFrame) -> DataFrame:
 
 
 def best_matches(matches: Sequence[DataFrame] | DataFrame) -> DataFrame:
-    """Census section with the highest count per electoral section, ties kept."""
-    if not isinstance(matches, DataFrame):
-        from zonalis.operators.reshape import stack
+    """Census section with the highest count per electoral section, ties kept.
 
+    Spark drops rows that cannot be first before the shuffle, so only ties of a section meet in a task.
+    """
+    if not isinstance(matches, DataFrame):
         matches = stack(matches)
-    top = attach_group_values(matches, ["id_seccion_elec"], {"__top": F.max("count")})
+    by_count = Window.partitionBy("id_seccion_elec").orderBy(F.desc("count"))
     return (
-        top.filter((F.col("count") == F.col("__top")) & (F.col("id_seccion_elec") != FOREIGN_SECTION))
+        matches.filter(F.col("id_seccion_elec") != FOREIGN_SECTION)
+        .withColumn("__rank", F.rank().over(by_count))
+        .filter("__rank = 1")
         .select("id_seccion_elec", "id_seccion_indec")
     )
 

@@ -125,52 +125,43 @@ def circuits_2019(
 ) -> DataFrame:
     """Votes per circuit and party label with the circuit's blank and valid votes.
 
-    Ballots shrink to one row per box and circuit, with the sums of each label in columns, before the
-    joins on the box. A repeated blank or region row would repeat the ballots it joins; it enters as a
-    factor, so no join multiplies rows. ``totals`` and ``parties`` need the column ``ordinal`` (file
-    order). Missing codes are held as empty text, so that they match each other.
+    Ballots shrink to one row per box and circuit, with the sums of each label in columns, before they
+    are joined on the box. A repeated blank or region row would repeat the ballots it joins; it enters
+    as a factor, so no join multiplies rows. ``totals`` and ``parties`` need the column ``ordinal``
+    (file order). Missing codes are held as empty text, so that they match each other.
     """
-    place = ["codigo_mesa", "codigo_circuito", "codigo_distrito", "codigo_seccion"]
+    codes = ["codigo_mesa", "codigo_circuito", "codigo_distrito", "codigo_seccion", "codigo_agrupacion"]
     shown = [*labels.values(), OTHERS, None]
     names = party_names(parties, category).select(
         F.expr("coalesce(codigo_agrupacion, '') AS codigo_agrupacion"),
         recode(F.col("nombre_agrupacion"), labels, OTHERS).alias("partido"),
     )
-    named = (
-        votes.filter(F.col("codigo_categoria") == category)
-        .selectExpr(*[f"coalesce({c}, '') AS {c}" for c in [*place, "codigo_agrupacion"]], "votos_agrupacion")
-        .join(names, "codigo_agrupacion", "left")
+    cast = votes.filter(F.col("codigo_categoria") == category).selectExpr(
+        *[f"coalesce({c}, '') AS {c}" for c in codes], "votos_agrupacion"
     )
-    has_label = [
-        f"if(partido IS NULL, {1 if label is None else 0}, {'0' if label is None else f'if(partido = {_sql_text(label)}, 1, 0)'})"
+    named = cast.join(names, "codigo_agrupacion", "left")
+    for role in ("codigo_distrito", "codigo_seccion"):
+        named = named.join(_times(regions, "codigo_region", role), role, "left")
+    # how often a ballot counts for a label: never outside the districts shown
+    in_scope = f"codigo_distrito IN ({', '.join(map(_sql_text, districts))})"
+    repeats = "coalesce(n_codigo_distrito, 1) * coalesce(n_codigo_seccion, 1)"
+    counts = [
+        f"if({in_scope} AND {'partido IS NULL' if label is None else f'partido <=> {_sql_text(label)}'}, {repeats}, 0)"
         for label in shown
     ]
-    in_circuit = named.groupBy(*place).agg(*_label_sums(shown, "votos_agrupacion", has_label))
-    sums = [f"votes_{i}" for i in range(len(shown))]
-    cast_here = f"if(missing = 0, {' + '.join(sums)}, NULL)"
-    in_box = in_circuit.groupBy("codigo_mesa").agg(strict_sum(F.expr(cast_here)).alias("en_mesa"))
+    in_circuit = named.groupBy("codigo_mesa", "codigo_circuito").agg(*_label_sums(shown, "votos_agrupacion", counts))
+    in_box = cast.groupBy("codigo_mesa").agg(strict_sum(F.col("votos_agrupacion")).alias("en_mesa"))
     blanks = (
         blank_votes(totals, blank, category)
         .groupBy(F.expr("coalesce(codigo_mesa, '') AS codigo_mesa"))
         .agg(F.expr("min_by(valor, ordinal) AS blanco"), F.expr("count(1) AS n_mesa"))
     )
-    rows = in_circuit.join(in_box, "codigo_mesa").join(blanks, "codigo_mesa", "left")
-    for role in ("codigo_distrito", "codigo_seccion"):
-        rows = rows.join(_times(regions, "codigo_region", role), role, "left")
-    in_scope = f"codigo_distrito IN ({', '.join(map(_sql_text, districts))})"
-    repeats = "coalesce(n_mesa, 1) * coalesce(n_codigo_distrito, 1) * coalesce(n_codigo_seccion, 1)"
-    # A box has one row per circuit unless it is listed under several districts or sections.
-    per_box = rows.groupBy("codigo_circuito", "codigo_mesa").agg(
-        F.expr("first(blanco) AS blanco"),
-        F.expr("first(en_mesa) AS en_mesa"),
-        *[F.expr(f"bit_or(if({in_scope}, {mask}, 0)) AS {mask}") for mask in ("present", "missing")],
-        *[F.expr(f"sum(if({in_scope}, {c} * {repeats}, 0)) AS {c}") for c in sums],
-    )
-    zones = per_box.groupBy("codigo_circuito").agg(
+    boxes = in_box.join(blanks, "codigo_mesa", "left")
+    zones = in_circuit.join(boxes, "codigo_mesa").groupBy("codigo_circuito").agg(
         strict_sum(F.col("blanco")).alias("votos_blanco"),
         strict_sum(F.expr("en_mesa + blanco")).alias("votos_validos"),
         *[F.expr(f"bit_or({mask}) AS {mask}") for mask in ("present", "missing")],
-        *[F.expr(f"sum({c}) AS {c}") for c in sums],
+        *[F.expr(f"sum(votes_{i} * coalesce(n_mesa, 1)) AS votes_{i}") for i in range(len(shown))],
     )
     return _labels_to_rows(zones, shown).selectExpr(
         "2019 AS year", "nullif(codigo_circuito, '') AS id_circuito_elec", *LONG_COLUMNS[2:]

@@ -35,6 +35,8 @@ from zonalis.queries.analogues import (
     tracts,
 )
 from zonalis.queries.registry import Tables, query
+from zonalis.session import stage_path
+from zonalis.sources.stage import read_stage, write_stage
 from zonalis.sources.text import category_columns, total_column
 
 # -- boxes of different sizes against a regular raster ---------------------------------------------
@@ -237,14 +239,14 @@ def geo_tract_shares(t: Tables) -> DataFrame:
     return _tract_shares(t)
 
 
-def _lookup(t: Tables) -> DataFrame:
+def _lookup(t: Tables, paso19: DataFrame) -> DataFrame:
     sections = best_matches(section_matches(polling_places(t.lineitem), circuits(t.supplier)))
-    return full_lookup(_tract_shares(t), sections, wide(paso19_long(t), "paso19", SHORT_2019), "paso19_blanco")
+    return full_lookup(_tract_shares(t), sections, paso19, "paso19_blanco")
 
 
 @query(_LOOKUP_SQL)
 def geo_full_lookup(t: Tables) -> DataFrame:
-    return _lookup(t)
+    return _lookup(t, wide(paso19_long(t), "paso19", SHORT_2019))
 
 
 def _census(t: Tables) -> tuple[DataFrame, list[str]]:
@@ -326,8 +328,11 @@ FINAL_SQL = _final_sql()
 
 
 def elections(t: Tables) -> dict[str, DataFrame]:
+    """The four wide tables. The first also decides which circuits are kept, so it is staged."""
+    path = stage_path(t.spark, "paso19")
+    write_stage(wide(paso19_long(t), "paso19", SHORT_2019), path)
     return {
-        "paso19": wide(paso19_long(t), "paso19", SHORT_2019),
+        "paso19": read_stage(t.spark, path),
         "pres19": wide(pres19_long(t), "pres19", SHORT_2019),
         "paso15": wide(paso15_long(t), "paso15", SHORT_2015),
         "pres15": wide(pres15_long(t), "pres15", SHORT_2015),
@@ -336,7 +341,8 @@ def elections(t: Tables) -> dict[str, DataFrame]:
 
 def build_final(t: Tables) -> DataFrame:
     census, names = _census(t)
-    return final_table(_lookup(t), census, names, elections(t), DICTIONARY)
+    results = elections(t)
+    return final_table(_lookup(t, results["paso19"]), census, names, results, DICTIONARY)
 
 
 @query(FINAL_SQL)
