@@ -7,11 +7,18 @@ import numpy as np
 import pytest
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonalis.operators import spatial
+from zonalis.operators import spatial, validity
 from zonalis.operators.geometry import RINGS_TYPE, shoelace
-from zonalis.operators.projection import AIRY1830, CENSUS_ZONE, WGS84, TransverseMercator, equal_area
+from zonalis.operators.projection import AIRY1830, CENSUS_ZONE, WGS84, TransverseMercator, equal_area, map_vertices, move
 from zonalis.operators.validity import check, repair, split_valid
-from zonalis.plans.geography import best_matches, circuit_ids, overlay_shares, section_matches
+from zonalis.plans.geography import (
+    best_matches,
+    circuit_ids,
+    overlay_shares,
+    prepare_circuits,
+    prepare_tracts,
+    section_matches,
+)
 
 Ring = list[tuple[float, float]]
 
@@ -225,25 +232,50 @@ def test_repair_and_check(spark: SparkSession) -> None:
 def test_published_transverse_mercator_point(spark: SparkSession) -> None:
     """Worked example of the British National Grid in the EPSG guidance notes."""
     grid = TransverseMercator(-2.0, 49.0, 0.9996012717, 400000.0, -100000.0, AIRY1830)
-    east, north = grid.forward(F.lit(0.5), F.lit(50.5))
+    east, north = move(F.lit(0.5), F.lit(50.5), grid.forward)
     row = spark.range(1).select(east.alias("e"), north.alias("n")).first()
     assert (row.e, row.n) == pytest.approx((577274.99, 69740.50), abs=0.02)
-    lon, lat = grid.inverse(F.lit(577274.99), F.lit(69740.50))
+    lon, lat = move(F.lit(577274.99), F.lit(69740.50), grid.inverse)
     back = spark.range(1).select(lon.alias("x"), lat.alias("y")).first()
     assert (back.x, back.y) == pytest.approx((0.5, 50.5), abs=1e-6)
 
 
 def test_census_zone_round_trip(spark: SparkSession) -> None:
     df = spark.createDataFrame([(-66.0, -34.0), (-58.4, -34.6), (-63.1, -39.9)], "lon double, lat double")
-    east, north = CENSUS_ZONE.forward(F.col("lon"), F.col("lat"))
+    east, north = move(F.col("lon"), F.col("lat"), CENSUS_ZONE.forward)
     there = df.select("lon", "lat", east.alias("e"), north.alias("n"))
-    lon, lat = CENSUS_ZONE.inverse(F.col("e"), F.col("n"))
+    lon, lat = move(F.col("e"), F.col("n"), CENSUS_ZONE.inverse)
     for r in there.select("lon", "lat", "e", lon.alias("x"), lat.alias("y")).collect():
         assert (r.x, r.y) == pytest.approx((r.lon, r.lat), abs=1e-8)
     assert there.first().e == pytest.approx(3_500_000.0)
 
 
 def test_whole_ellipsoid_area(spark: SparkSession) -> None:
-    x, y = equal_area(F.lit(180.0), F.lit(90.0), WGS84)
+    x, y = move(F.lit(180.0), F.lit(90.0), equal_area(WGS84))
     row = spark.range(1).select(x.alias("x"), y.alias("y")).first()
     assert 4 * row.x * row.y == pytest.approx(5.10065621724e14, rel=1e-9)
+
+
+def test_crossings_across_blocks(monkeypatch: pytest.MonkeyPatch) -> None:
+    angle = np.linspace(0, 2 * np.pi, 400)
+    xs, ys = np.cos(angle) * (2 + np.cos(9 * angle)), np.sin(angle) * (2 + np.cos(9 * angle))
+    xs[-1], ys[-1] = xs[0], ys[0]
+    spiky = xs.copy(), ys.copy()
+    spiky[0][200], spiky[1][200] = 4.0, 0.1
+    for block in (7, 256):
+        monkeypatch.setattr(validity, "EDGE_BLOCK", block)
+        assert not validity.crosses_itself(xs, ys)
+        assert validity.crosses_itself(*spiky)
+
+
+def test_copies_count_once_each(spark: SparkSession) -> None:
+    """Equal polygon rows add up, as separate rows would."""
+    square = [[{"x": -66.0 + dx, "y": -34.0 + dy} for dx, dy in box(0, 0, 0.01, 0.01)]]
+    rows = [("layer", "x", "02", "001", "0012", square)] * 3
+    circuits = spark.createDataFrame(rows, f"source_file string, provincia string, indec_p string, indec_d string, circuito string, rings {RINGS_TYPE}")
+    good, bad = prepare_circuits(circuits)
+    assert good.count() == 1 and bad.count() == 0
+    tract = spark.createDataFrame([("t", square)], f"link string, rings {RINGS_TYPE}").withColumn("rings", map_vertices(F.col("rings"), CENSUS_ZONE.forward))
+    tracts, _ = prepare_tracts(tract)
+    shares = overlay_shares(tracts, circuit_ids(good)).collect()
+    assert [(r.id_radio, r.id_circuito, r.por_radio) for r in shares] == [("t", "02001000012", 3.0)]

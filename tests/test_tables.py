@@ -17,11 +17,14 @@ from zonalis.sources import geo, links, text
 
 
 def test_pipe_file_keeps_zeroes_and_order(spark: SparkSession, tmp_path: Path) -> None:
-    (tmp_path / "t.dsv").write_text("CODIGO_CATEGORIA|CODIGO_MESA|CONTADOR|VALOR\n000100000000000|0007|VB|12\n000100000000000|0003|VB|\n")
+    (tmp_path / "t.dsv").write_text("CODIGO_MESA|EXTRA|CODIGO_CATEGORIA|CONTADOR|VALOR\n0007|x|000100000000000|VB|12\n0003|y|000100000000000|VB|\n")
     df = text.with_file_order(text.read_pipe(spark, str(tmp_path / "t.dsv"), schemas.BOX_TOTALS_2019))
     rows = df.orderBy("ordinal").collect()
     assert [(r.codigo_mesa, r.valor) for r in rows] == [("0007", 12), ("0003", None)]
     assert df.columns[:4] == ["codigo_categoria", "codigo_mesa", "contador", "valor"]
+    assert rows[0].codigo_categoria == "000100000000000"
+    with pytest.raises(ValueError, match="nombre_region"):
+        text.read_pipe(spark, str(tmp_path / "t.dsv"), schemas.REGIONS_2019)
 
 
 def test_semicolon_round_trip(spark: SparkSession, tmp_path: Path) -> None:
@@ -29,7 +32,8 @@ def test_semicolon_round_trip(spark: SparkSession, tmp_path: Path) -> None:
     text.write_semicolon(df, str(tmp_path / "out"))
     body = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
     assert "01001;1234,5;3" in body and "02;NA;NA" in body
-    back = text.read_semicolon(spark, str(tmp_path / "out"), ["id", "pct", "n"], ["pct"]).orderBy("id").collect()
+    schema = text.strings("id").add("pct", T.DoubleType())
+    back = text.read_semicolon(spark, str(tmp_path / "out"), schema).orderBy("id").collect()
     assert [(r.id, r.pct) for r in back] == [("01001", 1234.5), ("02", None)]
 
 

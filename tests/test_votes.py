@@ -116,7 +116,6 @@ def test_2015_against_definition(spark: SparkSession, seed: int) -> None:
         pad = {2: "0000", 3: "000"}.get(len(zone[2]), "NA")
         for label, ns in by_label.items():
             want.add((2015, f"{zone[0]}{zone[1]}{pad}{zone[2]}", blank_sum, valid, label, strict(ns)))
-    schema = ", ".join(f"`{c}` string" for c in VOTES_2015)
-    files = [spark.createDataFrame(votes[:150], schema), spark.createDataFrame(votes[150:], schema)]
-    got = circuits_2015(files, spark.createDataFrame(listed, ", ".join(f"{c} string" for c in PARTIES_2015)))
+    files = [spark.createDataFrame(votes[:150], VOTES_2015), spark.createDataFrame(votes[150:], VOTES_2015)]
+    got = circuits_2015(files, spark.createDataFrame([(p, d) for p, _, _, d in listed], PARTIES_2015))
     assert {tuple(r[c] for c in LONG_COLUMNS_2015) for r in got.collect()} == want

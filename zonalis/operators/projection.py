@@ -1,4 +1,4 @@
-"""Map projections as column expressions: transverse Mercator and cylindrical equal-area.
+"""Map projections as steps of column expressions: transverse Mercator and cylindrical equal-area.
 
 Series in the third flattening ``n`` after Krueger, to third order.
 """
@@ -6,11 +6,14 @@ Series in the third flattening ``n`` after Krueger, to third order.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+# A coordinate function: two columns to two columns. A projection is a list of them.
+Step = Callable[[Column, Column], tuple[Column, Column]]
+
 # Published ellipsoid and zone parameters.
 GRS80 = (6378137.0, 298.257222101)
 WGS84 = (6378137.0, 298.257223563)
@@ -69,51 +72,93 @@ class TransverseMercator:
         xi = math.atan(math.sinh(math.atanh(s) - e * math.atanh(e * s)))
         return xi + sum(a * math.sin(2 * j * xi) for j, a in enumerate(self.alpha, 1))
 
-    def forward(self, lon: Column, lat: Column) -> tuple[Column, Column]:
+    @property
+    def forward(self) -> list[Step]:
         """Degrees to easting and northing."""
-        sin_lat, dlon, e = F.sin(F.radians(lat)), F.radians(lon - self.lon0), self.eccentricity
-        t = F.sinh(F.atanh(sin_lat) - F.atanh(sin_lat * e) * e)
-        xi = F.atan2(t, F.cos(dlon))
-        eta = F.atanh(F.sin(dlon) / F.sqrt(t * t + 1))
-        east, north = eta, xi
-        for j, a in enumerate(self.alpha, 1):
-            east = east + F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * a
-            north = north + F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * a
-        return east * self.radius + self.false_easting, (north - self.origin) * self.radius + self.false_northing
-
-    def inverse(self, east: Column, north: Column) -> tuple[Column, Column]:
+        e = self.eccentricity
+
+        def conformal(lon: Column, lat: Column) -> tuple[Column, Column]:
+            s = F.sin(F.radians(lat))
+            return F.radians(lon - self.lon0), F.sinh(F.atanh(s) - F.atanh(s * e) * e)
+
+        def spherical(dlon: Column, t: Column) -> tuple[Column, Column]:
+            return F.atanh(F.sin(dlon) / F.sqrt(t * t + 1)), F.atan2(t, F.cos(dlon))
+
+        def metres(eta: Column, xi: Column) -> tuple[Column, Column]:
+            east, north = eta, xi
+            for j, a in enumerate(self.alpha, 1):
+                east = east + F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * a
+                north = north + F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * a
+            return east * self.radius + self.false_easting, (north - self.origin) * self.radius + self.false_northing
+
+        return [conformal, spherical, metres]
+
+    @property
+    def inverse(self) -> list[Step]:
         """Easting and northing to degrees."""
-        xi = (north - self.false_northing) / self.radius + self.origin
-        eta = (east - self.false_easting) / self.radius
-        xi1, eta1 = xi, eta
-        for j, b in enumerate(self.beta, 1):
-            xi1 = xi1 - F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * b
-            eta1 = eta1 - F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * b
-        chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-        lat = chi
-        for j, d in enumerate(self.delta, 1):
-            lat = lat + F.sin(chi * (2 * j)) * d
-        return F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1))) + self.lon0, F.degrees(lat)
+
+        def scaled(east: Column, north: Column) -> tuple[Column, Column]:
+            return (east - self.false_easting) / self.radius, (north - self.false_northing) / self.radius + self.origin
+
+        def spherical(eta: Column, xi: Column) -> tuple[Column, Column]:
+            eta1, xi1 = eta, xi
+            for j, b in enumerate(self.beta, 1):
+                eta1 = eta1 - F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * b
+                xi1 = xi1 - F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * b
+            return eta1, xi1
+
+        def conformal(eta: Column, xi: Column) -> tuple[Column, Column]:
+            return F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + self.lon0, F.asin(F.sin(xi) / F.cosh(eta))
+
+        def degrees(lon: Column, chi: Column) -> tuple[Column, Column]:
+            lat = chi
+            for j, d in enumerate(self.delta, 1):
+                lat = lat + F.sin(chi * (2 * j)) * d
+            return lon, F.degrees(lat)
+
+        return [scaled, spherical, conformal, degrees]
 
 
 # Zone of the census layers: central meridian 66 W, false easting 3,500,000.
 CENSUS_ZONE = TransverseMercator(lon0=-66.0, false_easting=3_500_000.0)
 
 
-def equal_area(lon: Column, lat: Column, ellipsoid: tuple[float, float] = WGS84) -> tuple[Column, Column]:
+def equal_area(ellipsoid: tuple[float, float] = WGS84) -> list[Step]:
     """Degrees to a cylindrical equal-area plane in metres; areas there are areas on the ellipsoid."""
     a, inverse_f = ellipsoid
     e = math.sqrt((2 - 1 / inverse_f) / inverse_f)
-    s = F.sin(F.radians(lat))
-    q = (s / (F.lit(1.0) - s * s * (e * e)) + F.atanh(s * e) / e) * (1 - e * e)
-    return F.radians(lon) * a, q * (a / 2)
 
+    def sine(lon: Column, lat: Column) -> tuple[Column, Column]:
+        return F.radians(lon) * a, F.sin(F.radians(lat))
+
+    def authalic(x: Column, s: Column) -> tuple[Column, Column]:
+        q = (s / (F.lit(1.0) - s * s * (e * e)) + F.atanh(s * e) / e) * (1 - e * e)
+        return x, q * (a / 2)
+
+    return [sine, authalic]
+
+
+def move(x: Column, y: Column, steps: Sequence[Step]) -> tuple[Column, Column]:
+    """One coordinate pair through all steps."""
+    for step in steps:
+        x, y = step(x, y)
+    return x, y
+
+
+def map_vertices(rings: Column, steps: Sequence[Step]) -> Column:
+    """Every vertex through all steps.
+
+    Each step is a pass of its own over the vertices: its inputs are values then, and an expression that
+    uses them several times does not repeat the steps before it.
+    """
 
-def map_vertices(rings: Column, move: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
-    """Apply a coordinate function to every vertex."""
+    def over_vertices(step: Step) -> Callable[[Column], Column]:
+        def moved(p: Column) -> Column:
+            x, y = step(p["x"], p["y"])
+            return F.struct(x.alias("x"), y.alias("y"))
 
-    def moved(p: Column) -> Column:
-        x, y = move(p["x"], p["y"])
-        return F.struct(x.alias("x"), y.alias("y"))
+        return lambda ring: F.transform(ring, moved)
 
-    return F.transform(rings, lambda ring: F.transform(ring, moved))
+    for step in steps:
+        rings = F.transform(rings, over_vertices(step))
+    return rings

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from zonalis.operators.geometry import shoelace
 
 
+EDGE_BLOCK = 256
+
+
 def close_ring(ring: Column) -> Column:
     first = F.get(ring, F.lit(0))
     return F.when(F.element_at(ring, -1) == first, ring).otherwise(F.concat(ring, F.array(first)))
@@ -29,37 +32,38 @@ def orient(rings: Column) -> Column:
 
 def repair(polygons: DataFrame) -> DataFrame:
     """Close rings, drop repeated vertices, fix ring direction."""
-    cleaned = polygons.withColumn("rings", F.transform("rings", lambda r: drop_repeats(close_ring(r))))
-    return cleaned.withColumn("rings", orient(F.col("rings")))
+    cleaned = F.transform(F.transform("rings", close_ring), drop_repeats)
+    return polygons.withColumn("rings", orient(cleaned))
 
 
 def crosses_itself(xs: np.ndarray, ys: np.ndarray) -> bool:
     """Whether two edges of a closed ring cross in an inner point of both.
 
-    Edges are sorted by their left end; each is compared with those that start before it ends.
+    Edges are sorted by their left end and taken in blocks; a block is compared with the edges that
+    start before its last one ends.
     """
     x1, y1, x2, y2 = xs[:-1], ys[:-1], xs[1:], ys[1:]
+    order = np.argsort(np.minimum(x1, x2), kind="stable")
+    x1, y1, x2, y2 = (v[order] for v in (x1, y1, x2, y2))
     left, right = np.minimum(x1, x2), np.maximum(x1, x2)
-    order = np.argsort(left, kind="stable")
-    x1, y1, x2, y2, left, right = (v[order] for v in (x1, y1, x2, y2, left, right))
-    ends = np.searchsorted(left, right, side="right")
-    for i in range(len(x1) - 1):
-        j = slice(i + 1, ends[i])
-        if j.stop <= j.start:
-            continue
-
-        def side(px: np.ndarray, py: np.ndarray) -> np.ndarray:
-            return np.sign((x2[i] - x1[i]) * (py - y1[i]) - (y2[i] - y1[i]) * (px - x1[i]))
-
-        def other(px: float, py: float) -> np.ndarray:
-            return np.sign((x2[j] - x1[j]) * (py - y1[j]) - (y2[j] - y1[j]) * (px - x1[j]))
-
-        apart = side(x1[j], y1[j]) * side(x2[j], y2[j]) < 0
-        if np.any(apart & (other(x1[i], y1[i]) * other(x2[i], y2[i]) < 0)):
+    for start in range(0, len(x1), EDGE_BLOCK):
+        i = slice(start, start + EDGE_BLOCK)
+        j = slice(start, int(np.searchsorted(left, right[i].max(), side="right")))
+        if np.any(_apart(x1, y1, x2, y2, i, j) & _apart(x1, y1, x2, y2, j, i).T):
             return True
     return False
 
 
+def _apart(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, i: slice, j: slice) -> np.ndarray:
+    """For edges ``i`` by ``j``: whether the ends of ``j`` lie strictly on two sides of the line of ``i``."""
+
+    def side(px: np.ndarray, py: np.ndarray) -> np.ndarray:
+        ax, ay = x1[i, None], y1[i, None]
+        return np.sign((x2[i, None] - ax) * (py[None, :] - ay) - (y2[i, None] - ay) * (px[None, :] - ax))
+
+    return side(x1[j], y1[j]) * side(x2[j], y2[j]) < 0
+
+
 @F.pandas_udf(T.BooleanType())
 def _any_crossing(xs: pd.Series, ys: pd.Series) -> pd.Series:
     return pd.Series([crosses_itself(x, y) for x, y in zip(xs, ys, strict=True)])

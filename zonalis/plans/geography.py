@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonalis.functions import circuit_zeroes, paste, round_even, section_code, slice_text
 from zonalis.operators.geometry import shoelace
 from zonalis.operators.joins import attach_group_values
+from zonalis.operators.projection import CENSUS_ZONE, TransverseMercator, equal_area, map_vertices
 from zonalis.operators.reshape import stack
 from zonalis.operators.spatial import overlay, points_in_polygons
+from zonalis.operators.validity import split_valid
 
 # The threshold and codes of the lookup step.
 SLIVER = 0.001
@@ -35,22 +37,56 @@ def circuit_ids(circuits: DataFrame) -> DataFrame:
     )
 
 
-def overlay_shares(tracts: DataFrame, circuits: DataFrame, areas: DataFrame | None = None) -> DataFrame:
+def _distinct_rows(polygons: DataFrame, *codes: str) -> DataFrame:
+    """Equal rows as one, with their number in ``copies``, and an ``id`` made from codes and outline."""
+    return (
+        polygons.groupBy(*codes, "rings")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("id", F.md5(F.to_json(F.struct(*codes, "rings"))))
+    )
+
+
+def prepare_tracts(tracts: DataFrame, zone: TransverseMercator = CENSUS_ZONE) -> tuple[DataFrame, DataFrame]:
+    """Census polygons ``(link, rings)`` in zone metres to ``(id, id_radio, rings, copies)`` in an equal-area plane.
+
+    Returns the repaired polygons and those rejected because a ring crosses itself.
+    """
+
+    rows = _distinct_rows(tracts.select(F.col("link").alias("id_radio"), "rings"), "id_radio")
+    return split_valid(rows.withColumn("rings", map_vertices(F.col("rings"), [*zone.inverse, *equal_area()])))
+
+
+def prepare_circuits(circuits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Circuit polygons in degrees, with ``source_file``, to an equal-area plane; the province code corrected.
+
+    Returns repaired and rejected polygons like :func:`prepare_tracts`.
+    """
+    rows = _distinct_rows(overwrite_province(circuits), "indec_p", "indec_d", "circuito")
+    return split_valid(rows.withColumn("rings", map_vertices(F.col("rings"), equal_area())))
+
+
+def _copies(polygons: DataFrame) -> Column:
+    return F.col("copies") if "copies" in polygons.columns else F.lit(1)
+
+
+def overlay_shares(tracts: DataFrame, circuits: DataFrame) -> DataFrame:
     """Share of each tract's area in each circuit: ``(id_radio, id_circuito, por_radio)``.
 
     Inputs: ``(id, id_radio, rings)`` and ``(id, id_circuito, rings)`` in an equal-area plane, ``id``
-    unique per polygon. Shares are rounded per pair of polygons and then summed per pair of ids.
-    ``areas`` may bring the overlap areas from elsewhere, for instance for boxes.
+    unique per polygon, with an optional number of ``copies``. Shares are rounded per pair of polygons
+    and then summed per pair of ids.
     """
-    areas = overlay(tracts, circuits) if areas is None else areas
-    whole = tracts.select(F.col("id").alias("a"), "id_radio", shoelace(F.col("rings")).alias("area_radio"))
-    zones = circuits.select(F.col("id").alias("b"), "id_circuito")
+    whole = tracts.select(
+        F.col("id").alias("a"), "id_radio", shoelace(F.col("rings")).alias("area_radio"), _copies(tracts).alias("a_copies")
+    )
+    zones = circuits.select(F.col("id").alias("b"), "id_circuito", _copies(circuits).alias("b_copies"))
     share = round_even(F.try_divide(F.col("area"), F.col("area_radio")), SHARE_DIGITS)
     return (
-        areas.join(whole, "a")
+        overlay(tracts, circuits)
+        .join(whole, "a")
         .join(zones, "b")
         .groupBy("id_radio", "id_circuito")
-        .agg(F.sum(share).alias("por_radio"))
+        .agg(F.sum(share * F.col("a_copies") * F.col("b_copies")).alias("por_radio"))
     )
 
 
@@ -69,11 +105,13 @@ def section_matches(places: DataFrame, circuits: DataFrame) -> DataFrame:
     ).distinct()
     held = points_in_polygons(points, circuits.select("id", "rings"), ["id_seccion_elec"])
     held = held.select("id_seccion_elec", "id").distinct()
-    sections = circuits.select("id", paste(F.col("indec_p"), F.col("indec_d")).alias("id_seccion_indec"))
+    sections = circuits.select(
+        "id", paste(F.col("indec_p"), F.col("indec_d")).alias("id_seccion_indec"), _copies(circuits).alias("copies")
+    )
     return (
         held.join(sections, "id")
         .groupBy("id_seccion_elec", "id_seccion_indec")
-        .agg(F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("copies").cast("bigint").alias("count"))
     )
 
 

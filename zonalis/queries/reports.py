@@ -12,8 +12,7 @@ from zonalis.queries.registry import Tables, query
 from zonalis.queries.spatial import DICTIONARY, FINAL_SQL, build_final
 from zonalis.operators.stepwise import MAX_SIZE
 from zonalis.queries.statistics import cv_sql, lines_sql, model_sql, rounded_lines
-from zonalis.session import stage_path
-from zonalis.sources.stage import read_stage, write_stage
+from zonalis.sources.stage import staged
 
 _NUMBERS = [new for _, flag, new in DICTIONARY[1:] if flag]
 _CHANGED_SQL = (
@@ -24,9 +23,7 @@ _CHANGED_SQL = (
 
 
 def _final(t: Tables) -> DataFrame:
-    path = stage_path(t.spark, "final")
-    write_stage(build_final(t), path)
-    return reports.with_changes(read_stage(t.spark, path))
+    return reports.with_changes(staged(build_final(t), "final"))
 
 
 def _outcome_columns() -> list[str]:

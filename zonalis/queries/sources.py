@@ -25,9 +25,7 @@ def src_pipe_csv(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("CONTADOR"),
         F.floor("o_totalprice").alias("VALOR"),
     ).write.option("sep", "|").option("header", True).csv(path)
-    schema = T.StructType(
-        [T.StructField("CODIGO_MESA", TEXT), T.StructField("CONTADOR", TEXT), T.StructField("VALOR", COUNT)]
-    )
+    schema = T.StructType([T.StructField("valor", COUNT), *text.strings("codigo_mesa", "contador").fields])
     return text.read_pipe(t.spark, path, schema)
 
 
@@ -42,7 +40,8 @@ def src_semicolon_csv(t: Tables) -> DataFrame:
         F.col("c_mktsegment").alias("DENOMINACION"),
         F.replace(F.format_string("%.2f", "c_acctbal"), F.lit("."), F.lit(",")).alias("SALDO"),
     ).write.option("sep", ";").option("header", True).csv(path)
-    return text.read_semicolon(t.spark, path, ["CODIGO", "DENOMINACION", "SALDO"], ["SALDO"])
+    schema = text.strings("codigo", "denominacion").add("saldo", T.DoubleType())
+    return text.read_semicolon(t.spark, path, schema)
 
 
 @query("select c_custkey::varchar as radio, replace(c_name, 'Customer#', 'Región Nº ñ') as nombre from customer")
@@ -52,7 +51,7 @@ def src_latin1_csv(t: Tables) -> DataFrame:
         F.col("c_custkey").alias("radio"),
         F.replace("c_name", F.lit("Customer#"), F.lit("Región Nº ñ")).alias("nombre"),
     ).write.option("header", True).option("encoding", text.LATIN1).csv(path)
-    return text.read_latin1(t.spark, path, text.strings(["radio", "nombre"]))
+    return text.read_latin1(t.spark, path)
 
 
 @query("select n_nationkey, n_name, n_regionkey from nation")
@@ -81,8 +80,8 @@ def sink_semicolon_csv(t: Tables) -> DataFrame:
         ),
         path,
     )
-    back = text.read_semicolon(t.spark, path, ["c_custkey", "c_mktsegment", "c_acctbal"], ["c_acctbal"])
-    return back.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+    schema = text.strings("c_mktsegment").add("c_acctbal", T.DoubleType()).add("c_custkey", COUNT)
+    return text.read_semicolon(t.spark, path, schema)
 
 
 @query(

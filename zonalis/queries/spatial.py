@@ -15,6 +15,8 @@ from zonalis.plans.geography import (
     circuit_ids,
     full_lookup,
     overlay_shares,
+    prepare_circuits,
+    prepare_tracts,
     section_matches,
     without_slivers,
 )
@@ -31,12 +33,13 @@ from zonalis.queries.analogues import (
     census_files,
     census_wide_sql,
     circuits,
+    district,
     polling_places,
+    section,
     tracts,
 )
 from zonalis.queries.registry import Tables, query
-from zonalis.session import stage_path
-from zonalis.sources.stage import read_stage, write_stage
+from zonalis.sources.stage import staged
 from zonalis.sources.text import category_columns, total_column
 
 # -- boxes of different sizes against a regular raster ---------------------------------------------
@@ -178,7 +181,7 @@ def _q_sql(latitude: str) -> str:
 )
 def geo_area(t: Tables) -> DataFrame:
     """Area on the ellipsoid: shoelace in an equal-area plane."""
-    plane = _degree_box(t).withColumn("rings", map_vertices(F.col("rings"), equal_area))
+    plane = _degree_box(t).withColumn("rings", map_vertices(F.col("rings"), equal_area()))
     return plane.select("s_suppkey", F.round(shoelace(F.col("rings")) / 1e6, 3).alias("km2"))
 
 
@@ -198,6 +201,71 @@ def geo_validate(t: Tables) -> DataFrame:
     return check(polygons).join(areas, "id")
 
 
+# -- source polygons: tracts in zone metres, circuits in degrees ---------------------------------------
+
+
+def _degrees(column: str, per_row: int, width: float, height: float) -> tuple[str, str]:
+    """South-west corner of a raster cell, as SQL text both engines read."""
+    return f"(-62.0 + {column} % {per_row} * {width})", f"(-38.0 + floor({column} / {per_row}) * {height})"
+
+
+def _source_boxes(key: str, per_row: int, step: tuple[float, float], size: tuple[float, float]) -> Column:
+    x, y = (F.expr(e).cast("double") for e in _degrees(key, per_row, *step))
+    return F.array(box_ring(x, y, x + size[0], y + size[1]))
+
+
+def source_tracts(customer: DataFrame) -> DataFrame:
+    """Boxes in degrees moved to the census zone; every fifth customer's box is listed twice."""
+    twice = customer.selectExpr("c_custkey", "explode(if(c_custkey % 5 = 0, array(1, 2), array(1)))")
+    boxes = twice.select(
+        F.col("c_custkey").cast("string").alias("link"),
+        _source_boxes("c_custkey", 50, (0.0625, 0.0078125), (0.0625, 0.0078125)).alias("rings"),
+    )
+    return boxes.select("link", map_vertices(F.col("rings"), CENSUS_ZONE.forward).alias("rings"))
+
+
+def source_circuits(supplier: DataFrame) -> DataFrame:
+    rings = _source_boxes("s_suppkey", 12, (0.28125, 0.02734375), (0.3125, 0.03125))
+    return supplier.select(
+        F.expr("concat('layer_', s_suppkey % 4)").alias("source_file"),
+        F.expr("if(s_suppkey = 6, 'Río Negro', 'Otra')").alias("provincia"),
+        F.expr(district("s_suppkey")).alias("indec_p"),
+        F.expr(section("s_suppkey")).alias("indec_d"),
+        F.col("s_suppkey").cast("string").alias("circuito"),
+        rings.alias("rings"),
+    )
+
+
+def _source_overlay_sql() -> str:
+    tx, ty = _degrees("c_custkey", 50, 0.0625, 0.0078125)
+    cx, cy = _degrees("s_suppkey", 12, 0.28125, 0.02734375)
+    return f"""
+    with t as (select c_custkey::varchar as id_radio, case when c_custkey % 5 = 0 then 2 else 1 end as copies,
+                      {tx}::double as x0, {ty}::double as y0, {tx}::double + 0.0625 as x1, {ty}::double + 0.0078125 as y1 from customer),
+         c as (select case when s_suppkey % 4 = 2 then '63' else lpad((s_suppkey % 3 + 1)::varchar, 2, '0') end
+                        || lpad((s_suppkey % 5)::varchar, 3, '0') || lpad(s_suppkey::varchar, 6, '0') as id_circuito,
+                      {cx}::double as x0, {cy}::double as y0, {cx}::double + 0.3125 as x1, {cy}::double + 0.03125 as y1
+               from supplier where s_suppkey >= 10),
+         o as (select id_radio, id_circuito, copies, x1 - x0 as width, {_q_sql('y1')} - {_q_sql('y0')} as height, w,
+                      {_q_sql('hi')} - {_q_sql('lo')} as h
+               from (select id_radio, id_circuito, copies, t.x0, t.x1, t.y0, t.y1, least(t.x1, c.x1) - greatest(t.x0, c.x0) as w,
+                            greatest(t.y0, c.y0) as lo, least(t.y1, c.y1) as hi
+                     from t join c on t.x0 < c.x1 and c.x0 < t.x1 and t.y0 < c.y1 and c.y0 < t.y1))
+    select id_radio, id_circuito, round(sum(round_even(w * h / (width * height), 5) * copies), 5) as por_radio
+    from o group by 1, 2 having sum(round_even(w * h / (width * height), 5) * copies) > 0.001"""
+
+
+@query(_source_overlay_sql())
+def geo_intersect_sources(t: Tables) -> DataFrame:
+    """From polygons as they are delivered to the lookup: province code, projection, repair, overlay, shares."""
+    good_tracts, _ = prepare_tracts(source_tracts(t.customer))
+    good_circuits, _ = prepare_circuits(source_circuits(t.supplier))
+    shares = without_slivers(
+        overlay_shares(staged(good_tracts, "tracts"), staged(circuit_ids(good_circuits), "circuits"))
+    )
+    return shares.withColumn("por_radio", F.round("por_radio", 5))
+
+
 # -- tracts, circuits, polling places --------------------------------------------------------------
 
 _SECTION_SQL = f"""
@@ -329,10 +397,8 @@ FINAL_SQL = _final_sql()
 
 def elections(t: Tables) -> dict[str, DataFrame]:
     """The four wide tables. The first also decides which circuits are kept, so it is staged."""
-    path = stage_path(t.spark, "paso19")
-    write_stage(wide(paso19_long(t), "paso19", SHORT_2019), path)
     return {
-        "paso19": read_stage(t.spark, path),
+        "paso19": staged(wide(paso19_long(t), "paso19", SHORT_2019), "paso19"),
         "pres19": wide(pres19_long(t), "pres19", SHORT_2019),
         "paso15": wide(paso15_long(t), "paso15", SHORT_2015),
         "pres15": wide(pres15_long(t), "pres15", SHORT_2015),

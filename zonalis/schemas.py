@@ -26,6 +26,10 @@ BOX_VOTES_2019 = _schema(
 )
 
 # File layouts of the 2015 elections.
-PARTIES_2015 = ["codigo_partido", "lista_interna", "agrupacion", "denominacion"]
-VOTES_2015 = ["codigo provincia", "codigo departamento", "codigo circuito", "codigo votos", "votos"]
+PARTIES_2015 = _schema(codigo_partido=TEXT, denominacion=TEXT)
 ZONE_2015 = ["codigo provincia", "codigo departamento", "codigo circuito"]
+VOTES_2015 = _schema(**{name: TEXT for name in [*ZONE_2015, "codigo votos", "votos"]})
+
+# The dictionary of final columns, polling places and polygon attributes.
+DICTIONARY = _schema(vars=TEXT, in_file=T.IntegerType(), new_name=TEXT)
+POLLING_PLACE = {"ID_DISTRITO": T.IntegerType(), "ID_SECCION": T.IntegerType()}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from zonalis.session import stage_path
+
 
 def write_stage(df: DataFrame, path: str, *partition_by: str) -> None:
     writer = df.write.mode("overwrite")
@@ -12,3 +14,10 @@ def write_stage(df: DataFrame, path: str, *partition_by: str) -> None:
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write to a fresh path in the shared folder and read back: computed once, however often it is used."""
+    path = stage_path(df.sparkSession, name)
+    write_stage(df, path)
+    return read_stage(df.sparkSession, path)

@@ -5,39 +5,49 @@ Codes are strings throughout: schema inference would strip their leading zeros.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from zonalis.functions import decimal_comma_text, format_decimal_comma
-from zonalis.operators.selectors import category_names, lower_header
+from zonalis.operators.selectors import category_names, lower_header, one_of
 
 LATIN1 = "ISO-8859-1"
 
 
-def strings(names: Sequence[str]) -> T.StructType:
+def strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def _choose(df: DataFrame, schema: T.StructType, comma: bool = False) -> DataFrame:
+    """The columns of the schema, found by lower-cased name; files may hold more, in any order."""
+    lowered = lower_header(df)
+    one_of(lowered, schema.names)
+
+    def typed(field: T.StructField) -> Column:
+        text = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            return text
+        number = decimal_comma_text(text) if comma and isinstance(field.dataType, T.DoubleType) else text
+        return number.try_cast(field.dataType).alias(field.name)
+
+    return lowered.select(*[typed(f) for f in schema.fields])
+
+
 def read_pipe(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Pipe-delimited with header; header names are lower-cased."""
-    return lower_header(spark.read.schema(schema).option("sep", "|").option("header", True).csv(path))
+    """Pipe-delimited with header; a value that does not fit its type is NULL."""
+    return _choose(spark.read.option("sep", "|").option("header", True).csv(path), schema)
 
 
 def read_semicolon(
-    spark: SparkSession, path: str | list[str], names: Sequence[str], numbers: Sequence[str] = ()
+    spark: SparkSession, path: str | list[str], schema: T.StructType, encoding: str = "UTF-8"
 ) -> DataFrame:
-    """Semicolon-delimited with decimal comma; ``numbers`` become doubles."""
-    raw = spark.read.schema(strings(names)).option("sep", ";").option("header", True).option("nullValue", "NA").csv(path)
-    wanted = set(numbers)
-    return lower_header(
-        raw.select(*[decimal_comma_text(F.col(f"`{c}`")).alias(c) if c in wanted else F.col(f"`{c}`") for c in names])
-    )
+    """Semicolon-delimited with header, decimal comma and ``NA`` for missing."""
+    options = {"sep": ";", "header": "true", "nullValue": "NA", "encoding": encoding}
+    return _choose(spark.read.options(**options).csv(path), schema, comma=True)
 
 
-def read_latin1(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Comma-delimited with header, Latin-1 text."""
-    return spark.read.schema(schema).option("header", True).option("encoding", LATIN1).csv(path)
+def read_latin1(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Comma-delimited with header, Latin-1 text; every column a string under its own name."""
+    return spark.read.option("header", True).option("encoding", LATIN1).csv(path)
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
@@ -52,15 +62,9 @@ def with_file_order(df: DataFrame) -> DataFrame:
     )
 
 
-def census_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one census file; only its first line is read."""
-    return spark.read.option("header", True).option("encoding", LATIN1).csv(path).columns
-
-
 def read_category_file(spark: SparkSession, path: str, prefix: str) -> DataFrame:
     """Census file of one variable: key, renamed category counts; the total is dropped."""
-    names = census_header(spark, path)
-    return category_columns(read_latin1(spark, path, strings(names)), prefix)
+    return category_columns(read_latin1(spark, path), prefix)
 
 
 def category_columns(df: DataFrame, prefix: str) -> DataFrame:
@@ -71,8 +75,7 @@ def category_columns(df: DataFrame, prefix: str) -> DataFrame:
 
 def read_total_file(spark: SparkSession, path: str, prefix: str) -> DataFrame:
     """Key and total of a census file."""
-    names = census_header(spark, path)
-    return total_column(read_latin1(spark, path, strings(names)), prefix)
+    return total_column(read_latin1(spark, path), prefix)
 
 
 def total_column(df: DataFrame, prefix: str) -> DataFrame:
