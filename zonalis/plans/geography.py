@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from zonalis.functions import circuit_zeroes, paste, round_even, section_code, slice_text
 from zonalis.operators.geometry import shoelace
 from zonalis.operators.joins import attach_group_values
-from zonalis.operators.projection import CENSUS_ZONE, TransverseMercator, equal_area, map_vertices
+from zonalis.operators.projection import CENSUS_ZONE, TransverseMercator, equal_area, map_vertices, move
 from zonalis.operators.reshape import stack
 from zonalis.operators.spatial import overlay, points_in_polygons
 from zonalis.operators.validity import split_valid
@@ -65,6 +65,12 @@ def prepare_circuits(circuits: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_valid(rows.withColumn("rings", map_vertices(F.col("rings"), equal_area())))
 
 
+def place_points(places: DataFrame) -> DataFrame:
+    """Polling places in degrees to the plane the circuits are in."""
+    x, y = move(F.col("x"), F.col("y"), equal_area())
+    return places.withColumns({"x": x, "y": y})
+
+
 def _copies(polygons: DataFrame) -> Column:
     return F.col("copies") if "copies" in polygons.columns else F.lit(1)
 
