@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession, functions as F
 from zonalis import jobs
 from zonalis.operators.geometry import RINGS_TYPE
 from zonalis.operators.projection import CENSUS_ZONE, map_vertices
+from zonalis.plans import reports
 from zonalis.plans.votes import PRESIDENT
 
 CIRCUITS = [("01", "001", "12"), ("01", "001", "13"), ("02", "003", "0004"), ("02", "003", "27A")]
@@ -120,7 +121,9 @@ def test_analysis_stage(spark: SparkSession, tmp_path: Path) -> None:
     steps = spark.read.parquet(f"{tmp_path}/model_{outcome}/steps").orderBy("size").collect()
     assert [s.size for s in steps] == list(range(1, len(steps) + 1)) and len(steps) == 10
     # the first variable is the one with the strongest correlation
-    strongest = spark.read.parquet(f"{tmp_path}/correlations").filter(F.col("var") == outcome).orderBy(F.desc("corr_abs")).first()
-    assert steps[0].r2 == pytest.approx(strongest.corr_abs**2)
+    final = reports.with_changes(spark.read.parquet(f"{tmp_path}/final"))
+    features = reports.model_features(final)
+    corr = final.select(outcome, *features).toPandas().dropna().corr()[outcome][features].abs()
+    assert steps[0].added == corr.idxmax() and steps[0].r2 == pytest.approx(corr.max() ** 2)
     assert spark.read.parquet(f"{tmp_path}/model_{outcome}/coefficients").count() == 5
     assert spark.read.parquet(f"{tmp_path}/chart_landline").select("facet").distinct().count() == 2

@@ -170,8 +170,6 @@ def forward_selection(
         df.select(fold.cast("int").alias("__fold"), *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
     )
     by_fold = moment_matrices(rows, columns, F.col("__fold"))
-    if not by_fold:
-        raise ValueError("no complete rows")
     total = sum(by_fold.values())
     weights: dict[int, np.ndarray] = {}
     for number, held_out in by_fold.items():
@@ -185,4 +183,5 @@ def forward_selection(
     scores = rows.mapInArrow(_score(weights), SCORE_TYPE).groupBy("fold", "size").agg(
         *[F.sum(c).alias(c) for c in SCORE_TYPE.names[2:]]
     )
-    return ForwardSelection(df.sparkSession, forward_path(total, features, max_size), scores)
+    path = forward_path(total, features, max_size) if by_fold else []
+    return ForwardSelection(df.sparkSession, path, scores)
