@@ -75,11 +75,13 @@ def on_or_inside(sides: str, x: str, y: str) -> Column:
         f"{x} < e.x1 + coalesce(try_divide((e.x2 - e.x1) * ({y} - e.y1), e.y2 - e.y1), 0D)"
     )
     touches = (
-        f"(e.x2 - e.x1) * ({y} - e.y1) = (e.y2 - e.y1) * ({x} - e.x1) "
+        f"((e.x2 - e.x1) * ({y} - e.y1) = (e.y2 - e.y1) * ({x} - e.x1) "
         f"AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
-        f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"
+        f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))"
     )
-    return F.expr(f"aggregate({sides}, false, (odd, e) -> odd <> ({crosses})) OR exists({sides}, e -> {touches})")
+    # 0 and 1: edges crossed so far, even or odd; 2: on an edge
+    state = f"CASE WHEN s = 2 OR {touches} THEN 2 WHEN {crosses} THEN 1 - s ELSE s END"
+    return F.expr(f"aggregate({sides}, 0, (s, e) -> {state}) > 0")
 
 
 def box_overlap_area(a: Column, b: Column) -> Column:

@@ -20,7 +20,7 @@ from zonalis.operators.joins import HOT_ROWS, hot_keys, salted_join
 
 CELL = ["level", "cx", "cy"]
 # Levels are clamped to this range, which also bounds the list read by :func:`levels_of`.
-LEVEL_RANGE = (-40, 40)
+LEVEL_RANGE = (-30, 40)
 EDGES_PER_PIECE = 512
 EDGE_PAIRS_PER_STEP = 1_000_000
 # A polygon in this many pairs or more is spread over several tasks: each pair carries its edges.

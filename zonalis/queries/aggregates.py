@@ -176,14 +176,14 @@ def reshape_unpivot(t: Tables) -> DataFrame:
 # -- vote roll-ups -------------------------------------------------------------------------------
 
 
-def _strict(value: str) -> str:
-    return f"(case when count(*) = count({value}) then sum({value}) end)::bigint"
+def _strict(value: str, over: str = "") -> str:
+    return f"(case when count(*) {over} = count({value}) {over} then sum({value}) {over} end)::bigint"
 
 
 def long_2019_sql(status: str, blank: str) -> str:
     """Row by row with windows and joins, the way the roll-up is defined."""
     return f"""
-    with cand as (select *, {_strict('votos_agrupacion').replace('count(*)', 'count(*) over w').replace('count(votos_agrupacion)', 'count(votos_agrupacion) over w').replace('sum(votos_agrupacion)', 'sum(votos_agrupacion) over w')} as en_mesa
+    with cand as (select *, {_strict('votos_agrupacion', 'over w')} as en_mesa
                   from ({ballots_sql(status)}) where codigo_categoria = '000100000000000'
                   window w as (partition by codigo_mesa)),
          blank as (select * from ({box_totals_sql(blank)}) where contador = '{blank}'),

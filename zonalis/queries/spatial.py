@@ -40,7 +40,7 @@ from zonalis.queries.analogues import (
 )
 from zonalis.queries.registry import Tables, query
 from zonalis.sources.stage import staged
-from zonalis.sources.text import category_columns, total_column
+from zonalis.sources.text import category_columns
 
 # -- boxes of different sizes against a regular raster ---------------------------------------------
 
@@ -319,10 +319,9 @@ def geo_full_lookup(t: Tables) -> DataFrame:
 
 def _census(t: Tables) -> tuple[DataFrame, list[str]]:
     """Long census table with the denominators, and its variable names."""
+    totals = {"year": "vi_TOTAL", "price": "vi_urban_TOTAL", "status": "ho_TOTAL", "priority": "per_TOTAL"}
     files = census_files(t.orders)
-    tables = [category_columns(files[n], p) for n, p in PREFIXES.items()]
-    source = dict(zip(TOTALS, ("year", "price", "status", "priority"), strict=True))
-    tables += [total_column(files[name], total.removesuffix("TOTAL")) for total, name in source.items()]
+    tables = [category_columns(files[n], prefix, totals.get(n)) for n, prefix in PREFIXES.items()]
     return fan_in(tables), value_names(tables)
 
 

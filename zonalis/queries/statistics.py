@@ -82,7 +82,7 @@ def stat_corr_shift(t: Tables) -> DataFrame:
 # -- regression lines ------------------------------------------------------------------------------
 
 _LINE_COLUMNS = {
-    "n": "regr_count(y, x)",
+    "n": "regr_count(y, x)::bigint",
     "slope": "round(regr_slope(y, x), 6)",
     "intercept": "round(regr_intercept(y, x), 6)",
     "r2": "round(regr_r2(y, x), 6)",
@@ -138,8 +138,8 @@ _T_SQL = " + ".join(
                    regr_sxx(y, x) as sxx, min(x) as lo, max(x) as hi,
                    sqrt((regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x)) / (regr_count(y, x) - 2)) as s
                    from ({_POINTS_SQL}) group by facet),
-            g as (select *, step::int as step, lo + (hi - lo) / {LINE_POINTS - 1} * step as x
-                  from m, (select unnest(range(0, {LINE_POINTS})) as step)),
+            g as (select *, lo + (hi - lo) / {LINE_POINTS - 1} * step as x
+                  from m, (select unnest(range(0, {LINE_POINTS}))::int as step)),
             h as (select *, ({Z_975!r}::double + {_T_SQL}) * s * sqrt(1.0 / n + (x - mx) * (x - mx) / sxx) as half from g)
         select facet, step, round(x, 4) as x, round(a + b * x, 4) as y, round(a + b * x - half, 4) as low,
                round(a + b * x + half, 4) as high from h"""

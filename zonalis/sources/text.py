@@ -67,10 +67,13 @@ def read_category_file(spark: SparkSession, path: str, prefix: str) -> DataFrame
     return category_columns(read_latin1(spark, path), prefix)
 
 
-def category_columns(df: DataFrame, prefix: str) -> DataFrame:
-    key, *categories, total = df.columns
-    renamed = df.toDF(key, *category_names(categories, prefix), total).drop(total)
-    return renamed.select(key, *[F.col(f"`{c}`").try_cast("bigint").alias(c) for c in renamed.columns[1:]])
+def category_columns(df: DataFrame, prefix: str, total: str | None = None) -> DataFrame:
+    """Renamed categories; the total is dropped, or kept under the name given."""
+    key, *categories, last = df.columns
+    names = {c: n for c, n in zip(categories, category_names(categories, prefix), strict=True)}
+    if total:
+        names[last] = total
+    return df.selectExpr(f"`{key}`", *[f"try_cast(`{c}` AS BIGINT) AS `{n}`" for c, n in names.items()])
 
 
 def read_total_file(spark: SparkSession, path: str, prefix: str) -> DataFrame:
