@@ -62,7 +62,9 @@ def salted_join(
     """
     marked = F.broadcast(hot)
     seed = ", ".join(f"`{c}`" for c in salt_from)
-    left = left_join(big, marked, keys).withColumn("__salt", F.expr(f"if(__hot, CAST(pmod(xxhash64({seed}), {salts}) AS INT), 0)"))
+    left = left_join(big, marked, keys).withColumn(
+        "__salt", F.expr(f"if(__hot, CAST(pmod(xxhash64({seed}), {salts}) AS INT), 0)")
+    )
     right = left_join(small, marked, keys).withColumn(
         "__salt", F.expr(f"explode(if(__hot, sequence(0, {salts - 1}), array(0)))")
     )
@@ -70,16 +72,24 @@ def salted_join(
 
 
 def attach_group_values(
-    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    values: Mapping[str, Column],
+    hot_rows: int = HOT_ROWS,
+    also: DataFrame | None = None,
 ) -> DataFrame:
     """Aggregates of the group on each of its rows, without gathering the group in one task.
 
     A window over the whole partition would do that; here partial aggregation shrinks each group to
-    one row first, and that row is joined back.
+    one row first, and that row is joined back. A table ``also`` with the same keys is joined to the
+    groups before, so that the rows of ``df`` are shuffled once for both.
     """
     groups = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__rows"), *[v.alias(name) for name, v in values.items()]
     )
     hot = hot_keys(groups, keys, "__rows", hot_rows)
+    attached = groups.drop("__rows")
+    if also is not None:
+        attached = left_join(attached, also, keys)
     others = [c for c in df.columns if c not in keys]
-    return salted_join(df, groups.drop("__rows"), keys, hot, others or list(keys), how="left")
+    return salted_join(df, attached, keys, hot, others or list(keys), how="left")

@@ -1,6 +1,6 @@
 """Map projections as steps of column expressions: transverse Mercator and cylindrical equal-area.
 
-Series in the third flattening ``n`` after Krueger, to third order.
+Series in the third flattening ``n`` after Krueger, to fourth order.
 """
 
 from __future__ import annotations
@@ -42,22 +42,36 @@ class TransverseMercator:
 
     @property
     def alpha(self) -> list[float]:
+        """Conformal sphere to plane."""
         n = self.n
         return [
-            n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16,
-            13 * n**2 / 48 - 3 * n**3 / 5,
-            61 * n**3 / 240,
+            n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180,
+            13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
+            61 * n**3 / 240 - 103 * n**4 / 140,
+            49561 * n**4 / 161280,
         ]
 
     @property
     def beta(self) -> list[float]:
+        """Plane to conformal sphere."""
         n = self.n
-        return [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480]
+        return [
+            n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360,
+            n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440,
+            17 * n**3 / 480 - 37 * n**4 / 840,
+            4397 * n**4 / 161280,
+        ]
 
     @property
     def delta(self) -> list[float]:
+        """Conformal to geodetic latitude."""
         n = self.n
-        return [2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15]
+        return [
+            2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45,
+            7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45,
+            56 * n**3 / 15 - 136 * n**4 / 35,
+            4279 * n**4 / 630,
+        ]
 
     @property
     def eccentricity(self) -> float:

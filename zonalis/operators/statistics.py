@@ -14,6 +14,8 @@ Z_975 = 1.959963984540054
 LINE_POINTS = 80
 VOTE_AXIS = (0.0, 80.0)
 
+TASKS_PER_CORE = 4
+
 
 def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows without NULL or NaN in the columns."""
@@ -49,9 +51,11 @@ def _partial_moments(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 def moment_sums(df: DataFrame, columns: Sequence[str], fold: Column | None = None) -> DataFrame:
     """Sums of products ``(fold, i, j, v)`` of a leading 1 and the columns, ``i <= j``.
 
-    Each task reduces its rows to one small triangle per fold before the shuffle.
+    Each task reduces its rows to one small triangle per fold before the shuffle. Several input splits
+    share a task, so the number of triangles follows the number of cores and not the size of the input.
     """
-    marked = df.select(
+    tasks = df.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
+    marked = df.coalesce(tasks).select(
         (F.lit(0) if fold is None else fold).cast("int").alias("fold"),
         *[F.col(f"`{c}`").cast("double").alias(c) for c in columns],
     )

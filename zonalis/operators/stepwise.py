@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from zonalis.operators.statistics import SCORE_TYPE, complete_rows, moment_matrices
+from zonalis.operators.statistics import SCORE_TYPE, TASKS_PER_CORE, complete_rows, moment_matrices
 
 FOLDS = 10
 MAX_SIZE = 10
@@ -180,7 +180,8 @@ def forward_selection(
             for term, value in s.coefficients.items():
                 table[s.size - 1, position[term]] = value
         weights[number] = table
-    scores = rows.mapInArrow(_score(weights), SCORE_TYPE).groupBy("fold", "size").agg(
+    tasks = df.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
+    scores = rows.coalesce(tasks).mapInArrow(_score(weights), SCORE_TYPE).groupBy("fold", "size").agg(
         *[F.sum(c).alias(c) for c in SCORE_TYPE.names[2:]]
     )
     path = forward_path(total, features, max_size) if by_fold else []

@@ -55,9 +55,9 @@ def box_table(
 ) -> DataFrame:
     """One row per box and party with blank and valid votes, region and party names."""
     cast = votes.filter(F.col("codigo_categoria") == category)
-    with_total = attach_group_values(cast, ["codigo_mesa"], {"en_mesa": strict_sum(F.col("votos_agrupacion"))})
     blanks = blank_votes(totals, blank, category).select("codigo_mesa", F.col("valor").alias("votos_blanco"))
-    rows = left_join(with_total, blanks, ["codigo_mesa"])
+    en_mesa = {"en_mesa": strict_sum(F.col("votos_agrupacion"))}
+    rows = attach_group_values(cast, ["codigo_mesa"], en_mesa, also=blanks)
     for role in ("distrito", "seccion"):
         names = regions.select(
             F.col("codigo_region").alias(f"codigo_{role}"), F.col("nombre_region").alias(f"name_{role}")
