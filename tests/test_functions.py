@@ -89,6 +89,10 @@ def test_group_values_with_hot_and_missing_keys(spark: SparkSession) -> None:
     assert plain == salted and len(plain) == len(rows)
     assert str(Row(k="hot", x=3, n=500, top=499)) in plain
     assert str(Row(k=None, x=7, n=300, top=299)) in plain
+    extra = spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3)], "k string, e int")
+    also = attach_group_values(df, ["k"], values, hot_rows=100, also=extra)
+    assert also.count() == 2 * 500 + 300 + 50
+    assert also.filter("k IS NULL AND e = 3").count() == 300 and also.filter("k = 'hot' AND e = 2").count() == 500
 
 
 def test_left_join_matches_missing_keys_and_fans_out(spark: SparkSession) -> None:

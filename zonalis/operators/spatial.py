@@ -10,6 +10,7 @@ is spread over many cells however large it is.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,17 @@ def size_level(box: str = "box") -> Column:
     return F.expr(f"least(CAST(ceil(log2({side})) AS INT), {highest})")
 
 
-def levels_of(boxes: DataFrame) -> Stats:
-    """Distinct levels of a table of boxes, at most one per step of LEVEL_RANGE, and its number of rows."""
-    rows = boxes.groupBy(size_level().alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
-    return sorted(r.level for r in rows), sum(r.rows for r in rows)
+def levels_of(*tables: DataFrame) -> list[Stats]:
+    """Distinct levels of each table of boxes, at most one per step of LEVEL_RANGE, and its number of rows.
+
+    One job for all tables; it returns one row per table and level.
+    """
+    sides = [t.select(F.lit(i).alias("side"), size_level().alias("level")) for i, t in enumerate(tables)]
+    rows = reduce(DataFrame.unionAll, sides).groupBy("side", "level").agg(F.count(F.lit(1)).alias("rows")).collect()
+    return [
+        (sorted(r.level for r in rows if r.side == i), sum(r.rows for r in rows if r.side == i))
+        for i in range(len(tables))
+    ]
 
 
 def _cell(value: str, level: str = "level") -> str:
@@ -62,7 +70,7 @@ def _int_array(values: Sequence[int]) -> str:
 
 
 def box_pairs(
-    left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS, stats: tuple[Stats, Stats] | None = None
+    left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS, stats: list[Stats] | None = None
 ) -> DataFrame:
     """Pairs ``(a, b, abox, bbox)`` of ids whose boxes share an area.
 
@@ -72,7 +80,7 @@ def box_pairs(
     is emitted only in the cell that holds the lower left corner of the shared box, so none appears
     twice.
     """
-    (a_levels, a_rows), (b_levels, b_rows) = stats or (levels_of(left), levels_of(right))
+    (a_levels, a_rows), (b_levels, b_rows) = stats or levels_of(left, right)
 
     def listed(boxes: DataFrame, side: str, other: str, levels: Sequence[int], above: str) -> DataFrame:
         own = boxes.select("id", "box", size_level().alias("own"))
@@ -217,7 +225,7 @@ def overlay(
     """
     room = box_overlap_area(F.col("abox"), F.col("bbox")).alias("room")
     left_boxes, right_boxes = polygon_boxes(left), polygon_boxes(right)
-    stats = levels_of(left_boxes), levels_of(right_boxes)
+    stats = levels_of(left_boxes, right_boxes)
     pairs = box_pairs(left_boxes, right_boxes, hot_rows, stats).select("a", "b", room)
     with_a = _with_edges(pairs, _edge_pieces(left, "a"), "a", "b", hot_pairs, stats[1][1])
     with_both = _with_edges(with_a, _edge_pieces(right, "b"), "b", "a", hot_pairs, stats[0][1])
@@ -250,7 +258,7 @@ def points_in_polygons(
     """
     # edges are listed once per polygon here, not once per point after the join
     boxes = polygons.select("id", edges(F.col("rings")).alias("sides"), bounds(F.col("rings")).alias("box"))
-    levels, _ = levels_of(boxes)
+    [(levels, _)] = levels_of(boxes)
     at = points.selectExpr(*keep, "x", "y", f"explode({_int_array(levels)}) AS level").selectExpr(
         *keep, "x", "y", "level", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy"
     )
