@@ -45,8 +45,8 @@ def census_wide(tables: Sequence[DataFrame]) -> DataFrame:
     file, so the sum per tract and column is the value itself.
     """
     names = value_names(tables)
-    first = f"\x00{tables[0].columns[0]}"
-    keys = tables[0].select(F.col(tables[0].columns[0]).alias("radio"), F.lit(first).alias("var"), F.lit(1).alias("value"))
-    stacked = stack([fan_in(tables), keys.withColumn("value", F.col("value").cast("bigint"))])
+    first = "__in_first"
+    keys = tables[0].selectExpr(f"`{tables[0].columns[0]}` AS radio", f"'{first}' AS var", "1L AS value")
+    stacked = stack([fan_in(tables), keys])
     table = sum_to_wide(stacked, ["radio"], "var", F.col("value"), [first, *names])
     return table.filter(F.col(f"`{first}`").isNotNull()).drop(first)

@@ -27,7 +27,11 @@ def interpolate(lookup: DataFrame, census: DataFrame, names: Sequence[str]) -> D
 
 
 def family_of(name: str, families: Sequence[str] = FAMILIES) -> str:
-    return next(f for f in families if name.lower().startswith(f))
+    """Prefix of the family a census column belongs to."""
+    for family in families:
+        if name.lower().startswith(family):
+            return family
+    raise ValueError(f"column {name} belongs to none of the families {families}")
 
 
 def census_percentages(counts: DataFrame, families: Sequence[str] = FAMILIES) -> DataFrame:
