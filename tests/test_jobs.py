@@ -51,7 +51,14 @@ def data(spark: SparkSession, tmp_path_factory: pytest.TempPathFactory) -> Path:
             ["CODIGO_CATEGORIA|NOMBRE_CATEGORIA|CODIGO_AGRUPACION|NOMBRE_AGRUPACION"]
             + [f"{PRESIDENT}|x|{c}|{n}" for c, n in (("136", "FRENTE DE TODOS"), ("135", "JUNTOS POR EL CAMBIO"), ("87", "OTRA"))],
         )
-    _write(root / jobs.PARTIES_FILE_2015, ["CODIGO_PARTIDO;LISTA_INTERNA;AGRUPACION;DENOMINACION", "0131;1;x;ALIANZA FRENTE PARA LA VICTORIA", "0135;1;x;ALIANZA CAMBIEMOS", "0138;1;x;ALIANZA UNIDOS POR UNA NUEVA ALTERNATIVA (UNA)", "0900;1;x;OTRA"])
+    parties = [
+        "CODIGO_PARTIDO;LISTA_INTERNA;AGRUPACION;DENOMINACION",
+        "0131;1;x;ALIANZA FRENTE PARA LA VICTORIA",
+        "0135;1;x;ALIANZA CAMBIEMOS",
+        "0138;1;x;ALIANZA UNIDOS POR UNA NUEVA ALTERNATIVA (UNA)",
+        "0900;1;x;OTRA",
+    ]
+    _write(root / jobs.PARTIES_FILE_2015, parties)
     for files in jobs.ELECTIONS_2015.values():
         for file, province in zip(files, ("02", "01"), strict=True):
             rows = ["CODIGO PROVINCIA;CODIGO DEPARTAMENTO;CODIGO CIRCUITO;CODIGO MESA;CODIGO VOTOS;VOTOS"]

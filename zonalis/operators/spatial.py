@@ -84,8 +84,10 @@ def box_pairs(
 
     def listed(boxes: DataFrame, side: str, other: str, levels: Sequence[int], above: str) -> DataFrame:
         own = boxes.select("id", "box", size_level().alias("own"))
-        lifted = f"transform(filter({_int_array(levels)}, v -> v {above} own), v -> struct('{side}' AS fine, v AS level))"
-        placed = own.selectExpr("id", "box", f"inline(concat(array(struct('{other}' AS fine, own AS level)), {lifted}))")
+        native = f"array(struct('{other}' AS fine, own AS level))"
+        coarser = f"filter({_int_array(levels)}, v -> v {above} own)"
+        lifted = f"transform({coarser}, v -> struct('{side}' AS fine, v AS level))"
+        placed = own.selectExpr("id", "box", f"inline(concat({native}, {lifted}))")
         return _in_cells(placed).selectExpr(f"id AS {side}", f"box AS {side}box", "fine", *CELL)
 
     a_cells = listed(left, "a", "b", b_levels, ">")
@@ -205,7 +207,9 @@ def _piece_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with_edges(pairs: DataFrame, pieces: DataFrame, side: str, partner: str, hot_pairs: int, partners: int) -> DataFrame:
+def _with_edges(
+    pairs: DataFrame, pieces: DataFrame, side: str, partner: str, hot_pairs: int, partners: int
+) -> DataFrame:
     """Edges of one side on each pair. A polygon has no more pairs than the other side has polygons, so
     it can only be hot if that table is large."""
     if partners < hot_pairs:

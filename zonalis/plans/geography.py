@@ -27,7 +27,8 @@ def overwrite_province(
 ) -> DataFrame:
     """Set ``indec_p`` on all rows of a file in which any row names the province."""
     flagged = attach_group_values(circuits, [source], {"__found": F.max(F.col("provincia") == name)})
-    return flagged.withColumn("indec_p", F.when(F.col("__found"), F.lit(code)).otherwise(F.col("indec_p"))).drop("__found")
+    corrected = F.when(F.col("__found"), F.lit(code)).otherwise(F.col("indec_p"))
+    return flagged.withColumn("indec_p", corrected).drop("__found")
 
 
 def circuit_ids(circuits: DataFrame) -> DataFrame:
@@ -84,7 +85,10 @@ def overlay_shares(tracts: DataFrame, circuits: DataFrame) -> DataFrame:
     and then summed per pair of ids.
     """
     whole = tracts.select(
-        F.col("id").alias("a"), "id_radio", shoelace(F.col("rings")).alias("area_radio"), _copies(tracts).alias("a_copies")
+        F.col("id").alias("a"),
+        "id_radio",
+        shoelace(F.col("rings")).alias("area_radio"),
+        _copies(tracts).alias("a_copies"),
     )
     zones = circuits.select(F.col("id").alias("b"), "id_circuito", _copies(circuits).alias("b_copies"))
     share = round_even(F.try_divide(F.col("area"), F.col("area_radio")), SHARE_DIGITS)

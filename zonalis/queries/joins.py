@@ -47,7 +47,8 @@ def join_left(t: Tables) -> DataFrame:
 def join_left_composite(t: Tables) -> DataFrame:
     s = F.col("l_suppkey")
     keys = ["prov", "dep", "circ"]
-    rows = t.lineitem.select((s % 3).alias("prov"), (s % 5).alias("dep"), s.alias("circ"), "l_returnflag", F.col("l_quantity").cast("bigint").alias("q"))
+    votes = F.col("l_quantity").cast("bigint").alias("q")
+    rows = t.lineitem.select((s % 3).alias("prov"), (s % 5).alias("dep"), s.alias("circ"), "l_returnflag", votes)
     votes = rows.filter("l_returnflag <> 'R'").groupBy(*keys).agg(F.sum("q").alias("votes"))
     blanks = rows.filter("l_returnflag = 'R' and circ % 7 <> 0").groupBy(*keys).agg(F.sum("q").alias("blanks"))
     return votes.join(blanks, keys, "left")

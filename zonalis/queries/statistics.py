@@ -27,7 +27,7 @@ from zonalis.queries.registry import Tables, query
 _MEASURES = {
     "paso19_cand_FdT": "l_quantity",
     "paso15_cand_FPV": "l_extendedprice / 1000",
-    "ho_tax": "if(l_linenumber < 7, l_tax, NULL)",
+    "ho_tax": "CASE WHEN l_linenumber < 7 THEN l_tax END",
     "ho_discount": "l_discount",
     "per_line": "CAST(l_linenumber AS DOUBLE)",
     "per_part": "CAST(l_partkey % 13 AS DOUBLE) + l_quantity",
@@ -35,7 +35,7 @@ _MEASURES = {
 
 
 def _measures_sql() -> str:
-    columns = ", ".join(f'{sql.replace("if(", "case when ").replace(", l_tax, NULL)", " then l_tax end")} as "{n}"' for n, sql in _MEASURES.items())
+    columns = ", ".join(f'{sql} as "{n}"' for n, sql in _MEASURES.items())
     return f"select * from (select {columns} from lineitem) where ho_tax is not null"
 
 

@@ -30,8 +30,8 @@ def read_points(
     feature = _feature_type(properties)
     if collection:
         whole = T.StructType([T.StructField("features", T.ArrayType(feature))])
-        features = spark.read.schema(whole).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-        features = features.select("f.*")
+        files = spark.read.schema(whole).option("multiLine", True).json(path)
+        features = files.select(F.inline("features"))
     else:
         features = spark.read.schema(feature).json(path)
     at = F.col("geometry.coordinates")
