@@ -28,6 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from zonalis.llm.common import col
@@ -244,7 +245,7 @@ def _decoder(definition: str) -> Callable[[Column], Column]:
     return run
 
 
-@arrow_udf("string")
+@arrow_udf(T.StringType())
 def ids_sha256(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """SHA-256 of ids written as little-endian unsigned 32-bit integers; NULL ids as none."""
     for rows in batches:

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from zonalis.llm.common import col, portions, with_fields
@@ -69,13 +70,15 @@ def counts_of(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), chars, repeated, _repeat_words(words), lines
 
 
-@arrow_udf("struct<n_words:long,word_chars:long,n_dup_lines:long,n_repeat_words:long,n_lines:long>")
+TEXT_COUNTS = ["n_words", "word_chars", "n_dup_lines", "n_repeat_words", "n_lines"]
+
+
+@arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in TEXT_COUNTS]))
 def _text_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    names = ["n_words", "word_chars", "n_dup_lines", "n_repeat_words", "n_lines"]
     for texts in batches:
         rows = [counts_of(t or b"") for portion in portions(texts) for t in portion]
         columns = zip(*rows, strict=True) if rows else [[]] * 5
-        yield pa.StructArray.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names)
+        yield pa.StructArray.from_arrays([pa.array(list(c), pa.int64()) for c in columns], TEXT_COUNTS)
 
 
 def _characters(text: Column, keep: str) -> Column:
@@ -87,7 +90,7 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the statistics of its texts (``COUNTS``)."""
     content = F.coalesce(col(text), F.lit(""))
     plain = ["n_symbols", "n_upper", "n_marks"]
-    counted = with_fields(df, _text_counts(content), [c for c in COUNTS if c not in plain])
+    counted = with_fields(df, _text_counts(content), TEXT_COUNTS)
     classes = {"n_symbols": r"#*$%&|<>", "n_upper": r"\p{Lu}", "n_marks": "!?"}
     kept = [c for c in counted.columns if c.lower() not in plain]
     return counted.select(*[col(c) for c in kept], *[_characters(content, classes[c]).alias(c) for c in plain])

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from zonalis.llm.common import col, portions, with_fields
@@ -228,7 +229,7 @@ def _training(labels: DataFrame, key: str, label: str) -> DataFrame:
     return truth.where(F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(5)) != 0)
 
 
-@arrow_udf("array<string>")
+@arrow_udf(T.ArrayType(T.StringType()))
 def _distinct_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     letters = re.compile(r"[^\W\d_]+")
     for texts in batches:
