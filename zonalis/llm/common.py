@@ -16,9 +16,8 @@ PORTION = 4 << 20
 
 
 def fresh(taken: list[str], name: str) -> str:
-    """A column name that no column of the input has, whatever its case."""
-    used = {c.lower() for c in taken}
-    while name.lower() in used:
+    """A name that no column of the input has or begins with, whatever its case."""
+    while any(c.lower().startswith(name.lower()) for c in taken):
         name = "_" + name
     return name
 

@@ -97,8 +97,16 @@ def repeated_lines(df: DataFrame, text: str, key: str, gram: int = GRAM, window:
     return lines.groupBy("id", "row").agg(F.collect_list("line").alias("gone"))
 
 
-def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """``df`` with the text without later repeated runs of lines, ``n_lines`` (lines with a word) and ``n_removed``."""
+def dedup_lines(
+    df: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    gram: int = GRAM,
+    window: int = WINDOW,
+    n_lines: str = "n_lines",
+    n_removed: str = "n_removed",
+) -> DataFrame:
+    """``df`` with the text without later repeated runs of lines, the number of lines with a word and of those removed."""
     inner = fresh(df.columns, "gone")
     gone = repeated_lines(df, text, key, gram, window)
     gone = gone.select(F.col("id").alias(f"{inner}_id"), F.col("row").alias(f"{inner}_row"), F.col("gone").alias(inner))
@@ -113,9 +121,9 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", gram: in
         joined,
         F.struct(
             F.when(F.col(inner).isNull(), col(text)).otherwise(kept).alias(text),
-            F.when(col(text).isNull(), F.lit(0).cast("long")).otherwise(own).alias("n_lines"),
-            F.when(F.col(inner).isNull(), F.lit(0).cast("long")).otherwise(removed).alias("n_removed"),
+            F.when(col(text).isNull(), F.lit(0).cast("long")).otherwise(own).alias(n_lines),
+            F.when(F.col(inner).isNull(), F.lit(0).cast("long")).otherwise(removed).alias(n_removed),
         ),
-        [text, "n_lines", "n_removed"],
+        [text, n_lines, n_removed],
     )
-    return out.select(*[col(c) for c in order if c.lower() not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    return out.select(*[col(c) for c in order if c.lower() not in (n_lines, n_removed)], n_lines, n_removed)

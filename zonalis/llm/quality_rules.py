@@ -200,7 +200,8 @@ def fit(counted: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     truth = truth.where(F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(5)) != 0)
     values = ratios()
     rows = (
-        counted.join(truth, col(key) == F.col("_id"))
+        counted.select(col(key).alias("_key"), *COUNTS)
+        .join(truth, F.col("_key") == F.col("_id"))
         .select("_id", "_good", *[c.alias(n) for n, c in values.items()])
         .orderBy(F.xxhash64("_id"), *values)
         .limit(max_rows)
