@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonalis.llm import bpe, decontamination, line_dedup, simhash, toxicity
+from zonalis.llm.common import fresh
 from zonalis.llm.queries import tokenizer
 from zonalis.sources.stage import staged
 
@@ -26,15 +27,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, fitted on the labelled ones, does not call toxic."""
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    rated = toxicity.score(docs.select("*", F.col("text").alias("rated")), model, "rated")
-    return rated.where("predicted = 0").select(*docs.columns)
+    score, predicted = fresh(docs.columns, "score"), fresh(docs.columns, "predicted")
+    rated = toxicity.score(docs, model, score=score, predicted=predicted)
+    return rated.where(F.col(predicted) == 0).drop(score, predicted)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without later repeated runs of lines; ``n_chars`` follows the text."""
-    cut = line_dedup.dedup_lines(docs)
-    changed = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    n_lines, n_removed = fresh(docs.columns, "n_lines"), fresh(docs.columns, "n_removed")
+    cut = line_dedup.dedup_lines(docs, n_lines=n_lines, n_removed=n_removed)
+    length = F.when(F.col(n_removed) > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", length).drop(n_lines, n_removed)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

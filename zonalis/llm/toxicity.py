@@ -2,13 +2,13 @@
 
 Lexicon: words and word stems (prefixes of at least four letters) whose documents are toxic far more often than
 others, counted over all labelled rows that are not held out. A stem that is as telling as its longer forms stands for
-them.
+them. An entry must be seen in a share of all toxic documents, so that words of one copied text do not get in.
 
 Matching: the lexicon is a trie, and a Levenshtein automaton walks along it: a state is a set of (trie node, edits so
 far). States are made when a word first needs them and kept, so that the intersection of automaton and trie becomes
 a deterministic automaton, and a word costs one step for each letter until its state is empty. A stem matches words
-that begin with it; a word of five letters or more is also found with one edit, of nine or more with two. Swapped
-neighbours count as one edit, digits and signs that stand for letters are read as the letters first.
+that begin with it; a word of five letters or more is also found with one edit, of nine or more with two. Edits come
+after the first letter. Swapped neighbours count as one edit, digits and signs that stand for letters are read as the letters first.
 
 Context: each hit is looked at in a window of words on both sides. Quotation marks around it, an opening mark before
 it on the line, or words of reporting near by make it quotation; other hits near by make it abuse. Sums of both kinds,
@@ -35,11 +35,13 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from zonalis.llm.common import col, portions, with_fields
+from zonalis.sources.stage import staged
 
 STEM, LONGEST = 4, 24
-MIN_DOCS = 3  # toxic documents a lexicon entry is seen in at least
+MIN_DOCS, MIN_SHARE = 3, 0.01  # toxic documents a lexicon entry is seen in at least, as a number and as a share of them
 MIN_ODDS = 3.0  # log odds of an entry
-MAX_TERMS = 2000
+MAX_TERMS = 500
+BROADCAST_LABELS = 1_000_000  # up to so many labelled documents are sent to all tasks, beyond that they are joined
 MAX_ROWS = 50_000
 WINDOW = 6  # words on each side of a hit
 STATES, REMEMBERED = 50_000, 300_000
@@ -90,7 +92,7 @@ class Matcher:
         items = set(open_)
         while open_:  # leave out letters of the term
             node, e, owed = open_.pop()
-            if owed < 0 and e < self.edits[node]:
+            if node and owed < 0 and e < self.edits[node]:
                 for below in self.child[node].values():
                     item = (below, e + 1, -1)
                     if e + 1 <= self.edits[below] and item not in items:
@@ -114,7 +116,7 @@ class Matcher:
             same = self.child[node].get(c)
             if same is not None and e <= self.edits[same]:
                 found[same, e, -1] = 0
-            if e < self.edits[node]:
+            if node and e < self.edits[node]:
                 found[node, e + 1, -1] = 0  # a letter too many
                 for letter, below in self.child[node].items():
                     if e + 1 <= self.edits[below]:
@@ -254,7 +256,8 @@ def learn_lexicon(labelled: DataFrame, text: str, max_terms: int = MAX_TERMS) ->
     counted = entries.groupBy("entry").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     odds = F.log((F.col("t") + 0.5) / (F.col("n") - F.col("t") + 0.5)) - math.log((toxic + 0.5) / (all_rows - toxic + 0.5))
     # entries that are nearly always in toxic documents, best first; only these reach the driver, max_terms * 20 at most
-    best = counted.where((F.col("t") >= MIN_DOCS) & (F.col("t") >= 0.8 * F.col("n"))).withColumn("odds", odds)
+    support = max(MIN_DOCS, MIN_SHARE * toxic)
+    best = counted.where((F.col("t") >= support) & (F.col("t") >= 0.8 * F.col("n"))).withColumn("odds", odds)
     rows = best.where(F.col("odds") >= MIN_ODDS).orderBy(F.desc("t"), "entry").limit(max_terms * 20).collect()
     return chosen_entries([(r["entry"], r["t"], r["odds"]) for r in rows], max_terms)
 
@@ -307,12 +310,15 @@ def train(
     docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = MAX_ROWS
 ) -> Model:
     """Lexicon and weights from the labelled rows that are not held out."""
-    labelled = docs.join(_training(labels, key, label), col(key) == F.col("_id"))
-    terms = learn_lexicon(labelled, text)
+    truth = staged(_training(labels, key, label), "training_labels")
+    if truth.count() <= BROADCAST_LABELS:
+        truth = F.broadcast(truth)
+    labelled = docs.select(col(key).alias("_key"), col(text).alias("_text")).join(truth, F.col("_key") == F.col("_id"))
+    terms = learn_lexicon(labelled, "_text")
     if not terms:
         return Model({}, ())
     sample = (
-        labelled.select("_id", (F.col("_toxic") > 0).cast("int").alias("_y"), _features(terms)(col(text)).alias("_x"))
+        labelled.select("_id", (F.col("_toxic") > 0).cast("int").alias("_y"), _features(terms)(F.col("_text")).alias("_x"))
         .orderBy(F.xxhash64("_id"), "_x")
         .limit(max_rows)
         .select("_y", "_x")
@@ -321,8 +327,8 @@ def train(
     return Model(terms, fit_weights(np.array(sample["_x"].tolist(), float), sample["_y"].to_numpy(float)))
 
 
-def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``df`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
+def score(df: DataFrame, model: Model, text: str = "text", score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """``df`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on), or under other names."""
     if not model.weights:
         value = F.lit(0.0)
     else:
@@ -332,5 +338,5 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             lambda p: p["x"] * p["w"],
         )
         value = F.aggregate(found, F.lit(bias), lambda a, b: a + b, lambda s: 1 / (1 + F.exp(-s)))
-    scored = with_fields(df, F.struct(value.alias("score")), ["score"])
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = with_fields(df, F.struct(value.alias(score)), [score])
+    return scored.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
