@@ -5,17 +5,18 @@ repeated if its word sequence also starts anywhere else: in another row, or else
 that a repeated window covers is removed; windows are judged on the input.
 
 1. Every task counts its windows in a count-min sketch of ``depth`` rows. Counts are kept up to two ("once", "more"),
-   so a row is two bit maps, sent in compressed blocks of 2 ** 20 cells and merged block by block with the sums that
-   two-valued counts allow. A cell never holds less than the windows that fall into it.
-2. A window whose cells all say "more" may be repeated; all others are not. The windows that may be are grouped by a
-   hash of 128 bits, with partial counts before the shuffle. A group of one is a false alarm of the sketch, and its
-   only place is known.
+   so a row is two sets of cells, sent in blocks of 2 ** 20 cells as gaps and merged block by block. A cell never
+   holds less than the windows that fall into it. A window whose cells all say "more" may be repeated; all others are
+   not. A second sketch, with other hashes, counts only what the first lets through.
+2. The windows that both let through are grouped by a hash of 128 bits, with partial counts before the shuffle. A group
+   of one is a false alarm of the sketches, and its only place is known.
 3. Each text takes the windows that may be repeated, without its false alarms, and drops the words they cover.
 
-The merged sketch is the only thing that goes through the driver. Its size is fixed by ``depth`` and ``width_bits``
-(3 * 2 ** 28 bits, 96 MB at most, less when blocks are empty) and does not depend on the data. When there are many more
-windows than cells the sketch lets more through, and the exact pass does more of the work; no repeat is lost at
-any size.
+The merged sketches are the only thing that goes through the driver. Their size is fixed by ``depth`` and ``width_bits``
+(3 * 2 ** 27 bits or 48 MB, and half of that for the second) and does not depend on the data. When there are many
+more windows than cells (from some 5 * 10 ** 8 on) the sketches let more through, and the exact pass does more of the
+work, at about 23 bytes of shuffle a window; give a larger ``width_bits`` where executors have the memory. No repeat is
+lost at any size.
 
 NULL and empty texts have no words. Texts with fewer words than a window lose none. Two equal rows are two places, so
 their windows are repeated. Other columns are kept; one with the name of a result is replaced.
@@ -26,6 +27,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +41,11 @@ from zonalis.llm.common import col, fresh, portions, with_fields
 from zonalis.sources.stage import staged
 
 SIZE = 35
-DEPTH, WIDTH_BITS = 3, 28
+DEPTH, WIDTH_BITS = 3, 27
 BLOCK_BITS = 20
-FLUSH = 1 << 22  # windows a task holds before it sends a part of its sketch
+TEXT_BYTES = 1 << 20  # texts are worked on in portions of this size
+FLUSH = 1 << 21  # windows a task holds before it sends a part of its sketch
+BROADCAST_ALARMS = 1_000_000  # up to so many false alarms (8 MB) are sent to all tasks, beyond that they are joined
 U = np.uint64
 MODULUS = 1 << 64
 BASES = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))
@@ -96,42 +100,55 @@ def windows(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.ndarra
     return first, second, inside, ends
 
 
-def _cells(first: np.ndarray, row: int, width_bits: int) -> np.ndarray:
-    return (stirred(first, 3 + row) >> U(64 - width_bits)).astype(np.int64)
+def _cells(hashes: np.ndarray, row: int, width_bits: int) -> np.ndarray:
+    return (stirred(hashes, 3 + row) >> U(64 - width_bits)).astype(np.int64)
+
+
+def packed(cells: np.ndarray) -> bytes:
+    """Rising numbers as the gaps between them, a byte each; 255 adds 255 to the gap that the next byte ends."""
+    gaps = np.diff(cells, prepend=0)
+    ends = np.cumsum(gaps // 255 + 1) - 1
+    out = np.full(int(ends[-1]) + 1 if len(ends) else 0, 255, np.uint8)
+    out[ends] = gaps % 255
+    return out.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps < 255]
 
 
 def _sketch_parts(hashes: np.ndarray, depth: int, width_bits: int) -> Iterator[tuple[int, bytes, bytes]]:
     """Blocks of a sketch of these windows: number, cells counted, cells counted more than once."""
     block_bits = min(BLOCK_BITS, width_bits)
     cells = 1 << block_bits
+    edges = np.arange(0, (1 << width_bits) + 1, cells)
     for row in range(depth):
         found = np.sort(_cells(hashes, row, width_bits))
-        more = found[1:][found[1:] == found[:-1]]
-        cuts = np.searchsorted(found, np.arange(0, (1 << width_bits) + 1, cells))
-        cuts_more = np.searchsorted(more, np.arange(0, (1 << width_bits) + 1, cells))
+        again = found[1:] == found[:-1]
+        more = np.unique(found[1:][again])
+        once = found[np.concatenate([[True], ~again])] if len(found) else found
+        cuts, cuts_more = np.searchsorted(once, edges), np.searchsorted(more, edges)
         for b in np.flatnonzero(np.diff(cuts)):
-            maps = []
-            for own in (found[cuts[b] : cuts[b + 1]], more[cuts_more[b] : cuts_more[b + 1]]):
-                flags = np.zeros(cells, bool)
-                flags[own - b * cells] = True
-                maps.append(zlib.compress(np.packbits(flags, bitorder="little").tobytes(), 1))
-            yield (row << (width_bits - block_bits)) + int(b), *maps
+            own = once[cuts[b] : cuts[b + 1]] - b * cells, more[cuts_more[b] : cuts_more[b + 1]] - b * cells
+            yield (row << (width_bits - block_bits)) + int(b), *map(packed, own)
 
 
-def _partial_sketches(size: int, depth: int, width_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _partial_sketches(size: int, sieve: Sieve) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         count = 0
 
         def part() -> Iterator[pa.RecordBatch]:
-            for number, once, more in _sketch_parts(np.concatenate(held), depth, width_bits):
+            for number, once, more in _sketch_parts(np.concatenate(held), sieve.depth, sieve.width_bits):
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([once]), pa.array([more])], ["block", "once", "more"])
 
         for batch in batches:
-            for portion in portions(batch.column(0)):
-                first = windows(portion, size)[0]
-                held.append(first)
-                count += len(first)
+            for portion in portions(batch.column(0), TEXT_BYTES):
+                first, second, _, _ = windows(portion, size)
+                hashes = first if sieve.before is None else second[sieve.before.suspects(first, second)]
+                held.append(hashes)
+                count += len(hashes)
                 if count >= FLUSH:
                     yield from part()
                     held, count = [], 0
@@ -141,72 +158,87 @@ def _partial_sketches(size: int, depth: int, width_bits: int) -> Callable[[Itera
     return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(width_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Parts of a block come one after the other; one block is held at a time."""
-    current, once, more = None, None, None
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([zlib.compress(more.tobytes(), 1)])], ["block", "more"])
-
-    for batch in batches:
-        for number, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            new_once = np.frombuffer(zlib.decompress(a), np.uint8)
-            new_more = np.frombuffer(zlib.decompress(b), np.uint8)
-            if number == current:
-                more |= new_more | once & new_once
-                once |= new_once
-                continue
-            if current is not None and more.any():
-                yield out()
-            current, once, more = number, new_once.copy(), new_more.copy()
-    if current is not None and more.any():
-        yield out()
-
-
-def sketch(df: DataFrame, text: str, size: int, depth: int, width_bits: int) -> Broadcast:
-    """Blocks of the merged sketch that have a cell counted more than once, sent to all tasks."""
-    parts = df.select(col(text)).mapInArrow(_partial_sketches(size, depth, width_bits), "block long, once binary, more binary")
-    merged = parts.repartition("block").sortWithinPartitions("block").mapInArrow(_merge, "block long, more binary")
-    # at most depth * 2 ** (width_bits - BLOCK_BITS) rows of 128 KB, whatever the input
-    found = {r["block"]: bytes(r["more"]) for r in merged.collect()}
-    return df.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, found))
-
-
-_TABLE: dict[str, np.ndarray] = {}
-
-
-def _table(blocks: Broadcast, depth: int, width_bits: int) -> np.ndarray:
-    """The bit maps of all rows, put together once per Python worker."""
-    key, found = blocks.value
-    if key not in _TABLE:
-        _TABLE.clear()
-        block_bits = min(BLOCK_BITS, width_bits)
-        table = np.zeros(depth << (width_bits - 3) if width_bits > 3 else depth, np.uint8)
-        step = max(1, (1 << block_bits) >> 3)
-        for number, more in found.items():
-            table[number * step : (number + 1) * step] = np.frombuffer(zlib.decompress(more), np.uint8)
-        _TABLE[key] = table
-    return _TABLE[key]
-
-
-def _suspects(first: np.ndarray, table: np.ndarray, depth: int, width_bits: int) -> np.ndarray:
-    """Which windows the sketch counts more than once."""
-    which = np.arange(len(first))
-    for row in range(depth):
-        cell = _cells(first[which], row, width_bits) + (row << width_bits)
-        which = which[(table[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1]
-    return which
+    cells = 1 << min(BLOCK_BITS, width_bits)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, once, more = None, np.zeros(cells, bool), np.zeros(cells, bool)
+
+        def out() -> pa.RecordBatch:
+            bits = np.packbits(more, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([zlib.compress(bits, 1)])], ["block", "more"])
+
+        for batch in batches:
+            for number, a, b in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if number != current:
+                    if more.any():
+                        yield out()
+                    current = number
+                    once[:], more[:] = False, False
+                counted = unpacked(a)
+                more[counted[once[counted]]] = True
+                more[unpacked(b)] = True
+                once[counted] = True
+        if more.any():
+            yield out()
 
-def _candidates(size: int, blocks: Broadcast, depth: int, width_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return run
+
+
+@dataclass
+class Sieve:
+    """A merged sketch as the tasks see it: bit maps of the cells counted more than once, after an earlier sieve if any."""
+
+    depth: int
+    width_bits: int
+    before: Sieve | None = None
+    blocks: Broadcast | None = None
+
+    def fill(self, df: DataFrame, text: str, size: int) -> Sieve:
+        """Count the windows of all rows (that the earlier sieve lets through) and send the result to all tasks."""
+        parts = df.select(col(text)).mapInArrow(_partial_sketches(size, self), "block long, once binary, more binary")
+        merged = parts.repartition("block").sortWithinPartitions("block").mapInArrow(_merge(self.width_bits), "block long, more binary")
+        # at most depth * 2 ** (width_bits - BLOCK_BITS) rows of 128 KB, whatever the input
+        found = {r["block"]: bytes(r["more"]) for r in merged.collect()}
+        blocks = df.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, found))
+        return Sieve(self.depth, self.width_bits, self.before, blocks)
+
+    def table(self) -> np.ndarray:
+        """The bit maps of all rows, put together once per Python worker."""
+        key, found = self.blocks.value
+        if key not in _TABLES:
+            if len(_TABLES) >= 2:  # a sieve and the one before it
+                _TABLES.clear()
+            table = np.zeros(self.depth << self.width_bits - 3, np.uint8)
+            step = 1 << min(BLOCK_BITS, self.width_bits) - 3
+            for number, more in found.items():
+                table[number * step : (number + 1) * step] = np.frombuffer(zlib.decompress(more), np.uint8)
+            _TABLES[key] = table
+        return _TABLES[key]
+
+    def suspects(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Which windows all sketches count more than once."""
+        which = np.arange(len(first)) if self.before is None else self.before.suspects(first, second)
+        hashes = first if self.before is None else second
+        table = self.table()
+        for row in range(self.depth):
+            cell = _cells(hashes[which], row, self.width_bits) + (row << self.width_bits)
+            which = which[(table[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1]
+        return which
+
+
+_TABLES: dict[str, np.ndarray] = {}
+
+
+def _candidates(size: int, sieve: Sieve) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _table(blocks, depth, width_bits)
         for batch in batches:
             keys = batch.column(1).to_numpy()
             row = 0
-            for portion in portions(batch.column(0)):
+            for portion in portions(batch.column(0), TEXT_BYTES):
                 first, second, start, ends = windows(portion, size)
-                which = _suspects(first, table, depth, width_bits)
+                which = sieve.suspects(first, second)
                 owner = np.searchsorted(ends, start[which], "right") - 1 + row
                 row += len(portion)
                 if len(which):
@@ -218,33 +250,39 @@ def _candidates(size: int, blocks: Broadcast, depth: int, width_bits: int) -> Ca
     return run
 
 
-def _remover(size: int, blocks: Broadcast, depth: int, width_bits: int) -> Callable[[Column, Column], Column]:
+def _without(own: list[bytes], at: np.ndarray, size: int) -> tuple[int, bytes]:
+    """Number of words that the windows at these places cover, and the others, joined."""
+    if not len(at):
+        return 0, b" ".join(own)
+    steps = np.zeros(len(own) + 1, np.int64)
+    np.add.at(steps, at, 1)
+    np.add.at(steps, at + size, -1)
+    gone = np.cumsum(steps[:-1]) > 0
+    return int(gone.sum()), b" ".join([w for w, g in zip(own, gone.tolist(), strict=True) if not g])
+
+
+def _remover(size: int, sieve: Sieve) -> Callable[[Column, Column], Column]:
     @arrow_udf("struct<n_words:long,n_removed:long,kept:string>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        table = _table(blocks, depth, width_bits)
         for texts, alarms in batches:
-            n_words, n_removed, kept = [], [], []
-            row = 0
-            for portion in portions(texts):
-                first, _, start, ends = windows(portion, size)
-                which = _suspects(first, table, depth, width_bits)
-                first, start = first[which].view(np.int64), start[which]
+            rows: list[tuple[int, int, str]] = []
+            for portion in portions(texts, TEXT_BYTES):
+                first, second, start, ends = windows(portion, size)
+                which = sieve.suspects(first, second)
+                hashes, start = first[which].view(np.int64), start[which]
                 bounds = np.searchsorted(start, ends)
                 for i, text in enumerate(portion):
                     own = (text or b"").split()
-                    at, hashes = start[bounds[i] : bounds[i + 1]] - ends[i], first[bounds[i] : bounds[i + 1]]
-                    false = alarms[row].values
-                    row += 1
+                    mine = slice(bounds[i], bounds[i + 1])
+                    at = start[mine] - ends[i]
+                    false = alarms[len(rows)].values
                     if false is not None and len(false):
-                        at = at[~np.isin(hashes, false.to_numpy(zero_copy_only=False))]
-                    steps = np.zeros(len(own) + 1, np.int64)
-                    np.add.at(steps, at, 1)
-                    np.add.at(steps, at + size, -1)
-                    gone = np.cumsum(steps[:-1]) > 0
-                    n_words.append(len(own))
-                    n_removed.append(int(gone.sum()))
-                    kept.append(b" ".join([w for w, g in zip(own, gone.tolist(), strict=True) if not g] if n_removed[-1] else own).decode())
-            yield pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["n_words", "n_removed", "kept"])
+                        at = at[~np.isin(hashes[mine], false.to_numpy(zero_copy_only=False))]
+                    removed, kept = _without(own, at, size)
+                    rows.append((len(own), removed, kept.decode()))
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            types = (pa.int64(), pa.int64(), pa.string())
+            yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["n_words", "n_removed", "kept"])
 
     return run
 
@@ -254,14 +292,14 @@ def remove_repeats(df: DataFrame, text: str = "text", size: int = SIZE, depth: i
     place = fresh(df.columns, "place")
     # a window that occurs once has one place, and equal texts have none, so a hash of the text names the place
     rows = df.withColumn(place, F.xxhash64(col(text)))
-    blocks = sketch(df, text, size, depth, width_bits)
-    found = rows.select(col(text), place).mapInArrow(_candidates(size, blocks, depth, width_bits), "first long, second long, place long")
+    sieve = Sieve(depth, width_bits).fill(df, text, size)
+    sieve = Sieve(depth, width_bits - 1, sieve).fill(df, text, size)
+    found = rows.select(col(text), place).mapInArrow(_candidates(size, sieve), "first long, second long, place long")
     groups = found.groupBy("first", "second").agg(F.count("*").alias("n"), F.min("place").alias("place"))
     false = groups.where("n = 1").groupBy(F.col("place").alias(f"{place}_of")).agg(F.collect_list("first").alias(f"{place}_false"))
     false = staged(false, "false_alarms")
+    if (false.agg(F.sum(F.size(f"{place}_false"))).first()[0] or 0) <= BROADCAST_ALARMS:
+        false = F.broadcast(false)
     joined = rows.join(false, F.col(place) == F.col(f"{place}_of"), "left")
-    out = with_fields(
-        joined, _remover(size, blocks, depth, width_bits)(col(text), F.col(f"{place}_false")), ["n_words", "n_removed", "kept"]
-    )
+    out = with_fields(joined, _remover(size, sieve)(col(text), F.col(f"{place}_false")), ["n_words", "n_removed", "kept"])
     return out.drop(place, f"{place}_of", f"{place}_false")
-
