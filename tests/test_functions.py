@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import math
 
+import pytest
 from pyspark.sql import Row, SparkSession, functions as F
 
 from zonalis import functions as fn
 from zonalis.operators import selectors as sel
-from zonalis.operators.joins import attach_group_values, fan_out, left_join
+from zonalis.operators.joins import attach_group_values, fan_out, join_fold, left_join
 from zonalis.operators.reshape import stack, to_wide
 
 
@@ -85,16 +86,59 @@ def test_group_values_with_hot_and_missing_keys(spark: SparkSession) -> None:
     df = spark.createDataFrame(rows, "k string, x int")
     values = {"n": F.count(F.lit(1)), "top": F.max("x")}
     plain = sorted(map(str, attach_group_values(df, ["k"], values).collect()))
-    salted = sorted(map(str, attach_group_values(df, ["k"], values, hot_rows=100).collect()))
-    assert plain == salted and len(plain) == len(rows)
+    assert len(plain) == len(rows)
     assert str(Row(k="hot", x=3, n=500, top=499)) in plain
     assert str(Row(k=None, x=7, n=300, top=299)) in plain
     extra = spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3)], "k string, e int")
-    also = attach_group_values(df, ["k"], values, hot_rows=100, also=extra)
+    also = attach_group_values(df, ["k"], values, also=extra)
     assert also.count() == 2 * 500 + 300 + 50
     assert also.filter("k IS NULL AND e = 3").count() == 300 and also.filter("k = 'hot' AND e = 2").count() == 500
 
 
+@pytest.mark.parametrize("one_key", [False, True])
+def test_hot_keys_are_split_however_many(spark: SparkSession, one_key: bool) -> None:
+    """200 keys with many rows each, or one key with two thirds of all: the largest join task stays small."""
+    settings = {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        hot = F.when(F.col("id") % 3 > 0, F.lit(0)) if one_key else F.when(F.col("id") % 3 > 0, F.col("id") % 200)
+        rows = spark.range(0, n, 1, 24).select(hot.otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+        out = attach_group_values(rows, ["k"], {"n": F.count(F.lit(1))}).withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in out.groupBy("task").agg(F.count("*").alias("count"), F.sum("x")).collect()]
+        assert sum(sizes) == n
+        # without the split the rows of the one key would meet in one task
+        assert max(sizes) < 0.3 * n and len(sizes) > 5
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_folds_match_missing_keys(spark: SparkSession) -> None:
+    a = spark.createDataFrame([("r", 1), (None, 2)], "radio string, a int")
+    b = spark.createDataFrame([("r", 3), (None, 4)], "radio string, b int")
+    c = spark.createDataFrame([("q", 5), (None, 6)], "radio string, c int")
+    rows = {tuple(r) for r in join_fold([a, b, c], ["radio"]).collect()}
+    assert rows == {("r", 1, 3, None), (None, 2, 4, 6)}
+
+
+def test_a_second_row_for_key_and_label_is_an_error(spark: SparkSession) -> None:
+    df = spark.createDataFrame([(1, "a", 5), (1, "a", 6), (2, None, 7), (2, None, 8)], "k int, name string, v int")
+    with pytest.raises(Exception, match="more than one row"):
+        to_wide(df, ["k"], "name", "v", ["a"]).collect()
+    assert {tuple(r) for r in to_wide(df.where("v <> 6"), ["k"], "name", "v", ["a"]).collect()} == {(1, 5), (2, None)}
+
+
 def test_left_join_matches_missing_keys_and_fans_out(spark: SparkSession) -> None:
     a = spark.createDataFrame([(1,), (None,)], "k int")
     b = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "k int, v string")

@@ -25,6 +25,7 @@ def test_rows_equal(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: s
 
 def test_every_query_has_sql() -> None:
     assert set(oracles()) == set(queries())
+    assert set(contract.queries()) >= set(queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark: SparkSession) -> None:

@@ -120,15 +120,14 @@ def clipped_area(a: Ring, b: Ring) -> float:
     return total
 
 
-@pytest.mark.parametrize(("hot_rows", "hot_pairs"), [(10**9, 10**9), (2, 2)])
-def test_overlay_of_random_stars(spark: SparkSession, monkeypatch: pytest.MonkeyPatch, hot_rows: int, hot_pairs: int) -> None:
-    """All sizes, with edges cut into small pieces; with and without salting."""
+def test_overlay_of_random_stars(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    """All sizes, with edges cut into small pieces."""
     monkeypatch.setattr(spatial, "EDGES_PER_PIECE", 4)
     rng = random.Random(5)
     a, b = {k: star(rng, 6) for k in range(40)}, {k: star(rng, 6) for k in range(100, 140)}
     got = areas(
         spatial.overlay(
-            polygons(spark, {k: [r] for k, r in a.items()}), polygons(spark, {k: [r] for k, r in b.items()}), hot_rows, hot_pairs
+            polygons(spark, {k: [r] for k, r in a.items()}), polygons(spark, {k: [r] for k, r in b.items()})
         )
     )
     want = {(i, j): clipped_area(ra, rb) for i, ra in a.items() for j, rb in b.items()}
@@ -145,8 +144,7 @@ def test_overlay_is_symmetric(spark: SparkSession) -> None:
     assert forth == pytest.approx({(i, j): v for (j, i), v in back.items()})
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 3])
-def test_box_pairs_each_once(spark: SparkSession, hot_rows: int) -> None:
+def test_box_pairs_each_once(spark: SparkSession) -> None:
     rng = random.Random(3)
 
     def boxes(first: int) -> dict[int, list[Ring]]:
@@ -162,7 +160,7 @@ def test_box_pairs_each_once(spark: SparkSession, hot_rows: int) -> None:
     pairs = [
         (r.a, r.b)
         for r in spatial.box_pairs(
-            spatial.polygon_boxes(polygons(spark, a)), spatial.polygon_boxes(polygons(spark, b)), hot_rows
+            spatial.polygon_boxes(polygons(spark, a)), spatial.polygon_boxes(polygons(spark, b))
         ).collect()
     ]
     want = {
@@ -174,13 +172,14 @@ def test_box_pairs_each_once(spark: SparkSession, hot_rows: int) -> None:
     assert len(pairs) == len(set(pairs)) and set(pairs) == want
 
 
-@pytest.mark.parametrize("hot_rows", [None, 5])
-def test_points_in_polygons(spark: SparkSession, hot_rows: int | None) -> None:
+@pytest.mark.parametrize("edges_per_piece", [512, 2])
+def test_points_in_polygons(spark: SparkSession, monkeypatch: pytest.MonkeyPatch, edges_per_piece: int) -> None:
+    monkeypatch.setattr(spatial, "EDGES_PER_PIECE", edges_per_piece)
     rng = random.Random(2)
     shapes = {k: star(rng, 5) for k in range(30)}
     points = [(i, rng.uniform(-6, 6), rng.uniform(-6, 6)) for i in range(300)] + [(1000 + i, 0.25, 0.25) for i in range(50)]
     frame = spark.createDataFrame(points, "p int, x double, y double")
-    got = spatial.points_in_polygons(frame, polygons(spark, {k: [r] for k, r in shapes.items()}), ["p"], hot_rows)
+    got = spatial.points_in_polygons(frame, polygons(spark, {k: [r] for k, r in shapes.items()}), ["p"])
     xs, ys = np.array([p[1] for p in points]), np.array([p[2] for p in points])
     want = {(points[i][0], k) for k, r in shapes.items() for i in np.flatnonzero(inside(r, xs, ys))}
     assert {(r.p, r.id) for r in got.collect()} == want
@@ -229,6 +228,23 @@ def test_repair_and_check(spark: SparkSession) -> None:
     assert sorted(r.id for r in good.collect()) == [1, 3] and [r.id for r in bad.collect()] == [2]
 
 
+def test_parts_and_islands_keep_their_area(spark: SparkSession) -> None:
+    """Outer rings and holes are told apart by what holds them, not by their order."""
+    apart = [box(0, 0, 1, 1), box(3, 0, 4, 1)]
+    nested = [box(1, 1, 9, 9), box(2, 2, 3, 3), box(0, 0, 10, 10), box(4, 4, 5, 5)]  # a hole with two islands, shuffled
+    touching = [box(0, 0, 1, 1), box(1, 0, 3, 1)]  # a shared edge is not nesting
+    df = polygons(spark, {1: apart, 2: nested, 3: touching, 4: [r[::-1] for r in apart]})
+    found = {r.id: r.area for r in repair(df).select("id", shoelace(F.col("rings")).alias("area")).collect()}
+    assert found == {1: 2.0, 2: 100.0 - 64.0 + 2.0, 3: 3.0, 4: 2.0}
+
+
+def test_shares_of_a_tract_in_two_parts(spark: SparkSession) -> None:
+    tracts = repair(polygons(spark, {1: [box(0, 0, 2, 1), box(10, 0, 11, 1)]})).withColumn("id_radio", F.lit("t"))
+    zones = polygons(spark, {1: [box(0, 0, 5, 5)], 2: [box(9, 0, 12, 5)]}).withColumn("id_circuito", F.col("id").cast("string"))
+    shares = {r.id_circuito: r.por_radio for r in overlay_shares(tracts, zones).collect()}
+    assert shares == {"1": 0.66667, "2": 0.33333}
+
+
 def test_published_transverse_mercator_point(spark: SparkSession) -> None:
     """Worked example of the British National Grid in the EPSG guidance notes."""
     grid = TransverseMercator(-2.0, 49.0, 0.9996012717, 400000.0, -100000.0, AIRY1830)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession, functions as F, types as T
 
 from zonalis import schemas
-from zonalis.plans.census import category_files, census_wide, fan_in, total_files
+from zonalis.plans.census import category_files, census_wide, fan_in, total_files, within_first
 from zonalis.plans.final import census_percentages, final_table, interpolate
 from zonalis.plans.geography import full_lookup, overwrite_province
 from zonalis.session import stage_root
@@ -92,6 +94,16 @@ def test_links(spark: SparkSession) -> None:
     assert [r.href for r in links.data_files(found).collect()] == ["HOGAR-ALGUNBI.csv"]
 
 
+def test_links_of_all_forms(spark: SparkSession) -> None:
+    html = """<A HREF=a.csv>1</A> <a href = 'b c.csv' >2</a> <a data-href="no.csv">-</a> <!-- <a href="no.csv"> --> <abbr href="no.csv">
+      <a title="x > y" href="c.csv?p=1&amp;q=2">3</a> <a
+      href="d.csv"
+      class=x>4</a> <a name=top>-</a> <a href=''>-</a><a title="href=no.csv" href=e.csv>5</a><a href="f&quot;.csv"/>"""
+    found = links.harvest_links(spark.createDataFrame([(1, html), (2, None), (3, "")], "page int, html string"))
+    got = [r.href for r in found.orderBy("page", "position").collect()]
+    assert got == ["a.csv", "b c.csv", "c.csv?p=1&q=2", "d.csv", "", "e.csv", 'f".csv']
+
+
 def test_province_overwrite_is_per_file(spark: SparkSession) -> None:
     df = spark.createDataFrame([("f1", "Río Negro", "62"), ("f1", None, "62"), ("f2", "Chaco", "22"), ("f3", None, "10")], "source_file string, provincia string, indec_p string")
     assert sorted(r.indec_p for r in overwrite_province(df).collect()) == ["10", "22", "63", "63"]
@@ -137,7 +149,31 @@ def test_lookup_interpolation_and_final(spark: SparkSession) -> None:
 
 
 def test_stage_root_comes_from_the_session(spark: SparkSession) -> None:
-    assert stage_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert stage_root(spark) == f"{spark.conf.get('spark.checkpoint.dir')}/stages-{spark.sparkContext.applicationId}"
+
+
+def test_staged_tables_go_with_the_application(tmp_path: Path) -> None:
+    """Nothing is left in the shared folder."""
+    script = f"""
+from zonalis.session import build_session
+from zonalis.sources.stage import staged
+spark = build_session("local[1]", **{{"spark.checkpoint.dir": "{tmp_path}/shared"}})
+table = staged(spark.range(5), "numbers")
+print("AT", table.inputFiles()[0], table.count())
+spark.stop()
+"""
+    out = subprocess.run([sys.executable, "-c", script], cwd=Path(__file__).parents[1], capture_output=True, text=True, timeout=300)
+    assert f"{tmp_path}/shared/stages-" in out.stdout and out.stdout.strip().endswith(" 5"), out.stderr[-2000:]
+    assert not list(tmp_path.glob("shared/stages-*"))
+
+
+def test_census_of_tracts_that_the_first_file_lacks(spark: SparkSession) -> None:
+    first = spark.createDataFrame([("t1", 5)], "radio string, per_a int")
+    second = spark.createDataFrame([("t1", 1), ("t2", 7)], "radio string, per_b int")
+    long = within_first([first, second])
+    assert {tuple(r) for r in long.collect()} == {("t1", "per_a", 5), ("t1", "per_b", 1)}
+    lookup = spark.createDataFrame([("t1", "c", 1.0), ("t2", "c", 1.0)], "id_radio string, id_circuito_elec string, por_radio double")
+    assert tuple(interpolate(lookup, long, ["per_a", "per_b"]).first()) == ("c", 5.0, 1.0)
 
 
 def test_totals_over_covered_zones_are_kept(spark: SparkSession) -> None:

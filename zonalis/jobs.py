@@ -68,7 +68,8 @@ def prepare_census(
     folder = f"{data}/census"
     categories = census_plan.category_files(spark, folder, prefixes)
     whole = census_plan.total_files(spark, folder, totals)
-    write_stage(census_plan.fan_in([*categories, *whole]), f"{out}/census_long")
+    long = census_plan.within_first(categories).unionByName(census_plan.within_first(whole))
+    write_stage(long, f"{out}/census_long")
     write_stage(census_plan.census_wide(categories), f"{out}/census_wide")
     write_stage(census_plan.census_wide(whole), f"{out}/census_totals")
 

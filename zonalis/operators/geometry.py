@@ -65,10 +65,10 @@ def shoelace(rings: Column) -> Column:
     )
 
 
-def on_or_inside(sides: str, x: str, y: str) -> Column:
-    """Whether a point lies inside the polygon with these edges, or on its boundary.
+def edge_state(sides: str, x: str, y: str) -> Column:
+    """0 or 1: even or odd number of these edges crossed to the right of a point; 2: the point is on an edge.
 
-    Arguments are column names; ``sides`` as made by :func:`edges`.
+    Arguments are column names; ``sides`` as made by :func:`edges`, all or some of a polygon's.
     """
     crosses = (
         f"(e.y1 > {y}) <> (e.y2 > {y}) AND "
@@ -79,9 +79,30 @@ def on_or_inside(sides: str, x: str, y: str) -> Column:
         f"AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
         f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))"
     )
-    # 0 and 1: edges crossed so far, even or odd; 2: on an edge
     state = f"CASE WHEN s = 2 OR {touches} THEN 2 WHEN {crosses} THEN 1 - s ELSE s END"
-    return F.expr(f"aggregate({sides}, 0, (s, e) -> {state}) > 0")
+    return F.expr(f"aggregate({sides}, 0, (s, e) -> {state})")
+
+
+def holds(ring: Column, x: Column, y: Column) -> Column:
+    """Whether a point lies inside a ring or on it."""
+    state = F.aggregate(
+        edges(F.array(ring)),
+        F.lit(0),
+        lambda s, e: F.when((s == 2) | _on(e, x, y), F.lit(2)).when(_right_of(e, x, y), 1 - s).otherwise(s),
+    )
+    return state > 0
+
+
+def _on(e: Column, x: Column, y: Column) -> Column:
+    straight = (e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"])
+    return straight & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(
+        F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+    )
+
+
+def _right_of(e: Column, x: Column, y: Column) -> Column:
+    at = e["x1"] + F.coalesce(F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]), F.lit(0.0))
+    return ((e["y1"] > y) != (e["y2"] > y)) & (x < at)
 
 
 def box_overlap_area(a: Column, b: Column) -> Column:

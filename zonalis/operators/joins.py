@@ -1,4 +1,10 @@
-"""Left joins, folds of them, and joins that stay balanced when one key is hot."""
+"""Left joins, folds of them, and group values on each row.
+
+A hot key needs no plan of its own: both sides of a join are shuffled for it, so adaptive
+execution sees the sizes of all partitions and splits the large ones by the map tasks that wrote them, whatever the
+number of hot keys. ``session.SETTINGS`` turns that on. Sizes are bytes after compression, so a key whose rows are all
+equal is split later than its number of rows suggests.
+"""
 
 from __future__ import annotations
 
@@ -7,27 +13,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot from this many rows on. At most HOT_KEYS of them are split, so the list that is
-# broadcast has a fixed size; every key beyond it holds less than 1 / HOT_KEYS of the rows.
-HOT_ROWS = 2_000_000
-HOT_KEYS = 64
-SALTS = 32
-
-
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join in which a missing key matches a missing key."""
-    return _null_safe_join(left, right, keys, "left")
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     match = F.expr(" AND ".join(f"`{k}` <=> `__r_{k}`" for k in keys))
-    return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
+    return left.join(renamed, match, "left").drop(*[f"__r_{k}" for k in keys])
 
 
 def join_fold(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Left-join every further table to the first on the same keys."""
-    return reduce(lambda a, b: a.join(b, list(keys), "left"), tables)
+    """Left-join every further table to the first on the same keys; a missing key matches a missing key."""
+    return reduce(lambda a, b: left_join(a, b, keys), tables)
 
 
 def fan_out(right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -35,48 +30,8 @@ def fan_out(right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return right.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys of a ``(keys, rows)`` table, HOT_KEYS of them at most."""
-    return (
-        counts.filter(F.col(rows) >= hot_rows)
-        .orderBy(F.desc(rows), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("__hot"))
-    )
-
-
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    hot: DataFrame,
-    salt_from: Sequence[str],
-    how: str = "inner",
-    salts: int = SALTS,
-) -> DataFrame:
-    """Equi join in which the rows of ``big`` for a hot key are spread over ``salts`` tasks.
-
-    Rows of ``small`` are repeated for hot keys only. The salt is a hash of row values, so a task
-    that runs again after an executor is lost puts each row where it was. Full copies of a row share
-    a salt; adaptive skew-join splitting is left to deal with those.
-    """
-    marked = F.broadcast(hot)
-    seed = ", ".join(f"`{c}`" for c in salt_from)
-    left = left_join(big, marked, keys).withColumn(
-        "__salt", F.expr(f"if(__hot, CAST(pmod(xxhash64({seed}), {salts}) AS INT), 0)")
-    )
-    right = left_join(small, marked, keys).withColumn(
-        "__salt", F.expr(f"explode(if(__hot, sequence(0, {salts - 1}), array(0)))")
-    )
-    return _null_safe_join(left.drop("__hot"), right.drop("__hot"), [*keys, "__salt"], how).drop("__salt")
-
-
 def attach_group_values(
-    df: DataFrame,
-    keys: Sequence[str],
-    values: Mapping[str, Column],
-    hot_rows: int = HOT_ROWS,
-    also: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], also: DataFrame | None = None
 ) -> DataFrame:
     """Aggregates of the group on each of its rows, without gathering the group in one task.
 
@@ -84,12 +39,10 @@ def attach_group_values(
     one row first, and that row is joined back. A table ``also`` with the same keys is joined to the
     groups before, so that the rows of ``df`` are shuffled once for both.
     """
-    groups = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__rows"), *[v.alias(name) for name, v in values.items()]
-    )
-    hot = hot_keys(groups, keys, "__rows", hot_rows)
-    attached = groups.drop("__rows")
+    groups = df.groupBy(*keys).agg(*[v.alias(name) for name, v in values.items()])
     if also is not None:
-        attached = left_join(attached, also, keys)
-    others = [c for c in df.columns if c not in keys]
-    return salted_join(df, attached, keys, hot, others or list(keys), how="left")
+        groups = left_join(groups, also, keys)
+    # the aggregate is partitioned by the keys already; with one key more both sides get a shuffle of the join's own,
+    # which is what adaptive execution can split
+    mark = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    return left_join(df.withColumn("__h", mark), groups.withColumn("__h", mark), [*keys, "__h"]).drop("__h")

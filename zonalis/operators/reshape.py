@@ -9,8 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def to_wide(df: DataFrame, keys: Sequence[str], name: str, value: str, labels: Sequence[str]) -> DataFrame:
-    """One column per label. Labels are given, so no job is needed to find them; a NULL label gets no column."""
-    return df.groupBy(*keys).pivot(name, list(labels)).agg(F.first(value, ignorenulls=True))
+    """One column per label. Labels are given, so no job is needed to find them; a NULL label gets no column.
+
+    A second row for one key and label is an error.
+    """
+    again = F.count(F.when(F.col(f"`{name}`").isin(list(labels)), F.lit(1))) > 1
+    only = F.first(F.col(f"`{value}`"), ignorenulls=True)
+    error = F.raise_error(F.lit(f"more than one row for a key and a label of {name}"))
+    return df.groupBy(*keys).pivot(name, list(labels)).agg(F.when(again, error).otherwise(only))
 
 
 def sum_to_wide(df: DataFrame, keys: Sequence[str], name: str, value: Column, labels: Sequence[str]) -> DataFrame:

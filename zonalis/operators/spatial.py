@@ -16,40 +16,32 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from zonalis.operators.geometry import bounds, box_overlap_area, edges, on_or_inside
-from zonalis.operators.joins import HOT_ROWS, hot_keys, salted_join
+from zonalis.operators.geometry import bounds, box_overlap_area, edge_state, edges
 
 CELL = ["level", "cx", "cy"]
 # Levels are clamped to this range, which also bounds the list read by :func:`levels_of`.
 LEVEL_RANGE = (-30, 40)
 EDGES_PER_PIECE = 512
 EDGE_PAIRS_PER_STEP = 1_000_000
-# A polygon in this many pairs or more is spread over several tasks: each pair carries its edges.
-HOT_PAIRS = 50_000
-# An area below this share of the common box is rounding noise of polygons that only touch.
+# Polygons that only touch share no area, but the sums of their edge pairs round to something like 1e-16 of the room
+# of each pair. An area below this share of the common box is such noise; 0 keeps every positive sum.
 NOISE = 1e-10
 
 
-Stats = tuple[list[int], int]
-
-
 def size_level(box: str = "box") -> Column:
     lowest, highest = LEVEL_RANGE
     side = f"greatest({box}.xmax - {box}.xmin, {box}.ymax - {box}.ymin, {2.0**lowest}D)"
     return F.expr(f"least(CAST(ceil(log2({side})) AS INT), {highest})")
 
 
-def levels_of(*tables: DataFrame) -> list[Stats]:
-    """Distinct levels of each table of boxes, at most one per step of LEVEL_RANGE, and its number of rows.
+def levels_of(*tables: DataFrame) -> list[list[int]]:
+    """Distinct levels of each table of boxes, at most one per step of LEVEL_RANGE.
 
     One job for all tables; it returns one row per table and level.
     """
     sides = [t.select(F.lit(i).alias("side"), size_level().alias("level")) for i, t in enumerate(tables)]
-    rows = reduce(DataFrame.unionAll, sides).groupBy("side", "level").agg(F.count(F.lit(1)).alias("rows")).collect()
-    return [
-        (sorted(r.level for r in rows if r.side == i), sum(r.rows for r in rows if r.side == i))
-        for i in range(len(tables))
-    ]
+    rows = reduce(DataFrame.unionAll, sides).distinct().collect()
+    return [sorted(r.level for r in rows if r.side == i) for i in range(len(tables))]
 
 
 def _cell(value: str, level: str = "level") -> str:
@@ -69,9 +61,7 @@ def _int_array(values: Sequence[int]) -> str:
     return f"CAST(array({', '.join(map(str, values))}) AS ARRAY<INT>)"
 
 
-def box_pairs(
-    left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS, stats: list[Stats] | None = None
-) -> DataFrame:
+def box_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs ``(a, b, abox, bbox)`` of ids whose boxes share an area.
 
     Inputs have columns ``id`` and ``box``; ids must be unique per table. Each side lists its boxes
@@ -80,7 +70,7 @@ def box_pairs(
     is emitted only in the cell that holds the lower left corner of the shared box, so none appears
     twice.
     """
-    (a_levels, a_rows), (b_levels, b_rows) = stats or levels_of(left, right)
+    a_levels, b_levels = levels_of(left, right)
 
     def listed(boxes: DataFrame, side: str, other: str, levels: Sequence[int], above: str) -> DataFrame:
         own = boxes.select("id", "box", size_level().alias("own"))
@@ -92,15 +82,7 @@ def box_pairs(
 
     a_cells = listed(left, "a", "b", b_levels, ">")
     b_cells = listed(right, "b", "a", a_levels, ">=")
-    keys = ["fine", *CELL]
-    if (a_rows + b_rows) * len({*a_levels, *b_levels}) * 4 < hot_rows:
-        joined = a_cells.join(b_cells, keys)
-    else:
-        fine = a_cells.filter("fine = 'a'").select(*keys).unionByName(b_cells.filter("fine = 'b'").select(*keys))
-        hot = hot_keys(fine.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")), keys, "rows", hot_rows)
-        by_a = salted_join(a_cells.filter("fine = 'a'"), b_cells.filter("fine = 'a'"), keys, hot, ["a"])
-        by_b = salted_join(b_cells.filter("fine = 'b'"), a_cells.filter("fine = 'b'"), keys, hot, ["b"])
-        joined = by_a.unionByName(by_b)
+    joined = a_cells.join(b_cells, ["fine", *CELL])
     xlo, ylo = "greatest(abox.xmin, bbox.xmin)", "greatest(abox.ymin, bbox.ymin)"
     return joined.filter(
         f"{xlo} < least(abox.xmax, bbox.xmax) AND {ylo} < least(abox.ymax, bbox.ymax) "
@@ -125,13 +107,9 @@ def _edge_pieces(polygons: DataFrame, prefix: str) -> DataFrame:
             ),
         )
     )
-    pieces = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("sides"), F.lit(1)), F.lit(EDGES_PER_PIECE)),
-        lambda start: F.slice(F.col("sides"), start, F.lit(EDGES_PER_PIECE)),
-    )
     return (
         polygons.select(F.col("id").alias(prefix), ordered.alias("sides"))
-        .select(prefix, F.explode(pieces).alias("piece"))
+        .select(prefix, F.explode(_pieces(F.col("sides"))).alias("piece"))
         .filter(F.size("piece") > 0)
         .select(
             prefix,
@@ -207,70 +185,60 @@ def _piece_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with_edges(
-    pairs: DataFrame, pieces: DataFrame, side: str, partner: str, hot_pairs: int, partners: int
-) -> DataFrame:
-    """Edges of one side on each pair. A polygon has no more pairs than the other side has polygons, so
-    it can only be hot if that table is large."""
-    if partners < hot_pairs:
-        return pairs.join(pieces, side)
-    counts = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("rows"))
-    return salted_join(pairs, pieces, [side], hot_keys(counts, [side], "rows", hot_pairs), [partner])
-
-
-def overlay(
-    left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS, hot_pairs: int = HOT_PAIRS
-) -> DataFrame:
+def overlay(left: DataFrame, right: DataFrame, noise: float = NOISE) -> DataFrame:
     """Area shared by every pair of polygons that overlap: ``(a, b, area)``.
 
     Inputs have columns ``id`` (unique) and ``rings``. Only ids and boxes go through the grid join;
     the edges are joined to the pairs afterwards, in pieces of bounded size, so a polygon with very
-    many vertices becomes several rows and not one long task.
+    many vertices becomes several rows and not one long task. Pieces of a pair meet only if their ranges
+    of x overlap. ``noise`` is the share of the common box from which on an area counts.
     """
     room = box_overlap_area(F.col("abox"), F.col("bbox")).alias("room")
-    left_boxes, right_boxes = polygon_boxes(left), polygon_boxes(right)
-    stats = levels_of(left_boxes, right_boxes)
-    pairs = box_pairs(left_boxes, right_boxes, hot_rows, stats).select("a", "b", room)
-    with_a = _with_edges(pairs, _edge_pieces(left, "a"), "a", "b", hot_pairs, stats[1][1])
-    with_both = _with_edges(with_a, _edge_pieces(right, "b"), "b", "a", hot_pairs, stats[0][1])
-    pieces = with_both.filter("alo < bhi AND blo < ahi").select("a", "b", "room", "a_edges", "b_edges")
+    pairs = box_pairs(polygon_boxes(left), polygon_boxes(right)).select("a", "b", room)
+    with_a = pairs.join(_edge_pieces(left, "a"), "a")
+    b_pieces = _edge_pieces(right, "b")
+    near = (with_a["b"] == b_pieces["b"]) & (F.col("alo") < F.col("bhi")) & (F.col("blo") < F.col("ahi"))
+    pieces = with_a.join(b_pieces, near).select("a", with_a["b"], "room", "a_edges", "b_edges")
     id_types = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
     areas = pieces.mapInArrow(_piece_areas, f"a {id_types['a']}, b {id_types['b']}, room double, area double")
     return (
         areas.groupBy("a", "b")
         .agg(F.sum("area").alias("area"), F.max("room").alias("room"))
-        .filter(F.col("area") > F.col("room") * NOISE)
+        .filter(F.col("area") > F.col("room") * noise)
         .select("a", "b", "area")
     )
 
 
-def box_overlay(left: DataFrame, right: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def box_overlay(left: DataFrame, right: DataFrame) -> DataFrame:
     """:func:`overlay` for axis-parallel boxes, without leaving the JVM."""
-    return box_pairs(left, right, hot_rows).select(
+    return box_pairs(left, right).select(
         "a", "b", box_overlap_area(F.col("abox"), F.col("bbox")).alias("area")
     )
 
 
-def points_in_polygons(
-    points: DataFrame, polygons: DataFrame, keep: Sequence[str], hot_rows: int | None = None
-) -> DataFrame:
+def points_in_polygons(points: DataFrame, polygons: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Pairs of a point (columns ``keep``, ``x``, ``y``) and the id of a polygon that holds it.
 
     Points on a boundary belong to every polygon that touches them. Equal points are tested once each:
-    reduce them to distinct rows first. A cell with very many points is split by adaptive skew-join
-    handling; with ``hot_rows`` it is also salted, at the price of a second pass over the points.
+    reduce them to distinct rows first. Only boxes go through the grid join. The edges are attached to the
+    pairs afterwards in pieces of bounded size, each tells on which side of how many edges the point is, and
+    the pieces of a pair are added up.
     """
-    # edges are listed once per polygon here, not once per point after the join
-    boxes = polygons.select("id", edges(F.col("rings")).alias("sides"), bounds(F.col("rings")).alias("box"))
-    [(levels, _)] = levels_of(boxes)
+    boxes = polygon_boxes(polygons)
+    [levels] = levels_of(boxes)
     at = points.selectExpr(*keep, "x", "y", f"explode({_int_array(levels)}) AS level").selectExpr(
         *keep, "x", "y", "level", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy"
     )
     cells = _in_cells(boxes.withColumn("level", size_level()))
-    if hot_rows is None:
-        joined = at.join(cells, CELL)
-    else:
-        hot = hot_keys(at.groupBy(*CELL).agg(F.count(F.lit(1)).alias("rows")), CELL, "rows", hot_rows)
-        joined = salted_join(at, cells, CELL, hot, [*keep, "x", "y"])
     near = "x BETWEEN box.xmin AND box.xmax AND y BETWEEN box.ymin AND box.ymax"
-    return joined.filter(near).filter(on_or_inside("sides", "x", "y")).select(*keep, "x", "y", "id")
+    pairs = at.join(cells, CELL).filter(near).select(*keep, "x", "y", "id")
+    pieces = polygons.select("id", F.explode(_pieces(edges(F.col("rings")))).alias("sides"))
+    sides = pairs.join(pieces, "id").select(*keep, "x", "y", "id", edge_state("sides", "x", "y").alias("state"))
+    added = sides.groupBy(*keep, "x", "y", "id").agg(F.max("state").alias("touches"), F.sum("state").alias("crossed"))
+    return added.filter("touches = 2 OR crossed % 2 = 1").select(*keep, "x", "y", "id")
+
+
+def _pieces(sides: Column) -> Column:
+    """An array cut into arrays of EDGES_PER_PIECE at most."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(sides), F.lit(1)), F.lit(EDGES_PER_PIECE))
+    return F.transform(starts, lambda start: F.slice(sides, start, F.lit(EDGES_PER_PIECE)))

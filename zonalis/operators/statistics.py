@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ Z_975 = 1.959963984540054
 LINE_POINTS = 80
 VOTE_AXIS = (0.0, 80.0)
 
-TASKS_PER_CORE = 4
+EXACT_T = 30
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -22,14 +23,34 @@ def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return df.na.drop("any", subset=list(columns or df.columns))
 
 
-def _partial_moments(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    upper = np.triu_indices(width + 1)
+@dataclass(frozen=True)
+class Centre:
+    """Number of rows, and of each column the mean (of a constant column the constant itself)."""
+
+    rows: int
+    means: tuple[float, ...]
+
+
+def centre_of(df: DataFrame, columns: Sequence[str]) -> Centre:
+    """What is taken off the columns before products are summed: sums of raw products lose what a large mean hides.
+
+    One row reaches the driver.
+    """
+    parts = [f(F.col(f"`{c}`").cast("double")) for c in columns for f in (F.avg, F.min, F.max)]
+    count, *found = df.agg(F.count(F.lit(1)), *parts).first()
+    triples = [found[i : i + 3] for i in range(0, len(found), 3)]
+    return Centre(count, tuple(low if low == high else mean for mean, low, high in triples) if count else (0.0,) * len(columns))
+
+
+def _partial_moments(centre: Centre) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    upper = np.triu_indices(len(centre.means) + 1)
+    means = np.array(centre.means)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             columns = [np.asarray(c, dtype=float) for c in batch.columns[1:]]
-            rows = np.column_stack([np.ones(batch.num_rows), *columns])
+            rows = np.column_stack([np.ones(batch.num_rows), np.column_stack(columns) - means])
             folds = np.asarray(batch.column(0))
             for fold in np.unique(folds):
                 part = rows[folds == fold]
@@ -48,64 +69,65 @@ def _partial_moments(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def moment_sums(df: DataFrame, columns: Sequence[str], fold: Column | None = None) -> DataFrame:
-    """Sums of products ``(fold, i, j, v)`` of a leading 1 and the columns, ``i <= j``.
+def moment_sums(df: DataFrame, columns: Sequence[str], centre: Centre, fold: Column | None = None) -> DataFrame:
+    """Sums of products ``(fold, i, j, v)`` of a leading 1 and the centred columns, ``i <= j``.
 
-    Each task reduces its rows to one small triangle per fold before the shuffle. Several input splits
-    share a task, so the number of triangles follows the number of cores and not the size of the input.
+    Each task reduces its rows to one small triangle per fold before the shuffle, and the triangles are added up
+    cell by cell.
     """
-    tasks = df.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
-    marked = df.coalesce(tasks).select(
+    marked = df.select(
         (F.lit(0) if fold is None else fold).cast("int").alias("fold"),
         *[F.col(f"`{c}`").cast("double").alias(c) for c in columns],
     )
-    partial = marked.mapInArrow(_partial_moments(len(columns)), "fold int, i int, j int, v double")
+    partial = marked.mapInArrow(_partial_moments(centre), "fold int, i int, j int, v double")
     return partial.groupBy("fold", "i", "j").agg(F.sum("v").alias("v"))
 
 
-def moment_matrices(df: DataFrame, columns: Sequence[str], fold: Column | None = None) -> dict[int, np.ndarray]:
+def moment_matrices(
+    df: DataFrame, columns: Sequence[str], centre: Centre, fold: Column | None = None
+) -> dict[int, np.ndarray]:
     """:func:`moment_sums` as one symmetric matrix per fold; its size depends on the columns only."""
     size = len(columns) + 1
+    cells = moment_sums(df, columns, centre, fold).toArrow()
+    folds, i, j, v = (cells.column(c).to_numpy() for c in ("fold", "i", "j", "v"))
     matrices: dict[int, np.ndarray] = {}
-    for r in moment_sums(df, columns, fold).collect():
-        m = matrices.setdefault(r.fold, np.zeros((size, size)))
-        m[r.i, r.j] = m[r.j, r.i] = r.v
+    for fold_number in np.unique(folds).tolist():
+        m = matrices[fold_number] = np.zeros((size, size))
+        own = folds == fold_number
+        m[i[own], j[own]] = m[j[own], i[own]] = v[own]
     return matrices
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def correlation_matrix(
+    df: DataFrame, columns: Sequence[str], rows: Sequence[str] | None = None, others: Sequence[str] | None = None
+) -> DataFrame:
     """Pearson correlations of the complete rows, long: ``(var, var_cor, corr)``.
 
-    A constant column has no correlation: NULL.
+    Of ``rows`` with ``others``, by default of all columns with all; complete rows are those without a gap in any of
+    ``columns``. A constant column has no correlation: NULL.
     """
-    moments = moment_sums(complete_rows(df.select(*[F.col(f"`{c}`") for c in columns])), columns)
-    width = len(columns)
-    # one row that holds the whole triangle: (width + 1) * (width + 2) / 2 numbers
-    packed = moments.agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("i") * (width + 1) + F.col("j"), "v"))).alias("m")
-    )
-    names = F.array(*[F.lit(c) for c in columns])
-    pairs = packed.select(
-        "m", F.explode(F.sequence(F.lit(1), F.lit(width))).alias("i")
-    ).select("m", "i", F.explode(F.sequence(F.lit(1), F.lit(width))).alias("j"))
-
-    def moment(i: Column, j: Column) -> Column:
-        return F.try_element_at("m", F.least(i, j) * (width + 1) + F.greatest(i, j))
-
-    i, j, zero = F.col("i"), F.col("j"), F.lit(0)
-    n = moment(zero, zero)
-
-    def co_moment(a: Column, b: Column) -> Column:
-        return moment(a, b) - moment(zero, a) * moment(zero, b) / n
-
-    spread = F.sqrt(co_moment(i, i) * co_moment(j, j))
-    return pairs.select(
-        F.get(names, i - 1).alias("var"),
-        F.get(names, j - 1).alias("var_cor"),
-        F.when(i == j, F.when(co_moment(i, i) > 0, F.lit(1.0)))
-        .otherwise(F.try_divide(co_moment(i, j), spread))
-        .alias("corr"),
+    whole = complete_rows(df.select(*[F.col(f"`{c}`") for c in columns]))
+    centre = centre_of(whole, columns)
+    cells = moment_sums(whole, columns, centre)
+    n = F.lit(max(centre.rows, 1))
+    # of each column the sum of its differences to the centre, which is rounding only, and the sum of their squares
+    own = cells.where("j > 0 AND (i = 0 OR i = j)").groupBy("j").agg(
+        F.sum(F.when(F.col("i") == 0, F.col("v"))).alias("s"), F.sum(F.when(F.col("i") > 0, F.col("v"))).alias("q")
     )
+    own = own.select(F.col("j").alias("k"), "s", F.sqrt(F.greatest(F.col("q") - F.col("s") * F.col("s") / n, F.lit(0.0))).alias("d"))
+    first = own.select(F.col("k").alias("i"), F.col("s").alias("s_i"), F.col("d").alias("d_i"))
+    second = own.select(F.col("k").alias("j"), F.col("s").alias("s_j"), F.col("d").alias("d_j"))
+    both = cells.where("i > 0")
+    both = both.unionByName(both.where("i < j").select("fold", F.col("j").alias("i"), F.col("i").alias("j"), "v")).drop("fold")
+
+    def numbered(chosen: Sequence[str] | None, number: str, name: str) -> Column:
+        return F.explode(F.array(*[F.struct(F.lit(k).alias(number), F.lit(c).alias(name)) for k, c in enumerate(columns, 1) if chosen is None or c in chosen]))
+
+    asked = df.sparkSession.range(1).select(numbered(rows, "i", "var").alias("a")).select("a.*", numbered(others, "j", "var_cor").alias("b"))
+    wide = asked.select("i", "var", "b.*").join(both, ["i", "j"], "left").join(first, "i", "left").join(second, "j", "left")
+    shared = F.try_divide(F.col("v") - F.col("s_i") * F.col("s_j") / n, F.col("d_i") * F.col("d_j"))
+    corr = F.when(F.col("i") == F.col("j"), F.when(F.col("d_i") > 0, F.lit(1.0))).otherwise(shared)
+    return wide.select("var", "var_cor", corr.alias("corr"))
 
 
 def has_prefix(column: Column, prefixes: Sequence[str]) -> Column:
@@ -158,8 +180,27 @@ def regression_lines(df: DataFrame, facet: str, x: str, y: str) -> DataFrame:
     return moments.withColumn("sigma", F.expr("if(n > 2, sqrt(greatest(rss, 0D) / (n - 2)), NULL)")).drop("rss")
 
 
+def exact_t(df: int, p: float) -> float:
+    """Student quantile for a whole number of degrees of freedom, by halving an interval around it."""
+
+    def inside(t: float) -> float:
+        """Probability between -t and t, a finite sum."""
+        angle = math.atan(t / math.sqrt(df))
+        term = total = math.sin(angle) * (math.cos(angle) if df % 2 else 1.0)
+        for k in range(2 + df % 2, df - 1, 2):
+            term *= math.cos(angle) ** 2 * (k - 1) / k
+            total += term
+        return 2 / math.pi * (angle + (total if df > 1 else 0.0)) if df % 2 else total
+
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if inside(middle) < 2 * p - 1 else (low, middle)
+    return (low + high) / 2
+
+
 def t_quantile(df: Column, z: float = Z_975) -> Column:
-    """Student quantile: exact for one and two degrees of freedom, else the expansion in ``1 / df``."""
+    """Student quantile: exact up to EXACT_T degrees of freedom, the expansion in ``1 / df`` beyond them."""
     p = 0.5 * (1 + math.erf(z / math.sqrt(2)))
     terms = [
         (z**3 + z) / 4,
@@ -170,8 +211,8 @@ def t_quantile(df: Column, z: float = Z_975) -> Column:
     series = F.lit(z)
     for power, term in enumerate(terms, 1):
         series = series + F.lit(term) / F.pow(df, F.lit(power))
-    two = (2 * p - 1) * math.sqrt(2 / (4 * p * (1 - p)))
-    return F.when(df == 1, F.lit(math.tan(math.pi * (p - 0.5)))).when(df == 2, F.lit(two)).when(df > 2, series)
+    exact = F.array(*[F.lit(exact_t(n, p)) for n in range(1, EXACT_T + 1)])
+    return F.when(df.between(1, EXACT_T), F.get(exact, (df - 1).cast("int"))).when(df > EXACT_T, series)
 
 
 def band(lines: DataFrame, facet: str, points: int = LINE_POINTS) -> DataFrame:

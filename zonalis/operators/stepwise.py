@@ -13,12 +13,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from zonalis.operators.statistics import SCORE_TYPE, TASKS_PER_CORE, complete_rows, moment_matrices
+from zonalis.operators.statistics import SCORE_TYPE, centre_of, complete_rows, moment_matrices
 
 FOLDS = 10
 MAX_SIZE = 10
 REPORTED_SIZE = 4
-MAX_COLUMNS = 1000
 # A candidate whose variance is explained to this degree by the chosen ones is redundant.
 TOLERANCE = 1e-7
 GAIN_DIGITS = 10
@@ -36,14 +35,17 @@ class Step:
     coefficients: dict[str, float] = field(default_factory=dict)
 
 
-def forward_path(moments: np.ndarray, features: Sequence[str], max_size: int = MAX_SIZE) -> list[Step]:
+def forward_path(
+    moments: np.ndarray, features: Sequence[str], max_size: int = MAX_SIZE, centre: Sequence[float] | None = None
+) -> list[Step]:
     """Best variable to add at each size.
 
-    ``moments`` holds the product sums of 1, the features and the outcome, in that order. Works on
-    the correlation scale; equal gains (exact complements) go to the first column.
+    ``moments`` holds the product sums of 1, the features and the outcome, in that order, after ``centre`` was taken
+    off the columns. Works on the correlation scale; equal gains (exact complements) go to the first column.
     """
     n, sums = moments[0, 0], moments[0, 1:]
     mean = sums / n
+    level = mean if centre is None else mean + np.asarray(centre)
     co = moments[1:, 1:] - np.outer(sums, mean)
     scale = np.sqrt(np.clip(np.diag(co), 0, None))
     usable = scale > 0
@@ -67,7 +69,7 @@ def forward_path(moments: np.ndarray, features: Sequence[str], max_size: int = M
         left = left - np.outer(left[:, best], left[best, :]) / left[best, best]
         beta = np.linalg.solve(corr[np.ix_(chosen, chosen)], corr[chosen, p]) * unit[p] / unit[chosen]
         rss = float(max(left[p, p], 0.0) * total)
-        coefficients = {"(Intercept)": float(mean[p] - beta @ mean[chosen])}
+        coefficients = {"(Intercept)": float(level[p] - beta @ level[chosen])}
         coefficients.update({features[c]: float(b) for c, b in zip(chosen, beta, strict=True)})
         steps.append(Step(size, features[best], rss, 1 - rss / total if total else float("nan"), coefficients))
     return steps
@@ -129,6 +131,7 @@ class ForwardSelection:
     spark: SparkSession
     path: list[Step]
     fold_scores: DataFrame
+    rows: int = 0
 
     def steps(self) -> DataFrame:
         """``size, added, rss, r2`` of the search over all rows."""
@@ -160,29 +163,27 @@ def forward_selection(
 ) -> ForwardSelection:
     """Search over all rows and, per fold, over the rows outside it; score each fold's rows.
 
-    Two passes over the rows: one for the product sums, one for the errors. Persist or stage ``df``
+    Three passes over the rows: for the means, the product sums and the errors. Persist or stage ``df``
     if it is costly.
     """
-    if len(features) >= MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} columns: the product sums would not be small")
     columns = [*features, outcome]
     rows = complete_rows(
         df.select(fold.cast("int").alias("__fold"), *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
     )
-    by_fold = moment_matrices(rows, columns, F.col("__fold"))
+    centre = centre_of(rows, columns)
+    by_fold = moment_matrices(rows, columns, centre, F.col("__fold"))
     total = sum(by_fold.values())
     weights: dict[int, np.ndarray] = {}
     for number, held_out in by_fold.items():
-        steps = forward_path(total - held_out, features, max_size)
+        steps = forward_path(total - held_out, features, max_size, centre.means)
         table = np.zeros((len(steps), len(features) + 1))
         position = {"(Intercept)": 0, **{f: i for i, f in enumerate(features, 1)}}
         for s in steps:
             for term, value in s.coefficients.items():
                 table[s.size - 1, position[term]] = value
         weights[number] = table
-    tasks = df.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
-    scores = rows.coalesce(tasks).mapInArrow(_score(weights), SCORE_TYPE).groupBy("fold", "size").agg(
+    scores = rows.mapInArrow(_score(weights), SCORE_TYPE).groupBy("fold", "size").agg(
         *[F.sum(c).alias(c) for c in SCORE_TYPE.names[2:]]
     )
-    path = forward_path(total, features, max_size) if by_fold else []
-    return ForwardSelection(df.sparkSession, path, scores)
+    path = forward_path(total, features, max_size, centre.means) if by_fold else []
+    return ForwardSelection(df.sparkSession, path, scores, centre.rows)

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from zonalis.operators.geometry import shoelace
+from zonalis.operators.geometry import holds, shoelace
 
 
 EDGE_BLOCK = 256
@@ -23,11 +23,25 @@ def drop_repeats(ring: Column) -> Column:
 
 
 def orient(rings: Column) -> Column:
-    """First ring counter-clockwise, all others clockwise."""
-    return F.transform(
-        rings,
-        lambda ring, i: F.when((shoelace(F.array(ring)) >= 0) == (i == 0), ring).otherwise(F.reverse(ring)),
-    )
+    """Outer rings counter-clockwise, holes clockwise, whatever their order.
+
+    A ring is a hole if an odd number of larger rings hold it, so parts of a polygon and islands in holes are
+    outer rings. A ring holds another if three of its vertices lie inside or on it: rings that touch in a point
+    or along an edge do not.
+    """
+    sized = F.transform(rings, lambda ring: F.struct(ring.alias("ring"), F.abs(shoelace(F.array(ring))).alias("area")))
+
+    def inside(inner: Column, outer: Column) -> Column:
+        tests = [holds(outer["ring"], F.get(inner["ring"], F.lit(k))["x"], F.get(inner["ring"], F.lit(k))["y"]) for k in range(3)]
+        return (outer["area"] > inner["area"]) & F.coalesce(tests[0] & tests[1] & tests[2], F.lit(False))
+
+    def directed(own: Column) -> Column:
+        is_outer = F.size(F.filter(sized, lambda other: inside(own, other))) % 2 == 0
+        return F.when((shoelace(F.array(own["ring"])) >= 0) == is_outer, own["ring"]).otherwise(F.reverse(own["ring"]))
+
+    return F.when(
+        F.size(rings) > 1, F.transform(sized, directed)
+    ).otherwise(F.transform(rings, lambda ring: F.when(shoelace(F.array(ring)) >= 0, ring).otherwise(F.reverse(ring))))
 
 
 def repair(polygons: DataFrame) -> DataFrame:

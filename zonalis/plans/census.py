@@ -38,6 +38,12 @@ def fan_in(tables: Sequence[DataFrame]) -> DataFrame:
     )
 
 
+def within_first(tables: Sequence[DataFrame]) -> DataFrame:
+    """:func:`fan_in` for the tracts of the first file; a tract that it lacks is left out of all."""
+    first = tables[0].select(F.col(f"`{tables[0].columns[0]}`").alias("radio")).distinct()
+    return fan_in(tables).join(first, "radio", "left_semi")
+
+
 def census_wide(tables: Sequence[DataFrame]) -> DataFrame:
     """One row per tract of the first file, one column per category of every file.
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from zonalis.operators.joins import join_fold
+from zonalis.operators.joins import join_fold, left_join
 from zonalis.operators.reshape import sum_to_wide
 from zonalis.operators.selectors import dictionary_projection, everything
 
@@ -21,7 +21,7 @@ def interpolate(lookup: DataFrame, census: DataFrame, names: Sequence[str]) -> D
     ``census`` is long ``(radio, var, value)``. Every circuit of the lookup gets a row; what no tract
     reports is 0. Sums are rounded to whole numbers, half to even.
     """
-    weighted = lookup.selectExpr("id_radio AS radio", "id_circuito_elec", "por_radio").join(census, "radio", "left")
+    weighted = left_join(lookup.selectExpr("id_radio AS radio", "id_circuito_elec", "por_radio"), census, ["radio"])
     table = sum_to_wide(weighted, ["id_circuito_elec"], "var", F.expr("value * por_radio"), names)
     return table.selectExpr("id_circuito_elec", *[f"bround(coalesce(`{c}`, 0D), 0) AS `{c}`" for c in names])
 

@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonalis.functions import circuit_zeroes, paste, round_even, section_code, slice_text
 from zonalis.operators.geometry import shoelace
-from zonalis.operators.joins import HOT_ROWS, attach_group_values
+from zonalis.operators.joins import attach_group_values
 from zonalis.operators.projection import CENSUS_ZONE, TransverseMercator, equal_area, map_vertices, move
 from zonalis.operators.reshape import stack
 from zonalis.operators.spatial import overlay, points_in_polygons
 from zonalis.operators.validity import split_valid
-from zonalis.sources.stage import staged
 
 # The threshold and codes of the lookup step.
 SLIVER = 0.001
@@ -48,6 +47,11 @@ def _distinct_rows(polygons: DataFrame, *codes: str) -> DataFrame:
     )
 
 
+def without_geometry(polygons: DataFrame) -> DataFrame:
+    """Attributes of polygons as a plain table."""
+    return polygons.drop("rings")
+
+
 def prepare_tracts(tracts: DataFrame, zone: TransverseMercator = CENSUS_ZONE) -> tuple[DataFrame, DataFrame]:
     """Census polygons ``(link, rings)`` in zone metres to ``(id, id_radio, rings, copies)`` in an equal-area plane.
 
@@ -109,15 +113,12 @@ def section_matches(places: DataFrame, circuits: DataFrame) -> DataFrame:
     """Number of circuit polygons of each census section that hold a polling place of each section.
 
     Inputs: ``(id_distrito, id_seccion, x, y)`` and ``(id, indec_p, indec_d, rings)``. Polling places
-    are reduced to distinct points first, as only distinct polygons are counted. The points are staged:
-    their number says whether a cell can be hot, and they are not computed again for that.
+    are reduced to distinct points first, as only distinct polygons are counted.
     """
     points = places.select(
         section_code(F.col("id_distrito"), F.col("id_seccion")).alias("id_seccion_elec"), "x", "y"
     ).distinct()
-    points = staged(points, "places")
-    hot_rows = HOT_ROWS if points.count() >= HOT_ROWS else None
-    held = points_in_polygons(points, circuits.select("id", "rings"), ["id_seccion_elec"], hot_rows)
+    held = points_in_polygons(points, circuits.select("id", "rings"), ["id_seccion_elec"])
     held = held.select("id_seccion_elec", "id").distinct()
     sections = circuits.select(
         "id", paste(F.col("indec_p"), F.col("indec_d")).alias("id_seccion_indec"), _copies(circuits).alias("copies")

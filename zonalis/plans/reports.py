@@ -68,7 +68,9 @@ def correlation_report(
 ) -> DataFrame:
     """All numeric columns against the outcome columns, strongest first."""
     columns = [c for c in df.columns if c not in ("id_circuito_elec", "province")]
-    return ranked_correlations(correlation_matrix(df, columns), outcomes, excluded)
+    rows = [c for c in columns if c.startswith(tuple(outcomes))]
+    others = [c for c in columns if not c.startswith(tuple(excluded))]
+    return ranked_correlations(correlation_matrix(df, columns, rows, others), outcomes, excluded)
 
 
 def peron_shift(ranked: DataFrame) -> DataFrame:

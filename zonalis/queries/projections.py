@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from zonalis.operators import selectors as sel
+from zonalis.operators.geometry import box_ring
 from zonalis.operators.statistics import category_rank
+from zonalis.plans.geography import without_geometry
 from zonalis.plans.reports import CHANGES, with_changes
 from zonalis.queries.analogues import census_files
 from zonalis.queries.registry import Tables, query
@@ -59,6 +61,14 @@ def proj_literal(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", F.lit(2019).alias("year"), F.lit("FdT").alias("facet"))
 
 
+@query("select s_suppkey as id, s_nationkey as province from supplier")
+def proj_drop_geometry(t: Tables) -> DataFrame:
+    """Polygons as a plain table of their attributes."""
+    x, y = F.col("s_suppkey").cast("double"), F.col("s_nationkey").cast("double")
+    polygons = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("province"), box_ring(x, y, x + 1, y + 1).alias("ring"))
+    return without_geometry(polygons.select("id", "province", F.array("ring").alias("rings")))
+
+
 @query(
     """select o_custkey::varchar as radio,
               count(*) filter (year(o_orderdate) = 1995)::bigint as "vi_year_1995",

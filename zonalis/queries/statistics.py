@@ -273,9 +273,9 @@ def _selection(t: Tables) -> ForwardSelection:
 )
 def ml_forward_select(t: Tables) -> DataFrame:
     """Variable added at each size, with the error left."""
-    rows = t.lineitem.count()
-    return _selection(t).steps().select(
-        "size", "added", F.round(F.col("rss") / rows, 5).alias("mse"), F.round("r2", 6).alias("r2")
+    model = _selection(t)
+    return model.steps().select(
+        "size", "added", F.round(F.col("rss") / model.rows, 5).alias("mse"), F.round("r2", 6).alias("r2")
     )
 
 

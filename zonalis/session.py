@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,18 +28,23 @@ def build_session(master: str | None = None, app: str = "zonalis", **extra: str)
     return builder.getOrCreate()
 
 
+_MARKED: set[str] = set()
+
+
 def stage_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder of this application below ``spark.checkpoint.dir``, or below the warehouse where that is not set.
 
-    Only a local session (one machine, as in tests) may fall back to a temporary folder.
+    Every executor can reach either. The folder and all tables in it go when the application ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="zonalis-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    context = spark.sparkContext
+    folder = f"{shared.rstrip('/')}/stages-{context.applicationId}"
+    if folder not in _MARKED:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _MARKED.add(folder)
     return folder
 
 
