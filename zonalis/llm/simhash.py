@@ -175,7 +175,7 @@ def _bucket_links(rows: DataFrame, keys: list[str], radius: int, limit: int, hid
 def classes(df: DataFrame, size: int, radius: int, text: str, key: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of each row with ``fp`` (signed), ``root`` (fingerprint that names the component) and ``component_id``."""
     fp = fresh(df.columns, "fp")
-    coded = df.withColumn(fp, _fingerprints(size)(F.coalesce(col(text), F.lit("")))).select(*dict.fromkeys([*keep, key]), fp)
+    coded = df.withColumn(fp, _fingerprints(size)(F.coalesce(col(text), F.lit("")))).select(*[col(c) for c in dict.fromkeys([*keep, key])], F.col(fp))
     if text not in coded.columns:
         coded = staged(coded, "coded")  # narrow: computed once. With the text in it, computing twice is cheaper than a copy
     alike = staged(coded.groupBy(F.col(fp).alias("fp")).agg(F.min(col(key)).alias("least")), "fingerprints")
