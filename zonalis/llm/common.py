@@ -31,6 +31,17 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join of rows with an aggregate over the same keys, in which a hot key can be split.
+
+    An aggregate is partitioned by its keys already, and a side that is joined without a shuffle of its own cannot be
+    split by adaptive execution. With a hash of the keys as one key more, both sides get one.
+    """
+    mark = fresh([*left.columns, *right.columns], "mark")
+    value = F.xxhash64(*[col(k) for k in keys])
+    return left.withColumn(mark, value).join(right.withColumn(mark, value), [*keys, mark], how).drop(mark)
+
+
 def with_fields(df: DataFrame, result: Column, names: list[str]) -> DataFrame:
     """``df`` with the fields of a struct as columns. A column of the input with one of these names is replaced."""
     inner = fresh(df.columns, "result")

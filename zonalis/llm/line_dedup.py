@@ -11,7 +11,7 @@ by document id (NULL first), then a hash of the row, then the line. Lines that a
 first run of its kind stays.
 
 No pairs are made: each fingerprint and each run is grouped with partial aggregates, and joined back with the few
-groups that matter. Rows with equal ids and texts are one place; of such rows the first run stays in each of them.
+groups that matter, by shuffles that can be split where a line is in very many documents. Rows with equal ids and texts are one place; of such rows the first run stays in each of them.
 NULL texts stay NULL and have no lines; documents never disappear. Columns of the input are kept; a column with the
 name of a result is replaced.
 """
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import col, fresh, with_fields
+from zonalis.llm.common import col, fresh, spread_join, with_fields
 
 GRAM, WINDOW = 2, 2
 
@@ -87,12 +87,12 @@ def repeated_lines(df: DataFrame, text: str, key: str, gram: int = GRAM, window:
     ).select("id", "row", F.col("p.print").alias("print"), F.col("p.around").alias("around"))
     # equal rows are one place, so a fingerprint counts as repeated if it has two places
     common = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
-    around = prints.join(common, "print", "left_semi").select("id", "row", F.explode("around").alias("a"))
+    around = spread_join(prints, common, ["print"], "left_semi").select("id", "row", F.explode("around").alias("a"))
     around = around.select("id", "row", "a.run", "a.other", "a.covers")
     place = F.struct("id", "row", F.col("covers")[0].alias("line"))
     first = around.groupBy("run", "other").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.where(~F.col("first").eqNullSafe(F.col("last"))).select("run", "other", "first")
-    later = around.join(first, ["run", "other"]).where(~F.col("first").eqNullSafe(place))
+    later = spread_join(around, first, ["run", "other"]).where(~F.col("first").eqNullSafe(place))
     lines = later.select("id", "row", F.explode("covers").alias("line")).distinct()
     return lines.groupBy("id", "row").agg(F.collect_list("line").alias("gone"))
 
