@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonalis.llm.common import spread_join
 from zonalis.sources.stage import staged
 
 
@@ -12,14 +13,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    linked = both.where("b > a").join(least, "a")
+    linked = spread_join(both.where("b > a"), least, ["a"])
     return linked.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them. Edges go from larger to smaller."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    over = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+    over = spread_join(edges, least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     return over.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 

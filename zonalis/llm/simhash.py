@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from zonalis.llm.common import col, fresh, portions
+from zonalis.llm.common import col, fresh, portions, spread_join
 from zonalis.llm.components import components
 from zonalis.sources.stage import staged
 
@@ -182,7 +182,7 @@ def classes(df: DataFrame, size: int, radius: int, text: str, key: str, keep: li
     member = components(links(alike.select("fp"), radius))
     rooted = alike.join(member, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    named = spread_join(rooted, least, ["root"]).select("fp", "root", "component_id")
     named = named.select(*[F.col(c).alias(f"{fp}_{c}") for c in named.columns])
     return coded.join(named, F.col(fp) == F.col(f"{fp}_fp")).select(
         *[col(c) for c in keep], *[F.col(f"{fp}_{c}") for c in ("fp", "root", "component_id")]
