@@ -152,11 +152,11 @@ class Matcher:
     def match(self, word: str) -> tuple[str, int] | None:
         """The lexicon entry that a word stands for, and the number of edits; fewest edits, then longest, then first."""
         plain = word.lower().strip(TRIM)
-        found = self._walk(plain[:64]) if plain else None
+        found = self._walk(plain) if plain else None
         if found is None and plain:
             read = plain.translate(READ_AS)
             if read != plain:
-                found = self._walk(read[:64])
+                found = self._walk(read)
                 if found is not None:
                     found = (found[0], max(1, found[1]))
         return found
