@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from zonalis.operators import spatial, validity
 from zonalis.operators.geometry import RINGS_TYPE, shoelace
 from zonalis.operators.projection import AIRY1830, CENSUS_ZONE, WGS84, TransverseMercator, equal_area, map_vertices, move
-from zonalis.operators.validity import check, repair, split_valid
+from zonalis.operators.validity import check, repair
 from zonalis.plans.geography import (
     best_matches,
     circuit_ids,
@@ -222,10 +222,52 @@ def test_repair_and_check(spark: SparkSession) -> None:
     messy = [(0, 2), (2, 2), (2, 2), (2, 0), (0, 0)]
     df = polygons(spark, {1: [messy], 2: [bowtie], 3: [box(0, 0, 4, 4), box(1, 1, 2, 2)]})
     fixed = {r.id: r.area for r in repair(df).select("id", shoelace(F.col("rings")).alias("area")).collect()}
-    assert fixed == {1: 4.0, 2: 0.0, 3: 15.0}
+    assert fixed == {1: 4.0, 2: 2.0, 3: 15.0}
     assert {(r.id, r.ring): r.crosses for r in check(df).collect()} == {(1, 0): False, (2, 0): True, (3, 0): False, (3, 1): False}
-    good, bad = split_valid(df)
-    assert sorted(r.id for r in good.collect()) == [1, 3] and [r.id for r in bad.collect()] == [2]
+
+
+def test_tangled_rings_hold_what_an_odd_number_of_rings_holds(spark: SparkSession) -> None:
+    eight = [(0, 0), (1, 1), (2, 2), (2, 0), (1, 1), (0, 2), (0, 0)]  # the crossing is a vertex
+    crossing = [box(0, 0, 3, 3), box(2, 2, 5, 5)]  # the shared square is held twice
+    twice = [[*box(0, 0, 4, 4)[:-1], *box(0, 0, 2, 2)]]  # a smaller loop within the same ring, on two of its edges
+    notch = [[(0, 0), (4, 0), (4, 4), (2, 0), (0, 4), (0, 0)]]  # a vertex on another edge
+    star = [[(math.cos(k * 4 * math.pi / 5), math.sin(k * 4 * math.pi / 5)) for k in (0, 1, 2, 3, 4, 0)]]
+    df = polygons(spark, {1: [eight], 2: crossing, 3: twice, 4: notch, 5: star})
+    fixed = repair(df)
+    found = {r.id: r.area for r in fixed.select("id", shoelace(F.col("rings")).alias("area")).collect()}
+    outer, inner = 1.0, math.cos(2 * math.pi / 5) / math.cos(math.pi / 5)
+    spikes = 5 * outer * inner * math.sin(math.pi / 5) - 5 / 2 * inner**2 * math.sin(2 * math.pi / 5)
+    assert found == pytest.approx({1: 2.0, 2: 16.0, 3: 12.0, 4: 8.0, 5: spikes})
+    assert not any(r.crosses for r in check(fixed).collect())
+    whole = polygons(spark, {9: [box(-9, -9, 9, 9)]})
+    assert {a: v for (a, _), v in areas(spatial.overlay(fixed, whole)).items()} == pytest.approx(found)
+
+
+def test_random_tangles_against_sampled_points() -> None:
+    """Area and directions of untangled rings against even-odd tests of points."""
+    draw = np.random.default_rng(5)
+    for _ in range(20):
+        rings = [draw.integers(0, 12, (n, 2)).astype(float) for n in (7, 5)]
+        sides = np.concatenate([np.hstack([r, np.roll(r, -1, axis=0)]) for r in rings])
+        loops = validity.untangled(sides)
+        again = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in loops]) if loops else np.zeros((0, 4))
+        points = draw.uniform(0, 12, (4000, 2))
+
+        def winding(e: np.ndarray) -> np.ndarray:
+            up = (e[:, 1] <= points[:, 1, None]) & (e[:, 3] > points[:, 1, None])
+            down = (e[:, 3] <= points[:, 1, None]) & (e[:, 1] > points[:, 1, None])
+            side = (e[:, 2] - e[:, 0]) * (points[:, 1, None] - e[:, 1]) - (points[:, 0, None] - e[:, 0]) * (e[:, 3] - e[:, 1])
+            return (up & (side > 0)).sum(1) - (down & (side < 0)).sum(1)
+
+        expected = winding(sides) % 2 == 1
+        assert (winding(again) == expected).mean() > 0.999
+
+
+def test_layers_meet_their_own_circuits_only(spark: SparkSession) -> None:
+    tracts = polygons(spark, {1: [box(0, 0, 1, 1)], 2: [box(0, 0, 2, 1)]}).selectExpr("*", "concat('t', id) AS id_radio", "concat('0', id) AS province")
+    zones = polygons(spark, {1: [box(0, 0, 5, 5)], 2: [box(0, 0, 1, 1)]}).selectExpr("*", "concat('c', id) AS id_circuito", "concat('0', id) AS province")
+    shares = {(r.id_radio, r.id_circuito): r.por_radio for r in overlay_shares(tracts, zones).collect()}
+    assert shares == {("t1", "c1"): 1.0, ("t2", "c2"): 0.5}
 
 
 def test_parts_and_islands_keep_their_area(spark: SparkSession) -> None:
@@ -289,9 +331,9 @@ def test_copies_count_once_each(spark: SparkSession) -> None:
     square = [[{"x": -66.0 + dx, "y": -34.0 + dy} for dx, dy in box(0, 0, 0.01, 0.01)]]
     rows = [("layer", "x", "02", "001", "0012", square)] * 3
     circuits = spark.createDataFrame(rows, f"source_file string, provincia string, indec_p string, indec_d string, circuito string, rings {RINGS_TYPE}")
-    good, bad = prepare_circuits(circuits)
-    assert good.count() == 1 and bad.count() == 0
+    good = prepare_circuits(circuits)
+    assert good.count() == 1
     tract = spark.createDataFrame([("t", square)], f"link string, rings {RINGS_TYPE}").withColumn("rings", map_vertices(F.col("rings"), CENSUS_ZONE.forward))
-    tracts, _ = prepare_tracts(tract)
+    tracts = prepare_tracts(tract)
     shares = overlay_shares(tracts, circuit_ids(good)).collect()
     assert [(r.id_radio, r.id_circuito, r.por_radio) for r in shares] == [("t", "02001000012", 3.0)]

@@ -78,18 +78,10 @@ def create_lookup(spark: SparkSession, tracts: str, circuits: str, places: str,
     """Tract shares, section crosswalk and full lookup.
 
     ``tracts`` and ``circuits`` are Parquet tables partitioned by province; ``places`` is GeoJSON with one
-    feature per line. Polygons with crossing edges are kept aside in ``rejected_tracts`` and
-    ``rejected_circuits``.
+    feature per line. Tracts are laid over the circuits of their own province; polygons with crossing edges are repaired.
     """
-    sound_tracts, bad_tracts = geography.prepare_tracts(geo.read_provinces(spark, tracts, PROVINCES))
-    sound_circuits, bad_circuits = geography.prepare_circuits(geo.read_provinces(spark, circuits, PROVINCES))
-    for table, name in (
-        (sound_tracts, "tracts"),
-        (bad_tracts, "rejected_tracts"),
-        (sound_circuits, "circuits"),
-        (bad_circuits, "rejected_circuits"),
-    ):
-        write_stage(table, f"{out}/{name}")
+    write_stage(geography.prepare_tracts(geo.read_provinces(spark, tracts, PROVINCES)), f"{out}/tracts")
+    write_stage(geography.prepare_circuits(geo.read_provinces(spark, circuits, PROVINCES)), f"{out}/circuits")
     planar_tracts, planar_circuits = read_stage(spark, f"{out}/tracts"), read_stage(spark, f"{out}/circuits")
     shares = geography.overlay_shares(planar_tracts, geography.circuit_ids(planar_circuits))
     write_stage(geography.without_slivers(shares), f"{out}/tract_shares")

@@ -61,8 +61,8 @@ def _int_array(values: Sequence[int]) -> str:
     return f"CAST(array({', '.join(map(str, values))}) AS ARRAY<INT>)"
 
 
-def box_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs ``(a, b, abox, bbox)`` of ids whose boxes share an area.
+def box_pairs(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Pairs ``(a, b, abox, bbox)`` of ids whose boxes share an area, and that are equal in the columns ``by``.
 
     Inputs have columns ``id`` and ``box``; ids must be unique per table. Each side lists its boxes
     on their own level, and as the finer box of a pair on the coarser levels of the other side; the
@@ -73,16 +73,16 @@ def box_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     a_levels, b_levels = levels_of(left, right)
 
     def listed(boxes: DataFrame, side: str, other: str, levels: Sequence[int], above: str) -> DataFrame:
-        own = boxes.select("id", "box", size_level().alias("own"))
+        own = boxes.select("id", "box", *by, size_level().alias("own"))
         native = f"array(struct('{other}' AS fine, own AS level))"
         coarser = f"filter({_int_array(levels)}, v -> v {above} own)"
         lifted = f"transform({coarser}, v -> struct('{side}' AS fine, v AS level))"
-        placed = own.selectExpr("id", "box", f"inline(concat({native}, {lifted}))")
-        return _in_cells(placed).selectExpr(f"id AS {side}", f"box AS {side}box", "fine", *CELL)
+        placed = own.selectExpr("id", "box", *by, f"inline(concat({native}, {lifted}))")
+        return _in_cells(placed).selectExpr(f"id AS {side}", f"box AS {side}box", "fine", *by, *CELL)
 
     a_cells = listed(left, "a", "b", b_levels, ">")
     b_cells = listed(right, "b", "a", a_levels, ">=")
-    joined = a_cells.join(b_cells, ["fine", *CELL])
+    joined = a_cells.join(b_cells, ["fine", *by, *CELL])
     xlo, ylo = "greatest(abox.xmin, bbox.xmin)", "greatest(abox.ymin, bbox.ymin)"
     return joined.filter(
         f"{xlo} < least(abox.xmax, bbox.xmax) AND {ylo} < least(abox.ymax, bbox.ymax) "
@@ -90,8 +90,8 @@ def box_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     ).select("a", "b", "abox", "bbox")
 
 
-def polygon_boxes(polygons: DataFrame) -> DataFrame:
-    return polygons.select("id", bounds(F.col("rings")).alias("box"))
+def polygon_boxes(polygons: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return polygons.select("id", *by, bounds(F.col("rings")).alias("box"))
 
 
 def _edge_pieces(polygons: DataFrame, prefix: str) -> DataFrame:
@@ -185,16 +185,16 @@ def _piece_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def overlay(left: DataFrame, right: DataFrame, noise: float = NOISE) -> DataFrame:
+def overlay(left: DataFrame, right: DataFrame, noise: float = NOISE, by: Sequence[str] = ()) -> DataFrame:
     """Area shared by every pair of polygons that overlap: ``(a, b, area)``.
 
     Inputs have columns ``id`` (unique) and ``rings``. Only ids and boxes go through the grid join;
     the edges are joined to the pairs afterwards, in pieces of bounded size, so a polygon with very
     many vertices becomes several rows and not one long task. Pieces of a pair meet only if their ranges
-    of x overlap. ``noise`` is the share of the common box from which on an area counts.
+    of x overlap. Only polygons equal in the columns ``by`` are compared. ``noise`` is the share of the common box from which on an area counts.
     """
     room = box_overlap_area(F.col("abox"), F.col("bbox")).alias("room")
-    pairs = box_pairs(polygon_boxes(left), polygon_boxes(right)).select("a", "b", room)
+    pairs = box_pairs(polygon_boxes(left, by), polygon_boxes(right, by), by).select("a", "b", room)
     with_a = pairs.join(_edge_pieces(left, "a"), "a")
     b_pieces = _edge_pieces(right, "b")
     near = (with_a["b"] == b_pieces["b"]) & (F.col("alo") < F.col("bhi")) & (F.col("blo") < F.col("ahi"))

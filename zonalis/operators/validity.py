@@ -1,15 +1,26 @@
-"""Ring repair and the check for crossing edges."""
+"""Ring repair and the check for crossing edges.
+
+Polygons whose edges cross or touch, within a ring or between rings, are cut at those points and put together again:
+a place is inside if an odd number of rings hold it. All other polygons keep their rings.
+"""
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.functions import arrow_udf
 
 from zonalis.operators.geometry import holds, shoelace
 
-
 EDGE_BLOCK = 256
+EDGE_STEP = 4096
+# Cutting moves edges by a rounding error, which may make new crossings; they are gone after a round or two.
+CUT_ROUNDS = 8
 
 
 def close_ring(ring: Column) -> Column:
@@ -44,10 +55,168 @@ def orient(rings: Column) -> Column:
     ).otherwise(F.transform(rings, lambda ring: F.when(shoelace(F.array(ring)) >= 0, ring).otherwise(F.reverse(ring))))
 
 
+def cleaned(rings: Column) -> Column:
+    """Closed rings without repeated vertices."""
+    return F.transform(F.transform(rings, close_ring), drop_repeats)
+
+
 def repair(polygons: DataFrame) -> DataFrame:
-    """Close rings, drop repeated vertices, fix ring direction."""
-    cleaned = F.transform(F.transform("rings", close_ring), drop_repeats)
-    return polygons.withColumn("rings", orient(cleaned))
+    """Close rings, drop repeated vertices, cut crossing edges, fix ring direction. No polygon is lost."""
+    tidy = polygons.withColumn("rings", cleaned(F.col("rings")))
+    xs, ys = (F.flatten(F.transform("rings", axis)) for axis in (lambda r: F.transform(r, lambda p: p["x"]), lambda r: F.transform(r, lambda p: p["y"])))
+    # not deterministic for the optimizer, which could put the function inside the lambda of a later expression
+    again = _untangled.asNondeterministic()(xs, ys, F.transform("rings", lambda r: F.size(r)))
+    return tidy.withColumn("__again", again).withColumn("rings", F.coalesce("__again", orient(F.col("rings")))).drop("__again")
+
+
+def untangled(edges: np.ndarray) -> list[np.ndarray] | None:
+    """Rings around what an odd number of the given rings hold; None if no edge crosses or touches another.
+
+    ``edges`` has a row ``x1, y1, x2, y2`` for each edge of closed rings. The edges are cut where they meet, pieces that
+    lie on each other cancel in pairs, and each piece is directed so that the inside is on its left; the rings are
+    the loops these pieces make, outer rings counter-clockwise and holes clockwise.
+    """
+    edges = edges[(edges[:, :2] != edges[:, 2:]).any(1)]
+    starts = np.unique(edges[:, :2], axis=0)
+    meets = len(starts) < len(edges)  # a vertex that is used twice
+    for turn in range(CUT_ROUNDS):
+        order = np.argsort(np.minimum(edges[:, 0], edges[:, 2]), kind="stable")
+        edges = edges[order]
+        at, points = _cuts(edges)
+        if not len(at):
+            break
+        meets = True
+        edges = _odd_pieces(_cut(edges, at, points))
+    if not meets:
+        return None
+    return _loops(_directed(_odd_pieces(edges)))
+
+
+def _cuts(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of edges (sorted by their left end) and the inner points at which another edge meets them."""
+    left, right = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros((0, 2)))]
+    for start in range(0, len(e), EDGE_BLOCK):
+        i = e[start : start + EDGE_BLOCK]
+        stop = int(np.searchsorted(left, right[start : start + EDGE_BLOCK].max(), side="right"))
+        for begin in range(start, stop, EDGE_STEP):
+            j = e[begin : min(begin + EDGE_STEP, stop)]
+            i_to, j_to = [_side(i, j[:, k : k + 2]) for k in (0, 2)], [_side(j, i[:, k : k + 2]).T for k in (0, 2)]
+            a, b = np.nonzero((np.sign(i_to[0]) * np.sign(i_to[1]) < 0) & (np.sign(j_to[0]) * np.sign(j_to[1]) < 0))
+            t = (i_to[0][a, b] / (i_to[0][a, b] - i_to[1][a, b]))[:, None]
+            points = j[b, :2] + t * (j[b, 2:] - j[b, :2])
+            found += [(start + a, points), (begin + b, points)]
+            for k in (0, 1):
+                a, b = np.nonzero((i_to[k] == 0) & _within(i, j[:, 2 * k : 2 * k + 2]))
+                found.append((start + a, j[b, 2 * k : 2 * k + 2]))
+                b, a = np.nonzero((j_to[k].T == 0) & _within(j, i[:, 2 * k : 2 * k + 2]))
+                found.append((begin + b, i[a, 2 * k : 2 * k + 2]))
+    at, points = (np.concatenate(v) for v in zip(*found, strict=True))
+    inner = (points != e[at, :2]).any(1) & (points != e[at, 2:]).any(1)
+    return at[inner], points[inner]
+
+
+def _side(e: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """For edges by points: above 0 if the point is to the left of the edge, below 0 to the right."""
+    dx, dy = e[:, 2] - e[:, 0], e[:, 3] - e[:, 1]
+    return dx[:, None] * (p[None, :, 1] - e[:, 1, None]) - dy[:, None] * (p[None, :, 0] - e[:, 0, None])
+
+
+def _within(e: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """For edges by points: whether the point is in the box of the edge."""
+    low, high = np.minimum(e[:, :2], e[:, 2:])[:, None], np.maximum(e[:, :2], e[:, 2:])[:, None]
+    return ((low <= p[None]) & (p[None] <= high)).all(2)
+
+
+def _cut(e: np.ndarray, at: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The pieces of the edges between their ends and the points on them."""
+    n = np.arange(len(e))
+    along = e[at, 2:] - e[at, :2]
+    share = ((points - e[at, :2]) * along).sum(1) / (along * along).sum(1)
+    edge = np.concatenate([n, n, at])
+    place = np.concatenate([np.full(len(e), -np.inf), np.full(len(e), np.inf), share])
+    where = np.concatenate([e[:, :2], e[:, 2:], points])
+    order = np.lexsort((place, edge))
+    edge, where = edge[order], where[order]
+    same = edge[1:] == edge[:-1]
+    return np.hstack([where[:-1][same], where[1:][same]])
+
+
+def _odd_pieces(e: np.ndarray) -> np.ndarray:
+    """Each edge that is there an odd number of times, in either direction, once; its lower left end first."""
+    swap = (e[:, 0] > e[:, 2]) | ((e[:, 0] == e[:, 2]) & (e[:, 1] > e[:, 3]))
+    e = np.where(swap[:, None], e[:, [2, 3, 0, 1]], e)
+    e = e[(e[:, :2] != e[:, 2:]).any(1)]
+    found, times = np.unique(e, axis=0, return_counts=True)
+    return found[times % 2 == 1]
+
+
+def _odd_above(e: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Whether an odd number of other edges run above the middle of each of the edges ``which``."""
+    x1, x2 = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
+    out = np.zeros(len(which), bool)
+    for start in range(0, len(which), EDGE_BLOCK):
+        own = which[start : start + EDGE_BLOCK]
+        x, y = ((e[own, k] + e[own, k + 2]) / 2 for k in (0, 1))
+        for f in np.array_split(near := np.flatnonzero((x1 <= x.max()) & (x2 > x.min())), len(near) // EDGE_STEP + 1):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                height = e[f, 1] + (x[:, None] - e[f, 0]) * ((e[f, 3] - e[f, 1]) / (e[f, 2] - e[f, 0]))
+            above = (x1[f] <= x[:, None]) & (x[:, None] < x2[f]) & (height > y[:, None]) & (f != own[:, None])
+            out[start : start + EDGE_BLOCK] ^= above.sum(1) % 2 == 1
+    return out
+
+
+def _directed(e: np.ndarray) -> np.ndarray:
+    """The edges, each from the end that has the inside on the left."""
+    flat = np.abs(e[:, 2] - e[:, 0]) >= np.abs(e[:, 3] - e[:, 1])
+    forward = np.zeros(len(e), bool)
+    forward[flat] = _odd_above(e, np.flatnonzero(flat))  # to the right, with the inside above
+    steep = np.flatnonzero(~flat)
+    rightwards = _odd_above(e[:, [1, 0, 3, 2]], steep)  # inside at larger x: the edge runs down
+    forward[steep] = (e[steep, 3] > e[steep, 1]) != rightwards
+    return np.where(forward[:, None], e, e[:, [2, 3, 0, 1]])
+
+
+def _loops(e: np.ndarray) -> list[np.ndarray]:
+    """Closed rings from directed edges, larger ones first. A ring ends where it comes back to one of its points."""
+    leads: dict[tuple, list[tuple]] = defaultdict(list)
+    for x1, y1, x2, y2 in e[::-1].tolist():
+        leads[x1, y1].append((x2, y2))
+    rings = []
+    for first in list(leads):
+        while leads[first]:
+            path, place = [first], {first: 0}
+            while leads.get(path[-1]):
+                point = leads[path[-1]].pop()
+                if point in place:
+                    k = place[point]
+                    rings.append(np.array([*path[k:], point]))
+                    for p in path[k + 1 :]:
+                        del place[p]
+                    del path[k + 1 :]
+                else:
+                    place[point] = len(path)
+                    path.append(point)
+            if len(path) > 2:  # rounding may leave an open end
+                rings.append(np.array([*path, path[0]]))
+    return sorted(rings, key=lambda r: -np.abs(np.ptp(r, axis=0)).prod())
+
+
+@arrow_udf(T.ArrayType(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))))
+def _untangled(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+    for xs, ys, sizes in batches:
+        out = []
+        for x, y, n in zip(xs, ys, sizes, strict=True):
+            again = None
+            if x.values is not None and len(x.values):
+                points = np.column_stack([v.values.to_numpy(zero_copy_only=False) for v in (x, y)])
+                sides = np.hstack([points[:-1], points[1:]])
+                inside = np.ones(len(sides), bool)  # not from the end of a ring to the start of the next
+                inside[np.cumsum(n.values.to_numpy(zero_copy_only=False))[:-1] - 1] = False
+                again = untangled(sides[inside])
+            out.append([[{"x": a, "y": b} for a, b in ring.tolist()] for ring in again] if again else None)
+        yield pa.array(out, kind)
 
 
 def crosses_itself(xs: np.ndarray, ys: np.ndarray) -> bool:
@@ -84,8 +253,8 @@ def _any_crossing(xs: pd.Series, ys: pd.Series) -> pd.Series:
 
 
 def check(polygons: DataFrame) -> DataFrame:
-    """One row per ring: ``id, ring, vertices, crosses`` after :func:`repair`."""
-    rings = repair(polygons).select("id", F.posexplode("rings").alias("ring", "vertices_of"))
+    """One row per ring as delivered, closed and without repeated vertices: ``id, ring, vertices, crosses``."""
+    rings = polygons.select("id", F.posexplode(cleaned(F.col("rings"))).alias("ring", "vertices_of"))
     return rings.select(
         "id",
         "ring",
@@ -94,10 +263,3 @@ def check(polygons: DataFrame) -> DataFrame:
             F.transform("vertices_of", lambda p: p["x"]), F.transform("vertices_of", lambda p: p["y"])
         ).alias("crosses"),
     )
-
-
-def split_valid(polygons: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Repaired polygons, and the rejected ones with a crossing ring."""
-    bad = check(polygons).groupBy("id").agg(F.max("crosses").alias("bad")).filter("bad").select("id")
-    fixed = repair(polygons)
-    return fixed.join(bad, "id", "left_anti"), fixed.join(bad, "id", "left_semi")

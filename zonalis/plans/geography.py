@@ -12,7 +12,7 @@ from zonalis.operators.joins import attach_group_values
 from zonalis.operators.projection import CENSUS_ZONE, TransverseMercator, equal_area, map_vertices, move
 from zonalis.operators.reshape import stack
 from zonalis.operators.spatial import overlay, points_in_polygons
-from zonalis.operators.validity import split_valid
+from zonalis.operators.validity import repair
 
 # The threshold and codes of the lookup step.
 SLIVER = 0.001
@@ -20,6 +20,13 @@ SHARE_DIGITS = 5
 FOREIGN_SECTION = "16001"
 RIO_NEGRO = ("Río Negro", "63")
 
+# Column that tells the layers of different provinces apart; tables without it are one layer.
+LAYER = "province"
+
+
+def _layer(polygons: DataFrame) -> list[str]:
+    return [LAYER] if LAYER in polygons.columns else []
+
 
 def overwrite_province(
     circuits: DataFrame, source: str = "source_file", name: str = RIO_NEGRO[0], code: str = RIO_NEGRO[1]
@@ -52,23 +59,20 @@ def without_geometry(polygons: DataFrame) -> DataFrame:
     return polygons.drop("rings")
 
 
-def prepare_tracts(tracts: DataFrame, zone: TransverseMercator = CENSUS_ZONE) -> tuple[DataFrame, DataFrame]:
-    """Census polygons ``(link, rings)`` in zone metres to ``(id, id_radio, rings, copies)`` in an equal-area plane.
-
-    Returns the repaired polygons and those rejected because a ring crosses itself.
-    """
-
-    rows = _distinct_rows(tracts.select(F.col("link").alias("id_radio"), "rings"), "id_radio")
-    return split_valid(rows.withColumn("rings", map_vertices(F.col("rings"), [*zone.inverse, *equal_area()])))
+def prepare_tracts(tracts: DataFrame, zone: TransverseMercator = CENSUS_ZONE) -> DataFrame:
+    """Census polygons ``(link, rings)`` in zone metres to ``(id, id_radio, rings, copies)`` in an equal-area plane, repaired."""
+    layer = _layer(tracts)
+    rows = _distinct_rows(tracts.select(F.col("link").alias("id_radio"), *layer, "rings"), "id_radio", *layer)
+    return repair(rows.withColumn("rings", map_vertices(F.col("rings"), [*zone.inverse, *equal_area()])))
 
 
-def prepare_circuits(circuits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Circuit polygons in degrees, with ``source_file``, to an equal-area plane; the province code corrected.
+def prepare_circuits(circuits: DataFrame) -> DataFrame:
+    """Circuit polygons in degrees, with ``source_file``, to an equal-area plane, repaired.
 
-    Returns repaired and rejected polygons like :func:`prepare_tracts`.
+    The province code is corrected here, once, for the circuits' own ids and for their sections.
     """
-    rows = _distinct_rows(overwrite_province(circuits), "indec_p", "indec_d", "circuito")
-    return split_valid(rows.withColumn("rings", map_vertices(F.col("rings"), equal_area())))
+    rows = _distinct_rows(overwrite_province(circuits), "indec_p", "indec_d", "circuito", *_layer(circuits))
+    return repair(rows.withColumn("rings", map_vertices(F.col("rings"), equal_area())))
 
 
 def place_points(places: DataFrame) -> DataFrame:
@@ -86,8 +90,9 @@ def overlay_shares(tracts: DataFrame, circuits: DataFrame) -> DataFrame:
 
     Inputs: ``(id, id_radio, rings)`` and ``(id, id_circuito, rings)`` in an equal-area plane, ``id``
     unique per polygon, with an optional number of ``copies``. Shares are rounded per pair of polygons
-    and then summed per pair of ids.
+    and then summed per pair of ids. Where both tables have layers, a tract meets the circuits of its own layer only.
     """
+    layer = [c for c in _layer(tracts) if c in circuits.columns]
     whole = tracts.select(
         F.col("id").alias("a"),
         "id_radio",
@@ -97,7 +102,7 @@ def overlay_shares(tracts: DataFrame, circuits: DataFrame) -> DataFrame:
     zones = circuits.select(F.col("id").alias("b"), "id_circuito", _copies(circuits).alias("b_copies"))
     share = round_even(F.try_divide(F.col("area"), F.col("area_radio")), SHARE_DIGITS)
     return (
-        overlay(tracts, circuits)
+        overlay(tracts, circuits, by=layer)
         .join(whole, "a")
         .join(zones, "b")
         .groupBy("id_radio", "id_circuito")
@@ -113,20 +118,22 @@ def section_matches(places: DataFrame, circuits: DataFrame) -> DataFrame:
     """Number of circuit polygons of each census section that hold a polling place of each section.
 
     Inputs: ``(id_distrito, id_seccion, x, y)`` and ``(id, indec_p, indec_d, rings)``. Polling places
-    are reduced to distinct points first, as only distinct polygons are counted.
+    are reduced to distinct points first, as only distinct polygons are counted. Each layer is counted by itself.
     """
+    layer = _layer(circuits)
     points = places.select(
         section_code(F.col("id_distrito"), F.col("id_seccion")).alias("id_seccion_elec"), "x", "y"
     ).distinct()
     held = points_in_polygons(points, circuits.select("id", "rings"), ["id_seccion_elec"])
     held = held.select("id_seccion_elec", "id").distinct()
     sections = circuits.select(
-        "id", paste(F.col("indec_p"), F.col("indec_d")).alias("id_seccion_indec"), _copies(circuits).alias("copies")
+        "id", *layer, paste(F.col("indec_p"), F.col("indec_d")).alias("id_seccion_indec"), _copies(circuits).alias("copies")
     )
     return (
         held.join(sections, "id")
-        .groupBy("id_seccion_elec", "id_seccion_indec")
+        .groupBy("id_seccion_elec", "id_seccion_indec", *layer)
         .agg(F.sum("copies").cast("bigint").alias("count"))
+        .drop(*layer)
     )
 
 

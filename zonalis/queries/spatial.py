@@ -187,11 +187,11 @@ def geo_area(t: Tables) -> DataFrame:
 
 @query(
     """select p_partkey as id, 0 as ring, 5 as vertices, p_size % 3 = 0 as crosses,
-              case when p_size % 3 = 0 then 0.0 else (1 + p_size % 5) * (1 + p_size % 5) end::double as area
+              (1 + p_size % 5) * (1 + p_size % 5) / case when p_size % 3 = 0 then 2.0 else 1.0 end::double as area
        from part"""
 )
 def geo_validate(t: Tables) -> DataFrame:
-    """Open, repeated, clockwise and bow-tie rings: repaired, and bow-ties reported."""
+    """Open, repeated, clockwise and bow-tie rings: repaired, and bow-ties reported; they keep half of their box."""
     x, y, w = _part_corner()
     a, b, c, d = point(x, y), point(x + w, y), point(x + w, y + w), point(x, y + w)
     size = F.col("p_size")
@@ -221,13 +221,15 @@ def source_tracts(customer: DataFrame) -> DataFrame:
         F.col("c_custkey").cast("string").alias("link"),
         _source_boxes("c_custkey", 50, (0.0625, 0.0078125), (0.0625, 0.0078125)).alias("rings"),
     )
-    return boxes.select("link", map_vertices(F.col("rings"), CENSUS_ZONE.forward).alias("rings"))
+    province = F.expr("concat('0', cast(link as int) % 2 + 1)").alias("province")
+    return boxes.select("link", province, map_vertices(F.col("rings"), CENSUS_ZONE.forward).alias("rings"))
 
 
 def source_circuits(supplier: DataFrame) -> DataFrame:
     rings = _source_boxes("s_suppkey", 12, (0.28125, 0.02734375), (0.3125, 0.03125))
     return supplier.select(
         F.expr("concat('layer_', s_suppkey % 4)").alias("source_file"),
+        F.expr("concat('0', s_suppkey % 2 + 1)").alias("province"),
         F.expr("if(s_suppkey = 6, 'Río Negro', 'Otra')").alias("provincia"),
         F.expr(district("s_suppkey")).alias("indec_p"),
         F.expr(section("s_suppkey")).alias("indec_d"),
@@ -240,28 +242,28 @@ def _source_overlay_sql() -> str:
     tx, ty = _degrees("c_custkey", 50, 0.0625, 0.0078125)
     cx, cy = _degrees("s_suppkey", 12, 0.28125, 0.02734375)
     return f"""
-    with t as (select c_custkey::varchar as id_radio, case when c_custkey % 5 = 0 then 2 else 1 end as copies,
+    with t as (select c_custkey::varchar as id_radio, c_custkey % 2 as layer, case when c_custkey % 5 = 0 then 2 else 1 end as copies,
                       {tx}::double as x0, {ty}::double as y0, {tx}::double + 0.0625 as x1, {ty}::double + 0.0078125 as y1 from customer),
          c as (select case when s_suppkey % 4 = 2 then '63' else lpad((s_suppkey % 3 + 1)::varchar, 2, '0') end
-                        || lpad((s_suppkey % 5)::varchar, 3, '0') || lpad(s_suppkey::varchar, 6, '0') as id_circuito,
+                        || lpad((s_suppkey % 5)::varchar, 3, '0') || lpad(s_suppkey::varchar, 6, '0') as id_circuito, s_suppkey % 2 as layer,
                       {cx}::double as x0, {cy}::double as y0, {cx}::double + 0.3125 as x1, {cy}::double + 0.03125 as y1
                from supplier where s_suppkey >= 10),
          o as (select id_radio, id_circuito, copies, x1 - x0 as width, {_q_sql('y1')} - {_q_sql('y0')} as height, w,
                       {_q_sql('hi')} - {_q_sql('lo')} as h
                from (select id_radio, id_circuito, copies, t.x0, t.x1, t.y0, t.y1, least(t.x1, c.x1) - greatest(t.x0, c.x0) as w,
                             greatest(t.y0, c.y0) as lo, least(t.y1, c.y1) as hi
-                     from t join c on t.x0 < c.x1 and c.x0 < t.x1 and t.y0 < c.y1 and c.y0 < t.y1))
+                     from t join c on t.layer = c.layer and t.x0 < c.x1 and c.x0 < t.x1 and t.y0 < c.y1 and c.y0 < t.y1))
     select id_radio, id_circuito, round(sum(round_even(w * h / (width * height), 5) * copies), 5) as por_radio
     from o group by 1, 2 having sum(round_even(w * h / (width * height), 5) * copies) > 0.001"""
 
 
 @query(_source_overlay_sql())
 def geo_intersect_sources(t: Tables) -> DataFrame:
-    """From polygons as they are delivered to the lookup: province code, projection, repair, overlay, shares."""
-    good_tracts, _ = prepare_tracts(source_tracts(t.customer))
-    good_circuits, _ = prepare_circuits(source_circuits(t.supplier))
+    """From polygons as they are delivered to the lookup: province code, projection, repair, overlay by province, shares."""
+    planar_tracts = prepare_tracts(source_tracts(t.customer))
+    planar_circuits = prepare_circuits(source_circuits(t.supplier))
     shares = without_slivers(
-        overlay_shares(staged(good_tracts, "tracts"), staged(circuit_ids(good_circuits), "circuits"))
+        overlay_shares(staged(planar_tracts, "tracts"), staged(circuit_ids(planar_circuits), "circuits"))
     )
     return shares.withColumn("por_radio", F.round("por_radio", 5))
 
