@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonalis.functions import (
     as_integer,
@@ -125,15 +125,16 @@ def circuits_2019(
 ) -> DataFrame:
     """Votes per circuit and party label with the circuit's blank and valid votes.
 
-    Ballots shrink to one row per box and circuit, with the sums of each label in columns, before they
-    are joined on the box. A repeated blank or region row would repeat the ballots it joins; it enters
+    Ballots are read once and shrink to one row per box and circuit, with the sums of each label in columns. A box has
+    few of these rows whatever its number of ballots, so its total is a window over them. A repeated blank or region row would repeat the ballots it joins; it enters
     as a factor, so no join multiplies rows. ``totals`` and ``parties`` need the column ``ordinal``
     (file order). Missing codes are held as empty text, so that they match each other.
     """
     codes = ["codigo_mesa", "codigo_circuito", "codigo_distrito", "codigo_seccion", "codigo_agrupacion"]
     shown = [*labels.values(), OTHERS, None]
-    names = party_names(parties, category).select(
-        F.expr("coalesce(codigo_agrupacion, '') AS codigo_agrupacion"),
+    coded = parties.withColumn("codigo_agrupacion", F.expr("coalesce(codigo_agrupacion, '')"))
+    names = party_names(coded, category).select(
+        "codigo_agrupacion",
         recode(F.col("nombre_agrupacion"), labels, OTHERS).alias("partido"),
     )
     cast = votes.filter(F.col("codigo_categoria") == category).selectExpr(
@@ -149,15 +150,19 @@ def circuits_2019(
         f"if({in_scope} AND {'partido IS NULL' if label is None else f'partido <=> {_sql_text(label)}'}, {repeats}, 0)"
         for label in shown
     ]
-    in_circuit = named.groupBy("codigo_mesa", "codigo_circuito").agg(*_label_sums(shown, "votos_agrupacion", counts))
-    in_box = cast.groupBy("codigo_mesa").agg(strict_sum(F.col("votos_agrupacion")).alias("en_mesa"))
+    own, box = F.col("votos_agrupacion"), Window.partitionBy("codigo_mesa")
+    # a ballot whose region codes are listed several times counts once for its box
+    in_circuit = named.groupBy("codigo_mesa", "codigo_circuito").agg(
+        *_label_sums(shown, "votos_agrupacion", counts), strict_sum(own).alias("en_circuito")
+    )
+    known = F.count("en_circuito").over(box) == F.count(F.lit(1)).over(box)
+    in_box = in_circuit.withColumn("en_mesa", F.when(known, F.sum("en_circuito").over(box)))
     blanks = (
         blank_votes(totals, blank, category)
         .groupBy(F.expr("coalesce(codigo_mesa, '') AS codigo_mesa"))
         .agg(F.expr("min_by(valor, ordinal) AS blanco"), F.expr("count(1) AS n_mesa"))
     )
-    boxes = in_box.join(blanks, "codigo_mesa", "left")
-    zones = in_circuit.join(boxes, "codigo_mesa").groupBy("codigo_circuito").agg(
+    zones = in_box.join(blanks, "codigo_mesa", "left").groupBy("codigo_circuito").agg(
         strict_sum(F.col("blanco")).alias("votos_blanco"),
         strict_sum(F.expr("en_mesa + blanco")).alias("votos_validos"),
         *[F.expr(f"bit_or({mask}) AS {mask}") for mask in ("present", "missing")],
