@@ -81,8 +81,8 @@ class Matcher:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[frozenset, int] = {}
-        self.members: list[frozenset] = []
+        self.number: dict[tuple, int] = {}
+        self.members: list[tuple] = []
         self.step: list[dict[str, int]] = []
         self.start = self._state({(0, 0, -1): 0})
 
@@ -98,7 +98,7 @@ class Matcher:
                     if e + 1 <= self.edits[below] and item not in items:
                         items.add(item)
                         open_.append(item)
-        key = frozenset(items)
+        key = tuple(sorted(items))
         if key not in self.number:
             self.number[key] = len(self.members)
             self.members.append(key)
@@ -234,9 +234,11 @@ def _training(labels: DataFrame, key: str, label: str) -> DataFrame:
 @arrow_udf(T.ArrayType(T.StringType()))
 def _distinct_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     letters = re.compile(r"[^\W\d_]+")
+    kind = pa.list_(pa.string())
     for texts in batches:
-        found = [list(set(letters.findall((t or b"").decode().lower()))) for portion in portions(texts) for t in portion]
-        yield pa.array(found, pa.list_(pa.string()))
+        # Arrow holds the words of a portion in a small part of the room that they take as Python strings
+        found = [pa.array([list(set(letters.findall((t or b"").decode().lower()))) for t in portion], kind) for portion in portions(texts)]
+        yield pa.concat_arrays(found) if found else pa.array([], kind)
 
 
 def learn_lexicon(labelled: DataFrame, text: str, max_terms: int = MAX_TERMS) -> dict[str, float]:
