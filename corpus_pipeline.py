@@ -52,14 +52,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts, and digests of the ids and of the text that they decode to."""
-    both = bpe.decode(bpe.encode(docs, tokenizer()), tokenizer())
+    both = bpe.round_trip(docs, tokenizer())
     return both.select(
         "doc_id",
         "lang",
         "source",
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
-        bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+        "ids_sha256",
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
 

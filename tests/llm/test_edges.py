@@ -98,6 +98,13 @@ def test_bpe_and_counts(spark: SparkSession, docs: DataFrame, none: DataFrame) -
     assert bpe.decode(bpe.encode(none, tokenizer()), tokenizer()).isEmpty() and token_counts.token_counts(none, tokenizer()).isEmpty()
     null = spark.createDataFrame([(None,)], "ids array<int>")
     assert bpe.decode(null, tokenizer()).first()["decoded"] == ""
+    both = bpe.round_trip(docs.withColumn("IDS", F.lit("taken")), tokenizer())
+    new = ["ids", "ids_sha256", "decoded"]
+    assert both.columns == [*(c for c in docs.columns if c.lower() not in new), *new]
+    together = [(r["ids"], r["decoded"], r["ids_sha256"]) for r in both.collect()]
+    apart = out.withColumn("digest", bpe.ids_sha256(F.col("ids"))).collect()
+    assert sorted(together) == sorted((r["ids"], r["decoded"], r["digest"]) for r in apart)
+    assert bpe.round_trip(none, tokenizer()).isEmpty()
 
 
 def test_chat(spark: SparkSession) -> None:

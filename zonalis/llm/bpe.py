@@ -9,7 +9,7 @@ length. A sequence whose neighbours are all compatible is the one that merging g
 The decoder copies bytes from one buffer that holds all tokens, by a table of offsets.
 
 Texts are cut into pieces where the pre-tokenizer always cuts: before a single space between two characters that
-are not white space. Pieces repeat a lot, so their ids are remembered, up to a fixed number of pieces.
+are not white space. Pieces repeat a lot, so their ids are remembered, up to a fixed number of pieces and for one task.
 
 NULL texts encode as empty texts. The strings of special tokens inside a text become their ids. Empty texts have
 no ids; NULL ids decode to an empty text. Repeated rows are encoded alike; other columns are kept, one with the
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from zonalis.llm.common import col
+from zonalis.llm.common import col, portions, with_fields
 
 # fixed value: the cut pattern of byte-level BPE files
 CUT = regex.compile(
@@ -189,6 +189,10 @@ class Vocabulary:
                 out.append(ids)
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Give the room of the remembered pieces back: a worker outlives its tasks."""
+        self.pieces.clear()
+
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the tokens, by the offset table."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
@@ -218,15 +222,44 @@ def definition_of(path: str) -> str:
         return file.read()
 
 
+def _id_lists(coded: list[bytes]) -> pa.Array:
+    """Ids of several texts, each given as its bytes, as a list array."""
+    ends = np.cumsum([0] + [len(c) // 4 for c in coded], dtype=np.int64)
+    values = pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32())
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+
+
 def _encoder(definition: str) -> Callable[[Column], Column]:
     @arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = vocabulary(definition)
-        for texts in batches:
-            coded = [known.encode(t.as_py() or "") for t in texts]
-            ends = np.cumsum([0] + [len(c) // 4 for c in coded], dtype=np.int64)
-            values = pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32())
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+        try:
+            for texts in batches:
+                yield _id_lists([known.encode(t.as_py() or "") for t in texts])
+        finally:
+            known.forget()
+
+    return run
+
+
+def _round_trip(definition: str) -> Callable[[Column], Column]:
+    @arrow_udf("struct<ids:array<int>,ids_sha256:string,decoded:string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = vocabulary(definition)
+
+        def both(texts: list[bytes | None]) -> pa.Array:
+            coded = [known.encode((t or b"").decode()) for t in texts]
+            digests = [hashlib.sha256(c).hexdigest() for c in coded]
+            back = [known.decode(np.frombuffer(c, "<u4").astype(np.int64)).decode("utf-8", "replace") for c in coded]
+            columns = [_id_lists(coded), pa.array(digests, pa.string()), pa.array(back, pa.string())]
+            return pa.StructArray.from_arrays(columns, ["ids", "ids_sha256", "decoded"])
+
+        try:
+            for texts in batches:
+                parts = [both(portion) for portion in portions(texts)]
+                yield pa.concat_arrays(parts) if parts else both([])
+        finally:
+            known.forget()
 
     return run
 
@@ -262,3 +295,12 @@ def encode(df: DataFrame, definition: str, text: str = "text", ids: str = "ids")
 def decode(df: DataFrame, definition: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text that the ids stand for. Bytes that are no UTF-8 become U+FFFD."""
     return df.withColumn(text, _decoder(definition)(col(ids)))
+
+
+def round_trip(df: DataFrame, definition: str, text: str = "text") -> DataFrame:
+    """``df`` with ``ids``, ``ids_sha256`` and ``decoded``: :func:`encode` and :func:`decode` in one pass.
+
+    One Python worker for each task does both, so the vocabulary is held once and the ids need not go there and back.
+    """
+    both = _round_trip(definition)(F.coalesce(col(text), F.lit("")))
+    return with_fields(df, both, ["ids", "ids_sha256", "decoded"])

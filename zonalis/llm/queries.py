@@ -40,11 +40,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, tokenizer()), tokenizer())
+    both = bpe.round_trip(docs, tokenizer())
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+        "ids_sha256",
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
 
