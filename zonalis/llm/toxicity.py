@@ -265,21 +265,29 @@ def learn_lexicon(labelled: DataFrame, text: str, max_terms: int = MAX_TERMS) ->
 
 
 def chosen_entries(rows: list[tuple[str, int, float]], max_terms: int) -> dict[str, float]:
-    """A stem stands for its longer forms, but a longer form that makes up nearly all of a stem is taken instead."""
+    """A stem stands for its longer forms, but a longer form that makes up nearly all of a stem is taken instead.
+
+    ``rows`` have the most documents first, so a stem comes before its longer forms. A longer form is left out only if
+    an entry that was taken begins it. Each step down from a stem may lose a few documents to slips; where these add up,
+    so that no entry below a stem makes up nearly all of it, the stem is taken as well.
+    """
     seen = {entry: t for entry, t, _ in rows}
     best_child: dict[str, int] = {}
     for entry, t in seen.items():
         best_child[entry[:-1]] = max(best_child.get(entry[:-1], 0), t)
-    terms: dict[str, float] = {}
-    for entry, t, odds in rows:
-        if best_child.get(entry, 0) >= 0.95 * t:
-            continue
-        if any(0.95 * seen.get(entry[:n], 0) > t for n in range(STEM, len(entry))):
-            continue
-        terms[entry] = odds
-        if len(terms) >= max_terms:
-            break
-    return terms
+    taken: set[str] = set()
+    for entry, t, _ in rows:
+        if best_child.get(entry, 0) < 0.95 * t and not any(entry[:n] in taken for n in range(STEM, len(entry))):
+            taken.add(entry)
+    below: dict[str, int] = {}  # documents of the most frequent entry that begins with a stem
+    for entry in sorted(seen, key=len, reverse=True):
+        kept = below.get(entry, 0)
+        if entry not in taken and kept < 0.95 * seen[entry] and not any(entry[:n] in taken for n in range(STEM, len(entry))):
+            taken.add(entry)
+        below[entry] = max(kept, seen[entry] if entry in taken else 0)
+        below[entry[:-1]] = max(below.get(entry[:-1], 0), below[entry])
+    terms = [(entry, odds) for entry, _, odds in rows if entry in taken]
+    return dict(terms[:max_terms])
 
 
 def _features(terms: dict[str, float]) -> Callable[[Column], Column]:
