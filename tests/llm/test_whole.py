@@ -5,6 +5,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from tests.llm import brute
 from zonalis.llm import toxicity
 
 
@@ -34,3 +38,34 @@ def test_every_candidate_is_stood_for() -> None:
         for e, t in seen.items():
             begun = any(e[:n] in terms for n in range(toxicity.STEM, len(e) + 1))
             assert begun or any(k.startswith(e) and seen[k] >= 0.95 * t for k in terms), (e, words)
+
+
+def test_edits_at_the_first_letter_and_in_stems(spark: SparkSession) -> None:
+    terms = {"idiot": 5.0, "disgusting": 5.0, "scum": 5.0}
+    words = ["diot", "udiot", "diiot", "iidiot", "isgusting", "idoits", "dsigustingly", "idiots", "idiomatic", "sucm"]
+    df = spark.createDataFrame([(f"such a {w} again",) for w in words], "text string").coalesce(1)
+    found = [any(r[0]) for r in df.select(toxicity._features(terms)(F.col("text"))).collect()]
+    assert found == [True] * 8 + [False] * 2
+
+
+def test_matcher_finds_edits_at_every_letter() -> None:
+    rng = random.Random(14)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+
+    def begins(w: str, t: str) -> list[int]:
+        """Edits of the beginnings of ``w`` in which the last letter of the term is."""
+        ends = [brute.edits(w[: i - 1], t[:-1]) for i in range(1, len(w) + 1) if w[i - 1] == t[-1]]
+        return ends + [1 + brute.edits(w[: i - 2], t[:-2]) for i in range(2, len(w) + 1) if w[i - 2 : i] == t[-1] + t[-2]]
+
+    for _ in range(30):
+        terms = {word(rng.randint(4, 10)): 1.0 for _ in range(6)}
+        matcher = toxicity.Matcher(terms, anywhere=True)
+        for _ in range(150):
+            w = list(rng.choice([*terms, word(7)]))
+            for _ in range(rng.randint(0, 3)):
+                i = rng.randrange(len(w) + 1)
+                w[i : i + rng.randint(0, 1)] = rng.choice(["a", "b", "", "c"])
+            w = "".join(w)[:14]
+            options = [e for t in terms for e in [brute.edits(w, t), *begins(w, t)] if w and e <= toxicity.allowed(t)]
+            found = matcher.match(w)
+            assert (None if found is None else found[1]) == min(options, default=None), (w, terms)

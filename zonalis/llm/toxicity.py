@@ -7,8 +7,9 @@ them. An entry must be seen in a share of all toxic documents, so that words of
 Matching: the lexicon is a trie, and a Levenshtein automaton walks along it: a state is a set of (trie node, edits so
 far). States are made when a word first needs them and kept, so that the intersection of automaton and trie becomes
 a deterministic automaton, and a word costs one step for each letter until its state is empty. A stem matches words
-that begin with it; a word of five letters or more is also found with one edit, of nine or more with two. Edits come
-after the first letter. Swapped neighbours count as one edit, digits and signs that stand for letters are read as the letters first.
+that begin with it; a word of five letters or more is also found with one edit, of nine or more with two, at any letter.
+With edits, too, an entry may begin a longer word, if the entry's last letter is there ('idoits', but not 'idiom...').
+Swapped neighbours count as one edit, digits and signs that stand for letters are read as the letters first.
 
 Context: each hit is looked at in a window of words on both sides. Quotation marks around it, an opening mark before
 it on the line, or words of reporting near by make it quotation; other hits near by make it abuse. Sums of both kinds,
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,7 +45,7 @@ MAX_TERMS = 500
 BROADCAST_LABELS = 1_000_000  # up to so many labelled documents are sent to all tasks, beyond that they are joined
 MAX_ROWS = 50_000
 WINDOW = 6  # words on each side of a hit
-STATES, REMEMBERED = 50_000, 300_000
+STATES, ITEMS, REMEMBERED = 50_000, 1_000_000, 300_000  # of the automaton, the items of its states, and words
 FEATURES = 7
 TRIM = ".,;:!?\"'()[]{}<>«»“”„‘’…-–—*_~`"
 READ_AS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
@@ -53,15 +54,20 @@ REPORTING = frozenset("said says wrote writes quote quoted quotes called calls d
 
 
 def allowed(term: str) -> int:
-    """Edits at which a whole word still counts as the term."""
+    """Edits at which a word still counts as the term."""
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
 class Matcher:
-    """Lexicon trie and Levenshtein automaton, made deterministic step by step."""
+    """Lexicon trie and Levenshtein automaton, made deterministic step by step.
 
-    def __init__(self, terms: dict[str, float]) -> None:
+    With ``anywhere``, edits may be at the first letter, and a term is found with edits at the beginning of a longer word
+    too, if its last letter is there; otherwise edits come after the first letter and in whole words only.
+    """
+
+    def __init__(self, terms: dict[str, float], anywhere: bool = False) -> None:
         self.weight = terms
+        self.anywhere = anywhere
         self.child: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.edits = [0]  # the most edits any term below a node allows
@@ -84,39 +90,57 @@ class Matcher:
         self.number: dict[tuple, int] = {}
         self.members: list[tuple] = []
         self.step: list[dict[str, int]] = []
-        self.start = self._state({(0, 0, -1): 0})
+        self.whole: list[tuple | None] = []  # best term if the word ends in a state, and if it goes on
+        self.begun: list[tuple | None] = []
+        self.held = 0
+        self.start = self._state({(0, 0, -1): 0}, [])
+
+    def _best(self, items: Iterable[tuple[int, int, int]], most: int) -> tuple[int, int, str] | None:
+        """Fewest edits, then longest, then first of the terms that end in one of the items."""
+        ends = [(e, t) for node, e, owed in items if owed < 0 and e <= most and (t := self.term[node]) is not None]
+        return min(((e, -len(t), t) for e, t in ends if e <= allowed(t)), default=None)
+
+    def _state(self, found: dict[tuple[int, int, int], int], exact: list[tuple[int, int, int]]) -> int:
+        """Number of a state. Items are (node, edits, owed): ``owed`` is the node that a swapped pair still leads to.
 
-    def _state(self, found: dict[tuple[int, int, int], int]) -> int:
-        """Number of a state. Items are (node, edits, owed): ``owed`` is the node that a swapped pair still leads to."""
+        ``exact`` has the items whose last letter was just read.
+        """
         open_ = list(found)
         items = set(open_)
         while open_:  # leave out letters of the term
             node, e, owed = open_.pop()
-            if node and owed < 0 and e < self.edits[node]:
+            if (node or self.anywhere) and owed < 0 and e < self.edits[node]:
                 for below in self.child[node].values():
                     item = (below, e + 1, -1)
                     if e + 1 <= self.edits[below] and item not in items:
                         items.add(item)
                         open_.append(item)
-        key = tuple(sorted(items))
+        begun = self._best(exact, 2 if self.anywhere else 0)
+        key = (begun, *sorted(items))
         if key not in self.number:
             self.number[key] = len(self.members)
-            self.members.append(key)
+            self.members.append(key[1:])
             self.step.append({})
+            self.whole.append(self._best(items, 2))
+            self.begun.append(begun)
+            self.held += len(items)
         return self.number[key]
 
     def _next(self, state: int, c: str) -> int:
         found: dict[tuple[int, int, int], int] = {}
+        exact: list[tuple[int, int, int]] = []
         for node, e, owed in self.members[state]:
             if owed >= 0:
                 target, letter = divmod(owed, 0x110000)
                 if chr(letter) == c:  # the second letter of a swapped pair
                     found[target, e, -1] = 0
+                    exact.append((target, e, -1))
                 continue
             same = self.child[node].get(c)
             if same is not None and e <= self.edits[same]:
                 found[same, e, -1] = 0
-            if node and e < self.edits[node]:
+                exact.append((same, e, -1))
+            if (node or self.anywhere) and e < self.edits[node]:
                 found[node, e + 1, -1] = 0  # a letter too many
                 for letter, below in self.child[node].items():
                     if e + 1 <= self.edits[below]:
@@ -126,27 +150,27 @@ class Matcher:
                         found[node, e + 1, swapped * 0x110000 + ord(letter)] = 0
         if not found:
             return -1
-        return self._state(found)
+        return self._state(found, exact)
 
     def _walk(self, word: str) -> tuple[str, int] | None:
-        if len(self.members) > STATES:
+        if len(self.members) > STATES or self.held > ITEMS:
             self._forget()
         state = self.start
         best: tuple[int, int, str] | None = None
-        for i, c in enumerate(word):
+        for c in word:
             step = self.step[state].get(c)
             if step is None:
                 step = self.step[state][c] = self._next(state, c)
             if step < 0:
                 break
             state = step
-            last = i == len(word) - 1
-            for node, e, owed in self.members[state]:
-                t = self.term[node]
-                if t is None or owed >= 0 or (e and (not last or e > allowed(t))):
-                    continue
-                if best is None or (e, -len(t), t) < best:
-                    best = (e, -len(t), t)
+            begun = self.begun[state]
+            if begun is not None and (best is None or begun < best):
+                best = begun
+        else:
+            whole = self.whole[state]
+            if whole is not None and (best is None or whole < best):
+                best = whole
         return None if best is None else (best[2], best[0])
 
     def match(self, word: str) -> tuple[str, int] | None:
@@ -293,7 +317,7 @@ def chosen_entries(rows: list[tuple[str, int, float]], max_terms: int) -> dict[s
 def _features(terms: dict[str, float]) -> Callable[[Column], Column]:
     @arrow_udf("array<double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        matcher = Matcher(terms)
+        matcher = Matcher(terms, anywhere=True)
         for texts in batches:
             rows = [features_of((t or b"").decode(), matcher) for portion in portions(texts) for t in portion]
             ends = np.arange(len(rows) + 1, dtype=np.int32) * FEATURES
