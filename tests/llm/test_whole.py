@@ -48,6 +48,23 @@ def test_edits_at_the_first_letter_and_in_stems(spark: SparkSession) -> None:
     assert found == [True] * 8 + [False] * 2
 
 
+def test_rare_short_and_many_terms_are_learned(spark: SparkSession) -> None:
+    """1,200 toxic texts of 12,000; a term of ten texts is less than a hundredth of them."""
+    rng = random.Random(15)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    many = sorted({letters(9) for _ in range(600)})
+    rows = [[f"plain text number {letters(7)}", int(i < 1200)] for i in range(12_000)]
+    for term in ("rarest", "yob", *many):
+        for i in rng.sample(range(1200), 10):
+            rows[i][0] += " " + term
+    rows += [[f"plain copied passage of {letters(6)} words"[:20], 1]] * 50
+    terms = toxicity.learn_lexicon(spark.createDataFrame(rows, "_text string, _toxic int"), "_text")
+    assert "yob" in terms and "passage" not in terms and not any("copied".startswith(t) for t in terms)
+    assert all(any(w.startswith(t) for t in terms) for w in ("rarest", *many))
+    matcher = toxicity.Matcher({"yob": 5.0}, anywhere=True)
+    assert matcher.match("Yob!") == ("yob", 0) and matcher.match("yobbish") is None
+
+
 def test_matcher_finds_edits_at_every_letter() -> None:
     rng = random.Random(14)
     word = lambda n: "".join(rng.choice("abc") for _ in range(n))

@@ -1,8 +1,11 @@
 """Toxicity scores from a learned lexicon, found through misspellings, and the context of each hit.
 
 Lexicon: words and word stems (prefixes of at least four letters) whose documents are toxic far more often than
-others, counted over all labelled rows that are not held out. A stem that is as telling as its longer forms stands for
-them. An entry must be seen in a share of all toxic documents, so that words of one copied text do not get in.
+others, counted over all labelled rows that are not held out; shorter words are entries that match themselves only.
+Texts that are equal, with equal labels, count once. A stem that is as telling as its longer forms stands for them.
+Entries need evidence, whatever the number of documents: their share of toxic texts must be so far from that of all texts
+that less than one word is expected to get there by chance (Chernoff's bound, ``NEW_WORDS`` words for each text). There
+is no limit on the number of entries; all of them are sent to the driver and to the tasks.
 
 Matching: the lexicon is a trie, and a Levenshtein automaton walks along it: a state is a set of (trie node, edits so
 far). States are made when a word first needs them and kept, so that the intersection of automaton and trie becomes
@@ -39,9 +42,9 @@ from zonalis.llm.common import col, portions, with_fields
 from zonalis.sources.stage import staged
 
 STEM, LONGEST = 4, 24
-MIN_DOCS, MIN_SHARE = 3, 0.01  # toxic documents a lexicon entry is seen in at least, as a number and as a share of them
+MIN_DOCS = 3  # toxic texts a lexicon entry is seen in at least
 MIN_ODDS = 3.0  # log odds of an entry
-MAX_TERMS = 500
+NEW_WORDS = 100  # no more distinct words than this for each labelled text are expected
 BROADCAST_LABELS = 1_000_000  # up to so many labelled documents are sent to all tasks, beyond that they are joined
 MAX_ROWS = 50_000
 WINDOW = 6  # words on each side of a hit
@@ -95,9 +98,9 @@ class Matcher:
         self.held = 0
         self.start = self._state({(0, 0, -1): 0}, [])
 
-    def _best(self, items: Iterable[tuple[int, int, int]], most: int) -> tuple[int, int, str] | None:
-        """Fewest edits, then longest, then first of the terms that end in one of the items."""
-        ends = [(e, t) for node, e, owed in items if owed < 0 and e <= most and (t := self.term[node]) is not None]
+    def _best(self, items: Iterable[tuple[int, int, int]], most: int, least: int = 0) -> tuple[int, int, str] | None:
+        """Fewest edits, then longest, then first of the terms, of ``least`` letters or more, that end in one of the items."""
+        ends = [(e, t) for node, e, owed in items if owed < 0 and e <= most and (t := self.term[node]) is not None and len(t) >= least]
         return min(((e, -len(t), t) for e, t in ends if e <= allowed(t)), default=None)
 
     def _state(self, found: dict[tuple[int, int, int], int], exact: list[tuple[int, int, int]]) -> int:
@@ -115,7 +118,7 @@ class Matcher:
                     if e + 1 <= self.edits[below] and item not in items:
                         items.add(item)
                         open_.append(item)
-        begun = self._best(exact, 2 if self.anywhere else 0)
+        begun = self._best(exact, 2 if self.anywhere else 0, STEM)
         key = (begun, *sorted(items))
         if key not in self.number:
             self.number[key] = len(self.members)
@@ -265,35 +268,40 @@ def _distinct_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.concat_arrays(found) if found else pa.array([], kind)
 
 
-def learn_lexicon(labelled: DataFrame, text: str, max_terms: int = MAX_TERMS) -> dict[str, float]:
-    """Entries and their weights (log odds) from rows with ``_toxic``.
+def learn_lexicon(labelled: DataFrame, text: str, max_terms: int | None = None) -> dict[str, float]:
+    """Entries and their weights (log odds) from rows with ``_toxic``; all of them, or the most frequent ``max_terms``.
 
-    Documents are counted for each word, then summed over the words that share a prefix; both cover all rows.
+    Texts are counted for each word, then summed over the words that share a prefix; both cover all rows.
     """
-    is_toxic = (F.col("_toxic") > 0).cast("long")
-    total = labelled.agg(F.sum(is_toxic), F.count("*")).first()
+    # words of a text that is copied are seen once
+    texts = labelled.select((F.col("_toxic") > 0).cast("long").alias("t"), F.xxhash64(col(text)).alias("copy"), col(text).alias("text"))
+    total = texts.select("t", "copy").distinct().agg(F.sum("t"), F.count("*")).first()
     toxic, all_rows = int(total[0] or 0), int(total[1])
     if not toxic or toxic == all_rows:
         return {}
-    words = labelled.select(is_toxic.alias("t"), F.explode(_distinct_words(col(text))).alias("word"))
+    words = texts.dropDuplicates(["t", "copy"]).select("t", F.explode(_distinct_words("text")).alias("word"))
     words = words.groupBy("word").agg(F.sum("t").alias("t"), F.count("*").alias("n"))
     cut = F.transform(F.sequence(F.lit(STEM), F.least(F.char_length("word"), F.lit(LONGEST))), lambda n: F.substring(F.col("word"), F.lit(1), n))
-    entries = words.where(F.char_length("word") >= STEM).select("t", "n", F.explode(cut).alias("entry"))
-    counted = entries.groupBy("entry").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+    cut = F.when(F.char_length("word") >= STEM, cut).otherwise(F.array("word"))
+    counted = words.select("t", "n", F.explode(cut).alias("entry")).groupBy("entry").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     odds = F.log((F.col("t") + 0.5) / (F.col("n") - F.col("t") + 0.5)) - math.log((toxic + 0.5) / (all_rows - toxic + 0.5))
-    # entries that are nearly always in toxic documents, best first; only these reach the driver, max_terms * 20 at most
-    support = max(MIN_DOCS, MIN_SHARE * toxic)
-    best = counted.where((F.col("t") >= support) & (F.col("t") >= 0.8 * F.col("n"))).withColumn("odds", odds)
-    rows = best.where(F.col("odds") >= MIN_ODDS).orderBy(F.desc("t"), "entry").limit(max_terms * 20).collect()
+    # log of the chance, at most, of so many toxic texts among n that are drawn from all
+    clean = F.col("n") - F.col("t")
+    share = F.col("t") * F.log(F.col("t") / F.col("n") / (toxic / all_rows))
+    evidence = share + F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - toxic / all_rows))).otherwise(0.0)
+    best = counted.where((F.col("t") >= MIN_DOCS) & (F.col("t") >= 0.8 * F.col("n"))).withColumn("odds", odds)
+    best = best.where((F.col("odds") >= MIN_ODDS) & (evidence >= math.log(NEW_WORDS * all_rows)))
+    rows = best.orderBy(F.desc("t"), "entry").select("entry", "t", "odds").collect()
     return chosen_entries([(r["entry"], r["t"], r["odds"]) for r in rows], max_terms)
 
 
-def chosen_entries(rows: list[tuple[str, int, float]], max_terms: int) -> dict[str, float]:
+def chosen_entries(rows: list[tuple[str, int, float]], max_terms: int | None = None) -> dict[str, float]:
     """A stem stands for its longer forms, but a longer form that makes up nearly all of a stem is taken instead.
 
     ``rows`` have the most documents first, so a stem comes before its longer forms. A longer form is left out only if
-    an entry that was taken begins it. Each step down from a stem may lose a few documents to slips; where these add up,
-    so that no entry below a stem makes up nearly all of it, the stem is taken as well.
+    an entry that was taken begins it; words shorter than a stem match themselves only and are all taken. Each step down
+    from a stem may lose a few documents to slips; where these add up, so that no entry below a stem makes up nearly all
+    of it, the stem is taken as well.
     """
     seen = {entry: t for entry, t, _ in rows}
     best_child: dict[str, int] = {}
@@ -301,7 +309,7 @@ def chosen_entries(rows: list[tuple[str, int, float]], max_terms: int) -> dict[s
         best_child[entry[:-1]] = max(best_child.get(entry[:-1], 0), t)
     taken: set[str] = set()
     for entry, t, _ in rows:
-        if best_child.get(entry, 0) < 0.95 * t and not any(entry[:n] in taken for n in range(STEM, len(entry))):
+        if len(entry) < STEM or best_child.get(entry, 0) < 0.95 * t and not any(entry[:n] in taken for n in range(STEM, len(entry))):
             taken.add(entry)
     below: dict[str, int] = {}  # documents of the most frequent entry that begins with a stem
     for entry in sorted(seen, key=len, reverse=True):
