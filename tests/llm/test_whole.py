@@ -5,11 +5,12 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from zonalis.llm import toxicity
+from zonalis.llm import decontamination, toxicity
 
 
 def lexicon_rows(words: dict[str, int], least: int = 1) -> list[tuple[str, int, float]]:
@@ -86,3 +87,17 @@ def test_matcher_finds_edits_at_every_letter() -> None:
             options = [e for t in terms for e in [brute.edits(w, t), *begins(w, t)] if w and e <= toxicity.allowed(t)]
             found = matcher.match(w)
             assert (None if found is None else found[1]) == min(options, default=None), (w, terms)
+
+
+def test_items_in_another_order_are_found(spark: SparkSession) -> None:
+    rng = random.Random(16)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(n))) for i, n in enumerate([60, 80, 120, 200])]
+    docs = []
+    for i, text in items:
+        w = text.split()
+        for k, moved in enumerate((w[len(w) // 4 :] + w[: len(w) // 4], w[len(w) // 2 :] + w[: len(w) // 2], w)):
+            clean = [f"c{rng.randrange(10**6)}" for _ in range(400)]
+            docs.append((10 * i + k, " ".join(clean[:150] + moved + clean[150:])))
+    found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    expected = brute.leaks(docs, items)
+    assert {(r["id"], r["item"]): r["similarity"] for r in found.collect()} == pytest.approx(expected) and len(expected) == 12

@@ -1,10 +1,10 @@
 """Benchmark decontamination with SimHash windows. DataFrame functions only.
 
 Texts are lower-cased and cut into words and shingles of five words; a text of fewer words is one shingle. For an item
-of L shingles, windows of L shingles are laid over a document. A window that is similar to an item shares a
-shingle with it, so windows are laid where a shingle of the document is one of the item, with both in the same place
-(the first place of that shingle in the item); at the ends of a document windows are moved inside, and a document
-shorter than the item is one window. Equal windows are one row from there on.
+of L shingles, windows of L shingles are laid over a document; a document shorter than the item is one window. In a
+window of W shingles that is similar to an item, at least 4 / 9 * (W + L) are the item's (a similarity of 0.8 as a
+share of both), in whatever order. Every window in which so many are shingles of items of that length is laid, so none
+is missed; they are counted over the places of such shingles in the document. Equal windows are one row from there on.
 
 Each window and each item has a SimHash of 64 bits, where every occurrence of a shingle votes, so that counts are
 weights. Fingerprints within ``radius`` (15) bits of each other differ in at most 3 bits in one of four blocks of 16.
@@ -78,6 +78,21 @@ def _near_blocks(fingerprint: Column, distance: int) -> Column:
     return F.flatten(F.transform(blocks, values))
 
 
+def _starts(places: Column, length: Column, n: Column) -> Column:
+    """Starts of all windows over ``n`` shingles that hold enough of the sorted places for a similarity of 0.8."""
+    span = F.least(length, n)
+    need = F.ceil((span + length) * SIMILARITY / (1 + SIMILARITY) - 1e-9).cast("int")
+    # so many places in a row are in the windows from the one that ends with the last to the one that begins with the first
+    firsts = F.sequence(F.lit(0), F.size(places) - need)
+
+    def windows(j: Column) -> Column:
+        low = F.greatest(F.get(places, j + need - 1) - span + 1, F.lit(0))
+        high = F.least(F.get(places, j), n - span)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.when(F.size(places) >= need, F.array_distinct(F.flatten(F.transform(firsts, windows)))).otherwise(F.array().cast("array<int>"))
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item_key: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
@@ -89,19 +104,16 @@ def matches(
     items = named.groupBy("content").agg(F.first("shingles").alias("shingles"))
     items = staged(items.select("content", "shingles", F.size("shingles").alias("length"), _simhash(F.col("shingles")).alias("fp")), "item_prints")
 
-    anchors = items.select("content", "length", F.posexplode("shingles").alias("at", "s"))
-    anchors = anchors.groupBy("content", "length", "s").agg(F.min("at").alias("at")).select("s", "length", "at").distinct()
-    anchors = staged(anchors, "anchors")
+    anchors = staged(items.select("length", F.explode("shingles").alias("s")).distinct(), "anchors")
     if anchors.count() <= BROADCAST_ROWS:
         anchors = F.broadcast(anchors)
 
     rows = docs.select(col(key).alias("id"), F.xxhash64(col(text)).alias("row"), col(text).alias("text"))
     cut = rows.select("id", "row", _shingles(F.col("text")).alias("shingles"))
     at = cut.select("id", "row", F.size("shingles").alias("n"), F.posexplode("shingles").alias("place", "s"))
-    hits = at.join(anchors, "s")
+    hits = at.join(anchors, "s").groupBy("id", "row", "n", "length").agg(F.collect_set("place").alias("places"))
     span = F.least("length", "n")
-    start = F.greatest(F.lit(0), F.least(F.col("place") - F.col("at"), F.col("n") - span))
-    laid = hits.select("id", "row", "length", start.alias("start"), span.alias("span")).distinct()
+    laid = hits.select("id", "row", "length", span.alias("span"), F.explode(_starts(F.array_sort("places"), F.col("length"), F.col("n"))).alias("start"))
     laid = laid.groupBy("id", "row").agg(F.collect_list(F.struct("length", "start", "span")).alias("laid"))
     laid = staged(laid, "laid")
     found = rows.join(laid.select(F.col("id").alias("id2"), F.col("row").alias("row2"), "laid"), F.col("id").eqNullSafe(F.col("id2")) & (F.col("row") == F.col("row2")))
