@@ -5,12 +5,13 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from zonalis.llm import decontamination, toxicity
+from zonalis.llm import decontamination, quality_rules, toxicity
 
 
 def lexicon_rows(words: dict[str, int], least: int = 1) -> list[tuple[str, int, float]]:
@@ -101,3 +102,17 @@ def test_items_in_another_order_are_found(spark: SparkSession) -> None:
     found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     expected = brute.leaks(docs, items)
     assert {(r["id"], r["item"]): r["similarity"] for r in found.collect()} == pytest.approx(expected) and len(expected) == 12
+
+
+def test_more_than_twelve_patterns_and_four_conditions() -> None:
+    rng = np.random.default_rng(17)
+    values = {f"v{i:02}": rng.random(40_000) for i in range(16)}
+    bad = np.logical_or.reduce([v > 0.98 for v in values.values()])
+    said = np.zeros(len(bad), bool)
+    for rule in quality_rules.learn(values, bad, rng.random(len(bad))):
+        said |= quality_rules.covers(rule, values)
+    assert (said == bad).mean() > 0.98
+    values = {f"v{i}": rng.random(40_000) for i in range(6)}
+    bad = np.logical_and.reduce([v > 0.3 for v in values.values()])
+    rules = quality_rules.learn(values, bad, rng.random(len(bad)))
+    assert len(rules[0]) > 4

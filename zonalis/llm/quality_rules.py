@@ -7,8 +7,8 @@ from its end while that does not lower its worth. Rows that the rule covers leav
 grown, until a rule is worth nothing. What comes out is an ordered list of conjunctions of thresholds over ratios,
 as Spark conditional expressions; the scoring pass needs nothing else.
 
-The statistics behind the thresholds come from all rows. The list is fitted on labelled rows that are not held out, at
-most ``max_rows`` of them, chosen by the hash of the id. A document with several labels is good if one says so;
+Statistics are counted for all rows. Thresholds and list come from labelled rows that are not held out, at most
+``max_rows`` of them, chosen by the hash of the id; candidate thresholds are quantiles of the grow part. A document with several labels is good if one says so;
 labels that are NULL are ignored. Without labels of both kinds the list is empty and its verdict is "keep".
 
 NULL and empty texts have no words, fail the base rules and are not kept. Repeated rows get equal results. Columns of
@@ -35,7 +35,6 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 THRESHOLDS = 24  # candidate thresholds of each ratio: quantiles of the grow part
-MAX_RULES, MAX_CONDITIONS = 12, 4
 MAX_ROWS = 50_000
 
 
@@ -143,7 +142,7 @@ def _gain(bad: np.ndarray, good: np.ndarray, bad0: int, good0: int) -> np.ndarra
 def _grow(values: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
     rule: Rule = ()
     held = np.ones(len(bad), bool)
-    while len(rule) < MAX_CONDITIONS and held.any():
+    while held.any():
         bad0, good0 = int(bad[held].sum()), int((~bad[held]).sum())
         if not bad0 or not good0:
             break
@@ -174,7 +173,7 @@ def learn(values: dict[str, np.ndarray], bad: np.ndarray, order: np.ndarray) ->
     """Rules for bad documents, in order. ``order`` is a number in [0, 1) that splits rows in grow (2/3) and prune."""
     rules: list[Rule] = []
     left = np.ones(len(bad), bool)
-    while len(rules) < MAX_RULES:
+    while True:
         grow, prune = left & (order < 2 / 3), left & (order >= 2 / 3)
         if not bad[grow].any() or bad[grow].all():
             break
