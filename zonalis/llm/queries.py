@@ -6,10 +6,11 @@ import functools
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import bpe, chat, decontamination, line_dedup, quality_rules, sharding, simhash, substring_dedup, token_counts, toxicity
+from zonalis.llm import bpe, chat, decontamination, line_dedup, periodic_runs, quality_rules, sharding, simhash, substring_dedup, token_counts, toxicity
+from zonalis.llm.common import words
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -84,6 +85,32 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(docs, keep=["doc_id"])
 
 
+def _planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document by hash, made periodic from a word on, as the contract of operator 11 wants it."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words(F.col("text"))).alias("w"))
+    cut = cut.withColumn("n", F.size("w")).withColumn("a", F.expr("CAST(g % nullif(n, 0) AS INT)"))
+    cut = cut.withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    repeated = "slice(flatten(array_repeat(slice(w, a + 1, p), CAST(ceil((n - a) / p) AS INT))), 1, n - a)"
+    return cut.selectExpr("doc_id", f"coalesce(array_join(concat(slice(w, 1, a), {repeated}), ' '), text) AS text")
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _planted_runs(_table(spark, folder, "documents"))
+    found = periodic_runs.find_runs(docs)
+    best = periodic_runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 # words by white space, as the operators cut them
 _LINES = """
 lines as (
@@ -169,5 +196,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_token_counts,
         op10_simhash,
+        op11_periodic_runs,
     )
 }
