@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import bpe, chat, decontamination, line_dedup, periodic_runs, quality_rules, sharding, simhash, substring_dedup, token_counts, toxicity
+from zonalis.llm import bpe, chat, decontamination, line_dedup, periodic_runs, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
 from zonalis.llm.common import words
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -111,6 +111,11 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 # words by white space, as the operators cut them
 _LINES = """
 lines as (
@@ -197,5 +202,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_simhash,
         op11_periodic_runs,
+        op13_suffix_dedup,
     )
 }
