@@ -1,4 +1,4 @@
-"""The ten operators over their tables, with SQL where SQL can express the result."""
+"""The operators over their tables, with SQL where SQL can express the result."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import bpe, chat, decontamination, line_dedup, periodic_runs, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
+from zonalis.llm import bpe, chat, decontamination, hard_negatives, line_dedup, periodic_runs, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
 from zonalis.llm.common import words
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -111,6 +111,12 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("id") % 50 == 0)
+
+
 def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
@@ -168,6 +174,31 @@ select d.doc_id,
   coalesce((select count(*) from gone g where g.doc_id = d.doc_id), 0) as n_removed,
   case when d.text is null then null else sha256(coalesce(k.text, '')) end as kept_sha256
 from documents d left join kept k on d.doc_id = k.doc_id
+""",
+    "op12_hard_negatives": """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as e
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+pairs as (
+  select a.vec_id as anchor_id, a.label as own, b.vec_id as id, b.label, list_dot_product(a.e, b.e)::bigint as score
+  from vectors a join vectors b on len(a.e) = len(b.e) where a.vec_id % 50 = 0
+),
+positives as (
+  select anchor_id, id, score from (
+    select *, row_number() over (partition by anchor_id order by score desc, id) as n from pairs where own = label and anchor_id <> id
+  ) where n <= 5
+),
+found as (
+  select p.anchor_id, p.id as positive_id, p.score as positive_score, s.id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id) as rank
+  from positives p join pairs s on p.anchor_id = s.anchor_id and s.own <> s.label
+  where 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from found where rank <= 3
 """,
     "op7_substring_dedup": """
 with words as (select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as w from documents),
@@ -202,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_simhash,
         op11_periodic_runs,
+        op12_hard_negatives,
         op13_suffix_dedup,
     )
 }
