@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import subprocess
 import sys
@@ -180,3 +181,14 @@ def test_totals_over_covered_zones_are_kept(spark: SparkSession) -> None:
     lookup = spark.createDataFrame([("t1", "a", 0.5), ("t1", "b", 0.5), ("t2", "b", 1.0)], "id_radio string, id_circuito_elec string, por_radio double")
     census = spark.createDataFrame([("t1", "per_TOTAL", 100), ("t2", "per_TOTAL", 40)], "radio string, var string, value bigint")
     assert interpolate(lookup, census, ["per_TOTAL"]).agg(F.sum("per_TOTAL")).first()[0] == pytest.approx(140)
+
+
+def test_interpolated_counts_do_not_depend_on_the_order_of_rows(spark: SparkSession) -> None:
+    shares = [0.20195, 0.16488, 0.39712, 0.73605]  # a sum of 1.5, which doubles give in some orders only
+    census = spark.createDataFrame([(f"r{k}", "per_x", 1.0) for k in range(4)] + [("r0", "per_y", None), ("r1", "per_y", float("nan"))], "radio string, var string, value double")
+    for order in itertools.permutations(range(4)):
+        lookup = spark.createDataFrame([(f"r{k}", "c", shares[k]) for k in order], "id_radio string, id_circuito_elec string, por_radio double")
+        assert [tuple(r) for r in interpolate(lookup.coalesce(1), census, ["per_x", "per_y"]).collect()] == [("c", 2.0, 0.0)]
+    lookup = spark.createDataFrame([("r0", "c", 0.5), ("r1", "c", 0.0), ("r2", "d", 1.5)], "id_radio string, id_circuito_elec string, por_radio double")
+    found = {r[0]: tuple(r)[1:] for r in interpolate(lookup, census, ["per_x", "per_y"]).collect()}
+    assert found == {"c": (0.0, 0.0), "d": (2.0, 0.0)}

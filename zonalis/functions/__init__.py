@@ -9,12 +9,13 @@ from .codes import (
     slice_text,
 )
 from .missing import first_by, null_if_nan, skipna_sum, strict_sum, strict_sum_where
-from .ratios import percent_of, round_even
+from .ratios import exact, percent_of, round_even
 
 __all__ = [
     "as_integer",
     "circuit_zeroes",
     "decimal_comma_text",
+    "exact",
     "first_by",
     "format_decimal_comma",
     "null_if_nan",

@@ -6,24 +6,34 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from zonalis.functions import exact
 from zonalis.operators.joins import join_fold, left_join
 from zonalis.operators.reshape import sum_to_wide
 from zonalis.operators.selectors import dictionary_projection, everything
+from zonalis.plans.geography import SHARE_DIGITS
 
 # Families of census variables, most specific prefix first, and province names.
 FAMILIES = ("vi_urban_", "vi_", "ho_", "per_")
 PROVINCES = {"01": "CABA", "02": "Buenos Aires"}
 
+COUNT_DIGITS = 3  # decimal places of census values that count; they are whole numbers as a rule
+
 
 def interpolate(lookup: DataFrame, census: DataFrame, names: Sequence[str]) -> DataFrame:
     """Census counts of tracts, weighted by area share and summed to electoral circuits.
 
     ``census`` is long ``(radio, var, value)``. Every circuit of the lookup gets a row; what no tract
     reports is 0. Sums are rounded to whole numbers, half to even.
+
+    Shares have SHARE_DIGITS decimal places and counts are taken to COUNT_DIGITS, so products are decimals without any
+    rounding, their sums are the same in every order, and the one rounding at the end sees the exact sum.
     """
-    weighted = left_join(lookup.selectExpr("id_radio AS radio", "id_circuito_elec", "por_radio"), census, ["radio"])
-    table = sum_to_wide(weighted, ["id_circuito_elec"], "var", F.expr("value * por_radio"), names)
-    return table.selectExpr("id_circuito_elec", *[f"bround(coalesce(`{c}`, 0D), 0) AS `{c}`" for c in names])
+    share = exact("por_radio", 15, SHARE_DIGITS).alias("por_radio")
+    weighted = left_join(lookup.select(F.col("id_radio").alias("radio"), "id_circuito_elec", share), census, ["radio"])
+    product = exact("value", 15, COUNT_DIGITS) * F.col("por_radio")
+    table = sum_to_wide(weighted, ["id_circuito_elec"], "var", product, names)
+    rounded = [F.bround(F.coalesce(F.col(f"`{c}`"), F.lit(0)), 0).cast("double").alias(c) for c in names]
+    return table.select("id_circuito_elec", *rounded)
 
 
 def family_of(name: str, families: Sequence[str] = FAMILIES) -> str:

@@ -90,7 +90,7 @@ def overlay_shares(tracts: DataFrame, circuits: DataFrame) -> DataFrame:
 
     Inputs: ``(id, id_radio, rings)`` and ``(id, id_circuito, rings)`` in an equal-area plane, ``id``
     unique per polygon, with an optional number of ``copies``. Shares are rounded per pair of polygons
-    and then summed per pair of ids. Where both tables have layers, a tract meets the circuits of its own layer only.
+    and then summed per pair of ids, as decimals, so that the order of the pairs does not show. Where both tables have layers, a tract meets the circuits of its own layer only.
     """
     layer = [c for c in _layer(tracts) if c in circuits.columns]
     whole = tracts.select(
@@ -100,13 +100,13 @@ def overlay_shares(tracts: DataFrame, circuits: DataFrame) -> DataFrame:
         _copies(tracts).alias("a_copies"),
     )
     zones = circuits.select(F.col("id").alias("b"), "id_circuito", _copies(circuits).alias("b_copies"))
-    share = round_even(F.try_divide(F.col("area"), F.col("area_radio")), SHARE_DIGITS)
+    share = round_even(F.try_divide(F.col("area"), F.col("area_radio")), SHARE_DIGITS).cast(f"decimal(15,{SHARE_DIGITS})")
     return (
         overlay(tracts, circuits, by=layer)
         .join(whole, "a")
         .join(zones, "b")
         .groupBy("id_radio", "id_circuito")
-        .agg(F.sum(share * F.col("a_copies") * F.col("b_copies")).alias("por_radio"))
+        .agg(F.sum(share * F.col("a_copies") * F.col("b_copies")).cast("double").alias("por_radio"))
     )
 
 
