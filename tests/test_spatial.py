@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import math
 import random
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -337,3 +339,70 @@ def test_copies_count_once_each(spark: SparkSession) -> None:
     tracts = prepare_tracts(tract)
     shares = overlay_shares(tracts, circuit_ids(good)).collect()
     assert [(r.id_radio, r.id_circuito, r.por_radio) for r in shares] == [("t", "02001000012", 3.0)]
+
+
+def large_outline(spark: SparkSession, n: int) -> tuple[DataFrame, np.ndarray]:
+    """A ragged star-shaped outline of n edges around 0, and the radius of each of its vertices."""
+    rng = np.random.default_rng(11)
+    radius = 100 + 5 * np.sin(np.arange(n) * 2 * np.pi * 40 / n) + 0.01 * rng.random(n)
+    angle = np.arange(n) * 2 * np.pi / n
+    table = pd.DataFrame({"k": np.arange(n + 1), "x": np.append(radius * np.cos(angle), radius[0]), "y": np.append(radius * np.sin(angle), 0.0)})
+    points = spark.createDataFrame(table).groupBy().agg(F.array_sort(F.collect_list(F.struct("k", "x", "y"))).alias("p"))
+    ring = F.transform("p", lambda q: F.struct(q["x"].alias("x"), q["y"].alias("y")))
+    return points.select(F.lit(7).cast("bigint").alias("id"), F.array(ring).alias("rings")), radius
+
+
+def test_an_outline_of_a_million_edges(spark: SparkSession, tmp_path: Path) -> None:
+    """Points meet the edges of their row, tracts those of their columns; the tracts' shares add up to the whole area."""
+    n = 1_000_000
+    outline, radius = large_outline(spark, n)
+    outline.write.parquet(str(tmp_path / "outline"))
+    outline = spark.read.parquet(str(tmp_path / "outline"))
+    rows = spatial._rows_of(outline).agg(F.max(F.size("sides")), F.sum(F.size("sides"))).first()
+    assert rows[0] < 2000 and rows[1] < 3 * n
+    columns = spatial._columns_of(outline, "a", [10]).agg(F.max(F.size("a_edges")) / 4, F.sum(F.size("a_edges")) / 4).first()
+    assert columns[0] <= spatial.EDGES_PER_PIECE and columns[1] < 3 * n
+
+    rng = np.random.default_rng(12)
+    x, y = rng.uniform(-110, 110, (2, 100_000))
+    found = spatial.points_in_polygons(spark.createDataFrame(pd.DataFrame({"k": np.arange(len(x)), "x": x, "y": y})), outline, ["k"])
+    inside = np.zeros(len(x), bool)
+    inside[[r.k for r in found.select("k").collect()]] = True
+    k = (np.arctan2(y, x) % (2 * np.pi) * n / (2 * np.pi)).astype(int) % n
+    ends = [radius[i % n] * np.exp(1j * (i % n) * 2 * np.pi / n) for i in (k, k + 1)]
+    assert (inside == ((np.conj(ends[1] - ends[0]) * (x + 1j * y - ends[0])).imag >= 0)).all()
+
+    side = 0.75
+    place = F.struct(((F.col("id") % 320 - 160) * side).alias("x0"), ((F.floor(F.col("id") / 320) - 160) * side).alias("y0")).alias("p")
+    tracts = spark.range(320 * 320).select("id", place).select("id", F.expr(
+        f"array(transform(array(array(0, 0), array(1, 0), array(1, 1), array(0, 1), array(0, 0)), c -> named_struct('x', p.x0 + c[0] * {side}D, 'y', p.y0 + c[1] * {side}D)))"
+    ).cast(RINGS_TYPE).alias("rings"))
+    shared = spatial.overlay(tracts, outline)
+    whole = outline.select(shoelace(F.col("rings"))).first()[0]
+    total, count, most = shared.agg(F.sum("area"), F.count("*"), F.max("area")).first()
+    assert total == pytest.approx(whole, rel=1e-9) and most <= side * side * (1 + 1e-9)
+    assert 50_000 < count < 70_000
+
+
+def test_rows_of_comb_and_flat_shapes(spark: SparkSession) -> None:
+    """Long teeth, horizontal edges, holes and points on every kind of boundary, against the plain parity rule."""
+    comb = [(0.0, 0.0), *[(float(k) / 2, 9.0 if k % 2 else 1.0) for k in range(1, 80)], (40.0, 0.0), (0.0, 0.0)]
+    stairs = [(0, 0), *[(v, w) for k in range(1, 30) for v, w in ((k, k - 1), (k, k))], (0, 29), (0, 0)]
+    shapes = {1: [comb], 2: [[(float(a), float(b)) for a, b in stairs]], 3: [box(0, 0, 30, 30), box(5, 5, 25, 25)[::-1], box(10, 10, 20, 20)]}
+    rng = random.Random(4)
+    places = [(rng.choice((rng.uniform(-1, 41), float(rng.randint(0, 40)))), rng.choice((rng.uniform(-1, 31), float(rng.randint(0, 30))))) for _ in range(400)]
+    places = sorted(set(places))
+    points = spark.createDataFrame([(k, *p) for k, p in enumerate(places)], "k int, x double, y double")
+    found = {(r.k, r.id) for r in spatial.points_in_polygons(points, polygons(spark, shapes), ["k"]).collect()}
+
+    def holds(rings: list[Ring], x: float, y: float) -> bool:
+        odd = False
+        for ring in rings:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False):
+                if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                    return True
+                if (y1 > y) != (y2 > y):
+                    odd ^= x < x1 + (x2 - x1) * (y - y1) / (y2 - y1)
+        return odd
+
+    assert found == {(k, i) for k, p in enumerate(places) for i, rings in shapes.items() if holds(rings, *p)}

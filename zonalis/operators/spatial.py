@@ -5,6 +5,10 @@ grid of its own level it touches four cells at most. Two polygons are compared o
 coarser of the two, so small polygons are also listed in the cells of the coarser levels present on
 the other side. Candidates therefore come from an equi join on ``(level, cx, cy)``, and no polygon
 is spread over many cells however large it is.
+
+Edges are cut by strips, too: into columns of x for areas, into rows of y for points. The strips of a polygon are a power of two
+wide, so that each holds about as many edges as are worked on at once and listing the edges by strip at most doubles or
+trebles them, whatever their lengths. A pair of polygons, or a point and a polygon, meets the edges of the strips it lies in only.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonalis.operators.geometry import bounds, box_overlap_area, edge_state, edges
 
@@ -22,6 +26,10 @@ CELL = ["level", "cx", "cy"]
 # Levels are clamped to this range, which also bounds the list read by :func:`levels_of`.
 LEVEL_RANGE = (-30, 40)
 EDGES_PER_PIECE = 512
+# Edges that a row of a polygon should hold, for points; edges that a column should hold, for areas.
+EDGES_PER_ROW, EDGES_PER_COLUMN = 32, 256
+# A polygon is not cut into columns finer than its own by more than this power of two, however fine the other one's are.
+FINER = 6
 EDGE_PAIRS_PER_STEP = 1_000_000
 # Polygons that only touch share no area, but the sums of their edge pairs round to something like 1e-16 of the room
 # of each pair. An area below this share of the common box is such noise; 0 keeps every positive sum.
@@ -39,9 +47,14 @@ def levels_of(*tables: DataFrame) -> list[list[int]]:
 
     One job for all tables; it returns one row per table and level.
     """
-    sides = [t.select(F.lit(i).alias("side"), size_level().alias("level")) for i, t in enumerate(tables)]
+    return _distinct_levels([t.select(size_level()) for t in tables])
+
+
+def _distinct_levels(tables: Sequence[DataFrame]) -> list[list[int]]:
+    """Distinct values of the only column of each table."""
+    sides = [t.toDF("level").select(F.lit(i).alias("side"), "level") for i, t in enumerate(tables)]
     rows = reduce(DataFrame.unionAll, sides).distinct().collect()
-    return [sorted(r.level for r in rows if r.side == i) for i in range(len(tables))]
+    return [sorted(r.level for r in rows if r.side == i and r.level is not None) for i in range(len(tables))]
 
 
 def _cell(value: str, level: str = "level") -> str:
@@ -94,44 +107,60 @@ def polygon_boxes(polygons: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return polygons.select("id", *by, bounds(F.col("rings")).alias("box"))
 
 
-def _edge_pieces(polygons: DataFrame, prefix: str) -> DataFrame:
-    """Edges of each polygon as flat ``x1,y1,x2,y2`` arrays of bounded length.
+def strip_level(rings: Column, axis: str, per_strip: int) -> Column:
+    """Power of two as wide as a strip across ``axis`` should be.
 
-    Edges are ordered by their left end first, so that a piece spans a narrow range of x.
+    It holds ``per_strip`` edges on average, and is not narrower than the edges are long on average.
     """
-    ordered = F.array_sort(
-        F.transform(
-            F.filter(edges(F.col("rings")), lambda e: e["x1"] != e["x2"]),
-            lambda e: F.struct(
-                F.least(e["x1"], e["x2"]).alias("lo"), *[e[n].alias(n) for n in ("x1", "y1", "x2", "y2")]
-            ),
-        )
-    )
-    return (
-        polygons.select(F.col("id").alias(prefix), ordered.alias("sides"))
-        .select(prefix, F.explode(_pieces(F.col("sides"))).alias("piece"))
-        .filter(F.size("piece") > 0)
-        .select(
-            prefix,
-            F.get("piece", F.lit(0))["lo"].alias(f"{prefix}lo"),
-            F.array_max(F.transform("piece", lambda e: F.greatest(e["x1"], e["x2"]))).alias(f"{prefix}hi"),
-            F.flatten(F.transform("piece", lambda e: F.array(e["x1"], e["y1"], e["x2"], e["y2"]))).alias(
-                f"{prefix}_edges"
-            ),
-        )
-    )
+    none = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("length"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
+    ends = lambda e: (e[f"{axis}1"], e[f"{axis}2"])
+
+    def add(t: Column, e: Column) -> Column:
+        p, q = ends(e)
+        low, high = F.least(t["low"], p, q), F.greatest(t["high"], p, q)
+        return F.struct((t["n"] + 1).alias("n"), (t["length"] + F.abs(p - q)).alias("length"), low.alias("low"), high.alias("high"))
+
+    def width(t: Column) -> Column:
+        lowest, highest = LEVEL_RANGE
+        side = F.greatest(F.try_divide((t["high"] - t["low"]) * per_strip, t["n"]), F.try_divide(t["length"], t["n"]), F.lit(2.0**lowest))
+        return F.least(F.ceil(F.log2(side)).cast("int"), F.lit(highest))
 
+    return F.aggregate(edges(rings), none, add, width)
 
-def shared_area(a: np.ndarray, b: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """Signed area below both edges of each edge pair, added up per row.
+
+def _columns_of(polygons: DataFrame, prefix: str, others: Sequence[int]) -> DataFrame:
+    """Edges by polygon and column, as flat ``x1,y1,x2,y2`` arrays of bounded length.
+
+    Columns are as wide as the pairs with polygons of the levels ``others`` need them; vertical edges bound no area.
+    """
+    sides = F.filter(edges(F.col("rings")), lambda e: e["x1"] != e["x2"])
+    own = polygons.select(F.col("id").alias(prefix), strip_level(F.col("rings"), "x", EDGES_PER_COLUMN).alias("own"), sides.alias("sides"))
+    levels = f"array_distinct(transform({_int_array(others)}, other -> {_pair_level('own', 'other')}))"
+    listed = own.selectExpr(prefix, f"explode({levels}) AS width", "sides").selectExpr(prefix, "width", "inline(sides)")
+    strips = f"explode(sequence({_cell('least(x1, x2)', 'width')}, {_cell('greatest(x1, x2)', 'width')})) AS strip"
+    placed = listed.selectExpr(prefix, "width", strips, "struct(x1, y1, x2, y2) AS side")
+    strip = placed.groupBy(prefix, "width", "strip").agg(F.collect_list("side").alias("sides"))
+    flat = F.flatten(F.transform("piece", lambda e: F.array(e["x1"], e["y1"], e["x2"], e["y2"])))
+    pieces = strip.select(prefix, "width", "strip", F.explode(_pieces(F.col("sides"))).alias("piece"))
+    return pieces.select(prefix, "width", "strip", flat.alias(f"{prefix}_edges"))
+
+
+def _pair_level(a: str, b: str) -> str:
+    """Level of the columns in which two polygons meet: the finer one's, as far as the coarser one may be cut."""
+    return f"greatest(least({a}, {b}), greatest({a}, {b}) - {FINER})"
+
+
+def shared_area(a: np.ndarray, b: np.ndarray, row: np.ndarray, width: np.ndarray, strip: np.ndarray) -> np.ndarray:
+    """Signed area below both edges of each edge pair, added up per row; ``width`` and ``strip`` tell the column of each row.
 
     ``a`` and ``b`` hold one edge ``x1,y1,x2,y2`` per pair. A ring is the sum of the regions below
     its edges, top edges counted plus and bottom edges minus; so the area two polygons share is the
-    sum over edge pairs of the signed integral of the lower of the two lines.
+    sum over edge pairs of the signed integral of the lower of the two lines. Edges are listed in every column they
+    touch; a pair counts in the column in which its common range begins.
     """
     lo = np.maximum(np.minimum(a[:, 0], a[:, 2]), np.minimum(b[:, 0], b[:, 2]))
     hi = np.minimum(np.maximum(a[:, 0], a[:, 2]), np.maximum(b[:, 0], b[:, 2]))
-    keep = hi > lo
+    keep = (hi > lo) & (np.floor(lo / width[row]) == strip[row])
     a, b, lo, hi, row = a[keep], b[keep], lo[keep], hi[keep], row[keep]
 
     def line(e: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -147,7 +176,7 @@ def shared_area(a: np.ndarray, b: np.ndarray, row: np.ndarray, rows: int) -> np.
         at + np.minimum(a_hi, b_hi)[crossing]
     )
     sign = np.sign(a[:, 0] - a[:, 2]) * np.sign(b[:, 0] - b[:, 2])
-    return np.bincount(row, weights=sign * area * (hi - lo) / 2, minlength=rows)
+    return np.bincount(row, weights=sign * area * (hi - lo) / 2, minlength=len(width))
 
 
 def _piece_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,10 +188,12 @@ def _piece_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values = np.asarray(column.flatten()).reshape(-1, 4).copy()
             sides[name] = (values, (offsets[:-1] - offsets[0]) // 4, np.diff(offsets) // 4)
         (a, a_at, a_n), (b, b_at, b_n) = sides["a_edges"], sides["b_edges"]
+        width = np.exp2(np.asarray(batch.column("width"), dtype=float))
+        strip = np.asarray(batch.column("strip"), dtype=float)
         work = a_n.astype(np.int64) * b_n
         area = np.zeros(len(work))
-        # heights are measured from a vertex of the row itself, which keeps the sums small
-        base = a[a_at, 1]
+        # heights are measured from the foot of the common box, which keeps the sums small; it is the same for all columns
+        base = np.asarray(batch.column("base"))
         start = 0
         while start < len(work):
             done = np.cumsum(work[start:])
@@ -177,7 +208,7 @@ def _piece_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left[:, 3] -= shift
             right[:, 1] -= shift
             right[:, 3] -= shift
-            area[start:stop] = shared_area(left, right, row, stop - start)
+            area[start:stop] = shared_area(left, right, row, width[start:stop], strip[start:stop])
             start = stop
         yield pa.RecordBatch.from_arrays(
             [batch.column("a"), batch.column("b"), batch.column("room"), pa.array(area)],
@@ -188,17 +219,28 @@ def _piece_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def overlay(left: DataFrame, right: DataFrame, noise: float = NOISE, by: Sequence[str] = ()) -> DataFrame:
     """Area shared by every pair of polygons that overlap: ``(a, b, area)``.
 
-    Inputs have columns ``id`` (unique) and ``rings``. Only ids and boxes go through the grid join;
-    the edges are joined to the pairs afterwards, in pieces of bounded size, so a polygon with very
-    many vertices becomes several rows and not one long task. Pieces of a pair meet only if their ranges
-    of x overlap. Only polygons equal in the columns ``by`` are compared. ``noise`` is the share of the common box from which on an area counts.
+    Inputs have columns ``id`` (unique) and ``rings``. Only ids and boxes go through the grid join. Edges are then joined
+    by polygon and column, so a pair reads those of its common columns only: a small polygon on an outline of a
+    million edges meets the few above and below it. Only polygons equal in the columns ``by`` are compared.
+    ``noise`` is the share of the common box from which on an area counts.
     """
+    boxes = [
+        p.select("id", *by, bounds(F.col("rings")).withField("width", strip_level(F.col("rings"), "x", EDGES_PER_COLUMN)).alias("box"))
+        for p in (left, right)
+    ]
+    levels = _distinct_levels([b.select("box.width") for b in boxes])
     room = box_overlap_area(F.col("abox"), F.col("bbox")).alias("room")
-    pairs = box_pairs(polygon_boxes(left, by), polygon_boxes(right, by), by).select("a", "b", room)
-    with_a = pairs.join(_edge_pieces(left, "a"), "a")
-    b_pieces = _edge_pieces(right, "b")
-    near = (with_a["b"] == b_pieces["b"]) & (F.col("alo") < F.col("bhi")) & (F.col("blo") < F.col("ahi"))
-    pieces = with_a.join(b_pieces, near).select("a", with_a["b"], "room", "a_edges", "b_edges")
+    pairs = box_pairs(*boxes, by).select(
+        "a", "b", room, F.expr(_pair_level("abox.width", "bbox.width")).alias("width"),
+        F.expr("greatest(abox.ymin, bbox.ymin)").alias("base"),
+        F.expr("greatest(abox.xmin, bbox.xmin)").alias("xlo"), F.expr("least(abox.xmax, bbox.xmax)").alias("xhi"),
+    )
+    strips = f"explode(sequence({_cell('xlo', 'width')}, {_cell('xhi', 'width')})) AS strip"
+    placed = pairs.selectExpr("a", "b", "room", "base", "width", strips)
+    # (polygon, column) is the key on both sides; what is not in a common column drops out
+    with_a = placed.join(_columns_of(left, "a", levels[1]), ["a", "width", "strip"])
+    pieces = with_a.join(_columns_of(right, "b", levels[0]), ["b", "width", "strip"])
+    pieces = pieces.select("a", "b", "room", "base", "width", "strip", "a_edges", "b_edges")
     id_types = {f.name: f.dataType.simpleString() for f in pairs.schema.fields}
     areas = pieces.mapInArrow(_piece_areas, f"a {id_types['a']}, b {id_types['b']}, room double, area double")
     return (
@@ -216,26 +258,57 @@ def box_overlay(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def _rows_of(polygons: DataFrame) -> DataFrame:
+    """Edges by polygon and row, in blocks: ``id, row, before, start, stop, sides, crossed, after``.
+
+    Between two blocks of a row no edge stands, so there every point of the row is inside or every one is outside. A row
+    ends outside; ``crossed`` counts the edges of the block that a line through the middle of the row crosses, ``after`` those of
+    the blocks to its right, and ``before`` is the end of the block to its left.
+    """
+    own = polygons.select("id", strip_level(F.col("rings"), "y", EDGES_PER_ROW).alias("height"), edges(F.col("rings")).alias("sides"))
+    listed = own.selectExpr("id", "height", "inline(sides)")
+    rows = f"explode(sequence({_cell('least(y1, y2)', 'height')}, {_cell('greatest(y1, y2)', 'height')})) AS row"
+    placed = listed.selectExpr("id", "height", "x1", "y1", "x2", "y2", rows)
+    middle = "(row + 0.5D) * pow(2D, height)"
+    placed = placed.selectExpr(
+        "id", "row", "least(x1, x2) AS start", "greatest(x1, x2) AS stop", "struct(x1, y1, x2, y2) AS side",
+        f"CAST((y1 > {middle}) <> (y2 > {middle}) AS INT) AS crosses",
+    )
+    by_start = Window.partitionBy("id", "row").orderBy("start")
+    reach = F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    begins = placed.withColumn("begins", F.when(F.col("start") <= reach, 0).otherwise(1))
+    block = F.sum("begins").over(by_start.rowsBetween(Window.unboundedPreceding, 0))
+    blocks = begins.withColumn("block", block).groupBy("id", "row", "block").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("crosses").alias("crossed"), F.collect_list("side").alias("sides")
+    )
+    by_block = Window.partitionBy("id", "row").orderBy("block")
+    total = F.sum("crossed").over(Window.partitionBy("id", "row"))
+    return blocks.select(
+        "id", "row", "start", "stop", "sides", "crossed",
+        F.coalesce(F.lag("stop").over(by_block), F.lit(float("-inf"))).alias("before"),
+        (total - F.sum("crossed").over(by_block.rowsBetween(Window.unboundedPreceding, 0))).alias("after"),
+    )
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Pairs of a point (columns ``keep``, ``x``, ``y``) and the id of a polygon that holds it.
 
     Points on a boundary belong to every polygon that touches them. Equal points are tested once each:
-    reduce them to distinct rows first. Only boxes go through the grid join. The edges are attached to the
-    pairs afterwards in pieces of bounded size, each tells on which side of how many edges the point is, and
-    the pieces of a pair are added up.
+    reduce them to distinct rows first. Only boxes go through the grid join. A point then meets one block of edges of
+    its row of the polygon, or none: between blocks the number of edges to the right decides, which the
+    block brings along. Within a block its own edges are tested as well.
     """
-    boxes = polygon_boxes(polygons)
+    boxes = polygons.select("id", bounds(F.col("rings")).withField("height", strip_level(F.col("rings"), "y", EDGES_PER_ROW)).alias("box"))
     [levels] = levels_of(boxes)
     at = points.selectExpr(*keep, "x", "y", f"explode({_int_array(levels)}) AS level").selectExpr(
         *keep, "x", "y", "level", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy"
     )
     cells = _in_cells(boxes.withColumn("level", size_level()))
     near = "x BETWEEN box.xmin AND box.xmax AND y BETWEEN box.ymin AND box.ymax"
-    pairs = at.join(cells, CELL).filter(near).select(*keep, "x", "y", "id")
-    pieces = polygons.select("id", F.explode(_pieces(edges(F.col("rings")))).alias("sides"))
-    sides = pairs.join(pieces, "id").select(*keep, "x", "y", "id", edge_state("sides", "x", "y").alias("state"))
-    added = sides.groupBy(*keep, "x", "y", "id").agg(F.max("state").alias("touches"), F.sum("state").alias("crossed"))
-    return added.filter("touches = 2 OR crossed % 2 = 1").select(*keep, "x", "y", "id")
+    pairs = at.join(cells, CELL).filter(near).select(*keep, "x", "y", "id", F.expr(f"{_cell('y', 'box.height')} AS row"))
+    met = pairs.join(_rows_of(polygons), ["id", "row"]).filter("x > before AND x <= stop")
+    state = F.when(F.col("x") < F.col("start"), F.col("crossed") % 2).otherwise(edge_state("sides", "x", "y"))
+    return met.withColumn("state", state).filter("state = 2 OR (state + after) % 2 = 1").select(*keep, "x", "y", "id")
 
 
 def _pieces(sides: Column) -> Column:
