@@ -15,13 +15,13 @@ windows are judged on the input.
    file from front to back, and writes those of the next round to another. Suffixes of different columns start
    at different distances from the anchor, cannot be equal windows, and need not be merged. A window is
    repeated if the common prefix with a neighbour is ``size`` or longer.
-3. *Anchors with very many fragments* are spread over several collections by a hash. Each of them gives its distinct windows as
-   hashes of 128 bits, one row for each window however often it occurs, and windows that two collections share are repeated.
+3. *Anchors with more than ``PART`` distinct fragments* get longer ones: their fragments are texts themselves, cut again around the
+   next of ``grams``. Fragments that share a longer anchor are more alike and fewer, and most of them are equal or alone. The last
+   anchors are whole windows, of which no two fragments of one anchor differ, so no collection is larger than that.
 4. The places of repeated windows go to their texts, which drop the bytes they cover.
 
-Each collection holds some ``PART`` fragments, whatever the input; a task works on ``FRAGMENTS`` of them at a time and keeps its
-files in a temporary folder that goes with the task. A long text is cut into fragments in pieces of ``CHUNK`` bytes that overlap by a window, so memory
-does not grow with it beyond the text itself and its bounded list of places. Texts are told apart by two hashes of 64 bits, equal
+A task works on ``FRAGMENTS`` fragments at a time and keeps its files in a temporary folder that goes with the task. A long text is cut into fragments in pieces of ``CHUNK`` bytes that overlap by a window, so memory
+does not grow with it beyond the text itself, its fragments that are wanted, and its places. Texts are told apart by two hashes of 64 bits, equal
 fragments by another two; common prefixes compare the bytes themselves.
 
 NULL and empty texts have no bytes and lose none; nor do texts shorter than a window, or the rows of an empty table. Two equal rows
@@ -31,10 +31,11 @@ is binary, as a cut may go through a character.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import os
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +46,13 @@ from pyspark.sql.functions import arrow_udf
 from zonalis.llm.common import col, fresh, portions, spread_join, with_fields
 from zonalis.sources.stage import staged
 
-SIZE, GRAM = 400, 64
+SIZE = 400
+GRAMS = (64, 300, 384)  # lengths of anchors; whole windows come last
 CHUNK = 1 << 20  # bytes of text whose windows are cut into fragments at a time
 INDEX_BITS = 23  # places within such a piece; the other bits of a word are the hash that is compared
-PART = 512  # fragments of one anchor in one collection
+PART = 512  # distinct fragments of one anchor in a collection, at most
 FRAGMENTS = 8192  # fragments a task works on at a time
-BROADCAST_ROWS = 300_000  # up to so many short rows are sent to all tasks instead of being joined by a shuffle
+BROADCAST_ROWS = 300_000  # up to so many pairs of numbers are sent to all tasks instead of being joined by a shuffle
 U = np.uint64
 MODULUS = 1 << 64
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -129,8 +131,11 @@ def cut(texts: list[bytes], size: int, gram: int) -> tuple[np.ndarray, ...]:
     return mine, start - ends[mine], count, anchor - start, hashes[anchor], first.of(start, stop), second.of(start, stop)
 
 
+CUTS = "k1 long, k2 long, n long, start long, count int, lead int, anchor long, f1 long, f2 long"
+
+
 def _cutter(size: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    names = ["k1", "k2", "start", "count", "lead", "anchor", "f1", "f2"]
+    names = [field.split()[0] for field in CUTS.split(", ")]
 
     def pieces(texts: list[bytes | None], at: int) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
         """Bytes to cut, the rows they come from and where in their text they begin; long texts in parts that share size - 1 bytes."""
@@ -142,7 +147,7 @@ def _cutter(size: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [batch.column(i).to_numpy() for i in (1, 2)]
+            keys = [batch.column(i).to_numpy() for i in (1, 2, 3)]
             row = 0
             for portion in portions(batch.column(0), CHUNK):
                 for data, rows, offset in pieces(portion, row):
@@ -160,17 +165,23 @@ class Rounds:
     """The files between rounds: what is to be inserted next, in suffix order, with fragments and common prefixes."""
 
     def __init__(self, folder: str, count: int) -> None:
-        self.paths = [os.path.join(folder, name) for name in ("even", "odd")]
+        self.files = [open(os.path.join(folder, name), "w+b", buffering=0) for name in ("even", "odd")]  # noqa: SIM115
         self.count = count
 
     def write(self, turn: int, symbols: np.ndarray, order: np.ndarray, common: np.ndarray) -> None:
-        with open(self.paths[turn % 2], "wb") as file:
-            for values, kind in ((symbols, np.uint16), (order, np.int32), (common, np.int32)):
-                values.astype(kind, copy=False).tofile(file)
+        file = self.files[turn % 2]
+        file.seek(0)
+        for values, kind in ((symbols, np.uint16), (order, np.int32), (common, np.int32)):
+            file.write(values.astype(kind, copy=False).tobytes())
 
     def read(self, turn: int) -> list[np.ndarray]:
-        with open(self.paths[turn % 2], "rb") as file:
-            return [np.fromfile(file, kind, self.count) for kind in (np.uint16, np.int32, np.int32)]
+        file = self.files[turn % 2]
+        file.seek(0)
+        return [np.frombuffer(file.read(self.count * np.dtype(kind).itemsize), kind) for kind in (np.uint16, np.int32, np.int32)]
+
+    def close(self) -> None:
+        for file in self.files:
+            file.close()
 
 
 def repeated(fragments: list[bytes], lead: np.ndarray, group: np.ndarray, twice: np.ndarray, size: int, reach: int, folder: str) -> np.ndarray:
@@ -192,8 +203,8 @@ def repeated(fragments: list[bytes], lead: np.ndarray, group: np.ndarray, twice:
     found = np.zeros((total, reach + 1), bool)
     own = group[copies].astype(np.int64) * 257
     rounds = Rounds(folder, len(copies))
-    with open(path, "rb") as file:
-        column = lambda: np.fromfile(file, np.uint16, total)[copies]
+    with open(path, "rb") as file, contextlib.closing(rounds):
+        column = lambda: np.frombuffer(file.read(2 * total), np.uint16)[copies]
         rounds.write(0, column(), np.arange(len(copies)), np.zeros(len(copies)))
         for turn in range(width):
             inserted, order, common = rounds.read(turn)
@@ -223,64 +234,37 @@ def _spans(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, first, np.nonzero(edges == -1)[1] - 1
 
 
-VERDICT = "f1 long, f2 long, first int, last int, w1 long, w2 long, known boolean"
-
-
 def _judge(size: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From fragments by collection to stretches of repeated windows; for collections that share an anchor also their windows."""
+    """From fragments, those of an anchor one after the other, to stretches of repeated windows."""
     reach = size - gram
-    names = [field.split()[0] for field in VERDICT.split(", ")]
 
-    def judged(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        anchor, part, f1, f2, lead, twice, spread = (table.column(c).to_numpy() for c in ("anchor", "part", "f1", "f2", "lead", "twice", "spread"))
-        fragments = table.column("bytes").to_pylist()
-        group = np.cumsum(np.append(False, (np.diff(anchor) != 0) | (np.diff(part) != 0)))
+    def judged(table: pa.Table) -> pa.RecordBatch:
+        anchor, f1, f2, lead, twice = (table.column(c).to_numpy() for c in ("anchor", "f1", "f2", "lead", "twice"))
+        group = np.cumsum(np.append(False, np.diff(anchor) != 0))
         with tempfile.TemporaryDirectory() as folder:
-            found = repeated(fragments, lead, group, twice, size, reach, folder)
-
-        def out(row: np.ndarray, first: np.ndarray, last: np.ndarray, *window: np.ndarray) -> pa.RecordBatch:
-            rest = window or (np.zeros(len(row), np.int64), np.zeros(len(row), np.int64), np.ones(len(row), bool))
-            columns = [f1[row], f2[row], (first - reach + lead[row]).astype(np.int32), (last - reach + lead[row]).astype(np.int32), *rest]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-
-        yield out(*_spans(found))
-        which = np.flatnonzero(spread)
-        if len(which):
-            lengths = np.array([len(fragments[i]) for i in which])
-            data = np.frombuffer(b"".join(fragments[i] for i in which), np.uint8)
-            counts = lengths - size + 1
-            base = np.repeat(np.cumsum(lengths) - lengths, counts)
-            step = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-            row = np.repeat(which, counts)
-            place = step + reach - lead[row]
-            w1, w2 = (Prints(data, turn).of(base + step, base + step + size).view(np.int64) for turn in (0, 1))
-            known = found[row, place]
-            # of equal windows of a collection one is enough: they are known to be repeated
-            _, one = np.unique(np.column_stack([group[row], w1, w2]), axis=0, return_index=True)
-            yield out(row[one], place[one], place[one], w1[one], w2[one], known[one])
+            row, first, last = _spans(repeated(table.column("bytes").to_pylist(), lead, group, twice, size, reach, folder))
+        # as bytes of the fragment
+        begin = first - reach + lead[row]
+        columns = [f1[row], f2[row], begin, begin + last - first + size]
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["f1", "f2", "first", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
             held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             while held.num_rows > FRAGMENTS:
-                keys = [held.column(c).to_numpy() for c in ("anchor", "part")]
-                ends = np.flatnonzero((np.diff(keys[0]) != 0) | (np.diff(keys[1]) != 0)) + 1
+                ends = np.flatnonzero(np.diff(held.column("anchor").to_numpy())) + 1
                 ends = ends[ends <= max(FRAGMENTS, ends[0] if len(ends) else 0)]
                 if not len(ends):
                     break  # one collection fills all of it; its end is yet to come
-                yield from judged(held.slice(0, int(ends[-1])))
+                yield judged(held.slice(0, int(ends[-1])))
                 held = held.slice(int(ends[-1]))
         if held is not None and held.num_rows:
-            yield from judged(held)
+            yield judged(held)
 
     return run
 
 
-def _small(df: DataFrame) -> bool:
-    return df.count() <= BROADCAST_ROWS
-
-
 def _remover() -> Callable[[Column, Column], Column]:
     @arrow_udf("struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -307,55 +291,60 @@ def _remover() -> Callable[[Column, Column], Column]:
     return run
 
 
-def remove_repeats(df: DataFrame, text: str = "text", size: int = SIZE, gram: int = GRAM) -> DataFrame:
-    """``df`` with ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept``, the bytes that stay."""
-    if not 0 < gram <= size:
-        raise ValueError("an anchor must fit into a window")
-    k1, k2, ranges = (fresh(df.columns, n) for n in ("k1", "k2", "ranges"))
-    keyed = df.withColumns({k1: F.xxhash64(col(text)), k2: F.xxhash64(F.lit(1), col(text))})
-    texts = keyed.select(col(text).alias("text"), F.col(k1).alias("k1"), F.col(k2).alias("k2"))
+def repeated_ranges(texts: DataFrame, size: int, grams: Sequence[int]) -> DataFrame:
+    """``k1, k2, ranges``: the bytes that repeated windows cover, as ranges that may overlap, of each text that has any.
 
-    cuts = texts.where(F.octet_length("text") >= size).mapInArrow(
-        _cutter(size, gram), "k1 long, k2 long, start long, count int, lead int, anchor long, f1 long, f2 long"
-    )
+    ``texts`` has a key of two numbers ``k1`` and ``k2``, equal for equal texts, ``n``, how often a row counts, and ``raw``, the bytes.
+    """
+    gram, later = grams[0], grams[1:]
+    cuts = texts.where(F.octet_length("raw") >= size).select("raw", "k1", "k2", "n").mapInArrow(_cutter(size, gram), CUTS)
     cuts = staged(cuts, "fragments")
-    shared = cuts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    # copies of a text have the same fragments at the same places: one row with their number
-    places = spread_join(cuts, shared, ["anchor"]).groupBy(*cuts.columns).agg(F.count("*").alias("n"))
-    places = staged(places, "places")
+    shared = cuts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+    # copies of a text have the same fragments at the same places: one row for all
+    same = [c for c in cuts.columns if c != "n"]
+    places = staged(spread_join(cuts, shared, ["anchor"]).groupBy(*same).agg(F.sum("n").alias("n")), "places")
 
     distinct = places.groupBy("anchor", "f1", "f2", "count", "lead").agg(
         (F.sum("n") > 1).alias("twice"), F.min(F.struct("k1", "k2", "start")).alias("from")
     )
     distinct = staged(distinct, "distinct_fragments")
-    parts = distinct.groupBy("anchor").agg(F.ceil(F.count("*") / PART).alias("parts"))
-    numbered = spread_join(distinct, parts, ["anchor"]).select(
-        "anchor", F.pmod("f1", "parts").alias("part"), (F.col("parts") > 1).alias("spread"), "f1", "f2", "count", "lead", "twice", "from"
-    )
-    item = F.struct("anchor", "part", "spread", "f1", "f2", "lead", "twice", F.col("from.start").alias("start"), "count")
-    wanted = numbered.groupBy(F.col("from.k1").alias("k1"), F.col("from.k2").alias("k2")).agg(F.collect_list(item).alias("items"))
+    crowded = distinct.groupBy("anchor").agg((F.count("*") > PART).alias("crowded"))
+    item = F.struct("anchor", "crowded", "f1", "f2", "lead", "twice", F.col("from.start").alias("start"), "count")
+    wanted = spread_join(distinct, crowded, ["anchor"])
+    wanted = wanted.groupBy(F.col("from.k1").alias("k1"), F.col("from.k2").alias("k2")).agg(F.collect_list(item).alias("items"))
     wanted = staged(wanted, "wanted")
     keys = wanted.select("k1", "k2")
-    holding = texts.join(F.broadcast(keys) if _small(keys) else keys, ["k1", "k2"], "left_semi")
+    holding = texts.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, ["k1", "k2"], "left_semi")
     # one of equal texts; the bytes are a column of the aggregate, so that they are not made anew for each fragment
-    holding = holding.select("k1", "k2", F.col("text").cast("binary").alias("raw")).groupBy("k1", "k2").agg(F.first("raw").alias("raw"))
-    taken = holding.join(wanted, ["k1", "k2"]).select(
-        F.explode(F.transform("items", lambda i: i.withField("bytes", F.substring(F.col("raw"), (i["start"] + 1).cast("int"), i["count"] + (size - 1))))).alias("i")
-    )
-    taken = taken.select(*[f"i.{c}" for c in ("anchor", "part", "spread", "f1", "f2", "lead", "twice", "bytes")])
-    verdicts = taken.repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(_judge(size, gram), VERDICT)
-    verdicts = staged(verdicts, "verdicts")
-
-    # windows of anchors with several collections: w1 and w2 are 0 in all other rows
-    windows = verdicts.where("w1 <> 0 OR w2 <> 0")
-    again = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    late = spread_join(windows.where("NOT known"), again, ["w1", "w2"])
-    stretches = verdicts.where("w1 = 0 AND w2 = 0").unionByName(late.select(*verdicts.columns))
-    stretches = stretches.groupBy("f1", "f2").agg(F.collect_list(F.struct("first", "last")).alias("stretches"))
+    holding = holding.groupBy("k1", "k2").agg(F.first("raw").alias("raw"))
+    part = lambda i: F.substring(F.col("raw"), (i["start"] + 1).cast("int"), i["count"] + (size - 1))
+    taken = holding.join(wanted, ["k1", "k2"]).select(F.explode(F.transform("items", lambda i: i.withField("bytes", part(i)))).alias("i"))
+    taken = taken.select(*[f"i.{c}" for c in ("anchor", "crowded", "f1", "f2", "lead", "twice", "bytes")])
+    if later and not wanted.where(F.exists("items", lambda i: i["crowded"])).isEmpty():
+        taken = staged(taken, "taken")
+        again = taken.where("crowded").select(F.col("f1").alias("k1"), F.col("f2").alias("k2"), F.col("bytes").alias("raw"), F.expr("IF(twice, 2L, 1L)").alias("n"))
+        longer = repeated_ranges(again, size, later).select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), F.inline("ranges"))
+        taken = taken.where("NOT crowded")
+    else:
+        longer = None
+    stretches = taken.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_judge(size, gram), "f1 long, f2 long, first long, stop long")
+    stretches = stretches if longer is None else stretches.unionByName(longer)
+    stretches = stretches.groupBy("f1", "f2").agg(F.collect_list(F.struct("first", "stop")).alias("stretches"))
     hit = spread_join(places.select("k1", "k2", "start", "f1", "f2"), stretches, ["f1", "f2"])
-    covered = F.transform("stretches", lambda s: F.struct((F.col("start") + s["first"]).alias("first"), (F.col("start") + s["last"] + size).alias("stop")))
-    gone = hit.groupBy("k1", "k2").agg(F.flatten(F.collect_list(covered)).alias(ranges))
-    gone = staged(gone.withColumnsRenamed({"k1": k1, "k2": k2}), "ranges")
-    joined = keyed.join(F.broadcast(gone), [k1, k2], "left") if _small(gone) else spread_join(keyed, gone, [k1, k2], "left")
+    moved = F.transform("stretches", lambda s: F.struct((F.col("start") + s["first"]).alias("first"), (F.col("start") + s["stop"]).alias("stop")))
+    return staged(hit.groupBy("k1", "k2").agg(F.flatten(F.collect_list(moved)).alias("ranges")), "ranges")
+
+
+def remove_repeats(df: DataFrame, text: str = "text", size: int = SIZE, grams: Sequence[int] = GRAMS) -> DataFrame:
+    """``df`` with ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept``, the bytes that stay."""
+    grams = [*grams, size]
+    if grams != sorted(set(grams)) or grams[0] < 1:
+        raise ValueError("anchors must grow, and the last must be shorter than a window")
+    k1, k2, ranges = (fresh(df.columns, n) for n in ("k1", "k2", "ranges"))
+    keyed = df.withColumns({k1: F.xxhash64(col(text)), k2: F.xxhash64(F.lit(1), col(text))})
+    texts = keyed.select(col(text).cast("binary").alias("raw"), F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.lit(1).cast("long").alias("n"))
+    gone = repeated_ranges(texts, size, grams).withColumnsRenamed({"k1": k1, "k2": k2, "ranges": ranges})
+    count = gone.agg(F.sum(F.size(ranges) + 1)).first()[0] or 0
+    joined = keyed.join(F.broadcast(gone), [k1, k2], "left") if count <= BROADCAST_ROWS else spread_join(keyed, gone, [k1, k2], "left")
     out = with_fields(joined, _remover()(col(text), F.col(ranges)), ["n_bytes", "n_removed", "n_spans", "kept"])
     return out.drop(k1, k2, ranges)
