@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import SparkSession, functions as F
 
 from zonalis.operators import statistics as st
-from zonalis.operators.stepwise import forward_path, forward_selection, hash_fold
+from zonalis.operators import stepwise
+from zonalis.operators.stepwise import forward_path, forward_selection, forward_selections, hash_fold, stratified_folds
 from zonalis.plans import reports
 
 
@@ -104,9 +107,8 @@ def _greedy(x: np.ndarray, y: np.ndarray, size: int) -> list[tuple[int, float, n
 
 def test_forward_path_equals_refitting() -> None:
     x, y = _data()
-    z = np.column_stack([np.ones(len(y)), x, y])
     names = [f"x{i}" for i in range(6)]
-    got = forward_path(z.T @ z, names, 6)
+    got = forward_path(st.Moments.of(np.column_stack([x, y])), names, 6)
     want = _greedy(x, y, 6)
     assert [s.added for s in got] == [names[c] for c, _, _ in want]
     assert len(got) == 5  # x0 and x5 add to 100
@@ -154,3 +156,78 @@ def test_report_series(spark: SparkSession) -> None:
     assert [(r.facet, r.facet_rank) for r in ranked] == [("Frente de Todos", 0), ("Frente Juntos por el Cambio", 1)]
     pairs = {r.facet: r["diff"] for r in reports.pairs_2019(df).collect()}
     assert pairs == {"Frente de Todos": -2.0, "Juntos por el Cambio": 2.0}
+
+
+def test_moments_merge_in_any_order() -> None:
+    rng = np.random.default_rng(3)
+    rows = np.column_stack([rng.normal(size=(500, 2)) + 1e9, np.full(500, 0.1 * 3)])
+    cuts = np.sort(rng.choice(np.arange(1, 500), 9, replace=False))
+    parts = [st.Moments.of(p) for p in np.split(rows, cuts)]
+    rng.shuffle(parts)
+    while len(parts) > 1:
+        parts.append(parts.pop(0) + parts.pop(0))
+    [m] = parts
+    assert m.n == 500 and m.mean[2] == 0.1 * 3 and (m.co[2] == 0).all()
+    apart = rows[:, :2] - rows[0, :2]
+    assert m.co[:2, :2] == pytest.approx(np.cov(apart.T) * 499, rel=1e-6)
+
+
+@pytest.mark.parametrize("merged", [1, 3, 512])
+def test_one_pass_serves_all_models(spark: SparkSession, monkeypatch: pytest.MonkeyPatch, merged: int) -> None:
+    """Outcomes with gaps in different rows and folds of their own, against one model at a time on its complete rows."""
+    monkeypatch.setattr(st, "MERGED", merged)
+    x, y = _data(200)
+    rng = np.random.default_rng(5)
+    names = [f"x{k}" for k in range(6)]
+    outcomes = {f"y{k}": [None if rng.random() < 0.2 else float(v) for v in y * (k + 1) + rng.normal(size=200) * 30] for k in range(3)}
+    x[3, 1] = np.nan
+    rows = [(i, *map(float, r), *[v[i] for v in outcomes.values()]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{n} double" for n in [*names, *outcomes])).repartition(5)
+    folds = {name: F.col("id") % (4 + k) for k, name in enumerate(outcomes)}
+    together = forward_selections(df, names, folds, 3)
+    for name, fold in folds.items():
+        whole = st.complete_rows(df, [*names, name])
+        alone = forward_selection(whole, name, names, fold, 3)
+        steps = _greedy(np.array([[r[n] for n in names] for r in whole.collect()]), np.array([r[name] for r in whole.collect()]), 3)
+        got = together[name]
+        assert got.rows == alone.rows == whole.count()
+        assert [s.added for s in got.path] == [s.added for s in alone.path] == [names[c] for c, *_ in steps]
+        assert [s.rss for s in got.path] == pytest.approx([rss for _, rss, _ in steps], rel=1e-6)
+        pairs = [sorted(map(tuple, m.cv_results().collect())) for m in (got, alone)]
+        assert np.array(pairs[0]) == pytest.approx(np.array(pairs[1]))
+
+
+def test_one_scan_for_the_matrix_and_for_all_scores(spark: SparkSession, tmp_path: Path) -> None:
+    spark.range(50).selectExpr("id", "rand(1) AS a", "rand(2) AS b", "rand(3) AS y", "rand(4) AS z").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = st.correlation_matrix(df, ["a", "b", "y"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("MapInArrow") == 1 and "Join" not in plan
+    found = forward_selections(df, ["a", "b"], {"y": F.col("id") % 3, "z": F.col("id") % 5}, 2)
+    plan = found["z"].cv_results()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("rows_per_slice", [30, 200_000])
+def test_folds_hold_equal_parts_of_each_stratum(spark: SparkSession, monkeypatch: pytest.MonkeyPatch, rows_per_slice: int) -> None:
+    monkeypatch.setattr(stepwise, "SLICE", rows_per_slice)
+    rng = np.random.default_rng(6)
+    values = [*map(float, rng.lognormal(size=400)), *[7.5] * 30, None, float("nan"), float("inf")]
+    df = spark.createDataFrame([(i, v, 3.0 if i % 2 else None) for i, v in enumerate(values)], "id int, y double, c double").repartition(6)
+    dealt = stratified_folds(df, ["y", "c"], ["id"])
+    assert dealt.columns == ["id", "y", "c", "fold_y", "fold_c"] and dealt.count() == len(values)
+    rows = dealt.collect()
+    finite = sorted((r.y, r.fold_y) for r in rows if r.y is not None and np.isfinite(r.y))
+    assert all(r.fold_y is None for r in rows if r.y is None or not np.isfinite(r.y))
+    assert {r.fold_c for r in rows if r.c is None} == {None}
+    sizes = np.bincount([r.fold_c for r in rows if r.c is not None], minlength=10)
+    assert sizes.max() - sizes.min() <= 1
+    # strata are stretches of the sorted values; each of the quarters is told to a step of the grid
+    step = (finite[-1][0] - finite[0][0]) / stepwise.GRID
+    ends = [finite[len(finite) * q // 4][0] for q in (1, 2, 3)]
+    for low, high in zip([-1.0, *ends], [*ends, 1e9], strict=True):
+        inner = np.bincount([f for v, f in finite if low + step < v < high - step], minlength=10)
+        assert inner.max() - inner.min() <= 4
+    whole = np.bincount([f for _, f in finite], minlength=10)
+    assert whole.max() - whole.min() <= 4
+    assert sorted(map(tuple, dealt.select("id", "fold_y").collect())) == sorted(map(tuple, stratified_folds(df.repartition(2), ["y"], ["id"]).select("id", "fold_y").collect()))
+    assert stratified_folds(df.limit(0), ["y"], ["id"]).collect() == []

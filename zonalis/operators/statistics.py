@@ -1,4 +1,4 @@
-"""Co-moment sums, correlation tables and regression lines per facet."""
+"""Mergeable co-moments, correlation tables and regression lines per facet."""
 
 from __future__ import annotations
 
@@ -23,79 +23,108 @@ def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return df.na.drop("any", subset=list(columns or df.columns))
 
 
-@dataclass(frozen=True)
-class Centre:
-    """Number of rows, and of each column the mean (of a constant column the constant itself)."""
+MOMENT_TYPE = "model int, fold int, n bigint, mean array<double>, co array<double>"
+# Partial results that are merged at a time; two rounds of merging take the square of it.
+MERGED = 512
 
-    rows: int
-    means: tuple[float, ...]
 
+@dataclass
+class Moments:
+    """Number of rows, means and sums of products of differences to the means: what two sets of rows need to be put together.
 
-def centre_of(df: DataFrame, columns: Sequence[str]) -> Centre:
-    """What is taken off the columns before products are summed: sums of raw products lose what a large mean hides.
-
-    One row reaches the driver.
+    Nothing is summed around 0, so a large mean does not hide the variance, and a constant column has means that are
+    that constant and products that are 0, whatever the order of merging.
     """
-    parts = [f(F.col(f"`{c}`").cast("double")) for c in columns for f in (F.avg, F.min, F.max)]
-    count, *found = df.agg(F.count(F.lit(1)), *parts).first()
-    triples = [found[i : i + 3] for i in range(0, len(found), 3)]
-    return Centre(count, tuple(low if low == high else mean for mean, low, high in triples) if count else (0.0,) * len(columns))
+
+    n: int
+    mean: np.ndarray
+    co: np.ndarray
+
+    @staticmethod
+    def of(rows: np.ndarray) -> Moments:
+        first = rows[0]
+        apart = rows - first
+        mean = apart.mean(0)
+        # a constant column: its differences to the first row are 0
+        apart -= mean
+        return Moments(len(rows), first + mean, apart.T @ apart)
+
+    def __add__(self, other: Moments) -> Moments:
+        n = self.n + other.n
+        step = other.mean - self.mean
+        return Moments(n, self.mean + step * (other.n / n), self.co + other.co + np.outer(step, step) * (self.n * other.n / n))
+
+
+def _moment_batch(found: dict[tuple[int, int], Moments]) -> pa.RecordBatch:
+    """One row for each model and fold; products as the upper triangle, row by row."""
+    upper = np.triu_indices(len(next(iter(found.values())).mean)) if found else ()
+    arrays = [
+        pa.array([k[0] for k in found], pa.int32()),
+        pa.array([k[1] for k in found], pa.int32()),
+        pa.array([m.n for m in found.values()], pa.int64()),
+        pa.array([m.mean for m in found.values()], pa.list_(pa.float64())),
+        pa.array([m.co[upper] for m in found.values()], pa.list_(pa.float64())),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, ["model", "fold", "n", "mean", "co"])
 
 
-def _partial_moments(centre: Centre) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    upper = np.triu_indices(len(centre.means) + 1)
-    means = np.array(centre.means)
+def _read_moments(table: pa.Table) -> Iterator[tuple[tuple[int, int], Moments]]:
+    models, folds, counts = (table.column(c).to_pylist() for c in ("model", "fold", "n"))
+    for k, (model, fold, n) in enumerate(zip(models, folds, counts, strict=True)):
+        mean, flat = (np.asarray(table.column(c)[k].values) for c in ("mean", "co"))
+        co = np.zeros((len(mean), len(mean)))
+        co[np.triu_indices(len(mean))] = flat
+        yield (model, fold), Moments(n, mean, np.where(np.tri(len(mean), k=-1, dtype=bool), co.T, co))
+
+
+def _partial_moments(models: Sequence[Sequence[int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of each model the fold is one column of the input, and its values are others; rows with a gap in any of them are skipped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        found: dict[tuple[int, int], Moments] = {}
         for batch in batches:
-            columns = [np.asarray(c, dtype=float) for c in batch.columns[1:]]
-            rows = np.column_stack([np.ones(batch.num_rows), np.column_stack(columns) - means])
-            folds = np.asarray(batch.column(0))
-            for fold in np.unique(folds):
-                part = rows[folds == fold]
-                sums[int(fold)] = sums.get(int(fold), 0.0) + part.T @ part
-        for fold, total in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(upper[0]), fold, dtype=np.int32)),
-                    pa.array(upper[0].astype(np.int32)),
-                    pa.array(upper[1].astype(np.int32)),
-                    pa.array(total[upper]),
-                ],
-                names=["fold", "i", "j", "v"],
-            )
+            values = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            for model, (fold, *columns) in enumerate(models):
+                rows, folds = values[:, columns], values[:, fold]
+                whole = ~np.isnan(rows).any(1) & ~np.isnan(folds)
+                for number in np.unique(folds[whole]):
+                    part = Moments.of(rows[whole & (folds == number)])
+                    key = model, int(number)
+                    found[key] = found[key] + part if key in found else part
+        yield _moment_batch(found)
 
     return run
 
 
-def moment_sums(df: DataFrame, columns: Sequence[str], centre: Centre, fold: Column | None = None) -> DataFrame:
-    """Sums of products ``(fold, i, j, v)`` of a leading 1 and the centred columns, ``i <= j``.
+def _merge_moments(table: pa.Table) -> pa.Table:
+    found: dict[tuple[int, int], Moments] = {}
+    for key, part in _read_moments(table):
+        found[key] = found[key] + part if key in found else part
+    return pa.Table.from_batches([_moment_batch(found)])
+
 
-    Each task reduces its rows to one small triangle per fold before the shuffle, and the triangles are added up
-    cell by cell.
+def moments(df: DataFrame, models: Sequence[tuple[Column | None, Sequence[str]]]) -> DataFrame:
+    """``model, fold, n, mean, co`` of the complete rows of each model, in one pass for all of them.
+
+    A model is a fold (none: 0 for all rows) and its columns. Each task reduces its rows to one triangle for each model and
+    fold. These are merged in two rounds, of which the first splits them by the task they come from.
     """
-    marked = df.select(
-        (F.lit(0) if fold is None else fold).cast("int").alias("fold"),
-        *[F.col(f"`{c}`").cast("double").alias(c) for c in columns],
-    )
-    partial = marked.mapInArrow(_partial_moments(centre), "fold int, i int, j int, v double")
-    return partial.groupBy("fold", "i", "j").agg(F.sum("v").alias("v"))
+    names = list(dict.fromkeys(c for _, columns in models for c in columns))
+    values = [F.col(f"`{c}`").cast("double").alias(f"v{k}") for k, c in enumerate(names)]
+    folds = [(F.lit(0) if fold is None else fold).cast("int").alias(f"fold{k}") for k, (fold, _) in enumerate(models)]
+    places = [[len(names) + k, *[names.index(c) for c in columns]] for k, (_, columns) in enumerate(models)]
+    partial = df.select(*values, *folds).mapInArrow(_partial_moments(places), MOMENT_TYPE)
+    partial = partial.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGED)))
+    once = partial.groupBy("model", "fold", "part").applyInArrow(_merge_moments, MOMENT_TYPE)
+    return once.groupBy("model", "fold").applyInArrow(_merge_moments, MOMENT_TYPE)
 
 
-def moment_matrices(
-    df: DataFrame, columns: Sequence[str], centre: Centre, fold: Column | None = None
-) -> dict[int, np.ndarray]:
-    """:func:`moment_sums` as one symmetric matrix per fold; its size depends on the columns only."""
-    size = len(columns) + 1
-    cells = moment_sums(df, columns, centre, fold).toArrow()
-    folds, i, j, v = (cells.column(c).to_numpy() for c in ("fold", "i", "j", "v"))
-    matrices: dict[int, np.ndarray] = {}
-    for fold_number in np.unique(folds).tolist():
-        m = matrices[fold_number] = np.zeros((size, size))
-        own = folds == fold_number
-        m[i[own], j[own]] = m[j[own], i[own]] = v[own]
-    return matrices
+def moments_by_model(df: DataFrame, models: Sequence[tuple[Column | None, Sequence[str]]]) -> list[dict[int, Moments]]:
+    """:func:`moments` of each model by fold, on the driver; their size depends on the columns only."""
+    found: list[dict[int, Moments]] = [{} for _ in models]
+    for (model, fold), m in _read_moments(moments(df, models).toArrow()):
+        found[model][fold] = m
+    return found
 
 
 def correlation_matrix(
@@ -106,28 +135,18 @@ def correlation_matrix(
     Of ``rows`` with ``others``, by default of all columns with all; complete rows are those without a gap in any of
     ``columns``. A constant column has no correlation: NULL.
     """
-    whole = complete_rows(df.select(*[F.col(f"`{c}`") for c in columns]))
-    centre = centre_of(whole, columns)
-    cells = moment_sums(whole, columns, centre)
-    n = F.lit(max(centre.rows, 1))
-    # of each column the sum of its differences to the centre, which is rounding only, and the sum of their squares
-    own = cells.where("j > 0 AND (i = 0 OR i = j)").groupBy("j").agg(
-        F.sum(F.when(F.col("i") == 0, F.col("v"))).alias("s"), F.sum(F.when(F.col("i") > 0, F.col("v"))).alias("q")
-    )
-    own = own.select(F.col("j").alias("k"), "s", F.sqrt(F.greatest(F.col("q") - F.col("s") * F.col("s") / n, F.lit(0.0))).alias("d"))
-    first = own.select(F.col("k").alias("i"), F.col("s").alias("s_i"), F.col("d").alias("d_i"))
-    second = own.select(F.col("k").alias("j"), F.col("s").alias("s_j"), F.col("d").alias("d_j"))
-    both = cells.where("i > 0")
-    both = both.unionByName(both.where("i < j").select("fold", F.col("j").alias("i"), F.col("i").alias("j"), "v")).drop("fold")
-
-    def numbered(chosen: Sequence[str] | None, number: str, name: str) -> Column:
-        return F.explode(F.array(*[F.struct(F.lit(k).alias(number), F.lit(c).alias(name)) for k, c in enumerate(columns, 1) if chosen is None or c in chosen]))
-
-    asked = df.sparkSession.range(1).select(numbered(rows, "i", "var").alias("a")).select("a.*", numbered(others, "j", "var_cor").alias("b"))
-    wide = asked.select("i", "var", "b.*").join(both, ["i", "j"], "left").join(first, "i", "left").join(second, "j", "left")
-    shared = F.try_divide(F.col("v") - F.col("s_i") * F.col("s_j") / n, F.col("d_i") * F.col("d_j"))
-    corr = F.when(F.col("i") == F.col("j"), F.when(F.col("d_i") > 0, F.lit(1.0))).otherwise(shared)
-    return wide.select("var", "var_cor", corr.alias("corr"))
+    k = len(columns)
+    names = F.array(*[F.lit(c) for c in columns])
+    cell = lambda i, j: f"get(co, CAST({i} * {k} - {i} * ({i} - 1) / 2 + {j} - {i} AS INT))"
+    low, high = "least(i, j)", "greatest(i, j)"
+    corr = f"CASE WHEN i <> j THEN try_divide({cell(low, high)}, sqrt({cell('i', 'i')}) * sqrt({cell('j', 'j')})) WHEN {cell('i', 'i')} > 0 THEN 1D END"
+    places = f"flatten(transform(sequence(0, {k - 1}), i -> transform(sequence(0, {k - 1}), j -> named_struct('i', i, 'j', j, 'corr', {corr}))))"
+    # the global aggregate is one row, whether there are complete rows or not
+    whole = moments(df, [(None, columns)]).agg(F.first("co").alias("co"))
+    pairs = whole.select(F.inline(F.expr(places))).select(F.get(names, "i").alias("var"), F.get(names, "j").alias("var_cor"), "corr")
+    for name, some in (("var", rows), ("var_cor", others)):
+        pairs = pairs if some is None else pairs.where(F.col(name).isin(list(some)))
+    return pairs
 
 
 def has_prefix(column: Column, prefixes: Sequence[str]) -> Column:
@@ -259,6 +278,6 @@ def category_rank(column: Column, order: Sequence[str]) -> Column:
 
 
 SCORE_TYPE = T.StructType(
-    [T.StructField("fold", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("n", T.LongType())]
+    [T.StructField("model", T.IntegerType()), T.StructField("fold", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("n", T.LongType())]
     + [T.StructField(c, T.DoubleType()) for c in ("abs_error", "sq_error", "p", "pp", "y", "yy", "py")]
 )

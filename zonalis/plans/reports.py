@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from zonalis.operators.selectors import starts_with
 from zonalis.operators.statistics import (
     category_rank,
+    complete_rows,
     correlation_matrix,
     correlation_shift,
     facet_series,
     paired_series,
     ranked_correlations,
 )
-from zonalis.operators.stepwise import ForwardSelection, forward_selection, hash_fold
+from zonalis.operators.stepwise import ForwardSelection, forward_selections, stratified_folds
 
 # Differences between elections, outcome prefixes and model outcomes of the report.
 CHANGES = {
@@ -89,9 +90,15 @@ def model_features(df: DataFrame) -> list[str]:
 def models(
     df: DataFrame, outcomes: Sequence[str] = MODEL_OUTCOMES, fold: Column | None = None
 ) -> dict[str, ForwardSelection]:
-    """Forward selection over the census columns for each outcome."""
-    folds = hash_fold(["id_circuito_elec"]) if fold is None else fold
-    return {y: forward_selection(df, y, model_features(df), folds) for y in outcomes}
+    """Forward selection over the census columns for each outcome.
+
+    Without a ``fold`` each outcome has folds of its own, which hold equal parts of every stratum of it.
+    """
+    features = model_features(df)
+    if fold is not None:
+        return forward_selections(df, features, dict.fromkeys(outcomes, fold))
+    dealt = stratified_folds(complete_rows(df, features), outcomes, ["id_circuito_elec"])
+    return forward_selections(dealt, features, {y: F.col(f"fold_{y}") for y in outcomes})
 
 
 def peron_series(df: DataFrame) -> DataFrame:

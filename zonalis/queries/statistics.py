@@ -19,8 +19,9 @@ from zonalis.operators.statistics import (
     regression_lines,
     within,
 )
-from zonalis.operators.stepwise import ForwardSelection, forward_selection
+from zonalis.operators.stepwise import GRID, ForwardSelection, forward_selection, stratified_folds
 from zonalis.queries.registry import Tables, query
+from zonalis.sources.stage import staged
 
 # -- correlations ----------------------------------------------------------------------------------
 
@@ -289,6 +290,30 @@ def ml_coefficients(t: Tables) -> DataFrame:
     return fitted.withColumn("estimate", F.round("estimate", 5))
 
 
+_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax")
+_SLICE = "l_orderkey % 16"
+_DEALT_SQL = f"""
+    with keyed as (select *, {_OUTCOME} as y, {_SLICE} as slice from lineitem),
+         ends as (select min(y) as low, max(y) as high, count(*) as n from keyed),
+         stepped as (select keyed.*, least(floor((y - low) * {GRID} / (high - low)), {GRID - 1})::int as step from keyed, ends),
+         counted as (select step, sum(count(*)) over (order by step) as until from stepped group by step),
+         bounds as (select distinct (select min(step) from counted where until >= n * q / 4.0) as bound from ends, (values (1), (2), (3)) v(q)),
+         strata as (select *, (select count(*) from bounds where step > bound) as stratum from stepped)
+    select *, ((row_number() over (partition by stratum order by slice, {", ".join(_ORDER)}) - 1) % 10)::int as fold from strata"""
+
+
+def _dealt(t: Tables) -> DataFrame:
+    keyed = t.lineitem.selectExpr("*", f"{_OUTCOME} AS y")
+    return stratified_folds(keyed, ["y"], list(_ORDER), slices=F.expr(_SLICE))
+
+
+@query(f"select fold, count(*) as n, sum(l_partkey)::bigint as parts, round(avg(y), 6) as mean from ({_DEALT_SQL}) group by fold")
+def ml_stratified_folds(t: Tables) -> DataFrame:
+    """Folds with equal parts of the quarters of the outcome."""
+    found = _dealt(t).groupBy(F.col("fold_y").alias("fold"))
+    return found.agg(F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("parts"), F.round(F.avg("y"), 6).alias("mean"))
+
+
 def cv_sql(features: Sequence[str]) -> str:
     weights = ", ".join(f"coalesce(max(estimate) filter (term = '{n}'), 0) as b_{n}" for n in features)
     return f"""
@@ -307,3 +332,14 @@ def ml_cv_results(t: Tables) -> DataFrame:
     """Error per size over ten folds."""
     results = _selection(t).cv_results()
     return results.select("nvmax", *[F.round(c, 6).alias(c) for c in results.columns[1:]])
+
+
+_DEALT_ROWS_SQL = "select " + ", ".join(f"{sql} as {n}" for n, sql in {**_FEATURES, "y": "y", "fold": "fold"}.items()) + f" from ({_DEALT_SQL})"
+
+
+@query(model_sql(cv_sql(list(_FEATURES)), range(10), _DEALT_ROWS_SQL, list(_FEATURES), _SIZE))
+def ml_cv_stratified(t: Tables) -> DataFrame:
+    """Error per size over ten folds that are dealt within quarters of the outcome."""
+    df = staged(_dealt(t).selectExpr(*[f"{sql} AS {n}" for n, sql in _FEATURES.items()], "y", "fold_y"), "dealt")
+    results = forward_selection(df, "y", list(_FEATURES), F.col("fold_y"), _SIZE).cv_results()
+    return results.select("nvmax", *[F.round(c, 6).alias(c) for c in results.columns[1:]])
