@@ -9,7 +9,8 @@ length. A sequence whose neighbours are all compatible is the one that merging g
 The decoder copies bytes from one buffer that holds all tokens, by a table of offsets.
 
 Texts are cut into pieces where the pre-tokenizer always cuts: before a single space between two characters that
-are not white space. Pieces repeat a lot, so their ids are remembered, up to a fixed number of pieces and for one task.
+are not white space. Pieces repeat a lot, and so do the pre-tokens of those that are new, so the ids of both are remembered for as long
+as the Python worker lives: a fixed number of each, of which those go first that were not met for longest.
 
 NULL texts encode as empty texts. The strings of special tokens inside a text become their ids. Empty texts have
 no ids; NULL ids decode to an empty text. Repeated rows are encoded alike; other columns are kept, one with the
@@ -21,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,11 @@ CUT = regex.compile(
 )
 # the pre-tokenizer starts a new token at a single space between two characters that are not white space
 SAFE = re.compile(r"(?<=\S) (?=\S)")
-REMEMBERED = 400_000  # pieces whose ids a Python worker keeps
-REMEMBERED_BYTES = 96  # longer pieces are not kept
+# a space that is none of these; without any, all spaces are safe
+UNSAFE = re.compile(r"\A |\s | \s| \Z")
+# pieces and pre-tokens whose ids a Python worker keeps in each of two generations: some 150 MB in all
+PIECES, TOKENS = 150_000, 250_000
+REMEMBERED_CHARS = 64  # longer ones are not kept
 PAIRS = 1_000_000  # compatibility answers a worker keeps
 NEVER = 1 << 62
 
@@ -53,6 +57,31 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Memory:
+    """Ids by text. When the younger half is full, it becomes the older one, and what that held and was not met again goes."""
+
+    def __init__(self, make: Callable[[str], bytes], room: int) -> None:
+        self.make, self.room = make, room
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def of(self, text: str) -> bytes:
+        ids = self.young.get(text)
+        if ids is None:
+            ids = self.old.get(text)
+            if ids is None:
+                ids = self.make(text)
+            if len(text) <= REMEMBERED_CHARS:
+                if len(self.young) >= self.room:
+                    self.old, self.young = self.young, {}
+                self.young[text] = ids
+        return ids
+
+    def all_of(self, texts: list[str]) -> list[bytes]:
+        found = list(map(self.young.get, texts))
+        return [self.of(t) if ids is None else ids for t, ids in zip(texts, found, strict=True)] if None in found else found
+
+
 class Vocabulary:
     """Tokens by merge rank: the 256 bytes, then the merges in their order. Ids are looked up at the end."""
 
@@ -88,7 +117,7 @@ class Vocabulary:
         self.shorter = [next((rank[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in rank), -1) for t in self.token]
         self.automaton = ahocorasick.Automaton()
         for t, r in rank.items():
-            self.automaton.add_word(t.decode("latin-1"), (len(t) - 1, r))
+            self.automaton.add_word(t.decode("latin-1"), r)
         self.automaton.make_automaton()
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         for t in spec.get("added_tokens", ()):
@@ -97,7 +126,9 @@ class Vocabulary:
         order = sorted(self.special, key=len, reverse=True)
         self.special_cut = re.compile("(" + "|".join(map(re.escape, order)) + ")") if order else None
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.id_bytes = [i.to_bytes(4, "little") for i in self.id_of]
+        self.tokens = Memory(lambda token: b"".join([self.id_bytes[r] for r in self.encode_piece(token.encode())]), TOKENS)
+        self.pieces = Memory(lambda piece: b"".join(map(self.tokens.of, CUT.findall(" " + piece))), PIECES)  # without the space before them
         self._offsets({**{i: t for t, i in ids.items()}, **{i: s.encode() for s, i in self.special.items()}})
 
     def _offsets(self, by_id: dict[int, bytes]) -> None:
@@ -128,10 +159,10 @@ class Vocabulary:
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ranks of the tokens of one pre-token."""
         size = len(piece)
-        longest = [0] * size
-        for end, (back, rank) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - back] = rank  # ends rise, so the last token noted for a start is its longest
         length, shorter, pairs = self.length, self.shorter, self.pairs
+        longest = [0] * size
+        for end, rank in self.automaton.iter(piece.decode("latin-1")):
+            longest[end + 1 - length[rank]] = rank  # ends rise, so the last token noted for a start is its longest
         closed = bytearray(size + 1)
         found: list[int] = []
         place, token = 0, longest[0]
@@ -163,36 +194,18 @@ class Vocabulary:
                     place -= length[token]
                 token = shorter[token]
 
-    def encode_part(self, part: str) -> bytes:
-        ids = [self.id_of[r] for piece in CUT.findall(part) for r in self.encode_piece(piece.encode())]
-        return np.array(ids, "<u4").tobytes()
-
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
-        pieces = self.pieces
         for k, segment in enumerate(self.special_cut.split(text) if self.special_cut else [text]):
             if k % 2:
-                out.append(np.array([self.special[segment]], "<u4").tobytes())
-                continue
-            lead = ""
-            for part in SAFE.split(segment):
-                piece = lead + part
-                lead = " "
-                ids = pieces.get(piece)
-                if ids is None:
-                    ids = self.encode_part(piece)
-                    if len(piece) <= REMEMBERED_BYTES:
-                        if len(pieces) >= REMEMBERED:
-                            pieces.clear()
-                        pieces[piece] = ids
-                out.append(ids)
+                out.append(self.special[segment].to_bytes(4, "little"))
+            else:
+                first, *rest = SAFE.split(segment) if UNSAFE.search(segment) else segment.split(" ")
+                out += map(self.tokens.of, CUT.findall(first))
+                out += self.pieces.all_of(rest)
         return b"".join(out)
 
-    def forget(self) -> None:
-        """Give the room of the remembered pieces back: a worker outlives its tasks."""
-        self.pieces.clear()
-
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the tokens, by the offset table."""
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
@@ -233,33 +246,38 @@ def _encoder(definition: str) -> Callable[[Column], Column]:
     @arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = vocabulary(definition)
-        try:
-            for texts in batches:
-                yield _id_lists([known.encode(t.as_py() or "") for t in texts])
-        finally:
-            known.forget()
+        for texts in batches:
+            parts = [_id_lists([known.encode((t or b"").decode()) for t in portion]) for portion in portions(texts)]
+            yield pa.concat_arrays(parts) if parts else _id_lists([])
 
     return run
 
 
-def _round_trip(definition: str) -> Callable[[Column], Column]:
-    @arrow_udf("struct<ids:array<int>,ids_sha256:string,decoded:string>")
+# What :func:`round_trip` can return
+FIELDS = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
+
+
+def _round_trip(definition: str, fields: Sequence[str]) -> Callable[[Column], Column]:
+    @arrow_udf(f"struct<{','.join(f'{name}:{FIELDS[name]}' for name in fields)}>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = vocabulary(definition)
 
         def both(texts: list[bytes | None]) -> pa.Array:
             coded = [known.encode((t or b"").decode()) for t in texts]
-            digests = [hashlib.sha256(c).hexdigest() for c in coded]
+            # bytes that are no UTF-8 become U+FFFD; whole texts come back as they were
             back = [known.decode(np.frombuffer(c, "<u4").astype(np.int64)).decode("utf-8", "replace") for c in coded]
-            columns = [_id_lists(coded), pa.array(digests, pa.string()), pa.array(back, pa.string())]
-            return pa.StructArray.from_arrays(columns, ["ids", "ids_sha256", "decoded"])
-
-        try:
-            for texts in batches:
-                parts = [both(portion) for portion in portions(texts)]
-                yield pa.concat_arrays(parts) if parts else both([])
-        finally:
-            known.forget()
+            made = {
+                "ids": lambda: _id_lists(coded),
+                "n_tokens": lambda: pa.array([len(c) // 4 for c in coded], pa.int64()),
+                "ids_sha256": lambda: pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string()),
+                "decoded": lambda: pa.array(back, pa.string()),
+                "decoded_sha256": lambda: pa.array([hashlib.sha256(b.encode()).hexdigest() for b in back], pa.string()),
+            }
+            return pa.StructArray.from_arrays([made[name]() for name in fields], list(fields))
+
+        for texts in batches:
+            parts = [both(portion) for portion in portions(texts)]
+            yield pa.concat_arrays(parts) if parts else both([])
 
     return run
 
@@ -297,10 +315,11 @@ def decode(df: DataFrame, definition: str, ids: str = "ids", text: str = "decode
     return df.withColumn(text, _decoder(definition)(col(ids)))
 
 
-def round_trip(df: DataFrame, definition: str, text: str = "text") -> DataFrame:
-    """``df`` with ``ids``, ``ids_sha256`` and ``decoded``: :func:`encode` and :func:`decode` in one pass.
+def round_trip(df: DataFrame, definition: str, text: str = "text", fields: Sequence[str] = ("ids", "ids_sha256", "decoded")) -> DataFrame:
+    """``df`` with some of FIELDS: :func:`encode` and :func:`decode` in one pass.
 
     One Python worker for each task does both, so the vocabulary is held once and the ids need not go there and back.
+    What is only needed as a digest stays in the worker.
     """
-    both = _round_trip(definition)(F.coalesce(col(text), F.lit("")))
-    return with_fields(df, both, ["ids", "ids_sha256", "decoded"])
+    both = _round_trip(definition, fields)(F.coalesce(col(text), F.lit("")))
+    return with_fields(df, both, list(fields))

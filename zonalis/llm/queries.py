@@ -41,13 +41,7 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    both = bpe.round_trip(docs, tokenizer())
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids_sha256",
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(docs, tokenizer(), fields=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
 
 
 def op4_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
