@@ -8,6 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import SparkSession
 
+from zonalis.queries import queries
 from zonalis.plans.votes import PRESIDENT, circuits_2015, circuits_2019, wide, SHORT_2019
 from zonalis.schemas import BOX_VOTES_2019, PARTIES_2015, VOTES_2015
 
@@ -119,3 +120,24 @@ def test_2015_against_definition(spark: SparkSession, seed: int) -> None:
     files = [spark.createDataFrame(votes[:150], VOTES_2015), spark.createDataFrame(votes[150:], VOTES_2015)]
     got = circuits_2015(files, spark.createDataFrame([(p, d) for p, _, _, d in listed], PARTIES_2015))
     assert {tuple(r[c] for c in LONG_COLUMNS_2015) for r in got.collect()} == want
+
+
+def test_every_ballot_join_can_be_split(spark: SparkSession) -> None:
+    """Without broadcasts, both sides of each join stand on an exchange of their own, and no window gathers boxes."""
+    folder = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries()["elections_2019_long"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [(len(line) - len(line.lstrip(" :+-")), line.lstrip(" :+-")) for line in plan.splitlines()]
+    joins = 0
+    for k, (depth, text) in enumerate(lines):
+        if not text.startswith("SortMergeJoin"):
+            continue
+        joins += 1
+        below = [i for i in range(k + 1, len(lines)) if lines[i][0] == depth + 3][:2]
+        for child in below:
+            names = [lines[i][1].split("(")[0].split(" ")[0] for i in range(child, child + 4)]
+            assert names[0] == "Sort" and names[1] == "Exchange", names
+    assert joins >= 4 and "Window" not in plan

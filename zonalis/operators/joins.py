@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join in which a missing key matches a missing key."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
@@ -20,6 +21,16 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
     return left.join(renamed, match, "left").drop(*[f"__r_{k}" for k in keys])
 
 
+def spread_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """:func:`left_join` with an aggregate over the same keys.
+
+    An aggregate is partitioned by its keys already. With their hash as one key more both sides get a shuffle
+    of the join's own, which is what adaptive execution can split, however few keys there are.
+    """
+    mark = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    return left_join(left.withColumn("__h", mark), right.withColumn("__h", mark), [*keys, "__h"]).drop("__h")
+
+
 def join_fold(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Left-join every further table to the first on the same keys; a missing key matches a missing key."""
     return reduce(lambda a, b: left_join(a, b, keys), tables)
@@ -42,7 +53,4 @@ def attach_group_values(
     groups = df.groupBy(*keys).agg(*[v.alias(name) for name, v in values.items()])
     if also is not None:
         groups = left_join(groups, also, keys)
-    # the aggregate is partitioned by the keys already; with one key more both sides get a shuffle of the join's own,
-    # which is what adaptive execution can split
-    mark = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
-    return left_join(df.withColumn("__h", mark), groups.withColumn("__h", mark), [*keys, "__h"]).drop("__h")
+    return spread_left_join(df, groups, keys)

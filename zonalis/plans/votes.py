@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from zonalis.functions import (
     as_integer,
@@ -15,7 +15,7 @@ from zonalis.functions import (
     strict_sum,
     strict_sum_where,
 )
-from zonalis.operators.joins import attach_group_values, left_join
+from zonalis.operators.joins import attach_group_values, left_join, spread_left_join
 from zonalis.operators.reshape import stack, to_wide
 from zonalis.schemas import ZONE_2015
 
@@ -63,7 +63,7 @@ def box_table(
             F.col("codigo_region").alias(f"codigo_{role}"), F.col("nombre_region").alias(f"name_{role}")
         )
         rows = left_join(rows, names, [f"codigo_{role}"])
-    rows = left_join(rows, party_names(parties, category), ["codigo_agrupacion"])
+    rows = spread_left_join(rows, party_names(parties, category), ["codigo_agrupacion"])
     return rows.select(
         "codigo_distrito",
         "name_distrito",
@@ -125,9 +125,10 @@ def circuits_2019(
 ) -> DataFrame:
     """Votes per circuit and party label with the circuit's blank and valid votes.
 
-    Ballots are read once and shrink to one row per box and circuit, with the sums of each label in columns. A box has
-    few of these rows whatever its number of ballots, so its total is a window over them. A repeated blank or region row would repeat the ballots it joins; it enters
-    as a factor, so no join multiplies rows. ``totals`` and ``parties`` need the column ``ordinal``
+    Ballots are read once and shrink to one row per box, region and party before any join, and then to one row per box
+    and circuit, with the sums of each label in columns. Both sides of every join get a shuffle of the join's own (or one
+    is small and sent to all tasks), so a party that holds a third of the ballots can be split. A repeated blank
+    or region row would repeat the ballots it joins; it enters as a factor, so no join multiplies rows. ``totals`` and ``parties`` need the column ``ordinal``
     (file order). Missing codes are held as empty text, so that they match each other.
     """
     codes = ["codigo_mesa", "codigo_circuito", "codigo_distrito", "codigo_seccion", "codigo_agrupacion"]
@@ -140,9 +141,10 @@ def circuits_2019(
     cast = votes.filter(F.col("codigo_categoria") == category).selectExpr(
         *[f"coalesce({c}, '') AS {c}" for c in codes], "votos_agrupacion"
     )
-    named = cast.join(names, "codigo_agrupacion", "left")
+    cast = cast.groupBy(*codes).agg(strict_sum(F.col("votos_agrupacion")).alias("votos_agrupacion"))
+    named = spread_left_join(cast, names, ["codigo_agrupacion"])
     for role in ("codigo_distrito", "codigo_seccion"):
-        named = named.join(_times(regions, "codigo_region", role), role, "left")
+        named = spread_left_join(named, _times(regions, "codigo_region", role), [role])
     # how often a ballot counts for a label: never outside the districts shown
     in_scope = f"codigo_distrito IN ({', '.join(map(_sql_text, districts))})"
     repeats = "coalesce(n_codigo_distrito, 1) * coalesce(n_codigo_seccion, 1)"
@@ -150,19 +152,17 @@ def circuits_2019(
         f"if({in_scope} AND {'partido IS NULL' if label is None else f'partido <=> {_sql_text(label)}'}, {repeats}, 0)"
         for label in shown
     ]
-    own, box = F.col("votos_agrupacion"), Window.partitionBy("codigo_mesa")
     # a ballot whose region codes are listed several times counts once for its box
     in_circuit = named.groupBy("codigo_mesa", "codigo_circuito").agg(
-        *_label_sums(shown, "votos_agrupacion", counts), strict_sum(own).alias("en_circuito")
+        *_label_sums(shown, "votos_agrupacion", counts), strict_sum(F.col("votos_agrupacion")).alias("en_circuito")
     )
-    known = F.count("en_circuito").over(box) == F.count(F.lit(1)).over(box)
-    in_box = in_circuit.withColumn("en_mesa", F.when(known, F.sum("en_circuito").over(box)))
     blanks = (
         blank_votes(totals, blank, category)
         .groupBy(F.expr("coalesce(codigo_mesa, '') AS codigo_mesa"))
         .agg(F.expr("min_by(valor, ordinal) AS blanco"), F.expr("count(1) AS n_mesa"))
     )
-    zones = in_box.join(blanks, "codigo_mesa", "left").groupBy("codigo_circuito").agg(
+    in_box = attach_group_values(in_circuit, ["codigo_mesa"], {"en_mesa": strict_sum(F.col("en_circuito"))}, also=blanks)
+    zones = in_box.groupBy("codigo_circuito").agg(
         strict_sum(F.col("blanco")).alias("votos_blanco"),
         strict_sum(F.expr("en_mesa + blanco")).alias("votos_validos"),
         *[F.expr(f"bit_or({mask}) AS {mask}") for mask in ("present", "missing")],
@@ -197,7 +197,7 @@ def circuits_2015(
         f"if(code < {FIRST_SPECIAL_CODE}, coalesce(times_{i}, {1 if name is None else 0}), 0)"
         for i, name in enumerate(shown)
     ]
-    zones = per_code.join(listed, "code", "left").groupBy(*ZONE_2015).agg(
+    zones = spread_left_join(per_code, listed, ["code"]).groupBy(*ZONE_2015).agg(
         strict_sum_where(is_blank, F.col("cast")).alias("votos_blanco"),
         strict_sum_where(is_party, F.col("cast")).alias("candidaturas"),
         *_label_sums(shown, "`cast`", times),
