@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonalis.operators import spatial, validity
+from zonalis.operators import spatial
 from zonalis.operators.geometry import RINGS_TYPE, shoelace
 from zonalis.operators.projection import AIRY1830, CENSUS_ZONE, WGS84, TransverseMercator, equal_area, map_vertices, move
 from zonalis.operators.validity import check, repair
@@ -245,24 +245,24 @@ def test_tangled_rings_hold_what_an_odd_number_of_rings_holds(spark: SparkSessio
     assert {a: v for (a, _), v in areas(spatial.overlay(fixed, whole)).items()} == pytest.approx(found)
 
 
-def test_random_tangles_against_sampled_points() -> None:
-    """Area and directions of untangled rings against even-odd tests of points."""
+def test_random_tangles_against_sampled_points(spark: SparkSession) -> None:
+    """Area and directions of untangled edges against even-odd tests of points."""
     draw = np.random.default_rng(5)
-    for _ in range(20):
-        rings = [draw.integers(0, 12, (n, 2)).astype(float) for n in (7, 5)]
-        sides = np.concatenate([np.hstack([r, np.roll(r, -1, axis=0)]) for r in rings])
-        loops = validity.untangled(sides)
-        again = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in loops]) if loops else np.zeros((0, 4))
+    shapes = {k: [[*(ring := [tuple(p) for p in draw.integers(0, 12, (n, 2)).tolist()]), ring[0]] for n in (7, 5)] for k in range(20)}
+    fixed = {r.id: np.array([[p.x, p.y, q.x, q.y] for ring in r.rings for p, q in zip(ring, ring[1:], strict=False)]) for r in repair(polygons(spark, shapes)).collect()}
+    assert len(fixed) == 20
+    for k, rings in shapes.items():
+        sides = np.array([[*p, *q] for ring in rings for p, q in zip(ring, ring[1:], strict=False)], float)
         points = draw.uniform(0, 12, (4000, 2))
 
-        def winding(e: np.ndarray) -> np.ndarray:
+        def winding(e: np.ndarray, points: np.ndarray = points) -> np.ndarray:
             up = (e[:, 1] <= points[:, 1, None]) & (e[:, 3] > points[:, 1, None])
             down = (e[:, 3] <= points[:, 1, None]) & (e[:, 1] > points[:, 1, None])
             side = (e[:, 2] - e[:, 0]) * (points[:, 1, None] - e[:, 1]) - (points[:, 0, None] - e[:, 0]) * (e[:, 3] - e[:, 1])
             return (up & (side > 0)).sum(1) - (down & (side < 0)).sum(1)
 
         expected = winding(sides) % 2 == 1
-        assert (winding(again) == expected).mean() > 0.999
+        assert (winding(fixed[k]) == expected).mean() > 0.999
 
 
 def test_layers_meet_their_own_circuits_only(spark: SparkSession) -> None:
@@ -316,16 +316,19 @@ def test_whole_ellipsoid_area(spark: SparkSession) -> None:
     assert 4 * row.x * row.y == pytest.approx(5.10065621724e14, rel=1e-9)
 
 
-def test_crossings_across_blocks(monkeypatch: pytest.MonkeyPatch) -> None:
+def test_crossings_of_rings_with_many_edges(spark: SparkSession) -> None:
     angle = np.linspace(0, 2 * np.pi, 400)
-    xs, ys = np.cos(angle) * (2 + np.cos(9 * angle)), np.sin(angle) * (2 + np.cos(9 * angle))
-    xs[-1], ys[-1] = xs[0], ys[0]
-    spiky = xs.copy(), ys.copy()
-    spiky[0][200], spiky[1][200] = 4.0, 0.1
-    for block in (7, 256):
-        monkeypatch.setattr(validity, "EDGE_BLOCK", block)
-        assert not validity.crosses_itself(xs, ys)
-        assert validity.crosses_itself(*spiky)
+    smooth = list(zip((np.cos(angle) * (2 + np.cos(9 * angle))).tolist(), (np.sin(angle) * (2 + np.cos(9 * angle))).tolist(), strict=True))
+    smooth[-1] = smooth[0]
+    spiky = [*smooth[:200], (4.0, 0.1), *smooth[201:]]
+    n = 20_000
+    large = [(math.cos(2 * math.pi * k / n), math.sin(2 * math.pi * k / n)) for k in range(n)]
+    swapped = [*large[:500], large[501], large[500], *large[502:]]
+    shapes = {1: [smooth], 2: [spiky], 3: [[*large, large[0]]], 4: [[*swapped, large[0]]]}
+    df = polygons(spark, shapes)
+    assert {r.id: r.crosses for r in check(df).collect()} == {1: False, 2: True, 3: False, 4: True}
+    kept = {r.id: r.n for r in repair(df).select("id", F.size("rings").alias("n")).collect()}
+    assert kept[1] == kept[3] == 1 and kept[2] > 400 and kept[4] == n + 2
 
 
 def test_copies_count_once_each(spark: SparkSession) -> None:

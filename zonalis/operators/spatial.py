@@ -57,7 +57,7 @@ def _distinct_levels(tables: Sequence[DataFrame]) -> list[list[int]]:
     return [sorted(r.level for r in rows if r.side == i and r.level is not None) for i in range(len(tables))]
 
 
-def _cell(value: str, level: str = "level") -> str:
+def cell_number(value: str, level: str = "level") -> str:
     """Number of the cell that holds a coordinate on the grid of a level, as SQL text."""
     return f"CAST(floor({value} / pow(2D, {level})) AS BIGINT)"
 
@@ -66,8 +66,8 @@ def _in_cells(boxes: DataFrame) -> DataFrame:
     """One row per cell the box touches on the grid of the row's ``level``."""
     columns = boxes.columns
     return boxes.selectExpr(
-        *columns, f"explode(sequence({_cell('box.xmin')}, {_cell('box.xmax')})) AS cx"
-    ).selectExpr(*columns, "cx", f"explode(sequence({_cell('box.ymin')}, {_cell('box.ymax')})) AS cy")
+        *columns, f"explode(sequence({cell_number('box.xmin')}, {cell_number('box.xmax')})) AS cx"
+    ).selectExpr(*columns, "cx", f"explode(sequence({cell_number('box.ymin')}, {cell_number('box.ymax')})) AS cy")
 
 
 def _int_array(values: Sequence[int]) -> str:
@@ -99,7 +99,7 @@ def box_pairs(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> Data
     xlo, ylo = "greatest(abox.xmin, bbox.xmin)", "greatest(abox.ymin, bbox.ymin)"
     return joined.filter(
         f"{xlo} < least(abox.xmax, bbox.xmax) AND {ylo} < least(abox.ymax, bbox.ymax) "
-        f"AND {_cell(xlo)} = cx AND {_cell(ylo)} = cy"
+        f"AND {cell_number(xlo)} = cx AND {cell_number(ylo)} = cy"
     ).select("a", "b", "abox", "bbox")
 
 
@@ -137,7 +137,7 @@ def _columns_of(polygons: DataFrame, prefix: str, others: Sequence[int]) -> Data
     own = polygons.select(F.col("id").alias(prefix), strip_level(F.col("rings"), "x", EDGES_PER_COLUMN).alias("own"), sides.alias("sides"))
     levels = f"array_distinct(transform({_int_array(others)}, other -> {_pair_level('own', 'other')}))"
     listed = own.selectExpr(prefix, f"explode({levels}) AS width", "sides").selectExpr(prefix, "width", "inline(sides)")
-    strips = f"explode(sequence({_cell('least(x1, x2)', 'width')}, {_cell('greatest(x1, x2)', 'width')})) AS strip"
+    strips = f"explode(sequence({cell_number('least(x1, x2)', 'width')}, {cell_number('greatest(x1, x2)', 'width')})) AS strip"
     placed = listed.selectExpr(prefix, "width", strips, "struct(x1, y1, x2, y2) AS side")
     strip = placed.groupBy(prefix, "width", "strip").agg(F.collect_list("side").alias("sides"))
     flat = F.flatten(F.transform("piece", lambda e: F.array(e["x1"], e["y1"], e["x2"], e["y2"])))
@@ -235,7 +235,7 @@ def overlay(left: DataFrame, right: DataFrame, noise: float = NOISE, by: Sequenc
         F.expr("greatest(abox.ymin, bbox.ymin)").alias("base"),
         F.expr("greatest(abox.xmin, bbox.xmin)").alias("xlo"), F.expr("least(abox.xmax, bbox.xmax)").alias("xhi"),
     )
-    strips = f"explode(sequence({_cell('xlo', 'width')}, {_cell('xhi', 'width')})) AS strip"
+    strips = f"explode(sequence({cell_number('xlo', 'width')}, {cell_number('xhi', 'width')})) AS strip"
     placed = pairs.selectExpr("a", "b", "room", "base", "width", strips)
     # (polygon, column) is the key on both sides; what is not in a common column drops out
     with_a = placed.join(_columns_of(left, "a", levels[1]), ["a", "width", "strip"])
@@ -267,7 +267,7 @@ def _rows_of(polygons: DataFrame) -> DataFrame:
     """
     own = polygons.select("id", strip_level(F.col("rings"), "y", EDGES_PER_ROW).alias("height"), edges(F.col("rings")).alias("sides"))
     listed = own.selectExpr("id", "height", "inline(sides)")
-    rows = f"explode(sequence({_cell('least(y1, y2)', 'height')}, {_cell('greatest(y1, y2)', 'height')})) AS row"
+    rows = f"explode(sequence({cell_number('least(y1, y2)', 'height')}, {cell_number('greatest(y1, y2)', 'height')})) AS row"
     placed = listed.selectExpr("id", "height", "x1", "y1", "x2", "y2", rows)
     middle = "(row + 0.5D) * pow(2D, height)"
     placed = placed.selectExpr(
@@ -301,11 +301,11 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, keep: Sequence[st
     boxes = polygons.select("id", bounds(F.col("rings")).withField("height", strip_level(F.col("rings"), "y", EDGES_PER_ROW)).alias("box"))
     [levels] = levels_of(boxes)
     at = points.selectExpr(*keep, "x", "y", f"explode({_int_array(levels)}) AS level").selectExpr(
-        *keep, "x", "y", "level", f"{_cell('x')} AS cx", f"{_cell('y')} AS cy"
+        *keep, "x", "y", "level", f"{cell_number('x')} AS cx", f"{cell_number('y')} AS cy"
     )
     cells = _in_cells(boxes.withColumn("level", size_level()))
     near = "x BETWEEN box.xmin AND box.xmax AND y BETWEEN box.ymin AND box.ymax"
-    pairs = at.join(cells, CELL).filter(near).select(*keep, "x", "y", "id", F.expr(f"{_cell('y', 'box.height')} AS row"))
+    pairs = at.join(cells, CELL).filter(near).select(*keep, "x", "y", "id", F.expr(f"{cell_number('y', 'box.height')} AS row"))
     met = pairs.join(_rows_of(polygons), ["id", "row"]).filter("x > before AND x <= stop")
     state = F.when(F.col("x") < F.col("start"), F.col("crossed") % 2).otherwise(edge_state("sides", "x", "y"))
     return met.withColumn("state", state).filter("state = 2 OR (state + after) % 2 = 1").select(*keep, "x", "y", "id")

@@ -1,26 +1,19 @@
 """Ring repair and the check for crossing edges.
 
-Polygons whose edges cross or touch, within a ring or between rings, are cut at those points and put together again:
-a place is inside if an odd number of rings hold it. All other polygons keep their rings.
+Polygons whose edges cross or touch, within a ring or between rings, are cut at those points: a place is inside if an odd
+number of rings hold it. What is left of them are directed edges with the inside on their left, each a ring of two points; areas,
+overlays and point tests are sums over edges and need no loops. All other polygons keep their rings.
+
+Edges meet in equi joins on polygon and strip, so an outline of any size is many rows in many tasks.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.functions import arrow_udf
-
-from zonalis.operators.geometry import holds, shoelace
+from pyspark.sql import Column, DataFrame, functions as F
 
-EDGE_BLOCK = 256
-EDGE_STEP = 4096
-# Cutting moves edges by a rounding error, which may make new crossings; they are gone after a round or two.
-CUT_ROUNDS = 8
+from zonalis.operators.geometry import bounds, edges, holds, shoelace
+from zonalis.operators.spatial import EDGES_PER_ROW, cell_number, strip_level
+from zonalis.sources.stage import staged
 
 
 def close_ring(ring: Column) -> Column:
@@ -61,205 +54,146 @@ def cleaned(rings: Column) -> Column:
 
 
 def repair(polygons: DataFrame) -> DataFrame:
-    """Close rings, drop repeated vertices, cut crossing edges, fix ring direction. No polygon is lost."""
+    """Close rings, drop repeated vertices, cut crossing edges, fix ring direction. No polygon is lost; ``id`` must be unique."""
     tidy = polygons.withColumn("rings", cleaned(F.col("rings")))
-    xs, ys = (F.flatten(F.transform("rings", axis)) for axis in (lambda r: F.transform(r, lambda p: p["x"]), lambda r: F.transform(r, lambda p: p["y"])))
-    # not deterministic for the optimizer, which could put the function inside the lambda of a later expression
-    again = _untangled.asNondeterministic()(xs, ys, F.transform("rings", lambda r: F.size(r)))
-    return tidy.withColumn("__again", again).withColumn("rings", F.coalesce("__again", orient(F.col("rings")))).drop("__again")
+    again = untangled(tidy.select("id", "rings"))
+    if again is None:
+        return tidy.withColumn("rings", orient(F.col("rings")))
+    again = again.select(F.col("id").alias("__id"), F.col("rings").alias("__again"))
+    joined = tidy.join(again, F.col("id") == F.col("__id"), "left")
+    return joined.withColumn("rings", F.coalesce("__again", orient(F.col("rings")))).drop("__id", "__again")
 
 
-def untangled(edges: np.ndarray) -> list[np.ndarray] | None:
-    """Rings around what an odd number of the given rings hold; None if no edge crosses or touches another.
+SIDE = ("x1", "y1", "x2", "y2")
+# Crossings are rounded to this many binary places of the largest coordinate, so that edges that lie on each other are cut at one point.
+PLACES = 40
 
-    ``edges`` has a row ``x1, y1, x2, y2`` for each edge of closed rings. The edges are cut where they meet, pieces that
-    lie on each other cancel in pairs, and each piece is directed so that the inside is on its left; the rings are
-    the loops these pieces make, outer rings counter-clockwise and holes clockwise.
-    """
-    edges = edges[(edges[:, :2] != edges[:, 2:]).any(1)]
-    starts = np.unique(edges[:, :2], axis=0)
-    meets = len(starts) < len(edges)  # a vertex that is used twice
-    for turn in range(CUT_ROUNDS):
-        order = np.argsort(np.minimum(edges[:, 0], edges[:, 2]), kind="stable")
-        edges = edges[order]
-        at, points = _cuts(edges)
-        if not len(at):
-            break
-        meets = True
-        edges = _odd_pieces(_cut(edges, at, points))
-    if not meets:
-        return None
-    return _loops(_directed(_odd_pieces(edges)))
-
-
-def _cuts(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of edges (sorted by their left end) and the inner points at which another edge meets them."""
-    left, right = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
-    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros((0, 2)))]
-    for start in range(0, len(e), EDGE_BLOCK):
-        i = e[start : start + EDGE_BLOCK]
-        stop = int(np.searchsorted(left, right[start : start + EDGE_BLOCK].max(), side="right"))
-        for begin in range(start, stop, EDGE_STEP):
-            j = e[begin : min(begin + EDGE_STEP, stop)]
-            i_to, j_to = [_side(i, j[:, k : k + 2]) for k in (0, 2)], [_side(j, i[:, k : k + 2]).T for k in (0, 2)]
-            a, b = np.nonzero((np.sign(i_to[0]) * np.sign(i_to[1]) < 0) & (np.sign(j_to[0]) * np.sign(j_to[1]) < 0))
-            t = (i_to[0][a, b] / (i_to[0][a, b] - i_to[1][a, b]))[:, None]
-            points = j[b, :2] + t * (j[b, 2:] - j[b, :2])
-            found += [(start + a, points), (begin + b, points)]
-            for k in (0, 1):
-                a, b = np.nonzero((i_to[k] == 0) & _within(i, j[:, 2 * k : 2 * k + 2]))
-                found.append((start + a, j[b, 2 * k : 2 * k + 2]))
-                b, a = np.nonzero((j_to[k].T == 0) & _within(j, i[:, 2 * k : 2 * k + 2]))
-                found.append((begin + b, i[a, 2 * k : 2 * k + 2]))
-    at, points = (np.concatenate(v) for v in zip(*found, strict=True))
-    inner = (points != e[at, :2]).any(1) & (points != e[at, 2:]).any(1)
-    return at[inner], points[inner]
-
-
-def _side(e: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """For edges by points: above 0 if the point is to the left of the edge, below 0 to the right."""
-    dx, dy = e[:, 2] - e[:, 0], e[:, 3] - e[:, 1]
-    return dx[:, None] * (p[None, :, 1] - e[:, 1, None]) - dy[:, None] * (p[None, :, 0] - e[:, 0, None])
-
-
-def _within(e: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """For edges by points: whether the point is in the box of the edge."""
-    low, high = np.minimum(e[:, :2], e[:, 2:])[:, None], np.maximum(e[:, :2], e[:, 2:])[:, None]
-    return ((low <= p[None]) & (p[None] <= high)).all(2)
-
-
-def _cut(e: np.ndarray, at: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """The pieces of the edges between their ends and the points on them."""
-    n = np.arange(len(e))
-    along = e[at, 2:] - e[at, :2]
-    share = ((points - e[at, :2]) * along).sum(1) / (along * along).sum(1)
-    edge = np.concatenate([n, n, at])
-    place = np.concatenate([np.full(len(e), -np.inf), np.full(len(e), np.inf), share])
-    where = np.concatenate([e[:, :2], e[:, 2:], points])
-    order = np.lexsort((place, edge))
-    edge, where = edge[order], where[order]
-    same = edge[1:] == edge[:-1]
-    return np.hstack([where[:-1][same], where[1:][same]])
-
-
-def _odd_pieces(e: np.ndarray) -> np.ndarray:
-    """Each edge that is there an odd number of times, in either direction, once; its lower left end first."""
-    swap = (e[:, 0] > e[:, 2]) | ((e[:, 0] == e[:, 2]) & (e[:, 1] > e[:, 3]))
-    e = np.where(swap[:, None], e[:, [2, 3, 0, 1]], e)
-    e = e[(e[:, :2] != e[:, 2:]).any(1)]
-    found, times = np.unique(e, axis=0, return_counts=True)
-    return found[times % 2 == 1]
-
-
-def _odd_above(e: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Whether an odd number of other edges run above the middle of each of the edges ``which``."""
-    x1, x2 = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
-    out = np.zeros(len(which), bool)
-    for start in range(0, len(which), EDGE_BLOCK):
-        own = which[start : start + EDGE_BLOCK]
-        x, y = ((e[own, k] + e[own, k + 2]) / 2 for k in (0, 1))
-        for f in np.array_split(near := np.flatnonzero((x1 <= x.max()) & (x2 > x.min())), len(near) // EDGE_STEP + 1):
-            with np.errstate(divide="ignore", invalid="ignore"):
-                height = e[f, 1] + (x[:, None] - e[f, 0]) * ((e[f, 3] - e[f, 1]) / (e[f, 2] - e[f, 0]))
-            above = (x1[f] <= x[:, None]) & (x[:, None] < x2[f]) & (height > y[:, None]) & (f != own[:, None])
-            out[start : start + EDGE_BLOCK] ^= above.sum(1) % 2 == 1
-    return out
-
-
-def _directed(e: np.ndarray) -> np.ndarray:
-    """The edges, each from the end that has the inside on the left."""
-    flat = np.abs(e[:, 2] - e[:, 0]) >= np.abs(e[:, 3] - e[:, 1])
-    forward = np.zeros(len(e), bool)
-    forward[flat] = _odd_above(e, np.flatnonzero(flat))  # to the right, with the inside above
-    steep = np.flatnonzero(~flat)
-    rightwards = _odd_above(e[:, [1, 0, 3, 2]], steep)  # inside at larger x: the edge runs down
-    forward[steep] = (e[steep, 3] > e[steep, 1]) != rightwards
-    return np.where(forward[:, None], e, e[:, [2, 3, 0, 1]])
-
-
-def _loops(e: np.ndarray) -> list[np.ndarray]:
-    """Closed rings from directed edges, larger ones first. A ring ends where it comes back to one of its points."""
-    leads: dict[tuple, list[tuple]] = defaultdict(list)
-    for x1, y1, x2, y2 in e[::-1].tolist():
-        leads[x1, y1].append((x2, y2))
-    rings = []
-    for first in list(leads):
-        while leads[first]:
-            path, place = [first], {first: 0}
-            while leads.get(path[-1]):
-                point = leads[path[-1]].pop()
-                if point in place:
-                    k = place[point]
-                    rings.append(np.array([*path[k:], point]))
-                    for p in path[k + 1 :]:
-                        del place[p]
-                    del path[k + 1 :]
-                else:
-                    place[point] = len(path)
-                    path.append(point)
-            if len(path) > 2:  # rounding may leave an open end
-                rings.append(np.array([*path, path[0]]))
-    return sorted(rings, key=lambda r: -np.abs(np.ptp(r, axis=0)).prod())
-
-
-@arrow_udf(T.ArrayType(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))))
-def _untangled(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
-    for xs, ys, sizes in batches:
-        out = []
-        for x, y, n in zip(xs, ys, sizes, strict=True):
-            again = None
-            if x.values is not None and len(x.values):
-                points = np.column_stack([v.values.to_numpy(zero_copy_only=False) for v in (x, y)])
-                sides = np.hstack([points[:-1], points[1:]])
-                inside = np.ones(len(sides), bool)  # not from the end of a ring to the start of the next
-                inside[np.cumsum(n.values.to_numpy(zero_copy_only=False))[:-1] - 1] = False
-                again = untangled(sides[inside])
-            out.append([[{"x": a, "y": b} for a, b in ring.tolist()] for ring in again] if again else None)
-        yield pa.array(out, kind)
-
-
-def crosses_itself(xs: np.ndarray, ys: np.ndarray) -> bool:
-    """Whether two edges of a closed ring cross in an inner point of both.
-
-    Edges are sorted by their left end and taken in blocks; a block is compared with the edges that
-    start before its last one ends.
-    """
-    x1, y1, x2, y2 = xs[:-1], ys[:-1], xs[1:], ys[1:]
-    order = np.argsort(np.minimum(x1, x2), kind="stable")
-    x1, y1, x2, y2 = (v[order] for v in (x1, y1, x2, y2))
-    left, right = np.minimum(x1, x2), np.maximum(x1, x2)
-    for start in range(0, len(x1), EDGE_BLOCK):
-        i = slice(start, start + EDGE_BLOCK)
-        j = slice(start, int(np.searchsorted(left, right[i].max(), side="right")))
-        if np.any(_apart(x1, y1, x2, y2, i, j) & _apart(x1, y1, x2, y2, j, i).T):
-            return True
-    return False
 
+def _edges(polygons: DataFrame) -> DataFrame:
+    """Edges with a length, numbered within the polygon, with the heights of its rows, the widths of its columns and its grain."""
+    levels = [strip_level(F.col("rings"), axis, EDGES_PER_ROW).alias(name) for axis, name in (("y", "height"), ("x", "width"))]
+    box = bounds(F.col("rings"))
+    reach = F.greatest(*[F.abs(box[c]) for c in ("xmin", "ymin", "xmax", "ymax")], F.lit(2.0**-900))
+    grain = F.pow(F.lit(2.0), F.ceil(F.log2(reach)) - PLACES).alias("grain")
+    # what holds for a polygon is computed before its edges become rows
+    whole = polygons.select("id", *levels, grain, edges(F.col("rings")).alias("sides"))
+    listed = whole.select("id", "height", "width", "grain", F.posexplode("sides").alias("n", "e")).select("id", "height", "width", "grain", "n", "e.*")
+    return listed.where("x1 <> x2 OR y1 <> y2")
 
-def _apart(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, i: slice, j: slice) -> np.ndarray:
-    """For edges ``i`` by ``j``: whether the ends of ``j`` lie strictly on two sides of the line of ``i``."""
 
-    def side(px: np.ndarray, py: np.ndarray) -> np.ndarray:
-        ax, ay = x1[i, None], y1[i, None]
-        return np.sign((x2[i, None] - ax) * (py[None, :] - ay) - (y2[i, None] - ay) * (px[None, :] - ax))
+def _left_of(a: str, x: str, y: str) -> str:
+    """SQL text: above 0 if a point is to the left of the edge ``a``, below 0 to the right."""
+    return f"(({a}.x2 - {a}.x1) * ({y} - {a}.y1) - ({a}.y2 - {a}.y1) * ({x} - {a}.x1))"
 
-    return side(x1[j], y1[j]) * side(x2[j], y2[j]) < 0
 
+def _near(axis: str) -> str:
+    ends = [(f"{s}.{axis}1", f"{s}.{axis}2") for s in "ab"]
+    low, high = (f"{f}({', '.join(f'{g}({p}, {q})' for p, q in ends)})" for f, g in (("greatest", "least"), ("least", "greatest")))
+    return f"{low} <= {high}"
 
-@F.pandas_udf(T.BooleanType())
-def _any_crossing(xs: pd.Series, ys: pd.Series) -> pd.Series:
-    return pd.Series([crosses_itself(x, y) for x, y in zip(xs, ys, strict=True)])
 
+def meetings(sides: DataFrame) -> DataFrame:
+    """Points at which an edge meets another of its polygon other than at its own ends: ``id, n, x, y, through``.
 
-def check(polygons: DataFrame) -> DataFrame:
-    """One row per ring as delivered, closed and without repeated vertices: ``id, ring, vertices, crosses``."""
-    rings = polygons.select("id", F.posexplode(cleaned(F.col("rings"))).alias("ring", "vertices_of"))
-    return rings.select(
-        "id",
-        "ring",
-        F.size("vertices_of").alias("vertices"),
-        _any_crossing(
-            F.transform("vertices_of", lambda p: p["x"]), F.transform("vertices_of", lambda p: p["y"])
-        ).alias("crosses"),
+    ``through`` tells that two edges cross in an inner point of both. Edges are listed in the rows they
+    touch, and a pair is looked at in the first row that both touch.
+    """
+    low, high = cell_number("least(y1, y2)", "height"), cell_number("greatest(y1, y2)", "height")
+    listed = sides.selectExpr("id", "n", "grain", *SIDE, f"{low} AS first", f"explode(sequence({low}, {high})) AS row")
+    pairs = listed.alias("a").join(listed.alias("b"), F.expr(
+        f"a.id = b.id AND a.row = b.row AND a.n < b.n AND a.row = greatest(a.first, b.first) AND {_near('x')} AND {_near('y')}"
+    ))
+    a_at = [_left_of("b", f"a.x{k}", f"a.y{k}") for k in (1, 2)]
+    b_at = [_left_of("a", f"b.x{k}", f"b.y{k}") for k in (1, 2)]
+    pairs = pairs.selectExpr("a.id AS id", "struct(a.*) AS a", "struct(b.*) AS b", f"array({', '.join(a_at)}) AS a_at", f"array({', '.join(b_at)}) AS b_at")
+    through = "signum(a_at[0]) * signum(a_at[1]) < 0 AND signum(b_at[0]) * signum(b_at[1]) < 0"
+    share = "a_at[0] / (a_at[0] - a_at[1])"
+    cross = [f"rint((a.{c}1 + {share} * (a.{c}2 - a.{c}1)) / a.grain) * a.grain" for c in "xy"]
+    pairs = pairs.withColumn("through", F.expr(through))
+
+    def touch(on: str, other: str, k: int) -> str:
+        """The end k of one edge, if it is an inner point of the other one."""
+        x, y = f"{other}.x{k}", f"{other}.y{k}"
+        box = f"{x} BETWEEN least({on}.x1, {on}.x2) AND greatest({on}.x1, {on}.x2) AND {y} BETWEEN least({on}.y1, {on}.y2) AND greatest({on}.y1, {on}.y2)"
+        own_end = f"({x} = {on}.x1 AND {y} = {on}.y1) OR ({x} = {on}.x2 AND {y} = {on}.y2)"
+        return f"IF({other}_at[{k - 1}] = 0 AND {box} AND NOT ({own_end}), named_struct('n', {on}.n, 'x', {x}, 'y', {y}, 'through', false), NULL)"
+
+    crossed = [f"IF(through, named_struct('n', {e}.n, 'x', {cross[0]}, 'y', {cross[1]}, 'through', true), NULL)" for e in "ab"]
+    touches = [touch(on, other, k) for on, other in ("ab", "ba") for k in (1, 2)]
+    return pairs.selectExpr("id", f"inline(filter(array({', '.join([*crossed, *touches])}), t -> t IS NOT NULL))")
+
+
+def _directed(pieces: DataFrame) -> DataFrame:
+    """The pieces, each from the end that has the inside on its left.
+
+    A piece that is rather flat looks up, others look to the right; an odd number of pieces there means that side is inside.
+    """
+    flat = pieces.where("abs(x2 - x1) >= abs(y2 - y1)")
+    steep = pieces.where("abs(x2 - x1) < abs(y2 - y1)")
+
+    def odd(which: DataFrame, u: str, v: str, level: str) -> DataFrame:
+        """``beyond``: whether an odd number of pieces run beyond the middle of each, in the direction of v."""
+        spans = f"explode(sequence({cell_number(f'least({u}1, {u}2)', level)}, {cell_number(f'greatest({u}1, {u}2)', level)})) AS strip"
+        over = pieces.where(f"{u}1 <> {u}2").selectExpr("id", *SIDE, spans).selectExpr("id AS o_id", "strip AS o_strip", *[f"{c} AS o_{c}" for c in SIDE])
+        middle = which.selectExpr("*", f"({u}1 + {u}2) / 2 AS mu", f"({v}1 + {v}2) / 2 AS mv").withColumn("strip", F.expr(cell_number("mu", level)))
+        height = f"o_{v}1 + (mu - o_{u}1) * ((o_{v}2 - o_{v}1) / (o_{u}2 - o_{u}1))"
+        other = " OR ".join(f"{c} <> o_{c}" for c in SIDE)
+        match = f"id = o_id AND strip = o_strip AND least(o_{u}1, o_{u}2) <= mu AND mu < greatest(o_{u}1, o_{u}2) AND ({other}) AND {height} > mv"
+        return middle.join(over, F.expr(match), "left").groupBy("id", *SIDE).agg((F.count("o_id") % 2 == 1).alias("beyond"))
+
+    turned = ", ".join(f"{c} AS {d}" for c, d in zip(("x2", "y2", "x1", "y1"), SIDE, strict=True)).split(", ")
+    # to the right with the inside above; down with the inside to the right
+    forward = odd(flat, "x", "y", "width").withColumn("keep", F.expr("beyond"))
+    steep = odd(steep, "y", "x", "height").withColumn("keep", F.expr("(y2 > y1) <> beyond"))
+    both = forward.unionByName(steep)
+    return both.where("keep").select("id", *SIDE).unionByName(both.where("NOT keep").selectExpr("id", *turned))
+
+
+def untangled(polygons: DataFrame) -> DataFrame | None:
+    """``id, rings`` of the polygons in which edges cross or touch: what an odd number of their rings hold, as directed edges.
+
+    None if there is no such polygon.
+
+    Edges are cut where they meet, and pieces that lie on each other cancel in pairs. A polygon of which nothing is left, and one without
+    meeting edges, has no row.
+    """
+    sides = _edges(polygons)
+    starts = F.transform(edges(F.col("rings")), lambda e: F.when((e["x1"] != e["x2"]) | (e["y1"] != e["y2"]), F.xxhash64(e["x1"], e["y1"])))
+    starts = F.filter(starts, lambda h: h.isNotNull())
+    again = polygons.where(F.size(F.array_distinct(starts)) < F.size(starts)).select("id")  # a vertex that is used twice
+    cuts = staged(meetings(sides).groupBy("id", "n").agg(F.collect_set(F.struct("x", "y")).alias("points")), "cuts")
+    tangled = staged(cuts.select("id").unionByName(again).distinct(), "tangled")
+    if tangled.isEmpty():
+        return None
+    parts = sides.join(tangled, "id", "left_semi").join(cuts, ["id", "n"], "left")
+    along = lambda p: (p["x"] - F.col("x1")) * (F.col("x2") - F.col("x1")) + (p["y"] - F.col("y1")) * (F.col("y2") - F.col("y1"))
+    inner = F.transform(F.coalesce("points", F.array().cast("array<struct<x:double,y:double>>")), lambda p: F.struct(along(p).alias("at"), p["x"].alias("x"), p["y"].alias("y")))
+    chain = F.concat(
+        F.array(F.struct(F.lit(float("-inf")).alias("at"), F.col("x1").alias("x"), F.col("y1").alias("y"))),
+        inner,
+        F.array(F.struct(F.lit(float("inf")).alias("at"), F.col("x2").alias("x"), F.col("y2").alias("y"))),
     )
+    parts = parts.select("id", "height", "width", F.array_sort(chain).alias("p"))
+    # each piece from its lower left end
+    ends = F.transform(F.sequence(F.lit(1), F.size("p") - 1), lambda k: F.array_sort(F.array(*[
+        F.struct(F.element_at("p", k + d)["x"].alias("x"), F.element_at("p", k + d)["y"].alias("y")) for d in (0, 1)
+    ])))
+    pieces = parts.select("id", "height", "width", F.explode(ends).alias("q")).selectExpr(
+        "id", "height", "width", "q[0].x AS x1", "q[0].y AS y1", "q[1].x AS x2", "q[1].y AS y2"
+    )
+    pieces = pieces.where("x1 <> x2 OR y1 <> y2").groupBy("id", "height", "width", *SIDE).agg(F.count(F.lit(1)).alias("times"))
+    directed = _directed(staged(pieces.where("times % 2 = 1").drop("times"), "pieces"))
+    segment = F.expr("array(named_struct('x', x1, 'y', y1), named_struct('x', x2, 'y', y2))")
+    return directed.groupBy("id").agg(F.collect_list(segment).alias("rings"))
+
+
+def check(polygons: DataFrame) -> DataFrame:
+    """One row per ring as delivered, closed and without repeated vertices: ``id, ring, vertices, crosses``.
+
+    A ring crosses itself if two of its edges cross in an inner point of both.
+    """
+    rings = polygons.select("id", F.posexplode(cleaned(F.col("rings"))).alias("ring", "points"))
+    alone = rings.select(F.struct("id", "ring").alias("id"), F.array("points").alias("rings"))
+    crossed = meetings(_edges(alone)).where("through").select(F.col("id.id").alias("__id"), F.col("id.ring").alias("__ring")).distinct()
+    found = rings.join(crossed, (F.col("id") == F.col("__id")) & (F.col("ring") == F.col("__ring")), "left")
+    return found.select("id", "ring", F.size("points").alias("vertices"), F.col("__id").isNotNull().alias("crosses"))
