@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.llm.common import col, fresh, spread_join, with_fields
+from zonalis.sources.stage import staged
 
 GRAM, WINDOW = 2, 2
 
@@ -85,6 +86,8 @@ def repeated_lines(df: DataFrame, text: str, key: str, gram: int = GRAM, window:
             )
         ).alias("p"),
     ).select("id", "row", F.col("p.print").alias("print"), F.col("p.around").alias("around"))
+    # the texts are read once for both uses
+    prints = staged(prints, "line_prints")
     # equal rows are one place, so a fingerprint counts as repeated if it has two places
     common = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
     around = spread_join(prints, common, ["print"], "left_semi").select("id", "row", F.explode("around").alias("a"))
