@@ -4,7 +4,8 @@ Lexicon: words and word stems (prefixes of at least four letters) whose document
 others, counted over all labelled rows that are not held out; shorter words are entries that match themselves only.
 Texts that are equal, with equal labels, count once. A stem that is as telling as its longer forms stands for them.
 Entries need evidence, whatever the number of documents: their share of toxic texts must be so far from that of all texts
-that less than one word is expected to get there by chance (Chernoff's bound, ``NEW_WORDS`` words for each text). There
+that less than one word is expected to get there by chance (Chernoff's bound, ``NEW_WORDS`` words for each text); where labels
+are too few for that, a word in the share ``ENOUGH`` of the toxic texts and in no other has enough of it. There
 is no limit on the number of entries; all of them are sent to the driver and to the tasks.
 
 Matching: the lexicon is a trie, and a Levenshtein automaton walks along it: a state is a set of (trie node, edits so
@@ -45,6 +46,7 @@ STEM, LONGEST = 4, 24
 MIN_DOCS = 3  # toxic texts a lexicon entry is seen in at least
 MIN_ODDS = 3.0  # log odds of an entry
 NEW_WORDS = 100  # no more distinct words than this for each labelled text are expected
+ENOUGH = 0.25  # a word in this share of the toxic texts, and in no other, has evidence enough however few there are
 BROADCAST_LABELS = 1_000_000  # up to so many labelled documents are sent to all tasks, beyond that they are joined
 MAX_ROWS = 50_000
 WINDOW = 6  # words on each side of a hit
@@ -290,7 +292,9 @@ def learn_lexicon(labelled: DataFrame, text: str, max_terms: int | None = None)
     share = F.col("t") * F.log(F.col("t") / F.col("n") / (toxic / all_rows))
     evidence = share + F.when(clean > 0, clean * F.log(clean / F.col("n") / (1 - toxic / all_rows))).otherwise(0.0)
     best = counted.where((F.col("t") >= MIN_DOCS) & (F.col("t") >= 0.8 * F.col("n"))).withColumn("odds", odds)
-    best = best.where((F.col("odds") >= MIN_ODDS) & (evidence >= math.log(NEW_WORDS * all_rows)))
+    # few labels cannot give much evidence: a term in a share of the toxic texts and in no other is always enough
+    enough = min(math.log(NEW_WORDS * all_rows), ENOUGH * toxic * math.log(all_rows / toxic))
+    best = best.where((F.col("odds") >= MIN_ODDS) & (evidence >= enough))
     rows = best.orderBy(F.desc("t"), "entry").select("entry", "t", "odds").collect()
     return chosen_entries([(r["entry"], r["t"], r["odds"]) for r in rows], max_terms)
 
