@@ -109,19 +109,24 @@ def edits(a: str, b: str) -> int:
     return rows[-1][-1]
 
 
-def runs_removed(docs: Docs, length: int) -> list[tuple]:
-    """(key, lines, removed, text) after removal of runs of lines that begin earlier, too; documents in order."""
-    seen: set[tuple[str, ...]] = set()
+def runs_removed(docs: Docs, length: int = 3, enough: int = 50) -> list[tuple]:
+    """(key, lines, removed, text) after removal of runs of lines that begin earlier, too; documents in order.
+
+    All runs of ``length`` lines or ``enough`` words, whatever their length, are compared with all places before.
+    """
+    full = [[(i, line) for i, line in enumerate((text or "").split("\n")) if words(line)] for _, text in docs]
+    gone: list[set[int]] = [set() for _ in docs]
+    for a, later in enumerate(full):
+        for b in range(a + 1):
+            for k in range(len(later)):
+                for j in range(k if a == b else len(full[b])):
+                    n = 0
+                    while k + n < len(later) and j + n < len(full[b]) and later[k + n][1] == full[b][j + n][1]:
+                        n += 1
+                    if n and (n >= length or sum(len(words(line)) for _, line in later[k : k + n]) >= enough):
+                        gone[a].update(i for i, _ in later[k : k + n])
     out = []
-    for key, text in docs:
-        lines = (text or "").split("\n")
-        full = [i for i, line in enumerate(lines) if words(line)]
-        gone: set[int] = set()
-        for k in range(len(full) - length + 1):
-            run = tuple(lines[i] for i in full[k : k + length])
-            if run in seen:
-                gone.update(full[k : k + length])
-            seen.add(run)
-        kept = None if text is None else "\n".join(line for i, line in enumerate(lines) if i not in gone)
-        out.append((key, len(full), len(gone), kept))
+    for (key, text), lines, bad in zip(docs, full, gone, strict=True):
+        kept = None if text is None else "\n".join(line for i, line in enumerate(text.split("\n")) if i not in bad)
+        out.append((key, len(lines), len(bad), kept))
     return out

@@ -159,15 +159,30 @@ def test_line_dedup(spark: SparkSession, docs: DataFrame, none: DataFrame) -> No
     assert line_dedup.dedup_lines(none).isEmpty()
 
 
-@pytest.mark.parametrize("gram,window", [(1, 1), (1, 3), (2, 2), (3, 4)])
-def test_line_dedup_on_random_lines(spark: SparkSession, gram: int, window: int) -> None:
-    rng = random.Random(gram * 10 + window)
-    rows = [(i, "\n".join(rng.choices(["a", "b", "c", "d d", " ", ""], k=rng.randint(0, 25)))) for i in range(60)]
-    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), gram=gram, window=window)
-    expected = brute.runs_removed(rows, gram + window - 1)
+@pytest.mark.parametrize("lines,words", [(1, 99), (3, 99), (6, 99), (3, 2), (3, 3), (5, 4), (4, 1)])
+def test_line_dedup_on_random_lines(spark: SparkSession, lines: int, words: int) -> None:
+    rng = random.Random(lines * 100 + words)
+    rows = [(i, "\n".join(rng.choices(["a", "b", "c", "d d", "e e e", "f f f f", " ", ""], k=rng.randint(0, 25)))) for i in range(60)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), lines=lines, words=words)
+    expected = brute.runs_removed(rows, lines, words)
     assert sorted(tuple(r) for r in out.select("doc_id", "n_lines", "n_removed", "text").collect()) == expected
 
 
+def test_long_repeated_lines_and_maximal_matches(spark: SparkSession) -> None:
+    long = " ".join(f"w{i}" for i in range(50))
+    short = " ".join(f"s{i}" for i in range(49))
+    both = [" ".join(f"{c}{i}" for i in range(25)) for c in "xy"]
+    tail = [f"line {i}" for i in range(7)]
+    first = [long, "own", short, "more", *both, "tiny", "between", *tail]
+    texts = ["\n".join(first), "\n".join(["new", long, "text", short, "and", *both, "tiny", "other", "", *tail, "end"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
+    assert out == {0: texts[0], 1: "\n".join(["new", "text", short, "and", "other", "", "end"])}
+    found = line_dedup.matches(df).collect()
+    assert [r["id"] for r in found] == [1]
+    assert [(m["start"], m["stop"], m["of_id"], m["lag"]) for m in found[0]["matches"]] == [(1, 1, 0, 1), (5, 7, 0, 1), (9, 15, 0, 1)]
+
+
 def test_substring_dedup(docs: DataFrame, none: DataFrame) -> None:
     out = substring_dedup.remove_repeats(docs, size=6, width_bits=10)
     assert pairs(out, "doc_id", "n_words", "n_removed", "kept") == ordered(brute.without_repeats(TEXTS, 6))

@@ -150,14 +150,19 @@ from placed group by conv_id, speaker, part
 """,
     "op6_line_dedup": f"""
 with {_LINES},
+counted as (
+  select *, len(regexp_extract_all(l, '[^\\x20\\x09-\\x0D]+')) as w, lead(l) over d as l1, lead(l, 2) over d as l2, lead(w) over d as w1
+  from full_lines window d as (partition by doc_id order by line)
+),
 runs as (
-  select a.doc_id, a.k, a.l || chr(10) || b.l || chr(10) || c.l as run
-  from full_lines a join full_lines b on a.doc_id = b.doc_id and b.k = a.k + 1 join full_lines c on a.doc_id = c.doc_id and c.k = a.k + 2
+  select doc_id, k, 1 as n, l as run from counted where w >= 50
+  union all select doc_id, k, 2, l || chr(10) || l1 from counted where w + w1 >= 50
+  union all select doc_id, k, 3, l || chr(10) || l1 || chr(10) || l2 from counted where l2 is not null
 ),
 later as (
-  select doc_id, k from (select *, row_number() over (partition by run order by doc_id, k) as n from runs) where n > 1
+  select doc_id, k, n from (select *, row_number() over (partition by run order by doc_id, k) as place from runs) where place > 1
 ),
-gone as (select distinct doc_id, k + d as k from later, unnest([0, 1, 2]) as u(d)),
+gone as (select distinct doc_id, k + d as k from later, unnest(range(0, n)) as u(d)),
 gone_lines as (select f.doc_id, f.line from full_lines f join gone g on f.doc_id = g.doc_id and f.k = g.k),
 kept as (
   select l.doc_id, string_agg(l.l, chr(10) order by l.line) as text
