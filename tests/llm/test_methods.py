@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from itertools import combinations
 
@@ -157,7 +158,34 @@ def test_misspelled_and_quoted_terms() -> None:
     plain = toxicity.features_of("you are an idiot and I mean it", matcher)
     quoted = toxicity.features_of("the word “idiot” is what they said to them", matcher)
     assert plain[0] > 0 == plain[1] and quoted[1] > 0 == quoted[0]
-    assert plain[4] > quoted[4]
+    assert plain[2] > quoted[2]
+
+
+def test_slips_raise_the_score(spark: SparkSession) -> None:
+    """Terms with one slip each score above the clean text, with at least half of the exact form's log odds above it."""
+    rng = random.Random(44)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    vocabulary = [letters(rng.randint(3, 9)) for _ in range(2000)] + ["crown", "crown", "truth"]
+    terms = ["clown", "worthless", "trash", "idiot"]
+    rows = []
+    for i in range(1500):
+        text = rng.choices(vocabulary, k=40) + ["crown"] * (i % 9 == 0)
+        text += rng.choices(terms, k=rng.randint(1, 4)) if i % 10 == 0 else []
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(1500)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert set(terms) <= set(model.terms) and "crown" in model.alike and min(model.weights[1:]) >= 0
+    clean = " ".join(rng.choices(vocabulary, k=30))
+    slips = {"clown": "clwon", "worthless": "worhtless", "trash": "trasj", "idiot": "idiiot"}
+    texts = [clean, clean + " crown", *[f"{clean} {t}" for t in terms], *[f"{clean} {slips[t]}" for t in terms]]
+    texts += [f"{clean} {' '.join(terms)}", f"{clean} {' '.join(slips.values())}"]
+    scores = [r["score"] for r in toxicity.score(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1), model).collect()]
+    odds = [math.log(p / (1 - p)) for p in scores]
+    assert odds[1] == pytest.approx(odds[0])
+    for exact, slip in [*zip(odds[2:6], odds[6:10], strict=True), (odds[10], odds[11])]:
+        assert exact > slip > odds[0] and slip - odds[0] >= 0.5 * (exact - odds[0])
 
 
 def test_decision_list_learns_a_conjunction() -> None:

@@ -1,7 +1,8 @@
 """Toxicity scores from a learned lexicon, found through misspellings, and the context of each hit.
 
-Lexicon: words and word stems (prefixes of at least four letters) whose documents are toxic far more often than
-others, counted over all labelled rows that are not held out; shorter words are entries that match themselves only.
+Lexicon: words and word stems (prefixes of 4 to 24 letters, so a longer word is entered by its first 24) whose documents are
+toxic far more often than others, counted over all labelled rows that are not held out; shorter words are entries that match
+themselves only.
 Texts that are equal, with equal labels, count once. A stem that is as telling as its longer forms stands for them.
 Entries need evidence, whatever the number of documents: their share of toxic texts must be so far from that of all texts
 that less than one word is expected to get there by chance (Chernoff's bound, ``NEW_WORDS`` words for each text); where labels
@@ -13,15 +14,18 @@ far). States are made when a word first needs them and kept, so that the interse
 a deterministic automaton, and a word costs one step for each letter until its state is empty. A stem matches words
 that begin with it; a word of five letters or more is also found with one edit, of nine or more with two, at any letter.
 With edits, too, an entry may begin a longer word, if the entry's last letter is there ('idoits', but not 'idiom...').
-Swapped neighbours count as one edit, digits and signs that stand for letters are read as the letters first.
+Swapped neighbours count as one edit, digits and signs that stand for letters are read as the letters first. Words that
+match with edits only, but are mostly seen in texts that are not toxic ('crown' for 'clown'), are look-alikes and no hits;
+they come from the same counts, and their number is bounded by what resembles the lexicon.
 
 Context: each hit is looked at in a window of words on both sides. Quotation marks around it, an opening mark before
-it on the line, or words of reporting near by make it quotation; other hits near by make it abuse. Sums of both kinds,
-exact and misspelled, and their densest window are the features of a logistic model, fitted on at most
-``max_rows`` labelled rows that are not held out, chosen by the hash of the id.
+it on the line, or words of reporting near by make it quotation; other hits near by make it abuse. Each edit takes the
+share ``1 - SLIP`` off a hit. Sums of both kinds, the densest window, the sum per word and that of distinct terms are the features of a
+logistic model whose weights are not negative, so that a hit, misspelled or not, never makes a text look cleaner. It is fitted
+on at most ``max_rows`` labelled rows that are not held out, chosen by the hash of the id.
 
 A document with several labels is toxic if one says so; NULL labels are ignored. Without labels of both kinds every
-score is 0. NULL and empty texts have no hits and get the score of such texts. Repeated rows get equal scores. Columns
+score is 0; so it is with empty tables. Long texts are scored whole, in portions of a batch. NULL and empty texts have no hits and get the score of such texts. Repeated rows get equal scores. Columns
 of the input are kept; one with the name of a result is replaced. The score reads nothing but the text.
 """
 
@@ -51,9 +55,12 @@ BROADCAST_LABELS = 1_000_000  # up to so many labelled documents are sent to all
 MAX_ROWS = 50_000
 WINDOW = 6  # words on each side of a hit
 STATES, ITEMS, REMEMBERED = 50_000, 1_000_000, 300_000  # of the automaton, the items of its states, and words
-FEATURES = 7
+FEATURES = 5
+SLIP = 0.6  # what is left of a hit after each edit
+ALIKE_DOCS, ALIKE_SHARE = 2, 0.5  # a look-alike is seen in so many texts that are not toxic, and its toxic share is below
 TRIM = ".,;:!?\"'()[]{}<>«»“”„‘’…-–—*_~`"
 READ_AS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
+LETTERS = re.compile(r"[^\W\d_]*")
 OPENS, CLOSES = set("\"“„«‘"), set("\"”“»’")
 REPORTING = frozenset("said says wrote writes quote quoted quotes called calls dit disait écrit sagte sagt schrieb dijo dice escribió".split())
 
@@ -70,8 +77,9 @@ class Matcher:
     too, if its last letter is there; otherwise edits come after the first letter and in whole words only.
     """
 
-    def __init__(self, terms: dict[str, float], anywhere: bool = False) -> None:
+    def __init__(self, terms: dict[str, float], anywhere: bool = False, alike: frozenset[str] = frozenset()) -> None:
         self.weight = terms
+        self.alike = alike
         self.anywhere = anywhere
         self.child: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
@@ -188,6 +196,8 @@ class Matcher:
                 found = self._walk(read)
                 if found is not None:
                     found = (found[0], max(1, found[1]))
+        if found is not None and found[1] and self.alike and (plain in self.alike or LETTERS.match(plain)[0] in self.alike):
+            return None
         return found
 
     def look(self, word: str) -> tuple[str, int] | None:
@@ -210,25 +220,33 @@ def _quoted(words: list[str], i: int, line_open: bool) -> bool:
 
 
 def features_of(text: str, matcher: Matcher) -> list[float]:
-    """Exact and misspelled hits, as abuse and as quotation, the densest window, hits per word and distinct terms."""
+    """Weights of hits as abuse and as quotation, in the densest window, per word and of distinct terms, less for misspelled ones.
+
+    A text with every term misspelled by one edit has at least ``SLIP`` times the features of the exact one.
+    """
     words = text.split()
     look = matcher.look
-    hits = [(i, m) for i, m in enumerate(map(look, words)) if m is not None]
+    hits = [(i, m[0], SLIP ** m[1]) for i, m in enumerate(map(look, words)) if m is not None]
     if not hits:
         return [0.0] * FEATURES
-    places = [i for i, _ in hits]
+    places = [i for i, _, _ in hits]
     opened = _open_at(words, places)
-    sums = [0.0] * 4
-    densest = 0.0
+    sums = [0.0] * 2
+    values = [matcher.weight[term] * share for _, term, share in hits]
+    terms: dict[str, float] = {}
+    densest = dense = 0.0
     low = 0
-    for k, (i, (term, edits)) in enumerate(hits):
+    for k, (i, term, _) in enumerate(hits):
         quote = _quoted(words, i, opened[k])
-        sums[2 * (edits > 0) + quote] += matcher.weight[term]
+        sums[quote] += values[k]
+        terms[term] = max(terms.get(term, 0.0), values[k])
+        dense += values[k]
         while places[low] < i - WINDOW:
+            dense -= values[low]
             low += 1
         if not quote:
-            densest = max(densest, sum(matcher.weight[t] / (1 + e) for _, (t, e) in hits[low : k + 1]))
-    return [*map(math.log1p, sums), math.log1p(densest), len(hits) / len(words), math.log1p(len({t for _, (t, _) in hits}))]
+            densest = max(densest, dense)
+    return [*map(math.log1p, sums), math.log1p(densest), sum(values) / len(words), math.log1p(sum(terms.values()))]
 
 
 def _open_at(words: list[str], places: list[int]) -> list[bool]:
@@ -252,6 +270,7 @@ def _open_at(words: list[str], places: list[int]) -> list[bool]:
 class Model:
     terms: dict[str, float]
     weights: tuple[float, ...]  # bias first; empty if nothing could be learned
+    alike: frozenset[str] = frozenset()  # words that resemble an entry but are at home in texts that are not toxic
 
 
 def _training(labels: DataFrame, key: str, label: str) -> DataFrame:
@@ -270,19 +289,38 @@ def _distinct_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.concat_arrays(found) if found else pa.array([], kind)
 
 
-def learn_lexicon(labelled: DataFrame, text: str, max_terms: int | None = None) -> dict[str, float]:
-    """Entries and their weights (log odds) from rows with ``_toxic``; all of them, or the most frequent ``max_terms``.
-
-    Texts are counted for each word, then summed over the words that share a prefix; both cover all rows.
-    """
-    # words of a text that is copied are seen once
+def word_counts(labelled: DataFrame, text: str) -> tuple[DataFrame, int, int]:
+    """Toxic texts and all texts of each word, from rows with ``_toxic``, and of all words; equal texts count once."""
     texts = labelled.select((F.col("_toxic") > 0).cast("long").alias("t"), F.xxhash64(col(text)).alias("copy"), col(text).alias("text"))
     total = texts.select("t", "copy").distinct().agg(F.sum("t"), F.count("*")).first()
-    toxic, all_rows = int(total[0] or 0), int(total[1])
-    if not toxic or toxic == all_rows:
-        return {}
     words = texts.dropDuplicates(["t", "copy"]).select("t", F.explode(_distinct_words("text")).alias("word"))
     words = words.groupBy("word").agg(F.sum("t").alias("t"), F.count("*").alias("n"))
+    return staged(words, "toxicity_words"), int(total[0] or 0), int(total[1])
+
+
+def learn_lexicon(labelled: DataFrame, text: str, max_terms: int | None = None) -> dict[str, float]:
+    """Entries and their weights (log odds) from rows with ``_toxic``; all of them, or the most frequent ``max_terms``."""
+    return entries(*word_counts(labelled, text), max_terms)
+
+
+def look_alikes(words: DataFrame, terms: dict[str, float]) -> frozenset[str]:
+    """The counted words that match an entry with edits only and are mostly seen in texts that are not toxic."""
+
+    @arrow_udf("boolean")
+    def near(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        matcher = Matcher(terms, anywhere=True)
+        for batch in batches:
+            found = map(matcher.match, batch.to_pylist())
+            yield pa.array([m is not None and m[1] > 0 for m in found], pa.bool_())
+
+    clean = words.where((F.col("n") - F.col("t") >= ALIKE_DOCS) & (F.col("t") < ALIKE_SHARE * F.col("n")))
+    return frozenset(r["word"] for r in clean.select("word", near("word").alias("near")).where("near").select("word").collect())
+
+
+def entries(words: DataFrame, toxic: int, all_rows: int, max_terms: int | None = None) -> dict[str, float]:
+    """Lexicon from counted words, summed over the words that share a prefix; both cover all rows."""
+    if not toxic or toxic == all_rows:
+        return {}
     cut = F.transform(F.sequence(F.lit(STEM), F.least(F.char_length("word"), F.lit(LONGEST))), lambda n: F.substring(F.col("word"), F.lit(1), n))
     cut = F.when(F.char_length("word") >= STEM, cut).otherwise(F.array("word"))
     counted = words.select("t", "n", F.explode(cut).alias("entry")).groupBy("entry").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
@@ -326,10 +364,10 @@ def chosen_entries(rows: list[tuple[str, int, float]], max_terms: int | None = N
     return dict(terms[:max_terms])
 
 
-def _features(terms: dict[str, float]) -> Callable[[Column], Column]:
+def _features(terms: dict[str, float], alike: frozenset[str] = frozenset()) -> Callable[[Column], Column]:
     @arrow_udf("array<double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        matcher = Matcher(terms, anywhere=True)
+        matcher = Matcher(terms, anywhere=True, alike=alike)
         for texts in batches:
             rows = [features_of((t or b"").decode(), matcher) for portion in portions(texts) for t in portion]
             ends = np.arange(len(rows) + 1, dtype=np.int32) * FEATURES
@@ -338,9 +376,7 @@ def _features(terms: dict[str, float]) -> Callable[[Column], Column]:
     return run
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression with a small penalty, by Newton steps."""
-    x = np.column_stack([np.ones(len(x)), x])
+def _newton(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     w = np.zeros(x.shape[1])
     penalty = np.eye(x.shape[1]) * 0.01
     for _ in range(30):
@@ -349,7 +385,24 @@ def fit_weights(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    return tuple(w.tolist())
+    return w
+
+
+def fit_weights(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
+    """Logistic regression with a small penalty; bias first, then weights that are not negative.
+
+    As long as a weight is negative, the feature with the most negative one is left out and the rest is fitted again.
+    """
+    x = np.column_stack([np.ones(len(x)), x])
+    used = list(range(x.shape[1]))
+    while True:
+        w = _newton(x[:, used], y)
+        if len(used) == 1 or w[1:].min() >= 0:
+            break
+        del used[1 + int(w[1:].argmin())]
+    weights = np.zeros(x.shape[1])
+    weights[used] = w
+    return tuple(weights.tolist())
 
 
 def train(
@@ -360,17 +413,19 @@ def train(
     if truth.count() <= BROADCAST_LABELS:
         truth = F.broadcast(truth)
     labelled = docs.select(col(key).alias("_key"), col(text).alias("_text")).join(truth, F.col("_key") == F.col("_id"))
-    terms = learn_lexicon(labelled, "_text")
+    counted, toxic, all_rows = word_counts(labelled, "_text")
+    terms = entries(counted, toxic, all_rows)
     if not terms:
         return Model({}, ())
+    alike = look_alikes(counted, terms)
     sample = (
-        labelled.select("_id", (F.col("_toxic") > 0).cast("int").alias("_y"), _features(terms)(F.col("_text")).alias("_x"))
+        labelled.select("_id", (F.col("_toxic") > 0).cast("int").alias("_y"), _features(terms, alike)(F.col("_text")).alias("_x"))
         .orderBy(F.xxhash64("_id"), "_x")
         .limit(max_rows)
         .select("_y", "_x")
         .toPandas()
     )
-    return Model(terms, fit_weights(np.array(sample["_x"].tolist(), float), sample["_y"].to_numpy(float)))
+    return Model(terms, fit_weights(np.array(sample["_x"].tolist(), float), sample["_y"].to_numpy(float)), alike)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", score: str = "score", predicted: str = "predicted") -> DataFrame:
@@ -380,7 +435,7 @@ def score(df: DataFrame, model: Model, text: str = "text", score: str = "score",
     else:
         bias, *weights = model.weights
         found = F.transform(
-            F.arrays_zip(_features(model.terms)(F.coalesce(col(text), F.lit(""))).alias("x"), F.array(*map(F.lit, weights)).alias("w")),
+            F.arrays_zip(_features(model.terms, model.alike)(F.coalesce(col(text), F.lit(""))).alias("x"), F.array(*map(F.lit, weights)).alias("w")),
             lambda p: p["x"] * p["w"],
         )
         value = F.aggregate(found, F.lit(bias), lambda a, b: a + b, lambda s: 1 / (1 + F.exp(-s)))
