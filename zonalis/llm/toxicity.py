@@ -31,6 +31,7 @@ of the input are kept; one with the name of a result is replaced. The score read
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -364,10 +365,16 @@ def chosen_entries(rows: list[tuple[str, int, float]], max_terms: int | None = N
     return dict(terms[:max_terms])
 
 
+@functools.lru_cache(maxsize=1)
+def _matcher(terms: tuple[tuple[str, float], ...], alike: frozenset[str]) -> Matcher:
+    """The matcher of a worker, kept with its states and words (both bounded) from one task to the next."""
+    return Matcher(dict(terms), anywhere=True, alike=alike)
+
+
 def _features(terms: dict[str, float], alike: frozenset[str] = frozenset()) -> Callable[[Column], Column]:
     @arrow_udf("array<double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        matcher = Matcher(terms, anywhere=True, alike=alike)
+        matcher = _matcher(tuple(terms.items()), alike)
         for texts in batches:
             rows = [features_of((t or b"").decode(), matcher) for portion in portions(texts) for t in portion]
             ends = np.arange(len(rows) + 1, dtype=np.int32) * FEATURES
