@@ -7,7 +7,7 @@ from pyspark.sql import Row, SparkSession, functions as F
 
 from zonalis import functions as fn
 from zonalis.operators import selectors as sel
-from zonalis.operators.joins import attach_group_values, fan_out, join_fold, left_join
+from zonalis.operators.joins import attach_group_values, fan_out, join_fold, left_join, salted_left_join
 from zonalis.operators.reshape import stack, to_wide
 
 
@@ -152,3 +152,29 @@ def test_pivot_and_stack(spark: SparkSession) -> None:
     assert [tuple(r) for r in wide] == [(1, 5, None), (2, None, 7)]
     both = stack([long.select("id"), long.select("v")])
     assert both.count() == 6 and both.columns == ["id", "v"]
+
+
+def test_few_keys_are_dealt_to_salts(spark: SparkSession) -> None:
+    """Three keys, one of them missing: without broadcasts and without any split, no join task gets the rows of a key."""
+    settings = {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30_000
+        rows = spark.range(n).selectExpr("IF(id % 3 = 2, NULL, id % 3) AS k", "id AS x")
+        names = spark.createDataFrame([(0, "a"), (None, "b"), (None, "c"), (7, "d")], "k bigint, name string")
+        out = salted_left_join(rows, names, ["k"])
+        assert out.columns == ["k", "x", "name"]
+        assert sorted(map(str, out.collect())) == sorted(map(str, left_join(rows, names, ["k"]).collect()))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert sum(sizes) == n + n // 3
+        assert max(sizes) < n // 6 and len(sizes) > 20
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

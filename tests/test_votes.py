@@ -141,3 +141,17 @@ def test_every_ballot_join_can_be_split(spark: SparkSession) -> None:
             names = [lines[i][1].split("(")[0].split(" ")[0] for i in range(child, child + 4)]
             assert names[0] == "Sort" and names[1] == "Exchange", names
     assert joins >= 4 and "Window" not in plan
+
+
+def test_ballots_of_a_party_or_region_are_dealt_to_salts(spark: SparkSession) -> None:
+    """The joins of ballots with parties, districts and sections have the salt as a key, as each of these holds a large share of all."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, keys in (("elections_2019_long", ("codigo_agrupacion", "codigo_distrito", "codigo_seccion")), ("elections_2015_long", ("code",))):
+            plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+            joins = [line.split("SortMergeJoin ")[1] for line in plan.splitlines() if "SortMergeJoin " in line]
+            for key in keys:
+                own = [j for j in joins if j.startswith(f"[coalesce({key}#")]
+                assert own and all("__salt" in j for j in own), (key, joins)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

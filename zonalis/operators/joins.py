@@ -4,15 +4,25 @@ A hot key needs no plan of its own: both sides of a join are shuffled for it, so
 execution sees the sizes of all partitions and splits the large ones by the map tasks that wrote them, whatever the
 number of hot keys. ``session.SETTINGS`` turns that on. Sizes are bytes after compression, so a key whose rows are all
 equal is split later than its number of rows suggests.
+
+Two things do not wait for that: a join with a table of few keys deals the rows of each key to salts (:func:`salted`), and a
+shuffle whose tasks must stay small gets partitions by the number of its rows (:func:`spread`).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+SALT = "__salt"
+# Parts into which the rows of one key of a small table are dealt; the small table is listed once for each.
+SALTS = 64
+# Rows of a partition, where the memory of a task grows with them.
+ROWS_PER_TASK = 250_000
+
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join in which a missing key matches a missing key."""
@@ -31,6 +41,25 @@ def spread_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     return left_join(left.withColumn("__h", mark), right.withColumn("__h", mark), [*keys, "__h"]).drop("__h")
 
 
+def salted(left: DataFrame, right: DataFrame, salts: int = SALTS) -> tuple[DataFrame, DataFrame]:
+    """Both tables with the key SALT for a join with few keys, each of which holds a large share of ``left``.
+
+    A row of ``left`` has a salt by a hash of all its columns, a row of ``right``, the small table, is listed with every salt.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    return left.withColumn(SALT, salt), right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """:func:`left_join` with a small table of few keys: no task gets all rows of a key, also without a broadcast."""
+    return left_join(*salted(left, right, salts), [*keys, SALT]).drop(SALT)
+
+
+def spread(df: DataFrame, keys: Sequence[str], rows: int, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` by ``keys``, in as many partitions as ``rows`` rows ask for; adaptive execution does not merge them."""
+    return df.repartition(max(1, math.ceil(rows / per_task)), *keys)
+
+
 def join_fold(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Left-join every further table to the first on the same keys; a missing key matches a missing key."""
     return reduce(lambda a, b: left_join(a, b, keys), tables)

@@ -15,7 +15,7 @@ from zonalis.functions import (
     strict_sum,
     strict_sum_where,
 )
-from zonalis.operators.joins import attach_group_values, left_join, spread_left_join
+from zonalis.operators.joins import attach_group_values, salted_left_join
 from zonalis.operators.reshape import stack, to_wide
 from zonalis.schemas import ZONE_2015
 
@@ -62,8 +62,8 @@ def box_table(
         names = regions.select(
             F.col("codigo_region").alias(f"codigo_{role}"), F.col("nombre_region").alias(f"name_{role}")
         )
-        rows = left_join(rows, names, [f"codigo_{role}"])
-    rows = spread_left_join(rows, party_names(parties, category), ["codigo_agrupacion"])
+        rows = salted_left_join(rows, names, [f"codigo_{role}"])
+    rows = salted_left_join(rows, party_names(parties, category), ["codigo_agrupacion"])
     return rows.select(
         "codigo_distrito",
         "name_distrito",
@@ -127,7 +127,7 @@ def circuits_2019(
 
     Ballots are read once and shrink to one row per box, region and party before any join, and then to one row per box
     and circuit, with the sums of each label in columns. Both sides of every join get a shuffle of the join's own (or one
-    is small and sent to all tasks), so a party that holds a third of the ballots can be split. A repeated blank
+    is small and sent to all tasks), and the ballots of a party or region, which may be a third of all, are dealt to salts. A repeated blank
     or region row would repeat the ballots it joins; it enters as a factor, so no join multiplies rows. ``totals`` and ``parties`` need the column ``ordinal``
     (file order). Missing codes are held as empty text, so that they match each other.
     """
@@ -142,9 +142,9 @@ def circuits_2019(
         *[f"coalesce({c}, '') AS {c}" for c in codes], "votos_agrupacion"
     )
     cast = cast.groupBy(*codes).agg(strict_sum(F.col("votos_agrupacion")).alias("votos_agrupacion"))
-    named = spread_left_join(cast, names, ["codigo_agrupacion"])
+    named = salted_left_join(cast, names, ["codigo_agrupacion"])
     for role in ("codigo_distrito", "codigo_seccion"):
-        named = spread_left_join(named, _times(regions, "codigo_region", role), [role])
+        named = salted_left_join(named, _times(regions, "codigo_region", role), [role])
     # how often a ballot counts for a label: never outside the districts shown
     in_scope = f"codigo_distrito IN ({', '.join(map(_sql_text, districts))})"
     repeats = "coalesce(n_codigo_distrito, 1) * coalesce(n_codigo_seccion, 1)"
@@ -197,7 +197,7 @@ def circuits_2015(
         f"if(code < {FIRST_SPECIAL_CODE}, coalesce(times_{i}, {1 if name is None else 0}), 0)"
         for i, name in enumerate(shown)
     ]
-    zones = spread_left_join(per_code, listed, ["code"]).groupBy(*ZONE_2015).agg(
+    zones = salted_left_join(per_code, listed, ["code"]).groupBy(*ZONE_2015).agg(
         strict_sum_where(is_blank, F.col("cast")).alias("votos_blanco"),
         strict_sum_where(is_party, F.col("cast")).alias("candidaturas"),
         *_label_sums(shown, "`cast`", times),
