@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 from pyspark.sql import Row, SparkSession, functions as F
 
 from zonalis import functions as fn
-from zonalis.operators import selectors as sel
+from zonalis.operators import joins, selectors as sel
 from zonalis.operators.joins import attach_group_values, fan_out, join_fold, left_join, salted_left_join
 from zonalis.operators.reshape import stack, to_wide
+from zonalis.queries import queries
 
 
 def test_sums_and_missing_values(spark: SparkSession) -> None:
@@ -178,3 +180,12 @@ def test_few_keys_are_dealt_to_salts(spark: SparkSession) -> None:
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_boxes_get_partitions_by_their_rows(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    """The task that joins and sums boxes holds so many rows, however many there are."""
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 500)
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    plan = queries()["agg_two_level"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"hashpartitioning\(o_orderkey#\d+L?, {math.ceil(lines / 500)}\), REPARTITION_BY_NUM", plan), plan

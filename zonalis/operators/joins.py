@@ -55,9 +55,9 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], sal
     return left_join(*salted(left, right, salts), [*keys, SALT]).drop(SALT)
 
 
-def spread(df: DataFrame, keys: Sequence[str], rows: int, per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``df`` by ``keys``, in as many partitions as ``rows`` rows ask for; adaptive execution does not merge them."""
-    return df.repartition(max(1, math.ceil(rows / per_task)), *keys)
+def spread(df: DataFrame, keys: Sequence[str], rows: int, per_task: int | None = None) -> DataFrame:
+    """``df`` by ``keys``, in as many partitions as ``rows`` rows ask for (ROWS_PER_TASK each); adaptive execution does not merge them."""
+    return df.repartition(max(1, math.ceil(rows / (per_task or ROWS_PER_TASK))), *keys)
 
 
 def join_fold(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from zonalis.functions import first_by, percent_of, recode, skipna_sum, strict_sum, strict_sum_where
+from zonalis.operators.joins import spread
 from zonalis.operators.reshape import to_long, to_wide
 from zonalis.plans.final import census_percentages
 from zonalis.plans.votes import LABELS_2019, OTHERS, SHORT_2015, SHORT_2019, circuits_2015, circuits_2019, wide
@@ -71,6 +72,9 @@ def agg_two_level(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_suppkey", F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
     orders = t.orders.select("o_orderkey", F.floor(F.col("o_totalprice") / 10000).alias("valid"))
     blank = F.when(F.col("o_orderkey") % 700 != 3, F.col("o_orderkey") % 50)
+    # sort, join and both aggregates of a box are in one task; its rows must not grow with the table
+    rows = lines.count()
+    lines, orders = (spread(df, ["o_orderkey"], rows) for df in (lines, orders))
     box = (
         lines.join(orders, "o_orderkey")
         .groupBy("l_suppkey", "o_orderkey")
