@@ -9,8 +9,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonalis.operators import spatial
-from zonalis.operators.geometry import RINGS_TYPE, shoelace
+from zonalis.operators import spatial, validity
+from zonalis.operators.geometry import RINGS_TYPE, box_ring, shoelace
 from zonalis.operators.projection import AIRY1830, CENSUS_ZONE, WGS84, TransverseMercator, equal_area, map_vertices, move
 from zonalis.operators.validity import check, repair
 from zonalis.plans.geography import (
@@ -409,3 +409,16 @@ def test_rows_of_comb_and_flat_shapes(spark: SparkSession) -> None:
         return odd
 
     assert found == {(k, i) for k, p in enumerate(places) for i, rings in shapes.items() if holds(rings, *p)}
+
+
+def test_polygons_of_a_small_file_are_dealt_to_tasks(spark: SparkSession, monkeypatch: pytest.MonkeyPatch) -> None:
+    """One task of polygons becomes as many as their number asks for, and their edges are not broadcast however small they seem."""
+    monkeypatch.setattr(validity, "POLYGONS_PER_TASK", 10)
+    x = F.col("id").cast("double")
+    polygons = spark.range(0, 95, 1, 1).select("id", F.array(box_ring(x, x, x + 1, x + 1)).alias("rings"))
+    checked = validity.check(polygons)
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "10), REPARTITION_BY_NUM" in plan
+    assert "SortMergeJoin [id#" in plan and "BroadcastHashJoin [id#" not in plan.split("SortMergeJoin [id#")[1], plan
+    assert checked.count() == 95 and checked.where("crosses").isEmpty()
+    assert validity.repair(polygons).count() == 95

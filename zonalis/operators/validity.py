@@ -4,7 +4,9 @@ Polygons whose edges cross or touch, within a ring or between rings, are cut at
 number of rings hold it. What is left of them are directed edges with the inside on their left, each a ring of two points; areas,
 overlays and point tests are sums over edges and need no loops. All other polygons keep their rings.
 
-Edges meet in equi joins on polygon and strip, so an outline of any size is many rows in many tasks.
+Edges meet in equi joins on polygon and strip, so an outline of any size is many rows in many tasks. A small file of polygons may
+be one task, and its edges are a table many times its size: polygons are dealt to tasks by their number first, and edges are never
+broadcast.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from zonalis.operators.geometry import bounds, edges, holds, shoelace
+from zonalis.operators.joins import spread
 from zonalis.operators.spatial import EDGES_PER_ROW, cell_number, strip_level
 from zonalis.sources.stage import staged
 
@@ -53,9 +56,17 @@ def cleaned(rings: Column) -> Column:
     return F.transform(F.transform(rings, close_ring), drop_repeats)
 
 
+POLYGONS_PER_TASK = 50_000
+
+
+def dealt(polygons: DataFrame) -> DataFrame:
+    """Polygons by id, POLYGONS_PER_TASK in a task."""
+    return spread(polygons, ["id"], polygons.count(), POLYGONS_PER_TASK)
+
+
 def repair(polygons: DataFrame) -> DataFrame:
     """Close rings, drop repeated vertices, cut crossing edges, fix ring direction. No polygon is lost; ``id`` must be unique."""
-    tidy = polygons.withColumn("rings", cleaned(F.col("rings")))
+    tidy = dealt(polygons).withColumn("rings", cleaned(F.col("rings")))
     again = untangled(tidy.select("id", "rings"))
     if again is None:
         return tidy.withColumn("rings", orient(F.col("rings")))
@@ -100,7 +111,7 @@ def meetings(sides: DataFrame) -> DataFrame:
     """
     low, high = cell_number("least(y1, y2)", "height"), cell_number("greatest(y1, y2)", "height")
     listed = sides.selectExpr("id", "n", "grain", *SIDE, f"{low} AS first", f"explode(sequence({low}, {high})) AS row")
-    pairs = listed.alias("a").join(listed.alias("b"), F.expr(
+    pairs = listed.alias("a").join(listed.alias("b").hint("merge"), F.expr(
         f"a.id = b.id AND a.row = b.row AND a.n < b.n AND a.row = greatest(a.first, b.first) AND {_near('x')} AND {_near('y')}"
     ))
     a_at = [_left_of("b", f"a.x{k}", f"a.y{k}") for k in (1, 2)]
@@ -139,7 +150,7 @@ def _directed(pieces: DataFrame) -> DataFrame:
         height = f"o_{v}1 + (mu - o_{u}1) * ((o_{v}2 - o_{v}1) / (o_{u}2 - o_{u}1))"
         other = " OR ".join(f"{c} <> o_{c}" for c in SIDE)
         match = f"id = o_id AND strip = o_strip AND least(o_{u}1, o_{u}2) <= mu AND mu < greatest(o_{u}1, o_{u}2) AND ({other}) AND {height} > mv"
-        return middle.join(over, F.expr(match), "left").groupBy("id", *SIDE).agg((F.count("o_id") % 2 == 1).alias("beyond"))
+        return middle.join(over.hint("merge"), F.expr(match), "left").groupBy("id", *SIDE).agg((F.count("o_id") % 2 == 1).alias("beyond"))
 
     turned = ", ".join(f"{c} AS {d}" for c, d in zip(("x2", "y2", "x1", "y1"), SIDE, strict=True)).split(", ")
     # to the right with the inside above; down with the inside to the right
@@ -192,7 +203,7 @@ def check(polygons: DataFrame) -> DataFrame:
 
     A ring crosses itself if two of its edges cross in an inner point of both.
     """
-    rings = polygons.select("id", F.posexplode(cleaned(F.col("rings"))).alias("ring", "points"))
+    rings = dealt(polygons).select("id", F.posexplode(cleaned(F.col("rings"))).alias("ring", "points"))
     alone = rings.select(F.struct("id", "ring").alias("id"), F.array("points").alias("rings"))
     crossed = meetings(_edges(alone)).where("through").select(F.col("id.id").alias("__id"), F.col("id.ring").alias("__ring")).distinct()
     found = rings.join(crossed, (F.col("id") == F.col("__id")) & (F.col("ring") == F.col("__ring")), "left")
