@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonalis.functions import circuit_zeroes, paste, round_even, section_code, slice_text
 from zonalis.operators.geometry import shoelace
-from zonalis.operators.joins import attach_group_values
+from zonalis.operators.joins import SALT, attach_group_values, salted
 from zonalis.operators.projection import CENSUS_ZONE, TransverseMercator, equal_area, map_vertices, move
 from zonalis.operators.reshape import stack
 from zonalis.operators.spatial import overlay, points_in_polygons
@@ -157,8 +157,11 @@ def full_lookup(shares: DataFrame, sections: DataFrame, election: DataFrame, bla
     """Tract to electoral circuit, for circuits whose blank votes are known in ``election``."""
     known = election.filter(F.col(blank).isNotNull()).select("id_circuito_elec")
     keyed = shares.withColumn("id_seccion_indec", slice_text(F.col("id_circuito"), 1, 5))
+    # few sections, each with many tracts
+    keyed, sections = salted(keyed, sections)
     return (
-        keyed.join(sections, "id_seccion_indec", "left")
+        keyed.join(sections, ["id_seccion_indec", SALT], "left")
+        .drop(SALT)
         .withColumn(
             "id_circuito_elec", paste(F.col("id_seccion_elec"), slice_text(F.col("id_circuito"), 6, 11))
         )
