@@ -192,3 +192,20 @@ def test_interpolated_counts_do_not_depend_on_the_order_of_rows(spark: SparkSess
     lookup = spark.createDataFrame([("r0", "c", 0.5), ("r1", "c", 0.0), ("r2", "d", 1.5)], "id_radio string, id_circuito_elec string, por_radio double")
     found = {r[0]: tuple(r)[1:] for r in interpolate(lookup, census, ["per_x", "per_y"]).collect()}
     assert found == {"c": (0.0, 0.0), "d": (2.0, 0.0)}
+
+
+def test_tracts_of_a_section_are_dealt_to_salts(spark: SparkSession) -> None:
+    """Rows and columns as ever; without broadcasts the join on the few sections has the salt as a key."""
+    shares = spark.createDataFrame([("r1", "01001000007", 0.5), ("r2", "01001000007", 0.25), ("r3", "02002000008", 1.0)], "id_radio string, id_circuito string, por_radio double")
+    sections = spark.createDataFrame([("05005", "01001"), ("06006", "01001")], "id_seccion_elec string, id_seccion_indec string")
+    known = spark.createDataFrame([("05005000007", 1), ("06006000007", 2), ("NA000008", 3)], "id_circuito_elec string, blank int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = full_lookup(shares, sections, known, "blank")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert any("SortMergeJoin [id_seccion_indec" in line and "__salt" in line for line in plan.splitlines()), plan
+        rows = {(r.id_radio, r.id_circuito_elec, r.por_radio) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "__salt" not in out.columns
+    assert rows == {(r, c, s) for r, s in (("r1", 0.5), ("r2", 0.25)) for c in ("05005000007", "06006000007")} | {("r3", "NA000008", 1.0)}
