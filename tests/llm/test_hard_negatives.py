@@ -125,3 +125,41 @@ def test_descent_scores_few_candidates_of_clusters() -> None:
     expected = np.sort(everything, axis=1)[:, ::-1][:, :3]
     assert (best.score[:, 0] == expected).all()
     assert sum(scored) < 0.25 * everything.size
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_a_large_leaf_is_scored_in_tiles(alike: bool) -> None:
+    """Vectors that do not cluster, or are all the same, are one leaf."""
+    rng = np.random.default_rng(7)
+    points = rng.normal(size=(6000, 64))
+    points = np.floor(256 * points / np.linalg.norm(points, axis=1)[:, None])
+    if alike:
+        points[:] = points[0]
+    queries, held = points[::12] + 1, []
+
+    def fits(rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+        held.append(len(rows) * len(places))
+        return (rows[:, None] + places[None]) % 3 > 0
+
+    tree = CoverTree(points)
+    assert len(tree.centre) == 1
+    best = Best(np.full((500, 2), -np.inf), np.tile([np.inf, 0.0], (500, 1)), 4, float)
+    search(tree, points, queries, best, fits)
+    assert sum(held) == 500 * 6000 and max(held) <= 1 << 20
+    scores = np.where((np.arange(500)[:, None] + np.arange(6000)[None]) % 3 > 0, queries @ points.T, -np.inf)
+    for w, inside in enumerate((scores, np.where(scores <= 0, scores, -np.inf))):
+        first = np.argsort(-inside, axis=1, kind="stable")[:, :4]
+        expected = np.take_along_axis(inside, first, 1)
+        assert (best.score[:, w] == expected).all() and (best.place[:, w] == np.where(expected > -np.inf, first, -1)).all()
+
+
+@pytest.mark.parametrize("length", [1.0, 15.9, 16.1, 1e5])
+def test_unit_vectors_and_longer_ones(spark: SparkSession, length: float) -> None:
+    """Scores on either side of 2 ** 24, up to where single floats are exact."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(400, 16))
+    vectors *= length / np.linalg.norm(vectors, axis=1)[:, None]
+    rows = [(i, v.tolist(), i % 5) for i, v in enumerate(vectors)] + [(1000 + i, vectors[7].tolist(), i % 5) for i in range(60)]
+    rows += [(2000 + i, (-vectors[7]).tolist(), i % 3) for i in range(10)] + [(3000, [0.0] * 16, 1), (3005, [-0.0] * 16, 1)]
+    found = mined(spark, rows, 5)
+    assert found == plain(rows, 5) and found

@@ -13,11 +13,13 @@ labels whose score is between ``low`` and ``high`` hundredths of the positive's.
    that does not fall apart into much fewer centres than it has members stays a leaf.
 3. On the sphere of radius M the angle between anchor and centre, more or less the angle of the covering radius, bounds the inner products
    in a node from above and below. Each anchor opens its node with the greatest upper bound first; a node goes whose bounds
-   are outside all windows still open or below what has been found. Leaves are scored exactly. All anchors that open the same node do so
-   in one product of matrices. Bounds leave room for rounding, so none cuts a row off.
+   are outside all windows still open or below what has been found. Leaves are scored exactly. Anchors that open the same node do so
+   in products of matrices of ``TILE`` scores at most, however large the leaf: vectors that do not cluster are one leaf a shard. Rows of the own
+   label are looked for among the rows sorted by label. Bounds leave room for rounding, so none cuts a row off.
 4. The best of each shard are put together for each anchor.
 
-Scores are exact: products are sums of whole numbers below 2 ** 53, else they are taken in whole numbers of any size. A score beyond 64 bits is
+Scores are exact: products are sums of whole numbers below 2 ** 53 (single floats where lengths keep them below 2 ** 24), else they are taken in
+whole numbers of any size. A score beyond 64 bits is
 returned as the nearest number of 64 bits, which also gives the windows.
 
 Rows with a NULL id, label or vector, or with a NULL or non-finite component (also after scaling), take no part. Vectors only
@@ -29,10 +31,11 @@ has no row; an empty table has none. Labels are whole numbers. No text is read,
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +47,11 @@ POSITIVES, NEGATIVES = 5, 3
 LOW, HIGH = 50, 95
 LEAF = 48  # a node with so many members is not taken apart
 SHARD_BYTES = 32 << 20  # of vectors in a shard, and of anchors in a slice
-EXACT = 1 << 53
+PROBE = 2048  # members that tell whether a larger node falls apart
+QUERIES = 256  # anchors that are scored together
+TILE, FIRST = 1 << 20, 64  # scores held at once, and candidates for which the first are taken
+BOUNDS = 1 << 23  # upper bounds held at once
+EXACT, EXACT_SINGLE = 1 << 53, 1 << 24
 ROOM = 1e-6  # share of the greatest possible score by which bounds are widened
 
 
@@ -90,12 +97,25 @@ class CoverTree:
         if len(members) <= leaf or radius == 0.0 or not math.isfinite(radius):
             return []
         scale = 2.0 ** (math.ceil(math.log2(radius)) - 1)
+        most = math.isqrt(len(members))
+        if len(members) > 2 * PROBE:
+            some = np.arange(0, len(members), len(members) // PROBE)
+            if self._centres(members[some], distance[some], scale, most) is None:
+                return []
+        found = self._centres(members, distance, scale, most)
+        if found is None:
+            return []
+        centres, nearest, distance = found
+        return [(c, members[nearest == k], distance[nearest == k]) for k, c in enumerate(centres)]
+
+    def _centres(self, members: np.ndarray, distance: np.ndarray, scale: float, most: int) -> tuple[list[int], np.ndarray, np.ndarray] | None:
+        """Centres until all members are within ``scale`` of one, which of them is nearest and how far; nothing if there are too many."""
         # the first centre is the node's own, from which the distances were taken
         centres, nearest = [int(members[distance.argmin()])], np.zeros(len(members), np.int64)
         distance, points = distance.copy(), self.points[members]
         while distance.max() > scale:
-            if len(centres) > math.isqrt(len(members)):
-                return []
+            if len(centres) > most:
+                return None
             far = int(distance.argmax())
             centres.append(int(members[far]))
             apart = points - points[far]
@@ -103,7 +123,7 @@ class CoverTree:
             closer = own < distance
             nearest[closer] = len(centres) - 1
             distance[closer] = own[closer]
-        return [(c, members[nearest == k], distance[nearest == k]) for k, c in enumerate(centres)]
+        return centres, nearest, distance
 
     def bounds(self, queries: np.ndarray, lengths: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest inner product that a member of each node can have with each query."""
@@ -119,71 +139,119 @@ class CoverTree:
         return lowest, most * np.cos(np.maximum(apart - reach, 0.0)) + room
 
 
+def _hundredth(limits: np.ndarray, kind: type, up: bool) -> np.ndarray:
+    """Whole limits of 100 * score as whole limits of the score; infinite ones stay."""
+    out = limits.astype(kind)
+    finite = np.abs(limits.astype(float)) < np.inf
+    whole = limits[finite].astype(object if kind is object else np.int64)
+    out[finite] = -(-whole // 100) if up else whole // 100
+    return out
+
+
 class Best:
     """The best rows of each window of each query: 100 * score between ``low`` and ``high``, and not NaN."""
 
     def __init__(self, low: np.ndarray, high: np.ndarray, keep: int, kind: type) -> None:
-        self.low, self.high, self.keep = low, high, keep
+        self.low, self.high, self.keep = _hundredth(low, kind, True), _hundredth(high, kind, False), keep
         self.score = np.full((*low.shape, keep), -np.inf, kind)
         self.place = np.full((*low.shape, keep), -1, np.int64)
 
     def least(self, queries: np.ndarray) -> np.ndarray:
         """What a score must reach, for each window of some queries, to be among the best."""
-        return np.maximum(self.low[queries].astype(float) / 100, self.score[queries, :, -1].astype(float))
+        return np.maximum(self.low[queries], self.score[queries, :, -1])
 
     def add(self, queries: np.ndarray, places: np.ndarray, scores: np.ndarray, fit: np.ndarray) -> None:
         """Scores of some queries with candidates at rising ``places``, where ``fit``."""
+        least = self.least(queries)
+        enough = scores >= least.min(axis=1)[:, None]
+        enough &= fit
+        enough &= scores <= self.high[queries].max(axis=1)[:, None]
+        at = np.flatnonzero(enough)
+        if not len(at):
+            return
+        row, column = np.divmod(at, len(places))
+        score, place = scores[row, column], places[column]
         for w in range(self.low.shape[1]):
-            inside = fit & (100 * scores >= self.low[queries, w, None]) & (100 * scores <= self.high[queries, w, None])
-            held = np.where(inside, scores, -np.inf)
-            better = np.flatnonzero((held >= self.score[queries, w, -1, None]).any(axis=1) & inside.any(axis=1))
-            if not len(better):
+            inside = np.flatnonzero((score >= least[row, w]) & (score <= self.high[queries[row], w]))
+            # of a score that is held already only smaller places count
+            held, held_at = self.score[queries, w, -1][row[inside]], self.place[queries, w, -1][row[inside]]
+            inside = inside[(score[inside] > held) | ((score[inside] == held) & (place[inside] < held_at))]
+            if not len(inside):
                 continue
-            first = np.argsort(-held[better], axis=1, kind="stable")[:, : self.keep]
-            new = np.take_along_axis(held[better], first, 1)
-            at = np.where(new > -np.inf, places[first], -1)
-            rows = queries[better]
-            score = np.concatenate([self.score[rows, w], new], axis=1)
-            place = np.concatenate([self.place[rows, w], at], axis=1)
-            order = np.lexsort((np.where(place < 0, np.iinfo(np.int64).max, place), -score), axis=1)[:, : self.keep]
-            self.score[rows, w] = np.take_along_axis(score, order, 1)
-            self.place[rows, w] = np.take_along_axis(place, order, 1)
-
-
-def search(tree: CoverTree, exact: np.ndarray, queries: np.ndarray, best: Best, fits: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> None:
+            # what has been found and what is new, by query, score and place
+            mine = np.unique(row[inside])
+            old_row, old_rank = np.nonzero(self.place[queries[mine], w] >= 0)
+            old = queries[mine[old_row]]
+            rows = np.concatenate([mine[old_row], row[inside]])
+            values = np.concatenate([self.score[old, w, old_rank], score[inside]])
+            at = np.concatenate([self.place[old, w, old_rank], place[inside]])
+            order = np.lexsort((at, -values, rows))
+            begin = np.flatnonzero(np.diff(rows[order], prepend=-1))
+            rank = np.arange(len(order)) - np.repeat(begin, np.diff(begin, append=len(order)))
+            order, rank = order[rank < self.keep], rank[rank < self.keep]
+            self.score[queries[rows[order]], w, rank] = values[order]
+            self.place[queries[rows[order]], w, rank] = at[order]
+
+
+Pairing = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def search(tree: CoverTree, exact: np.ndarray, queries: np.ndarray, best: Best, fits: Pairing, near: Pairing = lambda rows, places: places) -> None:
     """Fill ``best`` for all queries, each opening its nodes from the greatest upper bound down.
 
-    ``exact`` holds the candidates as they are scored, ``fits`` tells which candidates may be with which queries.
+    ``exact`` holds the candidates as they are scored, ``fits`` tells which candidates may be with which queries, and ``near``
+    leaves out candidates that may be with none of them.
     """
-    if not len(tree.centre) or not len(queries):
+    if not len(tree.centre):
         return
-    plain = queries.astype(float)
+    for rows in _cut(np.arange(len(queries)), max(1, BOUNDS // len(tree.centre))):
+        _search(tree, exact, queries, rows, best, fits, near)
+
+
+def _cut(values: np.ndarray, size: int) -> list[np.ndarray]:
+    return [values[i : i + size] for i in range(0, len(values), size)]
+
+
+def _score(exact: np.ndarray, queries: np.ndarray, rows: np.ndarray, places: np.ndarray, best: Best, fits: Pairing, near: Pairing) -> None:
+    """All products of some queries with a leaf, in tiles. The first is small: what it finds leaves out most of the others."""
+    for some in _cut(rows, QUERIES):
+        own, rest, size = queries[some], near(some, places), FIRST
+        while len(rest):
+            now, rest = rest[:size], rest[size:]
+            best.add(some, now, own @ exact[now].T, fits(some, now))
+            size = min(4 * size, max(1, TILE // len(some)))
+
+
+def _search(tree: CoverTree, exact: np.ndarray, queries: np.ndarray, block: np.ndarray, best: Best, fits: Pairing, near: Pairing) -> None:
+    """The search for the queries of a block of neighbours."""
+    plain, first = queries[block].astype(float), block[0]
     lengths = np.sqrt(np.einsum("ij,ij->i", plain, plain))
-    most_high = best.high.astype(float) / 100
-    upper = np.full((len(queries), len(tree.centre)), -np.inf)
+    upper = np.full((len(block), len(tree.centre)), -np.inf, np.float32)  # bounds have more room than rounding takes
 
     def enter(rows: np.ndarray, nodes: np.ndarray) -> None:
         lowest, greatest = tree.bounds(plain[rows], lengths[rows], nodes)
-        least = best.least(rows)
-        wanted = (greatest[:, :, None] >= least[:, None, :]) & (lowest[:, :, None] <= most_high[rows][:, None, :])
-        upper[np.ix_(rows, nodes)] = np.where(wanted.any(axis=2), greatest, -np.inf)
+        least, most = best.least(first + rows).astype(float), best.high[first + rows].astype(float)
+        wanted = np.zeros(lowest.shape, bool)
+        for w in range(least.shape[1]):
+            wanted |= (greatest >= least[:, w, None]) & (lowest <= most[:, w, None])
+        upper[np.ix_(rows, nodes)] = np.where(wanted, greatest, -np.inf)
 
-    active = np.arange(len(queries))
+    active = np.arange(len(block))
     enter(active, np.array([0]))
     while len(active):
-        node = upper[active].argmax(axis=1)
+        node = np.concatenate([upper[some].argmax(axis=1) for some in _cut(active, max(1, TILE // len(tree.centre)))])
         bound = upper[active, node]
-        going = (bound > -np.inf) & (bound >= best.least(active).min(axis=1))
+        going = (bound > -np.inf) & (bound >= best.least(first + active).astype(float).min(axis=1))
         active, node = active[going], node[going]
         upper[active, node] = -np.inf
         order = np.argsort(node, kind="stable")
         begin = np.flatnonzero(np.diff(node[order], prepend=-1))
         for opened, rows in zip(node[order][begin].tolist(), np.split(active[order], begin[1:]), strict=False):
             if len(tree.children[opened]):
-                enter(rows, tree.children[opened])
+                for some in _cut(rows, max(1, TILE // len(tree.children[opened]))):
+                    enter(some, tree.children[opened])
             else:
-                places = np.sort(tree.members[opened])
-                best.add(rows, places, queries[rows] @ exact[places].T, fits(rows, places))
+                _score(exact, queries, first + rows, np.sort(tree.members[opened]), best, fits, near)
 
 
 def _matrix(vectors: pa.ChunkedArray, dimensions: int) -> np.ndarray:
@@ -191,6 +259,28 @@ def _matrix(vectors: pa.ChunkedArray, dimensions: int) -> np.ndarray:
     return np.asarray(values).astype(float).reshape(len(vectors), dimensions)
 
 
+def _distinct(ids: np.ndarray, labels: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The places of the rows by id and label, equal rows once."""
+    order = np.lexsort((labels, ids))
+    again = (np.diff(ids[order]) == 0) & (np.diff(labels[order]) == 0)
+    if again.any():
+        alike = np.concatenate([again, [False]]) | np.concatenate([[False], again])
+        some = order[alike]
+        _, one = np.unique(np.column_stack([ids[some], labels[some], points[some].view(np.int64)]), axis=0, return_index=True)
+        order = np.concatenate([order[~alike], some[one]])
+        order = order[np.lexsort((labels[order], ids[order]))]
+    return order
+
+
+def _limits(lists: pa.ChunkedArray, windows: int, absent: float, kind: type) -> np.ndarray:
+    """Lists of whole numbers, as text, as the rows of a matrix."""
+    out = np.full((len(lists), windows), absent, object if kind is object else float)
+    given = np.arange(windows) < pc.list_value_length(lists).to_numpy()[:, None]
+    values = pc.list_flatten(lists)
+    out[given] = [int(x) for x in values.to_pylist()] if kind is object else values.cast(pa.float64()).to_numpy()
+    return out
+
+
 def _searcher(same: bool, keep: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
     """Best candidates of one shard for one slice of anchors, with one window for each entry of ``low`` and ``high``."""
 
@@ -198,50 +288,78 @@ def _searcher(same: bool, keep: int) -> Callable[[tuple, pa.Table, pa.Table], pa
         dimensions = key[0].as_py()
         ids, labels = (rows.column(c).to_numpy() for c in ("id", "label"))
         points = _matrix(rows.column("v"), dimensions)
-        if len(ids):  # equal rows once, by id
-            _, one = np.unique(np.column_stack([ids, labels, points.view(np.int64)]), axis=0, return_index=True)
-            one = one[np.lexsort((labels[one], ids[one]))]
-            ids, labels, points = ids[one], labels[one], points[one]
+        one = _distinct(ids, labels, points)
+        if same:  # of one label by id, as they are by place
+            one = one[np.argsort(labels[one], kind="stable")]
+            anchors = anchors.sort_by("label")
+        ids, labels, points = ids[one], labels[one], points[one]
         asked = _matrix(anchors.column("v"), dimensions)
         own, own_label = (anchors.column(c).to_numpy() for c in ("id", "label"))
         exact = 100.0 * dimensions * np.abs(points).max(initial=1.0) * np.abs(asked).max(initial=1.0) < EXACT
-        kind = float if exact else object
-        whole = lambda m: m if exact else np.array([[int(x) for x in r] for r in m.tolist()], object).reshape(m.shape)
+        tree = CoverTree(points)
+        # no sum of products is beyond the product of the lengths
+        single = exact and 1.01 * tree.length * math.sqrt(np.einsum("ij,ij->i", asked, asked).max(initial=0.0)) < EXACT_SINGLE
+        kind = np.float32 if single else float if exact else object
+        whole = lambda m: m.astype(kind) if exact else np.array([[int(x) for x in r] for r in m.tolist()], object).reshape(m.shape)
+        points, asked = whole(points), whole(asked)
         if same:
             shape = (len(asked), 1)
             low, high = np.full(shape, -np.inf), np.full(shape, np.inf)
         else:
-            scores = anchors.column("scores").to_pylist()
-            windows = max(map(len, scores), default=1)
-            low, high = np.full((len(asked), windows), np.inf, kind), np.full((len(asked), windows), -np.inf, kind)
-            for i, (lows, highs) in enumerate(zip(anchors.column("low").to_pylist(), anchors.column("high").to_pylist(), strict=True)):
-                low[i, : len(lows)], high[i, : len(highs)] = [int(x) for x in lows], [int(x) for x in highs]
+            windows = pc.max(pc.list_value_length(anchors.column("scores"))).as_py() or 1
+            low, high = _limits(anchors.column("low"), windows, np.inf, kind), _limits(anchors.column("high"), windows, -np.inf, kind)
         best = Best(low, high, keep, kind)
+        codes = np.unique(np.concatenate([labels, own_label]), return_inverse=True)[1].astype(np.int32)
+        code, own_code = codes[: len(labels)], codes[len(labels) :]
+        if codes.max(initial=0) < 1 << 7:
+            code, own_code = code.astype(np.int8), own_code.astype(np.int8)
 
         def fits(queries: np.ndarray, places: np.ndarray) -> np.ndarray:
-            alike = own_label[queries, None] == labels[None, places]
-            return alike & (own[queries, None] != ids[None, places]) if same else ~alike
+            if same:
+                return (own_code[queries, None] == code[None, places]) & (own[queries, None] != ids[None, places])
+            return own_code[queries, None] != code[None, places]
 
-        search(CoverTree(points), whole(points), whole(asked), best, fits)
+        def near(queries: np.ndarray, places: np.ndarray) -> np.ndarray:
+            if not same:
+                return places
+            first, last = np.searchsorted(code[places], own_code[queries[0]], "left"), np.searchsorted(code[places], own_code[queries[-1]], "right")
+            return places[first:last]
+
+        search(tree, points, asked, best, fits, near)
         query, window, rank = np.nonzero(best.place >= 0)
         found = best.place[query, window, rank]
+        score = best.score[query, window, rank]
         limit = (1 << 63) - 1
-        score = [max(-limit - 1, min(limit, int(s))) for s in best.score[query, window, rank].tolist()]
-        columns = [own[query], anchors.column("mark").to_numpy()[query], window.astype(np.int32), ids[found], np.array(score, np.int64)]
+        score = score.astype(np.int64) if exact else np.array([max(-limit - 1, min(limit, int(s))) for s in score.tolist()], np.int64)
+        columns = [own[query], anchors.column("mark").to_numpy()[query], window.astype(np.int32), ids[found], score]
         return pa.table(columns, names=["id", "mark", "window", "found", "score"])
 
     return run
 
 
+def _whole(scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column(2)
+            lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int64)
+            with np.errstate(over="ignore", invalid="ignore"):
+                scaled = vectors.flatten().to_numpy(zero_copy_only=False).astype(float) * scale
+                # from 2 ** 53 on doubles are whole numbers; there is no -0
+                whole = np.where(np.abs(scaled) >= EXACT, scaled, np.floor(scaled) + 0.0)
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            good = np.bincount(row[~np.isfinite(whole)], minlength=len(lengths)) == 0
+            offsets = np.concatenate([[0], np.cumsum(lengths[good])]).astype(np.int32)
+            kept = pa.ListArray.from_arrays(pa.array(offsets), pa.array(whole[good[row]]))
+            ids, labels = (batch.column(c).filter(pa.array(good)) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([ids, labels, kept, pa.array(lengths[good].astype(np.int32))], ["id", "label", "v", "d"])
+
+    return run
+
+
 def vectors_of(df: DataFrame, vec_id: str, vector: str, label: str, scale: int) -> DataFrame:
     """``id``, ``label``, whole components ``v`` and their number ``d`` of the rows that take part."""
-    scaled = F.transform(col(vector), lambda x: x.cast("double") * scale)
-    rows = df.select(col(vec_id).cast("long").alias("id"), col(label).cast("long").alias("label"), scaled.alias("v"))
-    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()).where(~bad)
-    # from 2 ** 53 on doubles are whole numbers
-    whole = F.transform("v", lambda x: F.when(F.abs(x) >= float(EXACT), x).otherwise(F.floor(x).cast("double")))
-    return rows.select("id", "label", whole.alias("v"), F.size("v").alias("d"))
+    rows = df.select(col(vec_id).cast("long").alias("id"), col(label).cast("long").alias("label"), col(vector).cast("array<double>").alias("v"))
+    return rows.dropna().mapInArrow(_whole(scale), "id long, label long, v array<double>, d int")
 
 
 def mine(
@@ -262,7 +380,7 @@ def mine(
     """
     spark = df.sparkSession
     rows = staged(vectors_of(df, vec_id, vector, label, scale), "vectors")
-    widest = rows.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 0.0
+    widest = rows.agg(F.max(F.greatest(F.array_max("v"), -F.array_min("v")))).first()[0] or 0.0
     if widest < 1 << 15:  # a quarter of the bytes
         rows = rows.withColumn("v", F.col("v").cast("array<smallint>"))
     asked = rows.where(is_anchor).distinct().withColumn("mark", F.xxhash64("label", "v"))
