@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,3 +164,11 @@ def test_unit_vectors_and_longer_ones(spark: SparkSession, length: float) -> Non
     rows += [(2000 + i, (-vectors[7]).tolist(), i % 3) for i in range(10)] + [(3000, [0.0] * 16, 1), (3005, [-0.0] * 16, 1)]
     found = mined(spark, rows, 5)
     assert found == plain(rows, 5) and found
+
+
+def test_packed_vectors_come_back() -> None:
+    rows = [[0.0, 5.0], [-32767.0, 32767.0], [32768.0, 1.0], [-(2.0**80), 3.0], [-32768.0, 0.0]]
+    for some in (rows, rows[:2], rows[2:4], []):
+        packs = hard_negatives._packed(np.array(some).reshape(-1), np.full(len(some), 2))
+        assert [len(p) for p in packs.to_pylist()] == [4 if max(map(abs, r)) < 1 << 15 else 16 for r in some]
+        assert hard_negatives._matrix(pa.chunked_array([packs.slice(0, 1), packs.slice(1)]), 2).tolist() == some

@@ -105,3 +105,18 @@ def test_crowded_keys_are_those_of_many_segments() -> None:
     given = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["block", "once", "more"])
     (out,) = substring_dedup._merge(10)(iter([given]))
     assert out.column("block").to_pylist() == [-1] and np.frombuffer(out.column("more")[0].as_py(), np.uint64).tolist() == [many]
+
+
+def test_a_line_that_most_texts_hold(spark: SparkSession) -> None:
+    """Its grams are crowded keys; around it texts differ, but for some that come twice."""
+    rng = random.Random(5)
+    line = " ".join(f"line{i}" for i in range(12))
+    rest = lambda: " ".join(str(rng.getrandbits(30)) for _ in range(12))
+    rows: brute.Docs = [(i, f"{rest()} {line} {rest()}") for i in range(40_000)]
+    rows += [(50_000 + i, text if i % 2 else f"{text} {rest()}") for i, (_, text) in enumerate(rows[:300])]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(8).localCheckpoint()
+    sieve = substring_dedup.Sieve(3, 22).fill(docs, "text", 16)
+    sieve = substring_dedup.Sieve(3, 21, sieve).fill(docs, "text", 16)
+    assert len(sieve.blocks.value[2])
+    out = substring_dedup.remove_repeats(docs, size=16, width_bits=22)
+    assert sorted(tuple(r) for r in out.select("doc_id", "n_words", "n_removed", "kept").collect()) == brute.without_repeats(rows, 16)

@@ -254,9 +254,37 @@ def _search(tree: CoverTree, exact: np.ndarray, queries: np.ndarray, block: np.n
                 _score(exact, queries, first + rows, np.sort(tree.members[opened]), best, fits, near)
 
 
+def _packed(values: np.ndarray, lengths: np.ndarray) -> pa.BinaryArray:
+    """Vectors of whole components, one after the other, as bytes: two for each component where these are below 2 ** 15, else eight."""
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    width = np.where(np.bincount(row[np.abs(values) >= 1 << 15], minlength=len(lengths)) > 0, 8, 2)
+    offsets = np.concatenate([[0], np.cumsum(lengths * width)])
+    if (width == 2).all():
+        data = values.astype("<i2")
+    else:
+        data = np.zeros(int(offsets[-1]), np.uint8)
+        within = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at = offsets[row] + width[row] * within
+        for size, kind in ((2, "<i2"), (8, "<f8")):
+            mine = width[row] == size
+            data[at[mine, None] + np.arange(size)] = values[mine].astype(kind).view(np.uint8).reshape(-1, size)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
+
 def _matrix(vectors: pa.ChunkedArray, dimensions: int) -> np.ndarray:
-    values = pa.concat_arrays(vectors.chunks).flatten() if len(vectors) else []
-    return np.asarray(values).astype(float).reshape(len(vectors), dimensions)
+    out = np.zeros((len(vectors), dimensions))
+    if not out.size:
+        return out
+    packs = pa.concat_arrays(vectors.cast(pa.binary()).chunks)
+    offsets = np.frombuffer(packs.buffers()[1], np.int32)[packs.offset : packs.offset + len(packs) + 1].astype(np.int64)
+    data = np.frombuffer(packs.buffers()[2], np.uint8)
+    for size, kind in ((2, "<i2"), (8, "<f8")):
+        mine = np.flatnonzero(np.diff(offsets) == size * dimensions)
+        if len(mine) == len(out):
+            return data[offsets[0] : offsets[-1]].view(kind).reshape(out.shape).astype(float)
+        for some in _cut(mine, max(1, TILE // (size * dimensions))):
+            out[some] = data[offsets[some, None] + np.arange(size * dimensions)].view(kind)
+    return out
 
 
 def _distinct(ids: np.ndarray, labels: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -348,8 +376,7 @@ def _whole(scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 whole = np.where(np.abs(scaled) >= EXACT, scaled, np.floor(scaled) + 0.0)
             row = np.repeat(np.arange(len(lengths)), lengths)
             good = np.bincount(row[~np.isfinite(whole)], minlength=len(lengths)) == 0
-            offsets = np.concatenate([[0], np.cumsum(lengths[good])]).astype(np.int32)
-            kept = pa.ListArray.from_arrays(pa.array(offsets), pa.array(whole[good[row]]))
+            kept = _packed(whole[good[row]], lengths[good])
             ids, labels = (batch.column(c).filter(pa.array(good)) for c in (0, 1))
             yield pa.RecordBatch.from_arrays([ids, labels, kept, pa.array(lengths[good].astype(np.int32))], ["id", "label", "v", "d"])
 
@@ -357,9 +384,9 @@ def _whole(scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 
 def vectors_of(df: DataFrame, vec_id: str, vector: str, label: str, scale: int) -> DataFrame:
-    """``id``, ``label``, whole components ``v`` and their number ``d`` of the rows that take part."""
+    """``id``, ``label``, whole components as bytes ``v`` and their number ``d`` of the rows that take part."""
     rows = df.select(col(vec_id).cast("long").alias("id"), col(label).cast("long").alias("label"), col(vector).cast("array<double>").alias("v"))
-    return rows.dropna().mapInArrow(_whole(scale), "id long, label long, v array<double>, d int")
+    return rows.dropna().mapInArrow(_whole(scale), "id long, label long, v binary, d int")
 
 
 def mine(
@@ -380,9 +407,6 @@ def mine(
     """
     spark = df.sparkSession
     rows = staged(vectors_of(df, vec_id, vector, label, scale), "vectors")
-    widest = rows.agg(F.max(F.greatest(F.array_max("v"), -F.array_min("v")))).first()[0] or 0.0
-    if widest < 1 << 15:  # a quarter of the bytes
-        rows = rows.withColumn("v", F.col("v").cast("array<smallint>"))
     asked = rows.where(is_anchor).distinct().withColumn("mark", F.xxhash64("label", "v"))
     asked = staged(asked, "anchors")
     sizes = [8 * (t.agg(F.sum(F.col("d") + 8)).first()[0] or 1) for t in (rows, asked)]

@@ -52,6 +52,7 @@ BLOCK_BITS = 20
 TEXT_BYTES = 1 << 20  # texts are worked on in portions of this size
 FLUSH = 1 << 21  # segments a task holds before it sends a part of its sketch, and windows before it sends their segments
 RUN = 28  # windows in a segment; false alarms among them are the bits of a number
+SENT = 1 << 16  # segments in a batch
 BITS = 48  # of a window's hash, beside the key
 CROWD_PART, CROWD = 64, 20_000  # a key of more segments than CROWD is dealt by window, if some part had CROWD_PART of them
 BROADCAST_ALARMS = 1_000_000  # up to so many segments with false alarms (8 MB) are sent to all tasks, beyond that they are joined
@@ -319,7 +320,7 @@ def _candidates(size: int, sieve: Sieve) -> Callable[[Iterator[pa.RecordBatch]],
         held: list[tuple[np.ndarray, ...]] = []
         count = 0
 
-        def part() -> pa.RecordBatch:
+        def part() -> Iterator[pa.RecordBatch]:
             key, place, check, start, counts, window = (np.concatenate(x) for x in zip(*held, strict=True))
             ends = np.cumsum(counts)
             # the first and the last window have all words of a segment
@@ -332,7 +333,8 @@ def _candidates(size: int, sieve: Sieve) -> Callable[[Iterator[pa.RecordBatch]],
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32) * (BITS // 8)
             packs = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
             columns = [pa.array(key[one].view(np.int64)), pa.array(place[one]), pa.array(check[one]), pa.array(np.where(several, -1, start[one]).astype(np.int32))]
-            return pa.RecordBatch.from_arrays([*columns, packs], ["key", "place", "check", "start", "windows"])
+            rows = pa.RecordBatch.from_arrays([*columns, packs], ["key", "place", "check", "start", "windows"])
+            yield from (rows.slice(i, SENT) for i in range(0, len(one), SENT))
 
         for batch in batches:
             places, checks = batch.column(1).to_numpy(), batch.column(2).to_numpy()
@@ -352,10 +354,10 @@ def _candidates(size: int, sieve: Sieve) -> Callable[[Iterator[pa.RecordBatch]],
                     count += int(counts.sum())
                 row += len(portion)
                 if count >= FLUSH:
-                    yield part()
+                    yield from part()
                     held, count = [], 0
         if count:
-            yield part()
+            yield from part()
 
     return run
 
