@@ -28,7 +28,6 @@ their windows are repeated. Other columns are kept; one with the name of a resul
 from __future__ import annotations
 
 import itertools
-import uuid
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -271,30 +270,22 @@ class Sieve:
         parts = df.select(col(text)).mapInArrow(_partial_sketches(size, self), "block long, once binary, more binary")
         merged = parts.repartition("block").sortWithinPartitions("block").mapInArrow(_merge(self.width_bits), "block long, more binary")
         # at most depth * 2 ** (width_bits - BLOCK_BITS) rows of 128 KB, whatever the input, and 8 bytes for CROWD segments
-        rows = [(r["block"], bytes(r["more"])) for r in merged.collect()]
-        found = {block: more for block, more in rows if block >= 0}
-        crowded = np.sort(np.frombuffer(b"".join(more for block, more in rows if block < 0), U))
-        blocks = df.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, found, crowded))
-        return Sieve(self.depth, self.width_bits, self.before, blocks)
-
-    def table(self) -> np.ndarray:
-        """The bit maps of all rows, put together once per Python worker."""
-        key, found, _ = self.blocks.value
-        if key not in _TABLES:
-            if len(_TABLES) >= 2:  # a sieve and the one before it
-                _TABLES.clear()
-            table = np.zeros(self.depth << self.width_bits - 3, np.uint8)
-            step = 1 << min(BLOCK_BITS, self.width_bits) - 3
-            for number, more in found.items():
-                table[number * step : (number + 1) * step] = np.frombuffer(zlib.decompress(more), np.uint8)
-            _TABLES[key] = table
-        return _TABLES[key]
+        table = np.zeros(max(1, self.depth << self.width_bits >> 3), np.uint8)
+        crowded = np.zeros(0, U)
+        for block, more in merged.collect():
+            if block < 0:
+                crowded = np.sort(np.concatenate([crowded, np.frombuffer(more, U)]))
+            else:
+                bits = np.frombuffer(zlib.decompress(more), np.uint8)
+                table[block * len(bits) : (block + 1) * len(bits)] = bits
+        # as tasks use them: no second copy in a worker
+        return Sieve(self.depth, self.width_bits, self.before, df.sparkSession.sparkContext.broadcast((table, crowded)))
 
     def suspects(self, key: np.ndarray) -> np.ndarray:
         """Which segments all sketches count more than once."""
         which = np.arange(len(key)) if self.before is None else self.before.suspects(key)
         hashes = key if self.before is None else other(key)
-        table = self.table()
+        table = self.blocks.value[0]
         for row in range(self.depth):
             cell = _cells(hashes[which], row, self.width_bits) + (row << self.width_bits)
             which = which[(table[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1]
@@ -302,7 +293,7 @@ class Sieve:
 
     def crowded(self, key: np.ndarray) -> np.ndarray:
         """Whether the second sketch met a key in very many segments."""
-        return np.isin(other(key), self.blocks.value[2])
+        return np.isin(other(key), self.blocks.value[1])
 
 
 def other(key: np.ndarray) -> np.ndarray:
@@ -310,9 +301,6 @@ def other(key: np.ndarray) -> np.ndarray:
     return stirred(key, 7)
 
 
-_TABLES: dict[str, np.ndarray] = {}
-
-
 def _candidates(size: int, sieve: Sieve) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Segments that may be repeated, with 48 bits of each window; ``start`` is -1 where the task met an equal one."""
 
